@@ -1,0 +1 @@
+"""SQL twins of the registered queries, for the side-by-side check."""

@@ -1,0 +1,104 @@
+"""The derived tables stated in SQL, assembled as common table expressions."""
+
+from __future__ import annotations
+
+KR = "8494666.666666666"
+
+# name -> (tables it needs, body)
+TABLES: dict[str, tuple[tuple[str, ...], str]] = {}
+
+
+def table(name: str, needs: tuple[str, ...], body: str) -> None:
+    TABLES[name] = (needs, body)
+
+
+def query(needs: tuple[str, ...], body: str) -> str:
+    """A query over derived tables: their CTEs in dependency order, then the body."""
+    ordered: list[str] = []
+
+    def visit(name: str) -> None:
+        if name in ordered:
+            return
+        for inner in TABLES[name][0]:
+            visit(inner)
+        ordered.append(name)
+
+    for name in needs:
+        visit(name)
+    recursive = " RECURSIVE" if any("/*recursive*/" in TABLES[n][1] for n in ordered) else ""
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if '/*recursive*/' not in TABLES[n][1] else ''}({TABLES[n][1]})" for n in ordered)
+    return f"WITH{recursive} {ctes}\n{body}" if ordered else body
+
+
+table("gates", (), """
+  SELECT volume_id, 'RAD' || CAST(volume_id % 4 + 1 AS VARCHAR) AS radar, volume_id % 4 AS geometry_id,
+         sweep, ray, gate, CAST((sweep*36 + ray)*40 + gate AS BIGINT) AS gate_id,
+         DBZH, DBZH - ZDR AS DBZV, ZDR, RHOHV, PHIDP, KDP, VRAD, WRAD, CM,
+         sweep*1.5::DOUBLE + 0.5::DOUBLE AS elevation, ray*10.0::DOUBLE AS azimuth,
+         gate*6000.0::DOUBLE + 3000 AS range_m
+  FROM (SELECT l_suppkey // 25 AS volume_id, CAST(l_linenumber - 1 AS INT) AS sweep,
+               CAST(l_orderkey % 36 AS INT) AS ray, CAST(l_partkey % 40 AS INT) AS gate,
+               max(l_extendedprice/1500 - 10) AS DBZH, max(1 - 4*l_discount) AS RHOHV,
+               min(l_quantity/5 - 1) AS ZDR, min(l_tax*100) AS WRAD, max(l_quantity - 25) AS VRAD,
+               max(l_quantity*7) AS PHIDP, min(l_quantity/10 - 1) AS KDP,
+               max(CASE WHEN l_discount > 0.085 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS CM
+        FROM lineitem GROUP BY 1, 2, 3, 4) o""")
+
+table("gxyz", ("gates",), f"""
+  SELECT g.*, {KR}*asin(range_m*cos(radians(elevation))/({KR}+z))*sin(radians(azimuth)) AS x,
+         {KR}*asin(range_m*cos(radians(elevation))/({KR}+z))*cos(radians(azimuth)) AS y
+  FROM (SELECT *, sqrt(range_m*range_m + {KR}*{KR} + 2.0*range_m*{KR}*sin(radians(elevation))) - {KR} AS z
+        FROM gates) g""")
+
+table("sweeps", (), """
+  SELECT DISTINCT l_suppkey // 25 AS volume_id, (l_suppkey // 25) % 4 AS geometry_id,
+         CAST(l_linenumber - 1 AS INT) AS sweep, (l_linenumber - 1)*1.5::DOUBLE + 0.5::DOUBLE AS elevation,
+         36 AS nrays, 40 AS ngates, 6000 AS gate_size, 3000 AS gate_offset
+  FROM lineitem""")
+
+# One scan serves every geometry of the derived data, so the map is searched once
+# by brute force and then repeated per geometry.
+table("scan_xyz", ("sweeps",), f"""
+  SELECT gate_id, z, {KR}*asin(r*cos(radians(e))/({KR}+z))*sin(radians(a)) AS x,
+         {KR}*asin(r*cos(radians(e))/({KR}+z))*cos(radians(a)) AS y
+  FROM (SELECT CAST((sweep*36 + ray)*40 + gate AS BIGINT) AS gate_id, gate*6000.0::DOUBLE + 3000 AS r, ray*10.0::DOUBLE AS a,
+               elevation AS e,
+               sqrt(r*r + {KR}*{KR} + 2.0*r*{KR}*sin(radians(e))) - {KR} AS z
+        FROM (SELECT DISTINCT sweep, elevation FROM sweeps) s,
+             (SELECT unnest(range(36)) AS ray) a, (SELECT unnest(range(40)) AS gate) b) q""")
+
+table("searched", (), f"""
+  SELECT * FROM (
+    SELECT CAST((iz*41 + iy)*41 + ix AS BIGINT) AS voxel_id, CAST(iz AS INT) AS iz, CAST(iy AS INT) AS iy,
+           CAST(ix AS INT) AS ix, iz*3000.0::DOUBLE AS z, -240000.0::DOUBLE + iy*12000.0::DOUBLE AS y, -240000.0::DOUBLE + ix*12000.0::DOUBLE AS x,
+           greatest(1.02::DOUBLE*(z/20.0::DOUBLE) + sqrt(x*x + y*y)*tan(8.0::DOUBLE*1.2::DOUBLE*pi()/180.0::DOUBLE), 6000.0::DOUBLE) AS roi,
+           sqrt(x*x + y*y)/greatest(cos(radians(0.5::DOUBLE)), 0.01) AS s
+    FROM (SELECT unnest(range(6)) AS iz) a, (SELECT unnest(range(41)) AS iy) b, (SELECT unnest(range(41)) AS ix) c) v
+  WHERE NOT (sqrt(x*x + y*y + z*z) <= 3000)
+    AND NOT (z < sqrt(s*s + {KR}*{KR} + 2*s*{KR}*sin(radians(0.5::DOUBLE))) - {KR} - 2400)""")
+
+table("near", ("scan_xyz", "searched"), """
+  SELECT v.voxel_id, g.gate_id, v.roi,
+         (g.x - v.x)*(g.x - v.x) + (g.y - v.y)*(g.y - v.y) + (g.z - v.z)*(g.z - v.z) AS d2
+  FROM searched v JOIN scan_xyz g
+    ON (g.x - v.x)*(g.x - v.x) + (g.y - v.y)*(g.y - v.y) + (g.z - v.z)*(g.z - v.z) < v.roi*v.roi
+  WHERE g.z <= 15000""")
+
+table("map1", ("near",), """
+  SELECT voxel_id, arg_min(gate_id, (floor(d2), gate_id)) AS gate_id, floor(min(d2)) AS d2
+  FROM near GROUP BY voxel_id""")
+
+table("grid", ("map1", "gates"), """
+  SELECT g.volume_id, m.voxel_id, CAST(m.voxel_id // 1681 AS INT) AS iz,
+         CAST((m.voxel_id % 1681) // 41 AS INT) AS iy, CAST(m.voxel_id % 41 AS INT) AS ix,
+         g.DBZH, g.DBZV, g.ZDR, g.RHOHV, g.PHIDP, g.KDP, g.VRAD, g.WRAD, g.elevation
+  FROM gates g JOIN map1 m USING (gate_id)""")
+
+table("vox", ("grid",), """
+  SELECT volume_id, voxel_id, iz, iy, ix, DBZH AS value FROM grid
+  WHERE NOT (coalesce(elevation < 0.65, false) OR coalesce(RHOHV < 0.8, false)
+             OR coalesce(WRAD > 4.6, false) OR coalesce(ZDR > 8.5, false))""")
+
+table("colmax", ("vox",), """
+  SELECT volume_id, iy, ix, value FROM (
+    SELECT volume_id, iy, ix, max(value) AS value FROM vox GROUP BY 1, 2, 3) q WHERE NOT value < -3""")
