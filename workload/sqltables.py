@@ -6,10 +6,13 @@ KR = "8494666.666666666"
 
 # name -> (tables it needs, body)
 TABLES: dict[str, tuple[tuple[str, ...], str]] = {}
+HEADS: dict[str, str] = {}
 
 
-def table(name: str, needs: tuple[str, ...], body: str) -> None:
+def table(name: str, needs: tuple[str, ...], body: str, head: str | None = None) -> None:
     TABLES[name] = (needs, body)
+    if head is not None:
+        HEADS[name] = head
 
 
 def query(needs: tuple[str, ...], body: str) -> str:
@@ -25,8 +28,8 @@ def query(needs: tuple[str, ...], body: str) -> str:
 
     for name in needs:
         visit(name)
-    recursive = " RECURSIVE" if any("/*recursive*/" in TABLES[n][1] for n in ordered) else ""
-    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if '/*recursive*/' not in TABLES[n][1] else ''}({TABLES[n][1]})" for n in ordered)
+    recursive = " RECURSIVE" if any(n in HEADS for n in ordered) else ""
+    ctes = ",\n".join(f"{HEADS.get(n, n + ' AS MATERIALIZED')} ({TABLES[n][1]})" for n in ordered)
     return f"WITH{recursive} {ctes}\n{body}" if ordered else body
 
 
@@ -102,3 +105,45 @@ table("vox", ("grid",), """
 table("colmax", ("vox",), """
   SELECT volume_id, iy, ix, value FROM (
     SELECT volume_id, iy, ix, max(value) AS value FROM vox GROUP BY 1, 2, 3) q WHERE NOT value < -3""")
+
+table("arrivals", (), """
+  SELECT *, slot*21600 AS obs_s,
+         radar || '_0315_' || vol_nr || '_' || field || '_' ||
+         strftime(make_timestamp(slot*21600000000), '%Y%m%dT%H%M%SZ') || '.BUFR' AS filename
+  FROM (SELECT event_id, ts AS created_ts, CAST(floor(epoch(ts)) AS BIGINT) AS created_s,
+               'RAD' || CAST(user_id % 4 + 1 AS VARCHAR) AS radar, '0315' AS strategy,
+               '0' || CAST((user_id // 4) % 2 + 1 AS VARCHAR) AS vol_nr,
+               CASE event_type WHEN 'click' THEN 'DBZH' WHEN 'view' THEN 'DBZV' WHEN 'purchase' THEN 'ZDR'
+                 WHEN 'signup' THEN 'RHOHV' ELSE 'KDP' END AS field,
+               CAST(floor((floor(epoch(ts)) - floor(value)*60)/21600) AS BIGINT) AS slot,
+               CASE WHEN value < 20 THEN 'failed' ELSE 'completed' END AS status,
+               CAST(user_id % 3 AS INT) AS retry_count,
+               CASE WHEN event_id % 11 = 0 THEN 'cleaned' WHEN event_id % 13 = 0 THEN 'cleanup_failed'
+                 WHEN event_id % 2 = 0 THEN 'active' END AS cleanup_status
+        FROM events) e
+  WHERE NOT (field = 'KDP' AND slot % 5 = 0)""")
+
+table("files", ("arrivals",), """
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY filename ORDER BY created_ts DESC, event_id DESC) AS rn
+    FROM arrivals) q WHERE rn = 1""")
+
+table("volumes", ("files",), """
+  SELECT radar || '_' || strategy || '_' || vol_nr || '_' ||
+         strftime(make_timestamp(obs_s*1000000), '%Y-%m-%dT%H:%M:%SZ') AS volume_id,
+         radar, strategy, vol_nr, slot, obs_s,
+         CASE slot % 4 WHEN 0 THEN 'completed' WHEN 1 THEN 'processing' WHEN 2 THEN 'pending' ELSE 'failed' END
+           AS status,
+         slot % 3 <> 1 AS is_complete,
+         CASE WHEN slot % 6 <> 5 THEN '/volumes/' || radar END AS stored_path,
+         CASE WHEN slot % 9 = 0 THEN 'cleaned' WHEN slot % 2 = 0 THEN 'active' END AS cleanup_status,
+         obs_s + 7200 AS updated_s
+  FROM (SELECT DISTINCT radar, strategy, vol_nr, slot, obs_s FROM files) k""")
+
+table("products", ("volumes",), """
+  SELECT volume_id, product_type, CASE phase WHEN 0 THEN 'completed' WHEN 1 THEN 'pending' ELSE 'failed' END AS status,
+         CASE WHEN phase = 2 THEN 'GriddingError' END AS error_type,
+         CASE WHEN phase = 0 THEN updated_s END AS generated_s, updated_s
+  FROM (SELECT v.*, t.product_type,
+               (slot + CASE WHEN t.product_type = 'image' THEN 0 ELSE slot % 2 END) % 3 AS phase
+        FROM volumes v, (SELECT unnest(['image', 'raw_cog']) AS product_type) t WHERE slot % 7 <> 0) q""")
