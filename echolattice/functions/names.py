@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echolattice.config import LOCAL_ZONE, Lattice
+from echolattice.functions.inline import inline_table
 
 # --- fixed values: name patterns and stamp formats ------------------------
 RAW_NAME = r"(?i)^([A-Z0-9]+)_(\d{4})_(\d{2})_([A-Z]{2,10})_(\d{8}T\d{6}Z)\.BUFR$"
@@ -151,7 +152,7 @@ def product_slot(
 def volume_type_rows(df: DataFrame, catalogue: Mapping[str, Mapping[str, Sequence[str]]]) -> DataFrame:
     """The catalogue as (strategy, vol_nr, field) rows; its size is the caller's literal."""
     rows = [(s, v, f) for s, vols in catalogue.items() for v, fields in vols.items() for f in fields]
-    return df.sparkSession.createDataFrame(rows, "strategy string, vol_nr string, field string")
+    return inline_table(df.sparkSession, ("strategy", "vol_nr", "field"), rows)
 
 
 def filter_volume_types(

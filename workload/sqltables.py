@@ -147,3 +147,43 @@ table("products", ("volumes",), """
   FROM (SELECT v.*, t.product_type,
                (slot + CASE WHEN t.product_type = 'image' THEN 0 ELSE slot % 2 END) % 3 AS phase
         FROM volumes v, (SELECT unnest(['image', 'raw_cog']) AS product_type) t WHERE slot % 7 <> 0) q""")
+
+table("raw_sweeps", ("gates",), """
+  SELECT volume_id, sweep, sweep*1.5::DOUBLE + 0.5::DOUBLE AS elevation,
+         CAST(36 + CASE WHEN volume_id % 5 = 3 AND sweep = 2 THEN 1 ELSE 0 END AS INT) AS nrays, ngates,
+         CAST(6000 - CASE WHEN volume_id % 7 = 6 AND sweep = 1 THEN 1000 ELSE 0 END AS INT) AS gate_size,
+         CAST(3000 + (n % 3)*100 + CASE WHEN volume_id % 4 = 2 AND sweep = 4 THEN 2000 ELSE 0 END AS INT)
+           AS gate_offset
+  FROM (SELECT volume_id, sweep, max(gate) + 1 AS ngates, count(*) AS n FROM gates GROUP BY 1, 2) q""")
+
+table("long_values", ("gates",), """
+  SELECT volume_id, sweep, ray, gate, 'DBZH' AS field, DBZH AS value FROM gates UNION ALL
+  SELECT volume_id, sweep, ray, gate, 'DBZV', DBZV FROM gates UNION ALL
+  SELECT volume_id, sweep, ray, gate, 'ZDR', ZDR FROM gates UNION ALL
+  SELECT volume_id, sweep, ray, gate, 'RHOHV', RHOHV FROM gates""")
+
+table("field_scans", ("sweeps",), """
+  SELECT volume_id, position, field, CASE WHEN field = 'DBZV' THEN 9000 ELSE 3000 END AS gate_offset,
+         CASE WHEN field = 'ZDR' AND volume_id % 3 = 2 THEN 5000 ELSE 6000 END AS gate_size,
+         CASE WHEN field = 'DBZV' AND volume_id % 2 = 0 THEN 39 ELSE 40 END AS ngates
+  FROM (SELECT DISTINCT volume_id FROM sweeps) v,
+       (VALUES (0, 'DBZH'), (1, 'DBZV'), (2, 'ZDR'), (3, 'RHOHV')) f(position, field)""")
+
+table("alignment", ("field_scans",), """
+  SELECT volume_id, field, ref_field, CAST(shift AS INT) AS shift,
+         CASE WHEN gate_size <> ref_size THEN 'gate size differs'
+              WHEN shift < 0 OR shift + ngates > ref_ngates THEN 'out of the reference range' END AS reason
+  FROM (SELECT f.*, r.field AS ref_field, r.gate_size AS ref_size, r.ngates AS ref_ngates,
+               floor((f.gate_offset - r.gate_offset)/r.gate_size) AS shift
+        FROM field_scans f JOIN (SELECT *, row_number() OVER (PARTITION BY volume_id
+          ORDER BY gate_offset + gate_size*ngates DESC, position) AS rn FROM field_scans) r
+        ON r.volume_id = f.volume_id AND r.rn = 1) q""")
+
+table("presence", ("sweeps",), """
+  SELECT volume_id, unnest(CASE volume_id % 3 WHEN 0 THEN ['DBZH','DBZV','TH','RHOHV','KDP']
+    WHEN 1 THEN ['TH','TV','TDR','PHIDP'] ELSE ['DBZH','ZDR','VRAD','WRAD','CM'] END) AS field
+  FROM (SELECT DISTINCT volume_id FROM sweeps) v""")
+
+table("sites", ("sweeps",), """
+  SELECT DISTINCT volume_id, (volume_id % 4)*0.7::DOUBLE - 64.2::DOUBLE AS site_lon,
+         (volume_id % 4)*0.3::DOUBLE - 31.4::DOUBLE AS site_lat FROM sweeps""")

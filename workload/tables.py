@@ -208,3 +208,63 @@ def products_of(volumes: DataFrame) -> DataFrame:
         F.when(phase == 0, F.col("updated_ts")).alias("generated_ts"),
         F.col("updated_ts"),
     )
+
+
+def raw_sweeps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sweep headers as received: gate counts from the data, some volumes inconsistent."""
+    seen = gates(spark, sf_dir).groupBy("volume_id", "sweep").agg(
+        (F.max("gate") + 1).alias("ngates"), F.count(F.lit(1)).alias("n")
+    )
+    v, s = F.col("volume_id"), F.col("sweep")
+    return seen.select(
+        "volume_id", "sweep", elevation_of(s).alias("elevation"),
+        (F.lit(RAYS) + F.when((v % 5 == 3) & (s == 2), 1).otherwise(0)).alias("nrays"),
+        "ngates",
+        (F.lit(GATE_SIZE) - F.when((v % 7 == 6) & (s == 1), 1000).otherwise(0)).alias("gate_size"),
+        (F.lit(FIRST_GATE) + (F.col("n") % 3).cast("int") * 100 + F.when((v % 4 == 2) & (s == 4), 2000).otherwise(0))
+        .alias("gate_offset"),
+    )
+
+
+LONG_FIELDS = ("DBZH", "DBZV", "ZDR", "RHOHV")
+
+
+def long_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long form of four fields: (volume, field, sweep, ray, gate, value)."""
+    wide = gates(spark, sf_dir).select("volume_id", "sweep", "ray", "gate", *LONG_FIELDS)
+    return wide.unpivot(["volume_id", "sweep", "ray", "gate"], list(LONG_FIELDS), "field", "value")
+
+
+def field_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gate layout of each field of each volume; some do not fit the others."""
+    v = F.col("volume_id")
+    seen = sweeps(spark, sf_dir).select("volume_id").distinct()
+    listed = seen.select("volume_id", F.posexplode(F.array(*[F.lit(f) for f in LONG_FIELDS])).alias("position", "field"))
+    field = F.col("field")
+    return listed.select(
+        "volume_id", "position", "field",
+        F.when(field == "DBZV", 9000).otherwise(FIRST_GATE).alias("gate_offset"),
+        F.when((field == "ZDR") & (v % 3 == 2), 5000).otherwise(GATE_SIZE).alias("gate_size"),
+        F.when((field == "DBZV") & (v % 2 == 0), GATES - 1).otherwise(GATES).alias("ngates"),
+    )
+
+
+def field_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(volume, field) rows with a field list that differs by volume."""
+    v = F.col("volume_id")
+    fields = (
+        F.when(v % 3 == 0, F.array(*[F.lit(f) for f in ("DBZH", "DBZV", "TH", "RHOHV", "KDP")]))
+        .when(v % 3 == 1, F.array(*[F.lit(f) for f in ("TH", "TV", "TDR", "PHIDP")]))
+        .otherwise(F.array(*[F.lit(f) for f in ("DBZH", "ZDR", "VRAD", "WRAD", "CM")]))
+    )
+    seen = sweeps(spark, sf_dir).select("volume_id").distinct()
+    return seen.select("volume_id", F.explode(fields).alias("field"))
+
+
+def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site of the radar of every volume."""
+    g = geometry_of(F.col("volume_id"))
+    seen = sweeps(spark, sf_dir).select("volume_id").distinct()
+    return seen.select(
+        "volume_id", (g * 0.7 - 64.2).alias("site_lon"), (g * 0.3 - 31.4).alias("site_lat")
+    )
