@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_RADIUS = 6371000.0
@@ -47,24 +47,28 @@ def beam_height_diff(distance: Num, elevation_deg: Num, ke: float = KE) -> Colum
     return beam_height(distance, elevation_deg, ke=ke) - beam_height_flat(distance, elevation_deg)
 
 
-def elevation_at_height(
-    distance: Num, z_level: Num, site_altitude: Num = 0.0, ke: float = KE, curved: bool = True
-) -> Column:
-    """Angle whose beam passes the level: flat start, then five fixed-point steps."""
+def with_elevation_at_height(
+    df: DataFrame, distance: Num, z_level: Num, output: str, site_altitude: Num = 0.0, ke: float = KE,
+    curved: bool = True,
+) -> DataFrame:
+    """Add the angle (degrees) whose beam passes a level: flat start, five fixed-point steps.
+
+    Each step is a projection of its own: one expression would repeat the angle of
+    the step before several times and grow exponentially.
+    """
     ground = F.greatest(_c(distance), F.lit(1.0))
-    target = _c(z_level)
-    angle = F.atan((target - _c(site_altitude)) / ground)
+    target, site = _c(z_level), _c(site_altitude)
+    out = df.withColumn(output, F.atan((target - site) / ground))
     if curved:
         earth = ke * EARTH_RADIUS
         half_pi = math.pi / 2
+        angle = F.col(output)
         for _ in range(5):
             slant = ground / F.greatest(F.cos(angle), F.lit(0.01))
-            reached = (
-                F.sqrt(slant * slant + earth * earth + 2 * slant * earth * F.sin(angle)) - earth + _c(site_altitude)
-            )
+            reached = F.sqrt(slant * slant + earth * earth + 2 * slant * earth * F.sin(angle)) - earth + site
             stepped = angle + (target - reached) / (slant + 1)
-            angle = F.least(F.greatest(stepped, F.lit(-half_pi)), F.lit(half_pi))
-    return F.degrees(angle)
+            out = out.withColumn(output, F.least(F.greatest(stepped, F.lit(-half_pi)), F.lit(half_pi)))
+    return out.withColumn(output, F.degrees(output))
 
 
 def beam_top_km(range_m: Num, elevation_deg: Num) -> Column:
@@ -179,3 +183,18 @@ def lonlat_to_mercator(lon: Num, lat: Num) -> tuple[Column, Column]:
         F.radians(_c(lon)) * MERCATOR_M,
         F.log(F.tan(F.lit(math.pi / 4) + F.radians(_c(lat)) / 2)) * MERCATOR_M,
     )
+
+
+def nearest_ray(azimuth: Column, spacing: Num, nrays: Num) -> Column:
+    """Index of the nearest ray, circular; the next one only if strictly nearer."""
+    step = azimuth / _c(spacing)
+    low = F.floor(step)
+    return ((low + F.when(step - low > 0.5, 1).otherwise(0)) % _c(nrays)).cast("int")
+
+
+def nearest_gate(distance: Column, first: Num, size: Num, ngates: Num) -> Column:
+    """Index of the nearest gate; NULL before the first or past the last gate."""
+    step = (distance - _c(first)) / _c(size)
+    low = F.floor(step)
+    index = low + F.when(step - low > 0.5, 1).otherwise(0)
+    return F.when((step >= 0) & (step <= _c(ngates) - 1), index.cast("int"))

@@ -16,9 +16,10 @@ from echolattice.session import cut_lineage
 
 # Candidates of one volume that a sequential fold may hold.
 FOLD_LIMIT = 4096
-# Strengths are compared at single-precision resolution, so that the order of a
-# distributed sum cannot reorder equal blobs.
+# Strengths and means are compared at single-precision resolution, so that the
+# order of a distributed sum cannot reorder equal blobs or flip a threshold.
 STRENGTH_DIGITS = 5
+MEAN_DIGITS = 6
 
 
 def _xy(lattice: Lattice) -> tuple[Column, Column]:
@@ -52,7 +53,7 @@ def blob_stats(
         *image, "label", "pixel_count",
         (F.col("sum_x") / size).alias("x_m"), (F.col("sum_y") / size).alias("y_m"),
         (F.col("sum_value") / size).alias("mean_dbz"), "max_dbz",
-        F.when(F.col("known_rhohv") == size, F.col("sum_rhohv") / size).alias("mean_rhohv"),
+        F.when(F.col("known_rhohv") == size, F.round(F.col("sum_rhohv") / size, MEAN_DIGITS)).alias("mean_rhohv"),
         "known_rhohv",
     )
     return placed.withColumn("range_m", F.sqrt(F.col("x_m") * F.col("x_m") + F.col("y_m") * F.col("y_m")))

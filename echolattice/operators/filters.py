@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echolattice.config import ColmaxThresholds, QualityThresholds
+from echolattice.operators.components import image_runs, label_runs
 
 
 def _known(condition: Column) -> Column:
@@ -188,31 +189,34 @@ def mask_by_mask(gates: DataFrame, masks: DataFrame, targets: Iterable[str]) ->
     return joined.withColumns({t: F.when(~failing, F.col(t)) for t in targets}).drop("masked")
 
 
-def annulus(
-    range_m: Column, azimuth: Column, radius_km: float, azimuths: tuple[float, float] | None, gate_size: float
-) -> Column:
-    """True beyond the first gate at or past the radius, within the azimuth limits.
-
-    The intended rule (the first gate slightly past the limit), for every sweep.
-    """
-    past = range_m >= radius_km * 1000.0
-    if azimuths is None:
-        return past
-    return past & azimuth.between(*azimuths)
-
-
 def mask_annulus(
     gates: DataFrame,
     fields: Iterable[str],
-    radius_km: float,
-    azimuths: tuple[float, float] | None = None,
+    gate_size: float,
+    ngates: int,
+    inner_km: float | None = None,
+    outer_km: float | None = None,
+    rays: tuple[int, int] | None = None,
     side: str = "outside",
-    gate_size: float = 0.0,
 ) -> DataFrame:
-    """NULL fields outside (at or past) or inside (before) a radius."""
-    in_sector = F.lit(True) if azimuths is None else F.col("azimuth").between(*azimuths)
-    past = F.col("range_m") >= radius_km * 1000.0
-    failing = in_sector & (past if side == "outside" else ~past)
+    """NULL fields outside or inside a ring sector, on every sweep.
+
+    The limiting gate is the first one at or past a radius (first and last gate
+    where no radius is given).  Outside masks up to and with the inner limiting
+    gate, from the outer one on, and all rays beyond the sector; inside masks from
+    the inner limiting gate up to, not with, the outer one.
+    """
+    gate, range_m = F.col("gate"), F.col("range_m")
+    in_sector = F.lit(True) if rays is None else (F.col("ray") >= rays[0]) & (F.col("ray") < rays[1])
+    past_outer = gate >= ngates - 1 if outer_km is None else range_m >= outer_km * 1000.0
+    if side == "outside":
+        to_inner = gate <= 0 if inner_km is None else range_m - gate_size < inner_km * 1000.0
+        failing = ~in_sector | to_inner | past_outer
+    elif side == "inside":
+        from_inner = F.lit(True) if inner_km is None else range_m >= inner_km * 1000.0
+        failing = in_sector & from_inner & ~past_outer
+    else:
+        raise ValueError(f"unknown side: {side}")
     return gates.withColumns({f: F.when(~failing, F.col(f)) for f in fields})
 
 
@@ -260,3 +264,39 @@ def quality_rules(columns: Iterable[str], refl: str = "DBZH", t: QualityThreshol
             clutter = clutter & ~_known(F.col("RHOHV") > t.clutter_rhohv)
         excluded = excluded | clutter
     return excluded
+
+
+def despeckle(
+    gates: DataFrame, excluded: Column, rows: int, width: int, field: str = "RHOHV", size: int = 10,
+    mean_threshold: float | None = None, delta_deg: float = 5.0, threshold: float = -100.0,
+) -> DataFrame:
+    """Gates of objects that are large enough and good enough on average.
+
+    Objects are four-connected surviving gates of one sweep; the last ray touches
+    the first where the gap between rays is at most ``delta_deg``.
+    """
+    image = ["volume_id", "sweep"]
+    alive = gates.filter(~excluded & (F.col(field) > threshold))
+    sums = {"total": F.sum(field)}
+    runs = image_runs(alive.select(*image, "ray", "gate", field), image, "ray", "gate", sums)
+    labelled = label_runs(runs, image, rows, width, wrap=360.0 / rows <= delta_deg)
+    objects = labelled.groupBy(*image, "label").agg(F.sum("pixels").alias("n"), F.sum("total").alias("sum"))
+    good = F.col("n") >= size
+    if mean_threshold is not None:
+        # At single-precision resolution: a sum taken in another order must not flip a tie.
+        good = good & (F.round(F.col("sum") / F.col("n"), 6) >= mean_threshold)
+    kept = labelled.join(objects.filter(good).select(*image, "label"), [*image, "label"], "left_semi")
+    cells = kept.select(*image, F.col("row").alias("ray"), F.explode(F.sequence("first", "last")).alias("gate"))
+    return alive.join(cells, [*image, "ray", "gate"], "left_semi")
+
+
+def quality_filter(
+    gates: DataFrame, rows: int, width: int, gate_size: float, refl: str = "DBZH",
+    t: QualityThresholds = QualityThresholds(), delta_deg: float = 5.0,
+) -> DataFrame:
+    """Gates that pass the whole operational chain, despeckling last."""
+    excluded = quality_rules(gates.columns, refl, t)
+    if "RHOHV" not in gates.columns:
+        return gates.filter(~excluded)
+    size = int(t.despeckle_metres / gate_size)
+    return despeckle(gates, excluded, rows, width, "RHOHV", size, t.mean_rhohv, delta_deg)

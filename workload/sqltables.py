@@ -187,3 +187,34 @@ table("presence", ("sweeps",), """
 table("sites", ("sweeps",), """
   SELECT DISTINCT volume_id, (volume_id % 4)*0.7::DOUBLE - 64.2::DOUBLE AS site_lon,
          (volume_id % 4)*0.3::DOUBLE - 31.4::DOUBLE AS site_lat FROM sweeps""")
+
+
+def components(name: str, mask: str, width: int, wrap_rows: int | None = None) -> None:
+    """Register ``name`` (img, p, label): four-connected components of a mask (img, r, c)."""
+    below = f"(a.r + 1) % {wrap_rows}" if wrap_rows else "a.r + 1"
+    table(f"{name}_edges", (mask,), f"""
+      WITH one AS (
+        SELECT a.img, a.r*{width} + a.c AS p, b.r*{width} + b.c AS q
+        FROM {mask} a JOIN {mask} b ON b.img = a.img AND b.r = a.r AND b.c = a.c + 1
+        UNION ALL
+        SELECT a.img, a.r*{width} + a.c, b.r*{width} + b.c
+        FROM {mask} a JOIN {mask} b ON b.img = a.img AND b.c = a.c AND b.r = {below})
+      SELECT img, p, q FROM one UNION ALL SELECT img, q, p FROM one""")
+    table(name, (mask, f"{name}_edges"), f"""
+      SELECT img, r*{width} + c, r*{width} + c FROM {mask}
+      UNION
+      SELECT e.img, e.q, min(l.label) FROM {name} l JOIN {name}_edges e ON e.img = l.img AND e.p = l.p
+      JOIN recurring.{name} k ON k.img = e.img AND k.p = e.q
+      WHERE l.label < k.label GROUP BY e.img, e.q""", head=f"{name}(img, p, label) USING KEY (img, p) AS")
+
+
+table("stage3", ("gates",), """
+  SELECT *, volume_id*100 + sweep AS img, ray AS r, gate AS c FROM gates WHERE NOT (
+    ((coalesce(DBZH < -3, true) OR coalesce(RHOHV < 0.55, true) OR coalesce(ZDR > 8.5, true)
+      OR coalesce(WRAD > 4.6, true)) AND NOT coalesce(DBZH > 25, false))
+    OR (coalesce(CM = 1, false) AND NOT coalesce(RHOHV > 0.85, false)))""")
+components("speckle3", "stage3", 40, 36)
+
+table("good_rhohv", ("gates",), """
+  SELECT *, volume_id*100 + sweep AS img, ray AS r, gate AS c FROM gates WHERE NOT coalesce(RHOHV < 0.75, false)""")
+components("speckle1", "good_rhohv", 40, 36)
