@@ -226,3 +226,25 @@ def geometry_stats(pairs: DataFrame, lattice: Lattice) -> DataFrame:
             F.lit(lattice.z_step).alias("z_step"),
         )
     )
+
+
+def map_fit(pairs: DataFrame, sweeps: DataFrame) -> DataFrame:
+    """Whether each volume has every gate its map refers to.
+
+    Sizes come from the sweep table: gate rows leave out missing gates.
+    """
+    needed = pairs.groupBy("geometry_id").agg((F.max("gate_id") + 1).alias("needed"))
+    held = sweeps.groupBy("volume_id", "geometry_id").agg(
+        (F.sum("nrays") * F.max("ngates")).cast("bigint").alias("held")
+    )
+    fits = F.col("needed") <= F.col("held")
+    return held.join(needed, "geometry_id").select(
+        "volume_id", "geometry_id", "held", "needed", fits.alias("fits"),
+        F.when(~fits, "map is for larger radar dimensions").alias("reason"),
+    )
+
+
+def apply_map(gates: DataFrame, pairs: DataFrame, sweeps: DataFrame) -> DataFrame:
+    """Gate rows of fitting volumes joined to the map."""
+    good = map_fit(pairs, sweeps).filter("fits").select("volume_id")
+    return gates.join(good, "volume_id", "left_semi").join(pairs, ["geometry_id", "gate_id"])

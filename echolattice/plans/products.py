@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from echolattice.config import ColmaxThresholds, Lattice
-from echolattice.operators import filters, gridding
+from echolattice.config import ColmaxThresholds, CoreThresholds, Lattice, TopThresholds
+from echolattice.operators import detect, filters, gridding, volumes
 
 
 def filtered_voxels(gates: DataFrame, pairs: DataFrame, lattice: Lattice, field: str = "DBZH") -> DataFrame:
@@ -31,3 +33,77 @@ def colmax_product(
     if floor_dbz is None:
         return pixels
     return gridding.mask_below(pixels, floor_dbz).filter(F.col("value").isNotNull())
+
+
+def field_products(
+    gates: DataFrame,
+    pairs: DataFrame,
+    lattice: Lattice,
+    sweeps: DataFrame,
+    fields: Sequence[str],
+    filtered_fields: Sequence[str],
+    raw_of: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Every field on the beam surface of its volume's lowest sweep, raw and filtered.
+
+    All fields and both variants go through one join and one aggregation.
+    ``raw_of`` names the raw reflectivity that stands in for a field's raw variant
+    where the table has it.
+    """
+    have = set(gates.columns)
+    bad = filters.field_filter(gates).excluded
+    wanted: dict[str, tuple[str, Column | None]] = {}
+    for name in fields:
+        source = (raw_of or {}).get(name, name)
+        source = source if source in have else name
+        if source in have:
+            wanted[f"{name}__raw"] = (source, None)
+    for name in filtered_fields:
+        if name in have:
+            wanted[f"{name}__filtered"] = (name, bad)
+    lowest = volumes.lowest_sweep(sweeps).select("volume_id", F.col("elevation").alias("lowest"))
+    voxels = gridding.grid_fields(gates, pairs, lattice, wanted).join(lowest, "volume_id")
+    names = tuple(wanted)
+    surface = gridding.ppi(voxels, lattice, F.col("lowest"), values=names)
+    long = surface.unpivot(["volume_id", "iy", "ix"], list(names), "variant", "value")
+    parts = F.split("variant", "__")
+    return long.filter(F.col("value").isNotNull()).select(
+        "volume_id", parts[0].alias("field"), (parts[1] == "filtered").alias("filtered"), "iy", "ix", "value"
+    )
+
+
+def detection_voxels(
+    gates: DataFrame, pairs: DataFrame, lattice: Lattice, rhohv_hole: Column | None = None
+) -> DataFrame:
+    """Reflectivity after the column-maximum chain (``value``) with RhoHV beside it."""
+    bad = filters.colmax_filter(gates).excluded
+    return gridding.grid_fields(
+        gates, pairs, lattice, {"value": ("DBZH", bad), "rhohv": ("RHOHV", rhohv_hole)}
+    )
+
+
+def rhohv_surface(voxels: DataFrame, lattice: Lattice, lowest: DataFrame) -> DataFrame:
+    """RhoHV on the beam surface of each volume's lowest sweep."""
+    held = voxels.filter(F.col("rhohv").isNotNull()).join(lowest, "volume_id")
+    surface = gridding.ppi(held, lattice, F.col("elevation"), values=("rhohv",))
+    return surface.withColumnRenamed("rhohv", "value")
+
+
+def cores_and_tops(
+    voxels: DataFrame,
+    lattice: Lattice,
+    lowest: DataFrame,
+    sites: DataFrame,
+    core_limits: CoreThresholds = CoreThresholds(),
+    top_limits: TopThresholds = TopThresholds(),
+) -> DataFrame:
+    """Cores and tops of every volume as features with longitude and latitude.
+
+    ``voxels`` come from :func:`detection_voxels`; cores judge RhoHV on the beam
+    surface of the lowest sweep (``lowest``: volume_id, elevation).
+    """
+    colmax = gridding.mask_below(gridding.column_aggregate(voxels, lattice), ColmaxThresholds.floor_dbz)
+    surface = rhohv_surface(voxels, lattice, lowest)
+    cores = detect.with_lonlat(detect.cores(colmax, lattice, surface, core_limits), sites)
+    tops = detect.with_lonlat(detect.tops(voxels, lattice, "rhohv", top_limits), sites)
+    return detect.features(cores, tops)

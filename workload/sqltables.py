@@ -218,3 +218,23 @@ components("speckle3", "stage3", 40, 36)
 table("good_rhohv", ("gates",), """
   SELECT *, volume_id*100 + sweep AS img, ray AS r, gate AS c FROM gates WHERE NOT coalesce(RHOHV < 0.75, false)""")
 components("speckle1", "good_rhohv", 40, 36)
+
+# The same map for every volume as a geometry of its own.
+table("vol", (), "SELECT DISTINCT l_suppkey // 25 AS volume_id FROM lineitem")
+
+
+def surface(source: str, elevation: str, value: str = "value", curved: bool = True) -> str:
+    """Linear beam-surface slice of (volume_id, iz, iy, ix, value) rows of a source."""
+    s = f"(d/greatest(cos(radians({elevation})), 0.01))"
+    t = f"sqrt({s}*{s} + {KR}*{KR} + 2*{s}*{KR}*sin(radians({elevation}))) - {KR}"
+    if not curved:
+        t = f"d*tan(radians({elevation}))"
+    return f"""SELECT volume_id, iy, ix, coalesce((1 - w)*a + w*b, a, b) AS value FROM (
+      SELECT volume_id, iy, ix, max(f - lo) AS w, max(CASE WHEN iz = lo THEN {value} END) AS a,
+             max(CASE WHEN iz = least(lo + 1, 5) THEN {value} END) AS b
+      FROM (SELECT *, floor(f) AS lo FROM (SELECT *, ({t})/3000.0::DOUBLE AS f, {t} AS t FROM (SELECT *,
+        sqrt((-240000.0::DOUBLE + ix*12000.0::DOUBLE)*(-240000.0::DOUBLE + ix*12000.0::DOUBLE)
+           + (-240000.0::DOUBLE + iy*12000.0::DOUBLE)*(-240000.0::DOUBLE + iy*12000.0::DOUBLE)) AS d
+        FROM {source}) q0) q1) q2
+      WHERE t >= 0 AND t <= 15000 AND (iz = lo OR iz = least(lo + 1, 5)) GROUP BY ALL) q3
+      WHERE coalesce(a, b) IS NOT NULL"""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from echolattice.config import Lattice
 from echolattice.functions import geomath
+from echolattice.operators.neighbours import PER_GEOMETRY
 
 # --- fixed values: the scan and lattice of the derived volumes ------------
 RAYS, GATES, GATE_SIZE, FIRST_GATE = 36, 40, 6000, 3000
@@ -121,8 +122,9 @@ def scan_gates(scan: DataFrame) -> DataFrame:
     """Every gate position of a scan, whether or not a volume has a value there.
 
     Rays are spread over the cluster before gates are unrolled, so that one long
-    sweep is not one task.
+    sweep is not one task.  Parameters of a geometry ride along with its gates.
     """
+    own = [c for c in PER_GEOMETRY if c in scan.columns]
     rays = scan.withColumn("ray", F.explode(F.sequence(F.lit(0), F.col("nrays") - 1))).repartition(
         "geometry_id", "sweep", "ray"
     )
@@ -134,8 +136,9 @@ def scan_gates(scan: DataFrame) -> DataFrame:
         (F.col("gate") * F.col("gate_size").cast("double") + F.col("gate_offset")).alias("range_m"),
         (F.col("ray") * (F.lit(360.0) / F.col("nrays"))).alias("azimuth"),
         "elevation",
+        *own,
     )
-    return with_xyz(cells).select("geometry_id", "gate_id", "x", "y", "z")
+    return with_xyz(cells).select("geometry_id", "gate_id", "x", "y", "z", *own)
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
