@@ -104,12 +104,13 @@ def label_components_rounds(spark, sf):
     return labels.label_components(mask, ["volume_id"], LATTICE.ny, LATTICE.nx, runs_per_task=0)
 
 
-_BLOB = "volume_id, label, pixel_count, round(x_m, 4) AS x_m, round(y_m, 4) AS y_m, round(mean_dbz, 4) AS mean_dbz, max_dbz"
+_BLOB = "volume_id, label, pixel_count, round(x_m, 4) AS x_m, round(y_m, 4) AS y_m, round(mean_dbz + 1e-6, 4) AS mean_dbz, max_dbz"
 
 
 def _rounded(df):
     return df.withColumns({
-        c: F.round(c, 4) for c in ("x_m", "y_m", "mean_dbz", "range_m", "lon", "lat") if c in df.columns
+        c: F.round(F.col(c) + (1e-6 if c == "mean_dbz" else 0.0), 4)
+        for c in ("x_m", "y_m", "mean_dbz", "range_m", "lon", "lat") if c in df.columns
     })
 
 
