@@ -9,7 +9,7 @@ from echolattice.operators import rasters
 from workload import grids, tables
 from workload.registry import register
 from workload.scalars import _BOUNDS, product_bounds_of
-from workload.sqltables import query, table
+from workload.sqltables import query
 
 SCALE = Scale("th")
 
@@ -105,11 +105,11 @@ def uncolor(spark, sf):
     return back.select("volume_id", "iy", "ix", F.round("value", 6).alias("value"))
 
 
-_BLOCK = "(SELECT volume_id, f AS factor, CAST(iy//f AS INT) AS iy, CAST(ix//f AS INT) AS ix, value, iy*16777216 + ix AS o FROM colmax, (SELECT CAST(unnest([2, 4, 8, 16]) AS INT) AS f) t)"
+BLOCK = "(SELECT volume_id, f AS factor, CAST(iy//f AS INT) AS iy, CAST(ix//f AS INT) AS ix, value, iy*16777216 + ix AS o FROM colmax, (SELECT CAST(unnest([2, 4, 8, 16]) AS INT) AS f) t)"
 
 
 def _overview(method: str, sql: str, rounded: bool) -> None:
-    @register(f"overviews_{method}", query(("colmax",), f"SELECT volume_id, factor, iy, ix, {sql} AS value FROM {_BLOCK} b GROUP BY 1, 2, 3, 4"))
+    @register(f"overviews_{method}", query(("colmax",), f"SELECT volume_id, factor, iy, ix, {sql} AS value FROM {BLOCK} b GROUP BY 1, 2, 3, 4"))
     def run(spark, sf):
         out = rasters.overviews(grids.colmax(spark, sf), method)
         # Means of few decimals can fall on a half; a nudge keeps both engines on one side.
@@ -122,7 +122,7 @@ _overview("nearest", "arg_min(value, o)", False)
 
 
 @register("overviews_mode", query(("colmax",), f"""SELECT volume_id, factor, iy, ix, arg_min(value, (-n, value)) AS value
-    FROM (SELECT volume_id, factor, iy, ix, value, count(*) AS n FROM {_BLOCK} b GROUP BY ALL) c
+    FROM (SELECT volume_id, factor, iy, ix, value, count(*) AS n FROM {BLOCK} b GROUP BY ALL) c
     GROUP BY 1, 2, 3, 4"""))
 def overviews_mode(spark, sf):
     return rasters.overviews(grids.colmax(spark, sf), "mode")
@@ -154,8 +154,3 @@ _LIMITS = ", ".join(f"('{k}', {str(f).lower()}, {a}::DOUBLE, {b}::DOUBLE, '{s}')
 def plot_limits(spark, sf):
     shown = tables.field_presence(spark, sf).withColumn("filtered", F.col("volume_id") % 2 == 0)
     return rasters.plot_limits(shown).select("volume_id", "field", "filtered", "vmin", "vmax", "scale")
-
-
-table("tiles", ("colmax",), f"""
-  SELECT volume_id, CAST(1 AS INT) AS zoom, iy, ix, value FROM colmax UNION ALL
-  SELECT volume_id, factor, iy, ix, avg(value) FROM {_BLOCK} b GROUP BY 1, 2, 3, 4""")

@@ -16,7 +16,12 @@ from echolattice.session import shared_folder
 from echolattice.sources import files, geometry_store, payload, sinks, strategy_xml
 from workload import detection, grids, tables
 from workload.registry import register
-from workload.sqltables import query
+from workload.rasters import BLOCK
+from workload.sqltables import query, table
+
+table("tiles", ("colmax",), f"""
+  SELECT volume_id, CAST(1 AS INT) AS zoom, iy, ix, value FROM colmax UNION ALL
+  SELECT volume_id, factor, iy, ix, avg(value) FROM {BLOCK} b GROUP BY 1, 2, 3, 4""")
 
 
 def folder(spark, name: str) -> str:
