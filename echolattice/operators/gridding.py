@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from echolattice.config import Lattice
 from echolattice.functions import geomath
 from echolattice.operators.neighbours import axis, with_indices
+from echolattice.session import spread
 
 
 def grid_fields(
@@ -51,9 +52,13 @@ def grid_field(
 
 def fill_lattice(voxels: DataFrame, volumes: DataFrame, lattice: Lattice, fill: float) -> DataFrame:
     """Dense voxels of every volume, ``fill`` where nothing is known."""
-    frame = volumes.select("volume_id").withColumn(
-        "voxel_id", F.explode(F.sequence(F.lit(0), F.lit(lattice.nz * lattice.ny * lattice.nx - 1)))
-    ).withColumn("voxel_id", F.col("voxel_id").cast("bigint"))
+    lines = volumes.select("volume_id").withColumn(
+        "line", F.explode(F.sequence(F.lit(0), F.lit(lattice.nz * lattice.ny - 1)))
+    )
+    cells = spread(lines, "volume_id", "line").withColumn(
+        "ix", F.explode(F.sequence(F.lit(0), F.lit(lattice.nx - 1)))
+    )
+    frame = cells.select("volume_id", (F.col("line").cast("bigint") * lattice.nx + F.col("ix")).alias("voxel_id"))
     dense = frame.join(voxels.select("volume_id", "voxel_id", "value"), ["volume_id", "voxel_id"], "left")
     return with_indices(dense.withColumn("value", F.coalesce("value", F.lit(fill))), lattice)
 
@@ -204,7 +209,7 @@ def mask_outside(pixels: DataFrame, low: float, high: float, fill: float | None
 def fill_missing(pixels: DataFrame, volumes: DataFrame, lattice: Lattice, fill: float) -> DataFrame:
     """Dense pixels of every volume with missing ones filled."""
     lines = volumes.select("volume_id").withColumn("iy", F.explode(F.sequence(F.lit(0), F.lit(lattice.ny - 1))))
-    frame = lines.withColumn("ix", F.explode(F.sequence(F.lit(0), F.lit(lattice.nx - 1))))
+    frame = spread(lines, "volume_id", "iy").withColumn("ix", F.explode(F.sequence(F.lit(0), F.lit(lattice.nx - 1))))
     dense = frame.join(pixels, ["volume_id", "iy", "ix"], "left")
     return dense.withColumn("value", F.coalesce("value", F.lit(fill)))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from echolattice.config import Lattice
 from echolattice.functions import geomath
+from echolattice.session import spread
 
 # A nearest-gate key packs whole square metres above the gate index.  Square
 # metres below 2**36 (262 km) and gate indices below 2**27 fit one BIGINT, so the
@@ -54,11 +55,10 @@ def voxels(geometries: DataFrame, lattice: Lattice) -> DataFrame:
     Lattice rows are spread over the cluster before columns are unrolled.
     """
     kept = [c for c in PER_GEOMETRY if c in geometries.columns]
-    rows = (
-        geometries.select("geometry_id", *kept)
-        .withColumn("line", F.explode(F.sequence(F.lit(0), F.lit(lattice.nz * lattice.ny - 1))))
-        .repartition("geometry_id", "line")
+    lines = geometries.select("geometry_id", *kept).withColumn(
+        "line", F.explode(F.sequence(F.lit(0), F.lit(lattice.nz * lattice.ny - 1)))
     )
+    rows = spread(lines, "geometry_id", "line")
     cells = rows.withColumn("ix", F.explode(F.sequence(F.lit(0), F.lit(lattice.nx - 1)))).select(
         "geometry_id",
         *kept,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from echolattice.functions.inline import inline_table
+from echolattice.session import spread
 
 # --- fixed values: names and units of fields ------------------------------
 # (field, language, long name, short name, units)
@@ -66,12 +67,8 @@ def validate_sweeps(sweeps: DataFrame) -> DataFrame:
 def uniform_gates(sweeps: DataFrame, gates: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Every cell of a volume padded to its largest gate count; absent cells are NULL."""
     widest = sweeps.groupBy("volume_id").agg(F.max("ngates").alias("width"))
-    rays = (
-        sweeps.select("volume_id", "sweep", "nrays")
-        .join(widest, "volume_id")
-        .withColumn("ray", F.explode(F.sequence(F.lit(0), F.col("nrays") - 1)))
-        .repartition("volume_id", "sweep", "ray")
-    )
+    rays = sweeps.select("volume_id", "sweep", "nrays").join(widest, "volume_id")
+    rays = spread(rays.withColumn("ray", F.explode(F.sequence(F.lit(0), F.col("nrays") - 1))), "volume_id", "sweep", "ray")
     cells = rays.withColumn("gate", F.explode(F.sequence(F.lit(0), F.col("width") - 1)))
     values = gates.select("volume_id", "sweep", "ray", "gate", *fields)
     frame = cells.select("volume_id", "sweep", "ray", "gate")

@@ -44,3 +44,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors, unlike a local one."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Spread few rows that are about to be unrolled into many.
+
+    The number of partitions is given, so that adaptive coalescing does not gather
+    the small rows into one task ahead of the unrolling.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from echolattice.operators import filters, gridding, neighbours, polar
 from echolattice.plans import products
+from echolattice.session import shared_folder
+from echolattice.sources import geometry_store
 from workload import tables
 from workload.registry import register
 from workload.sqltables import KR, query, surface
@@ -15,12 +19,32 @@ from workload.sqltables import KR, query, surface
 LATTICE = tables.LATTICE
 
 
-def geometry(spark, sf, lattice=LATTICE):
+_STORED: dict[tuple, str] = {}
+
+
+def build_geometry(spark, sf, lattice=LATTICE):
     """The map of every radar, shared by its volumes."""
     scans = tables.scans(spark, sf)
     return neighbours.geometry_pairs(tables.scan_gates(scans), scans.select("geometry_id").distinct(), lattice)
 
 
+def geometry(spark, sf, lattice=LATTICE):
+    """The same map from the store: written once per application, then read by every product."""
+    key = (spark.sparkContext.applicationId, sf, repr(lattice))
+    if key in _STORED:
+        try:
+            return geometry_store.load_geometry(spark, _STORED[key])
+        except AnalysisException:
+            _STORED.pop(key)
+    path = f"{shared_folder(spark)}/maps-{uuid.uuid4().hex}"
+    ids = tables.scans(spark, sf).select("geometry_id").distinct()
+    geometry_store.save_geometry(
+        build_geometry(spark, sf, lattice), geometry_store.geometry_meta(ids, lattice), path
+    )
+    _STORED[key] = path
+    return geometry_store.load_geometry(spark, path)
+
+
 def _volume_pairs(spark, sf):
     """All pairs with one geometry per volume."""
     scans = tables.volume_scans(spark, sf)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from echolattice.functions import geomath
 from echolattice.operators import gridding, stations
+from echolattice.session import spread
 from workload import tables
 from workload.registry import register
 from workload.sqltables import KR, query
@@ -45,7 +46,7 @@ def beam_height_diff(spark, sf):
     lowest = tables.gates(spark, sf).groupBy("volume_id").agg(F.min("elevation").alias("elevation"))
     lat = tables.LATTICE
     lines = lowest.withColumn("iy", F.explode(F.sequence(F.lit(0), F.lit(lat.ny - 1))))
-    frame = lines.withColumn("ix", F.explode(F.sequence(F.lit(0), F.lit(lat.nx - 1))))
+    frame = spread(lines, "volume_id", "iy").withColumn("ix", F.explode(F.sequence(F.lit(0), F.lit(lat.nx - 1))))
     gap = geomath.beam_height_diff(gridding.ground_distance(lat), F.col("elevation"))
     return frame.select("volume_id", "iy", "ix", r(gap).alias("value"))
 

@@ -167,7 +167,7 @@ def scan_strategy_xml(spark, sf):
 def geometry_store_(spark, sf):
     path = folder(spark, "geometry")
     ids = tables.scans(spark, sf).select("geometry_id").distinct()
-    geometry_store.save_geometry(grids.geometry(spark, sf), geometry_store.geometry_meta(ids, tables.LATTICE), path)
+    geometry_store.save_geometry(grids.build_geometry(spark, sf), geometry_store.geometry_meta(ids, tables.LATTICE), path)
     held = geometry_store.load_geometry(spark, path).groupBy("geometry_id").agg(
         F.count(F.lit(1)).alias("pairs"), F.sum("gate_id").alias("gate_sum")
     )

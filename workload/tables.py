@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from echolattice.config import Lattice
 from echolattice.functions import geomath
 from echolattice.operators.neighbours import PER_GEOMETRY
+from echolattice.session import spread
 
 # --- fixed values: the scan and lattice of the derived volumes ------------
 RAYS, GATES, GATE_SIZE, FIRST_GATE = 36, 40, 6000, 3000
@@ -125,9 +126,8 @@ def scan_gates(scan: DataFrame) -> DataFrame:
     sweep is not one task.  Parameters of a geometry ride along with its gates.
     """
     own = [c for c in PER_GEOMETRY if c in scan.columns]
-    rays = scan.withColumn("ray", F.explode(F.sequence(F.lit(0), F.col("nrays") - 1))).repartition(
-        "geometry_id", "sweep", "ray"
-    )
+    rays = scan.withColumn("ray", F.explode(F.sequence(F.lit(0), F.col("nrays") - 1)))
+    rays = spread(rays, "geometry_id", "sweep", "ray")
     cells = rays.withColumn("gate", F.explode(F.sequence(F.lit(0), F.col("ngates") - 1))).select(
         "geometry_id",
         ((F.col("sweep") * F.col("nrays") + F.col("ray")) * F.col("ngates") + F.col("gate"))
