@@ -188,9 +188,9 @@ def grid_field_barnes2(spark, sf):
 
 
 @register("grid_fields", query(("near", "gates"), """SELECT volume_id, voxel_id,
-    round(sum(w*DBZH) FILTER (NOT RHOHV < 0.8)/sum(w) FILTER (NOT RHOHV < 0.8), 4) AS DBZH,
-    round(sum(w*ZDR)/sum(w), 4) AS ZDR,
-    round(sum(w*WRAD) FILTER (NOT WRAD > 4)/sum(w) FILTER (NOT WRAD > 4), 4) AS WRAD
+    round(sum(w*DBZH) FILTER (NOT RHOHV < 0.8)/sum(w) FILTER (NOT RHOHV < 0.8) + 1e-8, 4) AS DBZH,
+    round(sum(w*ZDR)/sum(w) + 1e-8, 4) AS ZDR,
+    round(sum(w*WRAD) FILTER (NOT WRAD > 4)/sum(w) FILTER (NOT WRAD > 4) + 1e-8, 4) AS WRAD
     FROM gates JOIN (SELECT voxel_id, gate_id, least(greatest((roi*roi - d2)/(roi*roi + d2 + 1e-12), 0), 1) AS w
       FROM near QUALIFY row_number() OVER (PARTITION BY voxel_id ORDER BY floor(d2), gate_id) <= 4) m USING (gate_id)
     GROUP BY 1, 2 HAVING sum(w) > 0"""))
@@ -200,7 +200,7 @@ def grid_fields(spark, sf):
         "DBZH": ("DBZH", F.col("RHOHV") < 0.8), "ZDR": ("ZDR", None), "WRAD": ("WRAD", F.col("WRAD") > 4),
     }
     voxels = gridding.grid_fields(gates, geometry(spark, sf, FOUR), FOUR, wanted)
-    return voxels.select("volume_id", "voxel_id", *[F.round(c, 4).alias(c) for c in wanted])
+    return voxels.select("volume_id", "voxel_id", *[F.round(F.col(c) + 1e-8, 4).alias(c) for c in wanted])
 
 
 def filtered_voxels(spark, sf):
