@@ -155,7 +155,7 @@ def core_candidates(
 
     A pixel without RhoHV spoils the blob's mean, and the RhoHV path then fails.
     """
-    mask = colmax.filter(F.col("value") >= t.min_dbz)
+    mask = colmax.select("volume_id", "iy", "ix", "value").filter(F.col("value") >= t.min_dbz)
     if rhohv is not None:
         keyed = rhohv.select("volume_id", "iy", "ix", F.col("value").alias("rhohv"))
         mask = mask.join(keyed, ["volume_id", "iy", "ix"], "left")
