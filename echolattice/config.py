@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values: operational thresholds --------------------------------
 FIELDS = ("DBZH", "DBZV", "ZDR", "RHOHV", "PHIDP", "KDP", "VRAD", "WRAD", "CM")
@@ -20,6 +20,11 @@ LOCAL_ZONE = "America/Argentina/Cordoba"
 RESUME_BUFFER_MINUTES = 60
 
 
+def concrete_field(name: str) -> str:
+    """The stored name of a field, given either its stored or its descriptive name."""
+    return FIELD_ALIASES.get(name, name)
+
+
 @dataclass(frozen=True)
 class ColmaxThresholds:
     min_elevation: float = 0.65
@@ -81,7 +86,6 @@ class Lattice:
     lowest_elevation: float | None = None
     max_neighbors: int | None = 1
     weighting: str = "nearest"
-    overrides: dict[str, dict[str, float]] = field(default_factory=dict)
 
     @property
     def z_step(self) -> float:

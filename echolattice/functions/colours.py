@@ -31,6 +31,11 @@ _RHO = {
         (0.9, 0, 0), (0.95, 0.45, 0.45), (0.98, 0, 0), (0.995, 0, 0), (1, 1, 1),
     ),
 }
+_JET = {
+    "red": ((0.0, 0, 0), (0.35, 0, 0), (0.66, 1, 1), (0.89, 1, 1), (1, 0.5, 0.5)),
+    "green": ((0.0, 0, 0), (0.125, 0, 0), (0.375, 1, 1), (0.64, 1, 1), (0.91, 0, 0), (1, 0, 0)),
+    "blue": ((0.0, 0.5, 0.5), (0.11, 1, 1), (0.34, 1, 1), (0.65, 0, 0), (1, 0, 0)),
+}
 
 
 def _reflectivity(second: float, red_third: float, third: float) -> dict:
@@ -53,8 +58,16 @@ KNOTS = {
     "th": _reflectivity(0.33, 0.45, 0.4),
     "th1": _reflectivity(0.2, 0.45, 0.4),
     "th2": _reflectivity(0.25, 0.5, 0.5),
+    "jet": _JET,
 }
 
+
+def add_scale(name: str, knots: dict) -> None:
+    """Make a scale of one's own known by name; its reverse comes with it."""
+    if set(knots) != {"red", "green", "blue"}:
+        raise ValueError("a scale has red, green and blue knots")
+    KNOTS[name] = knots
+
 # --- fixed values: listed scales ------------------------------------------
 _CSS = {
     "White": "#ffffff", "LightBlue": "#add8e6", "MediumBlue": "#0000cd", "DarkOrange": "#ff8c00",

@@ -10,10 +10,10 @@ import warnings
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from echolattice.config import ColmaxThresholds, QualityThresholds
+from echolattice.config import ColmaxThresholds, QualityThresholds, concrete_field
 from echolattice.operators.components import image_runs, label_runs
 
 
@@ -25,8 +25,9 @@ def _known(condition: Column) -> Column:
 class GateFilter:
     """Exclusions over the columns of a gate table; any one of them excludes.
 
-    Immutable: each method returns a longer filter.  A rule about a field the
-    table does not have is skipped with a warning.
+    Immutable: each method returns a longer filter.  Fields go by stored or by
+    descriptive name; a rule about a field the table does not have is skipped with
+    a warning.
     """
 
     columns: frozenset[str]
@@ -44,21 +45,27 @@ class GateFilter:
         return replace(self, rules=(*self.rules, _known(rule)), history=(*self.history, note))
 
     def below(self, field: str, limit: float) -> GateFilter:
+        field = concrete_field(field)
         return self._add(f"{field} < {limit}", F.col(field) < limit, field)
 
     def above(self, field: str, limit: float) -> GateFilter:
+        field = concrete_field(field)
         return self._add(f"{field} > {limit}", F.col(field) > limit, field)
 
     def between(self, field: str, low: float, high: float) -> GateFilter:
+        field = concrete_field(field)
         return self._add(f"{low} < {field} < {high}", (F.col(field) > low) & (F.col(field) < high), field)
 
     def outside(self, field: str, low: float, high: float) -> GateFilter:
+        field = concrete_field(field)
         return self._add(f"{field} outside {low}..{high}", (F.col(field) < low) | (F.col(field) > high), field)
 
     def equal(self, field: str, value: float, atol: float = 1e-5) -> GateFilter:
+        field = concrete_field(field)
         return self._add(f"{field} = {value}", F.abs(F.col(field) - value) < atol, field)
 
     def missing(self, field: str) -> GateFilter:
+        field = concrete_field(field)
         return self._add(f"{field} missing", F.col(field).isNull(), field)
 
     def all_missing(self, fields: Iterable[str]) -> GateFilter:
@@ -88,7 +95,12 @@ class GateFilter:
         return self._add(note, rule)
 
     def by_function(self, field: str, rule: Callable[[Column], Column], note: str = "function") -> GateFilter:
-        """A user rule over one field's column; an unknown field is an error here."""
+        """A user rule over one field's column; an unknown field is an error here.
+
+        The rule maps the column to a boolean column: an expression, or the call of a
+        pandas UDF where no expression will do.
+        """
+        field = concrete_field(field)
         if field not in self.columns:
             raise KeyError(field)
         return self._add(f"{note}({field})", rule(F.col(field)))
@@ -280,12 +292,15 @@ def despeckle(
     sums = {"total": F.sum(field)}
     runs = image_runs(alive.select(*image, "ray", "gate", field), image, "ray", "gate", sums)
     labelled = label_runs(runs, image, rows, width, wrap=360.0 / rows <= delta_deg)
-    objects = labelled.groupBy(*image, "label").agg(F.sum("pixels").alias("n"), F.sum("total").alias("sum"))
+    # A component lies within one sweep, so its window is bounded; a window instead of
+    # an aggregate joined back labels once.
+    whole = Window.partitionBy(*image, "label")
+    measured = labelled.withColumns({"n": F.sum("pixels").over(whole), "sum": F.sum("total").over(whole)})
     good = F.col("n") >= size
     if mean_threshold is not None:
         # At single-precision resolution: a sum taken in another order must not flip a tie.
         good = good & (F.round(F.col("sum") / F.col("n"), 6) >= mean_threshold)
-    kept = labelled.join(objects.filter(good).select(*image, "label"), [*image, "label"], "left_semi")
+    kept = measured.filter(good)
     cells = kept.select(*image, F.col("row").alias("ray"), F.explode(F.sequence("first", "last")).alias("gate"))
     return alive.join(cells, [*image, "ray", "gate"], "left_semi")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from echolattice.config import ColmaxThresholds, CoreThresholds, Lattice, TopThresholds
 from echolattice.operators import detect, filters, gridding, volumes
+from echolattice.session import cut_lineage
 
 
 def filtered_voxels(gates: DataFrame, pairs: DataFrame, lattice: Lattice, field: str = "DBZH") -> DataFrame:
@@ -100,8 +101,11 @@ def cores_and_tops(
     """Cores and tops of every volume as features with longitude and latitude.
 
     ``voxels`` come from :func:`detection_voxels`; cores judge RhoHV on the beam
-    surface of the lowest sweep (``lowest``: volume_id, elevation).
+    surface of the lowest sweep (``lowest``: volume_id, elevation).  Column maximum,
+    beam surface and tops all read the voxels, so these are stored once: gates are
+    scanned and joined to the map a single time.
     """
+    voxels = cut_lineage(voxels)
     colmax = gridding.mask_below(gridding.column_aggregate(voxels, lattice), ColmaxThresholds.floor_dbz)
     surface = rhohv_surface(voxels, lattice, lowest)
     cores = detect.with_lonlat(detect.cores(colmax, lattice, surface, core_limits), sites)

@@ -19,13 +19,17 @@ def scan_tree(
     include_end: bool = True,
     name_glob: str = "*.BUFR",
     content: bool = False,
+    hours: list[str] | None = None,
 ) -> DataFrame:
     """Files under ``base/RADAR/yyyy/mm/dd/hh/mmss/`` between two instants.
 
     The name pattern is applied while listing, before a file is opened, and file
-    content is only read when asked for.  ``radars`` narrows the listed folders.
+    content is only read when asked for.  ``radars`` and ``hours`` (``yyyy/mm/dd/hh``)
+    narrow the listed folders themselves.
     """
     paths = [f"{base}/{r}" for r in radars] if radars else [base]
+    if hours:
+        paths = [f"{p}/{h}/*" if radars else f"{p}/*/{h}/*" for p in paths for h in hours]
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", name_glob)
     listed = reader.load(paths)
     parts = names.parse_tree_path(F.col("path"))
@@ -35,8 +39,3 @@ def scan_tree(
         high = end if end is not None else F.lit("9999-12-31").cast("timestamp")
         out = in_range(out, low, high, include_start, include_end)
     return out
-
-
-def hour_globs(base: str, radar: str, hours: list[str]) -> list[str]:
-    """Folder patterns for given ``yyyy/mm/dd/hh`` hours, to prune listing itself."""
-    return [f"{base}/{radar}/{hour}/*" for hour in hours]

@@ -35,7 +35,7 @@ def decode_sweeps(sweeps: DataFrame, keys: Sequence[str] = ("volume_id", "sweep"
     ``reject`` for a sweep that cannot be read; a bad sweep never fails the job.
 
     ``sweeps`` has the keys, ``nrays``, ``ngates`` and a binary ``payload``.  Values
-    leave a task in bounded batches, whatever the size of a sweep.
+    leave a task in bounded batches, and one inflated sweep is held at a time.
     """
     keyed = sweeps.select(*keys, "nrays", "ngates", "payload")
     schema = T.StructType([keyed.schema[k] for k in keys])
@@ -46,7 +46,8 @@ def decode_sweeps(sweeps: DataFrame, keys: Sequence[str] = ("volume_id", "sweep"
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             types = [batch.schema.field(k).type for k in keys]
-            for row in batch.to_pylist():
+            for at_row in range(batch.num_rows):
+                row = batch.slice(at_row, 1).to_pylist()[0]
                 values, reject = inflate(row["payload"], row["nrays"], row["ngates"])
                 if reject is not None:
                     cells = [pa.array([None], pa.int32()), pa.array([None], pa.int32()), pa.array([None], pa.float64())]

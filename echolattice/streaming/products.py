@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -11,17 +11,18 @@ from echolattice.plans import products
 
 
 def product_sink(
-    gates: DataFrame, pairs: DataFrame, lattice: Lattice, path: str
+    gates: DataFrame, pairs: DataFrame, lattice: Lattice, path: str, keys: Sequence[str] = ("volume_id",)
 ) -> Callable[[DataFrame, int], None]:
     """A batch sink from completed volume ids to stored column-maximum products.
 
     All volumes of a batch go through one job.  A volume's partition is
-    overwritten as a whole, so a replayed batch leaves one copy.
+    overwritten as a whole, so a replayed batch leaves one copy.  ``keys`` may add
+    the partition columns of stored gates, which then prune the scan.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        done = batch.select("volume_id").distinct()
-        pixels = products.colmax_product(gates.join(done, "volume_id", "left_semi"), pairs, lattice)
+        done = batch.select(*keys).distinct()
+        pixels = products.colmax_product(gates.join(done, list(keys), "left_semi"), pairs, lattice)
         (
             pixels.repartition("volume_id")
             .write.mode("overwrite")

@@ -4,6 +4,7 @@ import math
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,3 +182,14 @@ def test_colours_and_back(spark):
         rasters.recolor(shown.drop("value"), Scale("rho"))
     with pytest.raises(ValueError):
         Scale("unknown")
+
+
+def test_rules_by_pandas_udf_and_descriptive_names(spark):
+    gates = inline_table(spark, ("volume_id", "gate_id", "DBZH"), [(1, i, float(i)) for i in range(5)])
+
+    @F.pandas_udf("boolean")
+    def odd(values: pd.Series) -> pd.Series:
+        return values % 2 == 1
+
+    kept = GateFilter.on(gates).by_function("reflectivity", odd).below("reflectivity", 1.0).apply(gates)
+    assert {r.gate_id for r in kept.collect()} == {2, 4}

@@ -8,7 +8,7 @@ from echolattice.functions.colours import LISTED, Scale
 from echolattice.operators import rasters
 from workload import grids, tables
 from workload.registry import register
-from workload.scalars import _BOUNDS, product_bounds_of
+from workload.scalars import BOUNDS, product_bounds_of
 from workload.sqltables import query
 
 SCALE = Scale("th")
@@ -89,6 +89,11 @@ def colorize_listed(spark, sf):
     return rasters.colorize(holed(spark, sf), Scale("hscan"), 0.0, 60.0)
 
 
+@register("colorize_jet", query(("colmax",), coloured_sql(HOLED, Scale("jet"), "(-4)", "80")))
+def colorize_jet(spark, sf):
+    return rasters.colorize(holed(spark, sf), Scale("jet"), -4.0, 80.0)
+
+
 @register("uncolor", query(("colmax",), f"""
     SELECT c.volume_id, c.iy, c.ix, round(CASE WHEN alpha > 0 THEN k.value END, 6) AS value
     FROM ({coloured_sql(HOLED, SCALE, '(-20)', '70')}) c
@@ -136,7 +141,7 @@ def window_read(spark, sf):
 
 @register("georeference", query(("colmax", "sites"), f"""SELECT volume_id, CAST(40 - iy AS INT) AS row, ix, value,
     round(west + (ix + 0.5)*((east - west)/41), 6) AS lon,
-    round(north - (40 - iy + 0.5)*((north - south)/41), 6) AS lat FROM colmax JOIN {_BOUNDS} b USING (volume_id)"""))
+    round(north - (40 - iy + 0.5)*((north - south)/41), 6) AS lat FROM colmax JOIN {BOUNDS} b USING (volume_id)"""))
 def georeference(spark, sf):
     placed = rasters.georeference(grids.colmax(spark, sf), product_bounds_of(spark, sf), tables.LATTICE)
     return placed.select(

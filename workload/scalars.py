@@ -215,7 +215,7 @@ def gate_latlon(spark, sf):
 
 
 _CLON, _CLAT = lonlat_sql("x", "y")
-_BOUNDS = f"""(SELECT volume_id, min(lon) AS west, min(lat) AS south, max(lon) AS east, max(lat) AS north FROM (
+BOUNDS = f"""(SELECT volume_id, min(lon) AS west, min(lat) AS south, max(lon) AS east, max(lat) AS north FROM (
     SELECT volume_id, {_CLON} AS lon, {_CLAT} AS lat FROM sites,
       (VALUES (-240000.0::DOUBLE, -240000.0::DOUBLE), (-240000.0::DOUBLE, 240000.0::DOUBLE),
               (240000.0::DOUBLE, -240000.0::DOUBLE), (240000.0::DOUBLE, 240000.0::DOUBLE)) k(x, y)) q GROUP BY 1)"""
@@ -236,7 +236,7 @@ def product_bounds_of(spark, sf):
 @register("product_bounds", query(("sites",), f"""SELECT volume_id, round(west, 6) AS west, round(south, 6) AS south,
     round(east, 6) AS east, round(north, 6) AS north, round(radians(west)*6378137, 2) AS west_m,
     round(ln(tan(pi()/4 + radians(south)/2))*6378137, 2) AS south_m, round(radians(east)*6378137, 2) AS east_m,
-    round(ln(tan(pi()/4 + radians(north)/2))*6378137, 2) AS north_m FROM {_BOUNDS} b"""))
+    round(ln(tan(pi()/4 + radians(north)/2))*6378137, 2) AS north_m FROM {BOUNDS} b"""))
 def product_bounds(spark, sf):
     box = product_bounds_of(spark, sf)
     west, south = geomath.lonlat_to_mercator(F.col("west"), F.col("south"))
