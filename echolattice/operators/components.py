@@ -9,7 +9,7 @@ component as its label.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -44,8 +44,13 @@ def image_runs(
     )
 
 
-def component_of_runs(start: np.ndarray, stop: np.ndarray, width: int, wrap_rows: int | None) -> np.ndarray:
-    """Label the runs of one image, given sorted raster indices of their ends."""
+def component_of_runs(
+    start: np.ndarray, stop: np.ndarray, width: int, wrap_rows: int | None, image_rows: int | None = None
+) -> np.ndarray:
+    """Label runs by their sorted raster indices; the label is the least index of the component.
+
+    Several images may follow each other, ``image_rows`` apart with an empty row between.
+    """
     row = start // width
 
     def touching(chosen: np.ndarray, target_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,8 +64,9 @@ def component_of_runs(start: np.ndarray, stop: np.ndarray, width: int, wrap_rows
     everyone = np.arange(len(start))
     left, right = touching(everyone, row + 1)
     if wrap_rows is not None:
-        last = everyone[row == wrap_rows - 1]
-        more_left, more_right = touching(last, np.zeros(len(last), dtype=row.dtype))
+        local = row if image_rows is None else row % image_rows
+        last = everyone[local == wrap_rows - 1]
+        more_left, more_right = touching(last, row[last] - (wrap_rows - 1))
         left, right = np.concatenate([left, more_left]), np.concatenate([right, more_right])
     label = everyone.copy()
     while True:
@@ -74,18 +80,56 @@ def component_of_runs(start: np.ndarray, stop: np.ndarray, width: int, wrap_rows
             label = label[label]
 
 
-def _label_in_tasks(runs: DataFrame, image: Sequence[str], width: int, wrap_rows: int | None) -> DataFrame:
-    def label_image(image_runs: pd.DataFrame) -> pd.DataFrame:
-        base = image_runs["row"].to_numpy(np.int64) * width
-        start = base + image_runs["first"].to_numpy(np.int64)
-        order = np.argsort(start)
-        out = image_runs.iloc[order].copy()
-        stop = (base + image_runs["last"].to_numpy(np.int64))[order]
-        out["label"] = component_of_runs(start[order], stop, width, wrap_rows)
+def _label_in_tasks(
+    runs: DataFrame, image: Sequence[str], rows: int, width: int, wrap_rows: int | None
+) -> DataFrame:
+    """Images gathered whole and in order; each Arrow batch labels all images it completes.
+
+    A task holds one batch and at most one unfinished image, whose runs the lattice bounds.
+    """
+    keys = list(image)
+    image_rows = rows + 1
+
+    def label_images(held: list[pd.DataFrame]) -> pd.DataFrame:
+        out = held[0].copy() if len(held) == 1 else pd.concat(held, ignore_index=True)
+        row = out["row"].to_numpy(np.int64)
+        if len(row) and (row.max() >= rows or row.min() < 0):
+            raise ValueError(f"a row lies outside the {rows} rows of the lattice")
+        fresh = np.zeros(len(out), dtype=bool)
+        for key in keys:
+            value = out[key].to_numpy()
+            fresh[1:] |= value[1:] != value[:-1]
+        offset = np.cumsum(fresh) * (image_rows * width)
+        base = offset + row * width
+        start, stop = base + out["first"].to_numpy(np.int64), base + out["last"].to_numpy(np.int64)
+        out["label"] = component_of_runs(start, stop, width, wrap_rows, image_rows) - offset
         return out
 
+    def label_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            same = np.ones(len(batch), dtype=bool)
+            for key in keys:
+                value = batch[key].to_numpy()
+                same &= value == value[-1]
+            cut = len(batch) - int(same.sum())
+            final = tuple(batch[k].iloc[-1] for k in keys)
+            if cut:
+                yield label_images([*held, batch.iloc[:cut]])
+                held = [batch.iloc[cut:]]
+            elif held and tuple(held[-1][k].iloc[-1] for k in keys) != final:
+                yield label_images(held)
+                held = [batch]
+            else:
+                held.append(batch)
+        if held:
+            yield label_images(held)
+
     schema = runs.withColumn("label", F.lit(0).cast("bigint")).schema
-    return runs.groupBy(*image).applyInPandas(label_image, schema)
+    ordered = runs.repartition(*keys).sortWithinPartitions(*keys, "row", "first")
+    return ordered.mapInPandas(label_batches, schema)
 
 
 def _label_in_rounds(
@@ -137,7 +181,7 @@ def label_runs(
     """
     wrap_rows = rows if wrap else None
     if rows * ((width + 1) // 2) <= runs_per_task:
-        return _label_in_tasks(runs, image, width, wrap_rows)
+        return _label_in_tasks(runs, image, rows, width, wrap_rows)
     return _label_in_rounds(runs, image, width, wrap_rows)
 
 

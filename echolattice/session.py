@@ -26,8 +26,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, name: str
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder of the cluster (``spark.checkpoint.dir``).
 
-    Only where the session names none (tests, a laptop) is a temporary folder
-    taken and set, so that a job on a cluster never writes machine-local state.
+    Only where a local session names none (tests, a laptop) is a temporary folder
+    taken and set; on a cluster that is an error, since its machines share no folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -35,6 +35,8 @@ def shared_folder(spark: SparkSession) -> str:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(named)
         return named
+    if not context.master.startswith("local"):
+        raise RuntimeError("name a folder all machines share in spark.checkpoint.dir")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return context.getCheckpointDir()

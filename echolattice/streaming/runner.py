@@ -36,7 +36,13 @@ def drain(
 
 
 def collected(spark: SparkSession, stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
-    """Drain a stream into a batch table and read it back with its ``batch_id``."""
+    """Drain a stream into a batch table and read it back with its ``batch_id``.
+
+    An empty part is written first, so a stream without rows reads back as no rows.
+    """
+    spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema]).write.mode(
+        "overwrite"
+    ).parquet(f"{path}/rows/batch_id=-1")
     drain(stream, batch_table(f"{path}/rows"), f"{path}/checkpoint", mode)
     schema = stream.schema.add("batch_id", "long")
     return spark.read.schema(schema).parquet(f"{path}/rows")

@@ -73,6 +73,23 @@ def test_labelling_of_images(spark, wrap, in_task):
     assert {(f.volume_id, f.iy, f.ix): f.label for f in found} == expected
 
 
+@pytest.mark.parametrize("wrap", [False, True])
+def test_images_split_over_batches(spark, wrap):
+    """Small Arrow batches, so that images begin and end inside and across batches."""
+    rng = np.random.default_rng(8)
+    masks = {v: rng.random((9, 11)) < p for v, p in enumerate((0.6, 0.02, 0.9, 0.5, 0.55, 0.7, 0.0, 0.4))}
+    pixels = inline_table(
+        spark, ("volume_id", "iy", "ix"), [(v, int(r), int(c)) for v, m in masks.items() for r, c in zip(*np.nonzero(m))]
+    )
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in (1, 7, 40):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        found = components.label_components(pixels, ["volume_id"], 9, 11, wrap=wrap).collect()
+        expected = {(v, r, c): mark for v, m in masks.items() for (r, c), mark in flood(m, wrap).items()}
+        assert {(f.volume_id, f.iy, f.ix): f.label for f in found} == expected
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def greedy(points, radius):
     kept = []
     for p in sorted(points, key=lambda p: (-p[1], p[2])):

@@ -86,3 +86,11 @@ def test_slots_of_a_stream_are_those_of_the_batch(spark, sf):
     got = runner.latest_state(states, ["slot_ts", "radar"]).select(seconds("slot"), "radar", "files").collect()
     expected = log.groupBy((F.floor(F.unix_timestamp("created_ts") / 600) * 600).alias("slot_s"), "radar").count().collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, expected))
+
+
+def test_a_stream_without_rows_reads_back_empty(spark):
+    rows = arrivals(spark, [(1, "DBZH", "00:00:00", "00:01:00")])
+    path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    rows.filter("event_id < 0").write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+    assert runner.collected(spark, stream.select("filename"), path).count() == 0
