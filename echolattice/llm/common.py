@@ -40,7 +40,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables written by :func:`cut` that no plan still to be run reads."""
+    for df in tables:
+        jvm, path = df.sparkSession.sparkContext._jvm, df._cut_path
+        hadoop = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(hadoop).delete(where, True)
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:

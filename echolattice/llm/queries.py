@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from echolattice.llm import seed_extend, suffix_buckets
+from echolattice.llm import seed_extend, simhash_pivot, suffix_buckets
 from echolattice.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,8 @@ def op4_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seed_extend.remove_passages(read(spark, sf_dir, "documents"), keep_text=False)
+
+
+@_query
+def op3_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_pivot.near_duplicates(read(spark, sf_dir, "documents"))
