@@ -7,13 +7,14 @@ distance, so windows need comparing only with windows of the same anchor seed.
 Consecutive windows with one anchor form a run, a single row, with a fingerprint
 of the anchor seed and one of all the run covers.
 
-1. Seeds that occur once are done.  The count is an aggregate with partial sums.
+1. Seeds that occur in one text are done.  The count is an aggregate with partial sums.
 2. Of runs whose seed has one surrounding only, all but those of the first text
    are repeats as a whole.
 3. Where a seed has several surroundings, equal runs are grouped once more;
    again all but the first of a group are repeats as a whole.
-4. What is left are the first runs of different surroundings of one seed.  Their
-   windows are compared one by one, each a row, in one grouping.
+4. What is left are the first runs of different surroundings of one seed.  They
+   are cut into smaller blocks of windows, whose seed is the part all windows of a block
+   share, and these go through the same steps; at last the blocks are single windows.
 
 No pairs are made: a group of m copies costs m rows.  ``earlier`` means a smaller
 doc_id or, in one text, a smaller start; repeats within a text are settled in
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echolattice.llm.common import NO_ID, cut, keyed, map_texts
+from echolattice.llm.common import NO_ID, cut, discard, keyed, map_texts
 from echolattice.llm.textarrays import Spans, mix, signed, sliding_min
 
 #: Units of a slice: fingerprints of units, and the number of the first unit of each text.
@@ -39,7 +40,7 @@ Units = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 #: Two fingerprints of the windows at the starts given.
 Names = Callable[[Spans, np.ndarray, np.ndarray], np.ndarray]
 
-RUNS = "doc_id long, th long, first int, windows int, seed long, around long, again boolean"
+RUNS = "doc_id long, th long, first int, windows int, lead int, seed long, around long, again boolean"
 
 
 def _first_of(keys: np.ndarray) -> np.ndarray:
@@ -84,88 +85,97 @@ def _runs(units: np.ndarray, firsts: np.ndarray, window: int, gram: int, names:
     dup = ~_first_of(mix(mix(spans.of(start, start + window), 5) ^ mix(names(spans, start, start), 6)) + _salt(within))
     start, within = start[dup], within[dup]
     none = np.zeros(len(start), dtype=np.uint64)
+    lead = anchor - first
     text, first = np.concatenate([text, within]), np.concatenate([first, start])
     return (
         text, first - firsts[:-1][text], np.concatenate([count, np.ones(len(start), dtype=np.int64)]),
-        np.concatenate([seed, none]), np.concatenate([around, none]), np.concatenate([again, np.ones(len(start), dtype=bool)]),
+        np.concatenate([lead, np.zeros(len(start), dtype=np.int64)]), np.concatenate([seed, none]), np.concatenate([around, none]), np.concatenate([again, np.ones(len(start), dtype=bool)]),
     )
 
 
-def earlier_windows(docs: DataFrame, units: Units, names: Names, window: int, gram: int) -> tuple[DataFrame, DataFrame]:
-    """The texts as ``keyed`` gives them, and the repeats: doc_id, th, repeats (array of first window and number)."""
-    texts = keyed(docs)
-
-    def run_rows(batch: pa.RecordBatch):
-        found = _runs(*units(batch.column("text")), window, gram, names)
-        if found is None:
-            return None
-        text, first, count, seed, around, again = found
-        pick = pa.array(text)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(pick), batch.column("th").take(pick), pa.array(first.astype(np.int32)),
-             pa.array(count.astype(np.int32)), signed(seed), signed(around), pa.array(again)],
-            names=["doc_id", "th", "first", "windows", "seed", "around", "again"],
-        )
-
+def _blocks(units: np.ndarray, firsts: np.ndarray, runs: pa.ListArray, size: int, window: int, names: Names):
+    """Runs cut into blocks of up to ``size`` windows, by the distance of windows to the anchor."""
+    spans, flat = Spans(units), runs.flatten()
+    run_text = np.repeat(np.arange(len(runs)), np.diff(runs.offsets.to_numpy()))
+    first = flat.field("first").to_numpy() + firsts[:-1][run_text]
+    count, lead = flat.field("windows").to_numpy().astype(np.int64), flat.field("lead").to_numpy()
+    anchor = np.repeat(first + lead, count)
+    start = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    block = (anchor - start) // size
+    run = np.repeat(np.arange(len(first)), count)
+    change = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (run[1:] != run[:-1])]))
+    last = start[np.concatenate([change[1:], [len(start)]]) - 1]
+    first, anchor, block, text = start[change], anchor[change], block[change], run_text[run[change]]
+    count, lead = last - first + 1, anchor - first
+    core = spans.of(anchor - block * size, anchor - block * size - size + 1 + window)
+    seed = mix(core + block.astype(np.uint64), 5)
+    around = mix(names(spans, first, last) + (count * 4096 + lead).astype(np.uint64), 2)
+    return text, first - firsts[:-1][text], count, lead, seed, around
+
+
+def _settle(rows: DataFrame, final: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Of rows (doc_id, th, first, windows, lead, seed, around): those that are repeats as a whole, and
+    the runs still open by text."""
     order = F.coalesce("doc_id", F.lit(NO_ID))
-    runs = cut(map_texts(texts, run_rows, RUNS), "runs")
-    fresh = runs.where(~F.col("again")).drop("again")
-    seeds = (
-        fresh.groupBy("seed")
+    seeds = cut(
+        rows.groupBy("seed", *(["around"] if final else []))
         .agg(F.min(order).alias("least"), F.max(order).alias("most"), F.min("around").alias("lo"), F.max("around").alias("hi"))
         .where("least < most")
-        .select("seed", "least", (F.col("lo") != F.col("hi")).alias("mixed"))
-    )
-    # A seed that only occurs in one text is settled there, so several doc_ids are what makes a candidate.
-    shared = cut(fresh.join(cut(seeds, "seeds"), "seed"), "shared")
+        .select("seed", *(["around"] if final else []), "least", (F.col("lo") != F.col("hi")).alias("mixed")),
+        "seeds",
+    )
+    if final:
+        return rows.join(seeds, ["seed", "around"]).where(order > F.col("least")), None
+    shared = cut(rows.join(seeds, "seed"), "shared")
+    discard(seeds)
     mixed = shared.where("mixed").drop("least", "mixed")
     groups = cut(mixed.groupBy("seed", "around").agg(F.min(order).alias("least")), "groups")
-    decided = shared.where("not mixed").select("doc_id", "th", "first", "windows", "least").unionByName(
-        mixed.join(groups, ["seed", "around"]).select("doc_id", "th", "first", "windows", "least")
-    )
-    place = F.struct("first", "windows")
-    whole = decided.where(order > F.col("least")).select("doc_id", "th", place.alias("at")).unionByName(
-        runs.where("again").select("doc_id", "th", place.alias("at"))
-    )
-    # The first runs of a seed with several surroundings; where there is one surrounding they are nobody's repeat.
-    open_runs = cut(
-        mixed.join(groups, ["seed", "around"]).where(order <= F.col("least")).groupBy("doc_id", "th")
-        .agg(F.collect_set(place).alias("runs")),
-        "open",
-    )
+    grouped = cut(mixed.join(groups, ["seed", "around"]), "grouped")
+    discard(groups)
+    whole = shared.where("not mixed").unionByName(grouped, allowMissingColumns=True).where(order > F.col("least"))
+    still = grouped.where(order <= F.col("least")).groupBy("doc_id", "th").agg(F.collect_set(F.struct("first", "windows", "lead")).alias("runs"))
+    return whole, still
 
-    def window_rows(batch: pa.RecordBatch):
-        values, firsts = units(batch.column("text"))
-        spans = Spans(values)
-        runs = batch.column("runs")
-        bounds = runs.offsets.to_numpy()
-        flat = runs.flatten()
-        text = np.repeat(np.arange(len(batch)), np.diff(bounds))
-        count = flat.field("windows").to_numpy().astype(np.int64)
-        start, text = _unroll(flat.field("first").to_numpy() + firsts[:-1][text], count, text)
-        one, two = mix(spans.of(start, start + window), 5), mix(names(spans, start, start), 6)
-        again = ~_first_of(mix(one ^ mix(two, 4)) + _salt(text))
+
+def earlier_windows(docs: DataFrame, units: Units, names: Names, window: int, gram: int, blocks: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
+    """The texts as ``keyed`` gives them, and the repeats: doc_id, th, repeats (array of first window and number).
+
+    ``blocks``: windows of a block in each later step, the last being 1.
+    """
+    texts = keyed(docs)
+    fields = ("first", "windows", "lead")
+
+    def table(batch: pa.RecordBatch, text, first, count, lead, seed, around, *more) -> pa.RecordBatch:
         pick = pa.array(text)
+        numbers = [pa.array(x.astype(np.int32)) for x in (first, count, lead)]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(pick), batch.column("th").take(pick), pa.array((start - firsts[:-1][text]).astype(np.int32)),
-             signed(one), signed(two), pa.array(again)],
-            names=["doc_id", "th", "first", "one", "two", "again"],
-        )
-
-    same = [texts[c].eqNullSafe(open_runs[c]) for c in ("doc_id", "th")]
-    wanted = texts.join(open_runs, same).select(texts["doc_id"], texts["th"], texts["text"], "runs")
-    windows = cut(map_texts(wanted, window_rows, "doc_id long, th long, first int, one long, two long, again boolean"), "windows")
-    own = windows.where("again").select("doc_id", "th", F.struct("first", F.lit(1).alias("windows")).alias("at"))
-    least = cut(
-        windows.where(~F.col("again")).groupBy("one", "two").agg(F.min(order).alias("least"), F.max(order).alias("most")).where("least < most"),
-        "least",
-    )
-    single = (
-        windows.where(~F.col("again")).join(least, ["one", "two"]).where(order > F.col("least"))
-        .select("doc_id", "th", F.struct("first", F.lit(1).alias("windows")).alias("at"))
-    )
-    repeats = whole.unionByName(own).unionByName(single).groupBy("doc_id", "th").agg(F.collect_set("at").alias("repeats"))
-    return texts, repeats
+            [batch.column("doc_id").take(pick), batch.column("th").take(pick), *numbers, signed(seed), signed(around), *[pa.array(x) for x in more]],
+            names=["doc_id", "th", *fields, "seed", "around", *["again"] * len(more)],
+        )
+
+    def run_rows(batch: pa.RecordBatch):
+        found = _runs(*units(batch.column("text")), window, gram, names)
+        return None if found is None else table(batch, *found)
+
+    place = F.struct("first", "windows").alias("at")
+    runs = cut(map_texts(texts, run_rows, RUNS), "runs")
+    repeats = cut(runs.where("again").select("doc_id", "th", place), "own")
+    whole, still = _settle(runs.where(~F.col("again")).drop("again"), final=False)
+    discard(runs)
+    repeats = repeats.unionByName(whole.select("doc_id", "th", place))
+    for size in blocks:
+        still = cut(still, "open")
+        same = [texts[c].eqNullSafe(still[c]) for c in ("doc_id", "th")]
+        wanted = texts.join(still, same).select(texts["doc_id"], texts["th"], texts["text"], "runs")
+
+        def block_rows(batch: pa.RecordBatch, size=size):
+            return table(batch, *_blocks(*units(batch.column("text")), batch.column("runs"), size, window, names))
+
+        rows = cut(map_texts(wanted, block_rows, RUNS.removesuffix(", again boolean")), "blocks")
+        discard(still)
+        whole, still = _settle(rows, final=size == 1)
+        repeats = repeats.unionByName(whole.select("doc_id", "th", place))
+    return texts, repeats.groupBy("doc_id", "th").agg(F.collect_set("at").alias("repeats"))
 
 
 def covered(repeats: list | None, n: int, window: int) -> np.ndarray:

@@ -24,6 +24,8 @@ from echolattice.llm.textarrays import Spans, mix, text_bytes, word_bounds, word
 
 #: Words of a passage that counts as a repeat, and of a seed.
 LENGTH, SEED = 20, 5
+#: Windows around a seed that are extended together; one at a time at last.
+BLOCKS = (1,)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -57,7 +59,7 @@ def remove_passages(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     with each other; rows that repeat doc_id and text get the same result.  Other columns are
     ignored, an empty table gives no rows.
     """
-    texts, repeats = earlier_windows(docs, _units, _names, LENGTH, SEED)
+    texts, repeats = earlier_windows(docs, _units, _names, LENGTH, SEED, BLOCKS)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -28,6 +28,8 @@ from echolattice.llm.textarrays import BYTE, Spans, mix, text_bytes
 
 #: Bytes of a string that counts as a repeat, and of the initial buckets.
 LENGTH, QGRAM = 100, 25
+#: Suffixes that are refined together where a bucket has several surroundings.
+BLOCKS = (8, 1)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -62,7 +64,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     with other documents and themselves, not with each other; rows that repeat
     doc_id and text get the same result.  Other columns are ignored, an empty table gives no rows.
     """
-    texts, repeats = earlier_windows(docs, _units, _names, LENGTH, QGRAM)
+    texts, repeats = earlier_windows(docs, _units, _names, LENGTH, QGRAM, BLOCKS)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
