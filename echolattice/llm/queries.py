@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from echolattice.llm import seed_extend, simhash_pivot, suffix_buckets
+from echolattice.llm import prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets
 from echolattice.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,15 @@ def op5_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_pivot.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_prefix_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = prefix_decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.drop("hit_spans", "hit_items")
+
+
+@_query
+def op2_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_risk.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
