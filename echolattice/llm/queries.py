@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from echolattice.llm import prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets
+from echolattice.llm import histogram_packing, histogram_sort, prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets
 from echolattice.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +44,17 @@ def op10_prefix_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_risk.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@_query
+def op7_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram_packing.pack(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = histogram_sort.shard(read(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", F.col("shard_size").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", F.col("shard_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    )
