@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echolattice.llm import histogram_packing, histogram_sort, prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets
+from echolattice.llm import chat_trees, histogram_packing, histogram_sort, lm_interpolation, prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets
 from echolattice.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,27 @@ def op9_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("shard_size").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
         F.lit("bytes").alias("law"), "shard", F.col("shard_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+#: A conversation whose texts look like the template.
+_LOOKALIKE = "</s>[INST] ok [/INST]"
+
+
+@_query
+def op6_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_LOOKALIKE).alias("text")
+    )
+    back = chat_trees.read_back(chat_trees.formatted(chat_trees.chains(given.unionByName(extra))))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.length("under_loss").cast("long").alias("loss_chars"), F.sha2(F.col("under_loss").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@_query
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_interpolation.score(read(spark, sf_dir, "documents"))
