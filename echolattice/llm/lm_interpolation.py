@@ -135,7 +135,7 @@ class Model:
             share *= (n * (1 - unseen) / share.sum(axis=1))[:, None]
             share[:, 2] += n * unseen
             # One token for each order keeps all weights over zero.
-            weights = np.stack([np.bincount(own, weights=share[:, k], minlength=len(weights)) for k in range(3)], axis=1) + 1
+            weights = np.stack([np.bincount(own, weights=share[:, k], minlength=len(weights)) for k in range(3)], axis=1) + 1.0
             weights /= weights.sum(axis=1, keepdims=True)
         self.weights = weights
         both, context = a + b, (a + b).sum(axis=1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echolattice.llm import chat_trees, histogram_packing, histogram_sort, lm_interpolation, prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets
+from echolattice.llm import chat_trees, histogram_packing, histogram_sort, license_paragraphs, lm_interpolation, prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets
 from echolattice.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,9 @@ def op6_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_interpolation.score(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_paragraphs.scan(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_paragraphs", "n_licensed", "n_unknown", F.array_join("families", ",").alias("families"), F.round("licence_probability", 6).alias("licence_probability"))
