@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 
 from echolattice.session import cut_lineage
 
-# At most this many runs of one image are held by one task (about 150 MB).
-RUNS_PER_TASK = 2_000_000
-
 
 def image_runs(
     pixels: DataFrame, image: Sequence[str], row: str, col: str, sums: Mapping[str, Column] | None = None
@@ -133,7 +130,7 @@ def _label_in_tasks(
 
 
 def _label_in_rounds(
-    runs: DataFrame, image: Sequence[str], width: int, wrap_rows: int | None, max_rounds: int = 200
+    runs: DataFrame, image: Sequence[str], width: int, wrap_rows: int | None
 ) -> DataFrame:
     """Min-label rounds with pointer jumping; the lineage is cut every round.
 
@@ -148,7 +145,7 @@ def _label_in_rounds(
     one_way = cells.withColumn("row", below).join(under, [*keys, "row", "col"]).select(*keys, "run", "other").distinct()
     edges = cut_lineage(one_way.union(one_way.select(*keys, F.col("other").alias("run"), F.col("run").alias("other"))))
     labels = runs.select(*keys, "run", F.col("run").alias("label"))
-    for _ in range(max_rounds):
+    while True:
         seen = edges.join(
             labels.select(*keys, F.col("run").alias("other"), F.col("label").alias("seen")), [*keys, "other"]
         )
@@ -163,7 +160,6 @@ def _label_in_rounds(
         labels = stepped.drop("before")
         if not changed:
             return runs.join(labels, [*keys, "run"]).drop("run")
-    raise RuntimeError("labelling did not settle")
 
 
 def label_runs(
@@ -172,17 +168,18 @@ def label_runs(
     rows: int,
     width: int,
     wrap: bool = False,
-    runs_per_task: int = RUNS_PER_TASK,
+    rounds: bool = False,
 ) -> DataFrame:
     """Runs with their component's label (``row * width + column`` of its first pixel).
 
     ``rows`` and ``width`` are the lattice of every image, and therefore a proven
-    bound of the runs one task may receive; beyond it rounds are used.
+    bound of the runs an image has; images are labelled in tasks, many at a time.  ``rounds``
+    is for callers whose images no task can hold.
     """
     wrap_rows = rows if wrap else None
-    if rows * ((width + 1) // 2) <= runs_per_task:
-        return _label_in_tasks(runs, image, rows, width, wrap_rows)
-    return _label_in_rounds(runs, image, width, wrap_rows)
+    if rounds:
+        return _label_in_rounds(runs, image, width, wrap_rows)
+    return _label_in_tasks(runs, image, rows, width, wrap_rows)
 
 
 def label_components(
@@ -193,10 +190,10 @@ def label_components(
     row: str = "iy",
     col: str = "ix",
     wrap: bool = False,
-    runs_per_task: int = RUNS_PER_TASK,
+    rounds: bool = False,
 ) -> DataFrame:
     """Every pixel of the mask with its component's label."""
-    labelled = label_runs(image_runs(pixels, image, row, col), image, rows, width, wrap, runs_per_task)
+    labelled = label_runs(image_runs(pixels, image, row, col), image, rows, width, wrap, rounds)
     return labelled.select(
         *image, F.col("row").alias(row), F.explode(F.sequence("first", "last")).alias(col), "label"
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,6 @@ from echolattice.operators.components import image_runs, label_runs
 from echolattice.operators.neighbours import axis
 from echolattice.session import cut_lineage
 
-# Candidates of one volume that a sequential fold may hold.
-FOLD_LIMIT = 4096
 # Strengths and means are compared at single-precision resolution, so that the
 # order of a distributed sum cannot reorder equal blobs or flip a threshold.
 STRENGTH_DIGITS = 5
@@ -59,33 +59,32 @@ def blob_stats(
     return placed.withColumn("range_m", F.sqrt(F.col("x_m") * F.col("x_m") + F.col("y_m") * F.col("y_m")))
 
 
-def _fold(candidates: DataFrame, keys: Sequence[str], radius: float) -> DataFrame:
-    """Sequential greedy choice over the sorted candidates of each group."""
-    inner = [c for c in candidates.columns if c not in keys]
-    item = F.struct((-F.col("strength")).alias("__first"), F.col("tie").alias("__second"), *inner)
-    grouped = candidates.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("queue"))
+def _choose(radius: float):
+    """Greedy choice within one group, as a grid of kept candidates with cells of the radius."""
 
-    def near(kept: Column, one: Column) -> Column:
-        dx, dy = kept["x_m"] - one["x_m"], kept["y_m"] - one["y_m"]
-        return F.sqrt(dx * dx + dy * dy) < radius
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        x, y = group["x_m"].to_numpy(), group["y_m"].to_numpy()
+        edge = radius if radius > 0 else 1.0
+        cx, cy = np.floor(x / edge).astype(np.int64), np.floor(y / edge).astype(np.int64)
+        cells: dict[tuple[int, int], list[int]] = {}
+        kept = []
+        for i in np.lexsort((group["tie"].to_numpy(), -group["strength"].to_numpy())):
+            around = (cells.get((cx[i] + a, cy[i] + b), ()) for a in (-1, 0, 1) for b in (-1, 0, 1))
+            if all(math.hypot(x[j] - x[i], y[j] - y[i]) >= radius for near in around for j in near):
+                cells.setdefault((cx[i], cy[i]), []).append(i)
+                kept.append(i)
+        return group.iloc[kept]
 
-    kept = F.aggregate(
-        "queue",
-        F.slice("queue", 1, 0),
-        lambda chosen, one: F.when(F.exists(chosen, lambda k: near(k, one)), chosen).otherwise(
-            F.concat(chosen, F.array(one))
-        ),
-    )
-    return grouped.select(*keys, F.explode(kept).alias("one")).select(*keys, *[f"one.{c}" for c in inner])
+    return run
 
 
-def _cell_rounds(candidates: DataFrame, keys: Sequence[str], radius: float, max_rounds: int = 500) -> DataFrame:
-    """The same choice for groups of any size, by rounds over cells.
+def _rounds(candidates: DataFrame, keys: Sequence[str], radius: float) -> DataFrame:
+    """The same choice without gathering a group: rounds over cells, until all is decided.
 
     Cells are so small that two candidates of one cell are always too close, so a
-    cell offers its strongest only.  An offer that beats all offers of the cells
-    within reach is stronger than everything undecided near it: it is kept, and
-    what it covers is dropped.  No pairs within a cell are ever formed.
+    cell offers its strongest only.  An offer without a stronger undecided candidate
+    within the radius is kept, and what it covers is dropped.  No pairs within a
+    cell are formed, and offers far apart never wait for each other.
     """
     keys = list(keys)
     edge = radius / math.sqrt(2)
@@ -99,47 +98,38 @@ def _cell_rounds(candidates: DataFrame, keys: Sequence[str], radius: float, max_
         wide = df.withColumn("__dx", F.explode(reach)).withColumn("__dy", F.explode(reach))
         return wide.withColumn("cx", F.col("cx") + F.col("__dx")).withColumn("cy", F.col("cy") + F.col("__dy"))
 
+    dx, dy = F.col("x_m") - F.col("ox"), F.col("y_m") - F.col("oy")
+    near = F.sqrt(dx * dx + dy * dy) < radius
+    placed = [F.col("x_m").alias("ox"), F.col("y_m").alias("oy"), F.col("order").alias("offer")]
     active = cut_lineage(cells)
     chosen = None
-    for _ in range(max_rounds):
-        offers = active.groupBy(*keys, "cx", "cy").agg(F.max("order").alias("order"))
-        strongest = around(offers).groupBy(*keys, "cx", "cy").agg(F.max("order").alias("around"))
-        winners = offers.join(strongest, [*keys, "cx", "cy"]).filter(F.col("order") == F.col("around"))
-        kept = cut_lineage(active.join(winners.select(*keys, "cx", "cy", "order"), [*keys, "cx", "cy", "order"]))
-        covering = around(kept.select(*keys, "cx", "cy", F.col("x_m").alias("kx"), F.col("y_m").alias("ky")))
-        dx, dy = F.col("x_m") - F.col("kx"), F.col("y_m") - F.col("ky")
-        covered = (
-            active.join(covering.select(*keys, "cx", "cy", "kx", "ky"), [*keys, "cx", "cy"])
-            .filter(F.sqrt(dx * dx + dy * dy) < radius)
-            .select(*keys, "order")
-        )
-        active = cut_lineage(active.join(covered, [*keys, "order"], "left_anti"))
+    while not active.isEmpty():
+        best = active.groupBy(*keys, "cx", "cy").agg(F.max("order").alias("order"))
+        offers = active.join(best, [*keys, "cx", "cy", "order"])
+        met = active.join(around(offers.select(*keys, "cx", "cy", *placed)).select(*keys, "cx", "cy", "ox", "oy", "offer"), [*keys, "cx", "cy"])
+        blocked = met.filter(near & (F.col("order") > F.col("offer"))).select(*keys, F.col("offer").alias("order")).distinct()
+        kept = cut_lineage(offers.join(blocked, [*keys, "order"], "left_anti").select(*active.columns))
+        covering = around(kept.select(*keys, "cx", "cy", *placed)).select(*keys, "cx", "cy", "ox", "oy")
+        covered = active.join(covering, [*keys, "cx", "cy"]).filter(near).select(*keys, "order").distinct()
+        settled = covered.union(kept.select(*keys, "order")).distinct()
+        active = cut_lineage(active.join(settled, [*keys, "order"], "left_anti").select(*active.columns))
         chosen = kept if chosen is None else chosen.union(kept)
-        if active.limit(1).count() == 0:
-            return cut_lineage(chosen.drop("cx", "cy", "order"))
-    raise RuntimeError("deduplication did not settle")
+    return candidates if chosen is None else chosen.drop("cx", "cy", "order")
 
 
 def greedy_dedup(
-    candidates: DataFrame, radius: float, keys: Sequence[str] = ("volume_id",), bound: int | None = None,
-    fold_limit: int = FOLD_LIMIT,
+    candidates: DataFrame, radius: float, keys: Sequence[str] = ("volume_id",), rounds: bool = False
 ) -> DataFrame:
     """Strongest first, keep a candidate unless a kept one is strictly closer than the radius.
 
     Candidates have ``strength`` (descending), ``tie`` (ascending, unique) and a
-    position.  Sequential by nature, so not an anti-join of pairs.  ``bound`` is a
-    proven limit of candidates per group; where it is small a fold per group is
-    enough.  Otherwise groups are counted, and large ones go by rounds.
+    position.  Sequential by nature, so not an anti-join of pairs.  A group is a
+    volume, whose lattice bounds its candidates, and is decided in one task in time linear in them.
+    ``rounds`` is for callers whose groups have no such bound.
     """
-    if bound is not None and bound <= fold_limit:
-        return _fold(candidates, keys, radius)
-    held = cut_lineage(candidates)
-    sizes = held.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    large = cut_lineage(sizes.filter(F.col("__n") > fold_limit).select(*keys))
-    if large.limit(1).count() == 0:
-        return _fold(held, keys, radius)
-    small = _fold(held.join(large, list(keys), "left_anti"), keys, radius)
-    return small.unionByName(_cell_rounds(held.join(large, list(keys), "left_semi"), keys, radius))
+    if rounds:
+        return _rounds(candidates, keys, radius)
+    return candidates.groupBy(*keys).applyInPandas(_choose(radius), candidates.schema)
 
 
 CORE_COLUMNS = ("volume_id", "label", "x_m", "y_m", "mean_dbz", "max_dbz", "pixel_count", "range_m")
@@ -173,8 +163,7 @@ def cores(
     """Convective cores of every volume."""
     found = core_candidates(colmax, lattice, rhohv, t)
     ranked = found.withColumns({"strength": F.round("mean_dbz", STRENGTH_DIGITS), "tie": F.col("label")})
-    bound = lattice.ny * lattice.nx // (min(t.min_pixels, t.min_pixels_updraft) + 1)
-    return greedy_dedup(ranked, t.dedup_radius_m, bound=bound).select(*CORE_COLUMNS)
+    return greedy_dedup(ranked, t.dedup_radius_m).select(*CORE_COLUMNS)
 
 
 def top_candidates(
@@ -219,8 +208,7 @@ def tops(
         "strength": F.round("altitude_m", STRENGTH_DIGITS),
         "tie": F.col("level_index").cast("bigint") * plane + F.col("label"),
     })
-    bound = lattice.nz * plane // (t.min_pixels + 1)
-    return greedy_dedup(ranked, t.dedup_radius_m, bound=bound).select(*TOP_COLUMNS)
+    return greedy_dedup(ranked, t.dedup_radius_m).select(*TOP_COLUMNS)
 
 
 def with_lonlat(found: DataFrame, sites: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from echolattice.config import ColmaxThresholds, CoreThresholds, Lattice, TopThresholds
 from echolattice.operators import detect, filters, gridding, volumes
-from echolattice.session import cut_lineage
+from echolattice.session import stored
 
 
 def filtered_voxels(gates: DataFrame, pairs: DataFrame, lattice: Lattice, field: str = "DBZH") -> DataFrame:
@@ -76,11 +76,11 @@ def field_products(
 def detection_voxels(
     gates: DataFrame, pairs: DataFrame, lattice: Lattice, rhohv_hole: Column | None = None
 ) -> DataFrame:
-    """Reflectivity after the column-maximum chain (``value``) with RhoHV beside it."""
-    bad = filters.colmax_filter(gates).excluded
-    return gridding.grid_fields(
-        gates, pairs, lattice, {"value": ("DBZH", bad), "rhohv": ("RHOHV", rhohv_hole)}
-    )
+    """Reflectivity as measured (``value``), no gate filtered, with RhoHV beside it where the table has it."""
+    wanted: dict[str, tuple[str, Column | None]] = {"value": ("DBZH", None)}
+    if "RHOHV" in gates.columns:
+        wanted["rhohv"] = ("RHOHV", rhohv_hole)
+    return gridding.grid_fields(gates, pairs, lattice, wanted)
 
 
 def rhohv_surface(voxels: DataFrame, lattice: Lattice, lowest: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def rhohv_surface(voxels: DataFrame, lattice: Lattice, lowest: DataFrame) -> Dat
 def cores_and_tops(
     voxels: DataFrame,
     lattice: Lattice,
-    lowest: DataFrame,
+    lowest: DataFrame | None,
     sites: DataFrame,
     core_limits: CoreThresholds = CoreThresholds(),
     top_limits: TopThresholds = TopThresholds(),
@@ -101,13 +101,19 @@ def cores_and_tops(
     """Cores and tops of every volume as features with longitude and latitude.
 
     ``voxels`` come from :func:`detection_voxels`; cores judge RhoHV on the beam
-    surface of the lowest sweep (``lowest``: volume_id, elevation).  Column maximum,
-    beam surface and tops all read the voxels, so these are stored once: gates are
-    scanned and joined to the map a single time.
+    surface of the lowest sweep (``lowest``: volume_id, elevation), or on the lowest level without one; where
+    the volumes have no RhoHV both go on without its gate.  Column maximum,
+    beam surface and tops all read the voxels, so these are stored once, by column: gates are
+    scanned and joined to the map a single time, and each reader takes the columns and rows it needs.
     """
-    voxels = cut_lineage(voxels)
-    colmax = gridding.mask_below(gridding.column_aggregate(voxels, lattice), ColmaxThresholds.floor_dbz)
-    surface = rhohv_surface(voxels, lattice, lowest)
+    voxels = stored(voxels, "voxels")
+    colmax = gridding.column_aggregate(voxels, lattice)
+    rhohv = "rhohv" if "rhohv" in voxels.columns else None
+    surface = None
+    if rhohv and lowest is not None:
+        surface = rhohv_surface(voxels, lattice, lowest)
+    elif rhohv:
+        surface = gridding.level_slice(voxels.drop("value").withColumnRenamed("rhohv", "value"), [0])
     cores = detect.with_lonlat(detect.cores(colmax, lattice, surface, core_limits), sites)
-    tops = detect.with_lonlat(detect.tops(voxels, lattice, "rhohv", top_limits), sites)
+    tops = detect.with_lonlat(detect.tops(voxels, lattice, rhohv, top_limits), sites)
     return detect.features(cores, tops)

@@ -67,7 +67,7 @@ def test_labelling_of_images(spark, wrap, in_task):
     rows = [(v, int(r), int(c)) for v, m in masks.items() for r, c in zip(*np.nonzero(m))]
     pixels = inline_table(spark, ("volume_id", "iy", "ix"), rows)
     found = components.label_components(
-        pixels, ["volume_id"], 12, 15, wrap=wrap, runs_per_task=10**6 if in_task else 0
+        pixels, ["volume_id"], 12, 15, wrap=wrap, rounds=not in_task
     ).collect()
     expected = {(v, r, c): mark for v, m in masks.items() for (r, c), mark in flood(m, wrap).items()}
     assert {(f.volume_id, f.iy, f.ix): f.label for f in found} == expected
@@ -98,8 +98,8 @@ def greedy(points, radius):
     return {p[:3] for p in kept}
 
 
-@pytest.mark.parametrize("limit", [10**6, 0, 60])
-def test_greedy_choice_is_sequential(spark, limit):
+@pytest.mark.parametrize("rounds", [False, True])
+def test_greedy_choice_is_sequential(spark, rounds):
     rng = np.random.default_rng(11)
     points = [
         (v, float(rng.integers(0, 6)), i, float(x), float(y))
@@ -107,7 +107,7 @@ def test_greedy_choice_is_sequential(spark, limit):
         for i, (x, y) in enumerate(rng.uniform(0, 100, (n, 2)))
     ]
     table = inline_table(spark, ("volume_id", "strength", "tie", "x_m", "y_m"), points)
-    found = detect.greedy_dedup(table, 15.0, fold_limit=limit).collect()
+    found = detect.greedy_dedup(table, 15.0, rounds=rounds).collect()
     expected = set().union(*(greedy([p for p in points if p[0] == v], 15.0) for v in (1, 2)))
     assert {(f.volume_id, f.strength, f.tie) for f in found} == expected
     assert len(found) == len(expected)
@@ -116,11 +116,25 @@ def test_greedy_choice_is_sequential(spark, limit):
 def test_dropped_candidate_does_not_drop_others(spark):
     chain = [(1, 3.0, 0, 0.0, 0.0), (1, 2.0, 1, 8.0, 0.0), (1, 1.0, 2, 16.0, 0.0)]
     table = inline_table(spark, ("volume_id", "strength", "tie", "x_m", "y_m"), chain)
-    for limit in (100, 0):
-        kept = {r.tie for r in detect.greedy_dedup(table, 10.0, fold_limit=limit).collect()}
+    for rounds in (False, True):
+        kept = {r.tie for r in detect.greedy_dedup(table, 10.0, rounds=rounds).collect()}
         assert kept == {0, 2}
 
 
+def test_a_ramp_of_separate_candidates_settles_at_once(spark, monkeypatch):
+    """None is near another, so none waits for another, however many there are."""
+    ramp = spark.range(2000).select(
+        F.lit(1).alias("volume_id"), F.col("id").cast("double").alias("strength"), F.col("id").alias("tie"),
+        (F.col("id") * 1000.0).alias("x_m"), F.lit(0.0).alias("y_m"),
+    )
+    cuts = []
+    cut = detect.cut_lineage
+    monkeypatch.setattr(detect, "cut_lineage", lambda df: cuts.append(1) or cut(df))
+    assert detect.greedy_dedup(ramp, 900.0, rounds=True).count() == 2000
+    assert len(cuts) == 3
+    assert detect.greedy_dedup(ramp, 900.0).count() == 2000
+
+
 GRID = Lattice(nz=4, ny=20, nx=20, z_limits=(3000.0, 12000.0), y_limits=(-100e3, 100e3), x_limits=(-100e3, 100e3))
 X = np.linspace(-100e3, 100e3, 20)
 

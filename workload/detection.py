@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from echolattice.operators import components as labels
-from echolattice.operators import detect, volumes
+from echolattice.operators import detect, gridding, volumes
 from echolattice.plans import products
 from workload import grids, tables
 from workload.registry import register
@@ -21,22 +21,29 @@ components("strong_lab", "strong", 41)
 table("dvox", ("map1", "gates"), """
   SELECT g.volume_id, m.voxel_id, CAST(m.voxel_id // 1681 AS INT) AS iz, CAST((m.voxel_id % 1681) // 41 AS INT) AS iy,
          CAST(m.voxel_id % 41 AS INT) AS ix,
-         CASE WHEN NOT (elevation < 0.65 OR RHOHV < 0.8 OR WRAD > 4.6 OR ZDR > 8.5) THEN DBZH END AS value,
+         DBZH AS value,
          CASE WHEN NOT gate % 9 = 0 THEN RHOHV END AS rhohv
   FROM gates g JOIN map1 m USING (gate_id)""")
+table("strong_raw", ("dvox",), """SELECT volume_id AS img, iy AS r, ix AS c, max(value) AS value FROM dvox
+  WHERE value IS NOT NULL GROUP BY 1, 2, 3 HAVING max(value) >= 52""")
+components("strong_raw_lab", "strong_raw", 41)
 table("rho_ppi", ("dvox",), surface("(SELECT * FROM dvox WHERE rhohv IS NOT NULL) g", "0.5::DOUBLE", "rhohv"))
 
-table("blobs", ("strong", "strong_lab", "rho_ppi"), f"""
-  SELECT s.img AS volume_id, CAST(label AS BIGINT) AS label, count(*) AS pixel_count, {XY}, avg(m.value) AS mean_dbz,
+BLOBS = """
+  SELECT s.img AS volume_id, CAST(label AS BIGINT) AS label, count(*) AS pixel_count, """ + XY + """, avg(m.value) AS mean_dbz,
          max(m.value) AS max_dbz, CASE WHEN count(q.value) = count(*) THEN round(avg(q.value), 6) END AS mean_rhohv
-  FROM strong_lab s JOIN strong m ON m.img = s.img AND m.r*41 + m.c = s.p
-  LEFT JOIN rho_ppi q ON q.volume_id = s.img AND q.iy*41 + q.ix = s.p GROUP BY 1, 2""")
+  FROM {0}_lab s JOIN {0} m ON m.img = s.img AND m.r*41 + m.c = s.p
+  LEFT JOIN rho_ppi q ON q.volume_id = s.img AND q.iy*41 + q.ix = s.p GROUP BY 1, 2"""
+table("blobs", ("strong", "strong_lab", "rho_ppi"), BLOBS.format("strong"))
+table("raw_blobs", ("strong_raw", "strong_raw_lab", "rho_ppi"), BLOBS.format("strong_raw"))
 
-table("core_cand", ("blobs",), """
+CORE_CAND = """
   SELECT *, sqrt(x_m*x_m + y_m*y_m) AS range_m,
          row_number() OVER (PARTITION BY volume_id ORDER BY round(mean_dbz, 5) DESC, label) AS rk
-  FROM blobs WHERE pixel_count > 1 AND sqrt(x_m*x_m + y_m*y_m) >= 12000
-    AND ((pixel_count > 2 AND coalesce(mean_rhohv > 0.85, false)) OR (max_dbz > 56 AND pixel_count > 5))""")
+  FROM raw_blobs WHERE pixel_count > 1 AND sqrt(x_m*x_m + y_m*y_m) >= 12000
+    AND ({0} OR (max_dbz > 56 AND pixel_count > 5))"""
+table("core_cand", ("raw_blobs",), CORE_CAND.format("(pixel_count > 2 AND coalesce(mean_rhohv > 0.85, false))"))
+table("core_cand_bare", ("raw_blobs",), CORE_CAND.format("false"))
 
 
 def dedup(name: str, candidates: str, radius: float) -> None:
@@ -55,6 +62,7 @@ def dedup(name: str, candidates: str, radius: float) -> None:
 
 
 dedup("core_keep", "core_cand", 8000.0)
+dedup("core_keep_bare", "core_cand_bare", 8000.0)
 dedup("core_keep_wide", "core_cand", 60000.0)
 
 table("high", ("dvox",), """
@@ -62,7 +70,7 @@ table("high", ("dvox",), """
     AND sqrt((-240000.0::DOUBLE + ix*12000.0::DOUBLE)*(-240000.0::DOUBLE + ix*12000.0::DOUBLE)
            + (-240000.0::DOUBLE + iy*12000.0::DOUBLE)*(-240000.0::DOUBLE + iy*12000.0::DOUBLE)) >= 25000""")
 components("high_lab", "high", 41)
-table("top_cand", ("high", "high_lab"), f"""
+TOP_CAND = f"""
   SELECT *, row_number() OVER (PARTITION BY volume_id ORDER BY altitude_m DESC, level_index, label) AS rk,
          round_even(altitude_m/1000, 1) AS altitude_km
   FROM (SELECT *, sqrt(x_m*x_m + y_m*y_m) AS range_m, level_index*3000.0::DOUBLE AS altitude_m FROM (
@@ -70,7 +78,10 @@ table("top_cand", ("high", "high_lab"), f"""
            count(*) AS pixel_count, {XY},
            CASE WHEN count(m.rhohv) = count(*) THEN round(avg(m.rhohv), 6) END AS mean_rhohv
     FROM high_lab s JOIN high m ON m.img = s.img AND m.r*41 + m.c = s.p GROUP BY 1, 2, 3) b) z
-  WHERE pixel_count > 2 AND altitude_m > 9000 AND range_m >= 25000 AND coalesce(mean_rhohv > 0.94, true)""")
+  WHERE pixel_count > 2 AND altitude_m > 9000 AND range_m >= 25000"""
+table("top_cand", ("high", "high_lab"), TOP_CAND + " AND coalesce(mean_rhohv > 0.94, true)")
+table("top_cand_bare", ("high", "high_lab"), TOP_CAND)
+dedup("top_keep_bare", "top_cand_bare", 17000.0)
 dedup("top_keep", "top_cand", 17000.0)
 
 
@@ -86,7 +97,7 @@ def _lowest(spark, sf):
 
 def _colmax_and_rhohv(spark, sf):
     voxels = detection_voxels(spark, sf)
-    return grids.colmax(spark, sf), products.rhohv_surface(voxels, LATTICE, _lowest(spark, sf))
+    return gridding.column_aggregate(voxels, LATTICE), products.rhohv_surface(voxels, LATTICE, _lowest(spark, sf))
 
 
 @register("label_components", query(("strong_lab",), """SELECT img AS volume_id, CAST(p // 41 AS INT) AS iy,
@@ -101,7 +112,7 @@ def label_components(spark, sf):
 def label_components_rounds(spark, sf):
     """The form for images too large for one task."""
     mask = grids.colmax(spark, sf).filter(F.col("value") >= 52)
-    return labels.label_components(mask, ["volume_id"], LATTICE.ny, LATTICE.nx, runs_per_task=0)
+    return labels.label_components(mask, ["volume_id"], LATTICE.ny, LATTICE.nx, rounds=True)
 
 
 _BLOB = "volume_id, label, pixel_count, round(x_m, 4) AS x_m, round(y_m, 4) AS y_m, round(mean_dbz + 1e-6, 4) AS mean_dbz, max_dbz"
@@ -146,13 +157,13 @@ _WIDE = query(("core_cand", "core_keep_wide"),
 @register("greedy_dedup", _WIDE)
 def greedy_dedup(spark, sf):
     """A wide radius, so that chains of candidates matter."""
-    return detect.greedy_dedup(_ranked(spark, sf), 60000.0, bound=LATTICE.ny * LATTICE.nx).select("volume_id", "label")
+    return detect.greedy_dedup(_ranked(spark, sf), 60000.0).select("volume_id", "label")
 
 
 @register("greedy_dedup_rounds", _WIDE)
 def greedy_dedup_rounds(spark, sf):
     """The form for groups too large to fold."""
-    return detect.greedy_dedup(_ranked(spark, sf), 60000.0, fold_limit=0).select("volume_id", "label")
+    return detect.greedy_dedup(_ranked(spark, sf), 60000.0, rounds=True).select("volume_id", "label")
 
 
 _TOP = """volume_id, level_index, label, round(x_m, 4) AS x_m, round(y_m, 4) AS y_m, altitude_m, altitude_km,
@@ -177,6 +188,7 @@ FEATURES = f"""SELECT volume_id, kind, level_index, label, round(x_m, 4) AS x_m,
           FROM core_cand JOIN core_keep USING (volume_id, rk) UNION ALL
           SELECT volume_id, 'top', level_index, label, x_m, y_m, NULL, CAST(altitude_m AS INT), pixel_count
           FROM top_cand JOIN top_keep USING (volume_id, rk)) f JOIN sites USING (volume_id)"""
+BARE_TABLES = ("core_cand_bare", "core_keep_bare", "top_cand_bare", "top_keep_bare", "sites")
 FEATURE_TABLES = ("core_cand", "core_keep", "top_cand", "top_keep", "sites")
 
 
@@ -189,3 +201,11 @@ def features(spark, sf):
 @register("cores_and_tops", query(FEATURE_TABLES, FEATURES))
 def cores_and_tops(spark, sf):
     return _rounded(features(spark, sf))
+
+
+@register("cores_and_tops_without_rhohv", query(BARE_TABLES, FEATURES.replace("core_cand", "core_cand_bare")
+          .replace("core_keep", "core_keep_bare").replace("top_cand", "top_cand_bare").replace("top_keep", "top_keep_bare")))
+def cores_and_tops_without_rhohv(spark, sf):
+    """Volumes whose files have no RhoHV: neither cores nor tops are judged by it."""
+    voxels = products.detection_voxels(tables.gates(spark, sf).drop("RHOHV"), grids.geometry(spark, sf), LATTICE)
+    return _rounded(products.cores_and_tops(voxels, LATTICE, _lowest(spark, sf), tables.sites(spark, sf)))
