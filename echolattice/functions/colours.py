@@ -37,29 +37,26 @@ _JET = {
     "blue": ((0.0, 0.5, 0.5), (0.11, 1, 1), (0.34, 1, 1), (0.65, 0, 0), (1, 0, 0)),
 }
 
-
-def _reflectivity(second: float, red_third: float, third: float) -> dict:
-    """The reflectivity family differs in the position of its second and third knots."""
-    tail = {
-        "red": ((0.55, 0.04, 0.04), (0.63, 0.95, 0.95), (0.85, 1, 1), (1, 1, 1)),
-        "green": ((0.55, 0.62, 0.62), (0.63, 1, 1), (0.85, 0, 0), (1, 0, 0)),
-        "blue": ((0.55, 0.27, 0.27), (0.63, 0, 0), (0.85, 0, 0), (1, 1, 1)),
-    }
-    return {
-        "red": ((0.0, 1, 1), (second, 0.95, 0.95), (third, 0.24, 0.24), (red_third, 0.22, 0.22), *tail["red"]),
-        "green": ((0.0, 1, 1), (second, 0.97, 0.97), (third, 0.46, 0.46), (third, 0.98, 0.98), *tail["green"]),
-        "blue": ((0.0, 1, 1), (second, 0.95, 0.95), (third, 0.78, 0.78), (third, 0.52, 0.52), *tail["blue"]),
-    }
-
-
 KNOTS = {
     "vrad": _V,
     "rho": _RHO,
-    "th": _reflectivity(0.33, 0.45, 0.4),
-    "th1": _reflectivity(0.2, 0.45, 0.4),
-    "th2": _reflectivity(0.25, 0.5, 0.5),
+    "th": {
+        "red": ((0.0, 1, 1), (0.33, 0.95, 0.95), (0.4, 0.24, 0.24), (0.45, 0.22, 0.22), (0.55, 0.04, 0.04), (0.63, 0.95, 0.95), (0.85, 1, 1), (1, 1, 1)),
+        "green": ((0.0, 1, 1), (0.33, 0.97, 0.97), (0.4, 0.46, 0.46), (0.4, 0.98, 0.98), (0.55, 0.62, 0.62), (0.63, 1, 1), (0.85, 0, 0), (1, 0, 0)),
+        "blue": ((0.0, 1, 1), (0.33, 0.95, 0.95), (0.4, 0.78, 0.78), (0.4, 0.52, 0.52), (0.55, 0.27, 0.27), (0.63, 0, 0), (0.85, 0, 0), (1, 1, 1)),
+    },
+    "th1": {
+        "red": ((0.0, 1, 1), (0.2, 0.95, 0.95), (0.4, 0.24, 0.24), (0.45, 0.22, 0.22), (0.55, 0.04, 0.04), (0.63, 0.95, 0.95), (0.85, 1, 1), (1, 1, 1)),
+        "green": ((0.0, 1, 1), (0.2, 0.97, 0.97), (0.4, 0.46, 0.46), (0.4, 0.98, 0.98), (0.55, 0.62, 0.62), (0.63, 1, 1), (0.85, 0, 0), (1, 0, 0)),
+        "blue": ((0.0, 1, 1), (0.2, 0.95, 0.95), (0.4, 0.78, 0.78), (0.4, 0.52, 0.52), (0.55, 0.27, 0.27), (0.63, 0, 0), (0.85, 0, 0), (1, 1, 1)),
+    },
+    "th2": {
+        "red": ((0.0, 1, 1), (0.25, 0.95, 0.95), (0.5, 0.24, 0.24), (0.5, 0.22, 0.22), (0.55, 0.04, 0.04), (0.63, 0.95, 0.95), (0.85, 1, 1), (1, 1, 1)),
+        "green": ((0.0, 1, 1), (0.25, 0.97, 0.97), (0.5, 0.46, 0.46), (0.5, 0.98, 0.98), (0.55, 0.62, 0.62), (0.63, 1, 1), (0.85, 0, 0), (1, 0, 0)),
+        "blue": ((0.0, 1, 1), (0.25, 0.95, 0.95), (0.5, 0.78, 0.78), (0.5, 0.52, 0.52), (0.55, 0.27, 0.27), (0.63, 0, 0), (0.85, 0, 0), (1, 1, 1)),
+    },
     "jet": _JET,
-}
+}
 
 
 def add_scale(name: str, knots: dict) -> None:
@@ -69,19 +66,18 @@ def add_scale(name: str, knots: dict) -> None:
     KNOTS[name] = knots
 
 # --- fixed values: listed scales ------------------------------------------
-_CSS = {
-    "White": "#ffffff", "LightBlue": "#add8e6", "MediumBlue": "#0000cd", "DarkOrange": "#ff8c00",
-    "LightPink": "#ffb6c1", "Cyan": "#00ffff", "DarkGray": "#a9a9a9", "Lime": "#00ff00", "Yellow": "#ffff00",
-    "Red": "#ff0000", "Fuchsia": "#ff00ff",
-}
 LISTED = {
     "zdr": ("#b7b7b7", "#0055ff", "#66b3df", "#00ffff", "#489d39", "#f9ea3c", "#ff078b"),
     "hscan": (
         "#adccff", "#3f88ff", "#0060ff", "#ffd77c", "#ffaf00", "#ff601c", "#ff6363", "#ff4242", "#fc2f2f", "#ff1c1c",
         "#ff0000", "#f4a5ff", "#e168f2", "#e635ff", "#bd00d8", "#7c008e", "#b2b2b2", "#898989", "#5b5b5b", "#262525",
     ),
-    "hid_flCSU": tuple(_CSS.values()),
-    "hid_ss": tuple(_CSS.values())[:-1],
+    "hid_flCSU": (
+        "#ffffff", "#add8e6", "#0000cd", "#ff8c00", "#ffb6c1", "#00ffff", "#a9a9a9", "#00ff00", "#ffff00", "#ff0000", "#ff00ff",
+    ),
+    "hid_ss": (
+        "#ffffff", "#add8e6", "#0000cd", "#ff8c00", "#ffb6c1", "#00ffff", "#a9a9a9", "#00ff00", "#ffff00", "#ff0000",
+    ),
 }
 
 

@@ -166,7 +166,9 @@ def nearest_gate_of(pairs: DataFrame) -> DataFrame:
 
     The packed minimum combines map-side, so about one row per voxel is shuffled.
     """
-    packed = F.floor(F.col("d2")) * F.lit(GATE_SLOTS) + F.col("gate_id")
+    fits = F.col("gate_id").between(0, GATE_SLOTS - 1)
+    gate = F.when(fits, F.col("gate_id")).otherwise(F.raise_error(F.lit("a gate index does not fit beside the distance")).cast("bigint"))
+    packed = F.floor(F.col("d2")) * F.lit(GATE_SLOTS) + gate
     best = pairs.groupBy("geometry_id", "voxel_id").agg(F.min(packed).alias("best"))
     return best.select(
         "geometry_id",

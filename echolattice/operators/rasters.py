@@ -117,7 +117,7 @@ def overviews(pixels: DataFrame, method: str = "average", factors: Sequence[int]
     combine = {
         "average": lambda: F.avg("value"),
         "rms": lambda: F.sqrt(F.avg(F.col("value") * F.col("value"))),
-        "nearest": lambda: F.min_by("value", F.col("iy") * (1 << 24) + F.col("ix")),
+        "nearest": lambda: F.min_by("value", F.struct("iy", "ix")),
         "mode": lambda: F.mode("value", deterministic=True),
     }
     if method not in combine:

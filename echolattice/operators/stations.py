@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from echolattice.functions import geomath
 
 CELL_DEG = 4.0
+# Cells of longitude go round: the one past the last is the first.
+CELLS_ROUND = int(360 / CELL_DEG)
 
 
 def stations_in_reach(stations: DataFrame, radars: DataFrame) -> DataFrame:
@@ -23,15 +25,15 @@ def stations_in_reach(stations: DataFrame, radars: DataFrame) -> DataFrame:
     d_lon = reach_km / (110.0 * F.greatest(F.cos(F.radians(F.abs("site_lat") + d_lat)), F.lit(0.05)))
 
     def cells(value, spread):
-        return F.explode(
-            F.sequence(F.floor((value - spread) / CELL_DEG), F.floor((value + spread) / CELL_DEG))
-        )
+        return F.sequence(F.floor((value - spread) / CELL_DEG), F.floor((value + spread) / CELL_DEG))
 
-    offered = radars.withColumn("cx", cells(F.col("site_lon"), d_lon)).withColumn(
-        "cy", cells(F.col("site_lat"), d_lat)
-    )
+    def wrapped(cell):
+        return F.pmod(cell, F.lit(CELLS_ROUND).cast("bigint"))
+
+    columns = F.array_distinct(F.transform(cells(F.col("site_lon"), d_lon), wrapped))
+    offered = radars.withColumn("cx", F.explode(columns)).withColumn("cy", F.explode(cells(F.col("site_lat"), d_lat)))
     placed = stations.withColumns(
-        {"cx": F.floor(F.col("lon") / CELL_DEG), "cy": F.floor(F.col("lat") / CELL_DEG)}
+        {"cx": wrapped(F.floor(F.col("lon") / CELL_DEG)), "cy": F.floor(F.col("lat") / CELL_DEG)}
     )
     met = placed.join(offered, ["cx", "cy"]).drop("cx", "cy")
     azimuth, distance = geomath.bearing_range(F.col("site_lon"), F.col("site_lat"), F.col("lon"), F.col("lat"))

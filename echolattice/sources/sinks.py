@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from echolattice.functions.colours import Scale
 from echolattice.operators.rasters import FACTORS, overviews, value_range
 
-VOLUME_PARTITIONS = ("radar", "year", "month", "day", "hour")
+VOLUME_PARTITIONS = ("radar", "year", "month", "day", "hour", "volume_id")
 
 
-def write_volumes(gates: DataFrame, path: str, obs_ts: str = "obs_ts", mode: str = "overwrite") -> None:
-    """Gate rows by radar and hour; rows of one hour are gathered, one volume after another.
+def _replace(df: DataFrame, partitions: tuple[str, ...]):
+    """A writer that replaces the partitions it writes and leaves all others as they are."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
 
-    Partitions are spread by volume as well, so a radar with a third of all rows
+
+def write_volumes(gates: DataFrame, path: str, obs_ts: str = "obs_ts") -> None:
+    """Gate rows by radar, hour and volume.  A volume written again replaces itself; others stay.
+
+    Partitions are spread by volume, so a radar with a third of all rows
     is written by many tasks.
     """
     dated = gates.withColumns({
         "year": F.date_format(obs_ts, "yyyy"), "month": F.date_format(obs_ts, "MM"),
         "day": F.date_format(obs_ts, "dd"), "hour": F.date_format(obs_ts, "HH"),
     })
-    (
-        dated.repartition(*VOLUME_PARTITIONS, "volume_id")
-        .sortWithinPartitions(*VOLUME_PARTITIONS, "volume_id", "gate_id")
-        .write.mode(mode)
-        .partitionBy(*VOLUME_PARTITIONS)
-        .parquet(path)
-    )
+    ordered = dated.repartition(*VOLUME_PARTITIONS).sortWithinPartitions(*VOLUME_PARTITIONS, "gate_id")
+    _replace(ordered, VOLUME_PARTITIONS).parquet(path)
 
 
 def feature_collections(features: DataFrame, volumes: DataFrame) -> DataFrame:
@@ -62,11 +62,10 @@ def feature_collections(features: DataFrame, volumes: DataFrame) -> DataFrame:
     )
 
 
-def write_features(collections: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Compact collections as text, one line per volume, by day."""
-    collections.select(F.translate("folder", "/", "-").alias("day"), F.col("geojson").alias("value")).write.mode(
-        mode
-    ).partitionBy("day").text(path)
+def write_features(collections: DataFrame, path: str) -> None:
+    """Compact collections as text, by day and volume; a volume written again replaces itself."""
+    lines = collections.select(F.translate("folder", "/", "-").alias("day"), "volume_id", F.col("geojson").alias("value"))
+    _replace(lines, ("day", "volume_id")).text(path)
 
 
 def tile_table(
@@ -87,14 +86,19 @@ def tile_table(
     return tiled.join(value_range(pixels, vmin, vmax), "volume_id")
 
 
-TILE_PARTITIONS = ("product", "zoom", "tile_y", "tile_x")
+TILE_PARTITIONS = ("product", "volume_id", "zoom")
 
 
-def write_tiles(tiles: DataFrame, path: str, mode: str = "overwrite") -> None:
-    (
-        tiles.repartition(*TILE_PARTITIONS, "volume_id")
-        .sortWithinPartitions(*TILE_PARTITIONS, "volume_id", "iy", "ix")
-        .write.mode(mode)
-        .partitionBy(*TILE_PARTITIONS)
-        .parquet(path)
-    )
+def write_tiles(tiles: DataFrame, path: str) -> None:
+    """Pixels by product, volume and zoom, in order of tiles; a volume written again replaces itself."""
+    ordered = tiles.repartition(*TILE_PARTITIONS).sortWithinPartitions(*TILE_PARTITIONS, "tile_y", "tile_x", "iy", "ix")
+    _replace(ordered, TILE_PARTITIONS).parquet(path)
+
+
+def read_window(
+    spark: SparkSession, path: str, product: str, zoom: int, rows: tuple[int, int], cols: tuple[int, int], tile: int = 256
+) -> DataFrame:
+    """A rectangle (inclusive, in pixels of the zoom level) of stored tiles; only tiles it touches are read."""
+    stored = spark.read.parquet(path).filter((F.col("product") == product) & (F.col("zoom") == zoom))
+    touched = stored.filter(F.col("tile_y").between(rows[0] // tile, rows[1] // tile) & F.col("tile_x").between(cols[0] // tile, cols[1] // tile))
+    return touched.filter(F.col("iy").between(*rows) & F.col("ix").between(*cols))

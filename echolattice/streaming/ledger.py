@@ -19,34 +19,56 @@ VOLUME = ("radar", "strategy", "vol_nr", "obs_ts")
 DEFAULT_DELAY = f"{RESUME_BUFFER_MINUTES} minutes"
 
 
-def stream_dedup(arrivals: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Each file name once within the watermark."""
-    return arrivals.withWatermark("obs_ts", delay).dropDuplicatesWithinWatermark(["filename"])
+def dedup_sink(path: str):
+    """A batch sink that keeps each file name once, however late a copy or a first arrival comes.
+
+    What is stored is itself the memory, by day of observation, so a batch is compared
+    with the days it touches only, no state grows and no watermark drops rows.  A batch
+    that is replayed ignores and overwrites its own earlier rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        dated = batch.dropDuplicates(["filename"]).withColumn("obs_day", F.date_format("obs_ts", "yyyy-MM-dd"))
+        schema = dated.schema.add("batch_id", "long")
+        spark.createDataFrame([], schema).write.mode("append").partitionBy("obs_day", "batch_id").parquet(path)
+        days = [r[0] for r in dated.select("obs_day").distinct().collect()]  # the days of one batch
+        stored = spark.read.schema(schema).parquet(path).filter((F.col("batch_id") != batch_id) & F.col("obs_day").isin(days))
+        fresh = dated.join(stored.select("filename"), "filename", "left_anti").withColumn("batch_id", F.lit(batch_id).cast("long"))
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("obs_day", "batch_id").parquet(path)
+
+    return write
 
 
-def stream_volumes(arrivals: DataFrame, expected: Sequence[str], delay: str) -> DataFrame:
+def stream_volumes(arrivals: DataFrame, expected: Sequence[str] | DataFrame, delay: str) -> DataFrame:
     """Field sets of volumes as they grow (update mode).
 
+    ``expected``: fields of every volume, or a catalogue of them by strategy and vol_nr (``expected``
+    sorted), as kinds of volumes have fields of their own; volumes it does not list are left out.
     The observation time is part of the key, so a volume's state is dropped once
     the watermark has passed it.  A field that arrives in time reopens its volume.
     """
-    wanted = F.array_sort(F.array(*[F.lit(f) for f in expected]))
     sets = (
         arrivals.filter(F.col("status") == "completed")
         .withWatermark("obs_ts", delay)
         .groupBy(*VOLUME)
         .agg(F.array_sort(F.collect_set("field")).alias("downloaded"))
     )
+    if isinstance(expected, DataFrame):
+        sets = sets.join(expected, ["strategy", "vol_nr"])
+    else:
+        sets = sets.withColumn("expected", F.array_sort(F.array(*[F.lit(f) for f in expected])))
     return sets.select(
-        *VOLUME, "downloaded", (F.col("downloaded") == wanted).alias("is_complete"),
-        F.array_except(wanted, "downloaded").alias("missing"),
+        *VOLUME, "downloaded", (F.col("downloaded") == F.col("expected")).alias("is_complete"),
+        F.array_except("expected", "downloaded").alias("missing"),
     )
 
 
-def stream_timed_out(arrivals: DataFrame, expected: Sequence[str], delay: str) -> DataFrame:
+def stream_timed_out(arrivals: DataFrame, expected: Sequence[str] | DataFrame, delay: str) -> DataFrame:
     """Volumes once, when the watermark passes them, with the fields at hand (append mode).
 
     A volume that is not complete by then is given up with ``is_complete`` false.
+    Volumes of the last ``delay`` of a stream that ends are not behind its watermark and stay open.
     """
     return stream_volumes(arrivals, expected, delay)
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from echolattice.config import Lattice
 from echolattice.functions.inline import inline_table
-from echolattice.sources import files, geometry_store
+from echolattice.functions.colours import Scale
+from echolattice.operators import stations
+from echolattice.sources import files, geometry_store, sinks
 from echolattice.session import cut_lineage, shared_folder
 
 NAMES = (
@@ -72,3 +74,32 @@ def test_lineage_is_cut_in_the_shared_folder(spark):
     assert shared_folder(spark) == shared_folder(spark)
     cut = cut_lineage(spark.range(10).filter("id % 2 = 0"))
     assert cut.count() == 5 and "Filter" not in cut._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_second_write_keeps_the_first_volume(spark):
+    path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    gates = inline_table(spark, ("volume_id", "radar", "gate_id", "DBZH"), [(1, "A", 0, 1.0), (1, "A", 1, 2.0), (2, "A", 0, 3.0)])
+    gates = gates.withColumn("obs_ts", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    for volume in (1, 2, 2):
+        sinks.write_volumes(gates.filter(F.col("volume_id") == volume), path)
+    assert sorted((r.volume_id, r.DBZH) for r in spark.read.parquet(path).collect()) == [(1, 1.0), (1, 2.0), (2, 3.0)]
+
+
+def test_window_of_stored_tiles(spark):
+    path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    pixels = spark.range(300 * 40).select(
+        F.lit(1).alias("volume_id"), F.floor(F.col("id") / 40).cast("int").alias("iy"), (F.col("id") % 40).cast("int").alias("ix"), F.col("id").cast("double").alias("value")
+    )
+    for method in ("nearest", "average"):
+        sinks.write_tiles(sinks.tile_table(pixels, "COLMAX", Scale("th"), tile=16, method=method), path)
+        found = sinks.read_window(spark, path, "COLMAX", 2, (70, 100), (3, 5), tile=16).collect()
+        offset = {"nearest": 0.0, "average": 20.5}[method]
+        expected = {(y, x): 2 * y * 40 + 2 * x + offset for y in range(70, 101) for x in range(3, 6)}
+        assert {(r.iy, r.ix): r.value for r in found} == expected
+
+
+def test_stations_on_both_sides_of_the_date_line(spark):
+    radars = inline_table(spark, ("radar", "site_lon", "site_lat", "nrays", "ngates", "gate_size", "gate_offset"), [("R", 179.4, -10.0, 360, 480, 500, 500)])
+    places = inline_table(spark, ("station", "lon", "lat"), [("west", 179.5, -10.0), ("east", -179.5, -10.0), ("far", -170.0, -10.0)])
+    found = stations.stations_in_reach(places, radars).collect()
+    assert sorted(r.station for r in found) == ["east", "west"]

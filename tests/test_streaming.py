@@ -44,11 +44,15 @@ def test_volumes_are_given_up_behind_the_watermark(spark):
     assert [(r.downloaded, r.is_complete) for r in done] == [(["DBZH"], False)], "the late field comes too late"
 
 
-def test_files_are_taken_once(spark):
-    rows = arrivals(spark, [(1, "DBZH", "00:00:00", "00:01:00"), (2, "DBZH", "00:00:00", "00:02:00"), (3, "ZDR", "00:00:00", "00:03:00")])
-    stream, path = staged(spark, rows, ([1], [2, 3]))
-    once = runner.collected(spark, live.stream_dedup(stream).select("filename"), path)
-    assert sorted(r.filename for r in once.collect()) == ["DBZH-00:00:00", "ZDR-00:00:00"]
+def test_files_are_taken_once_however_late(spark):
+    """The third batch brings a copy and a first arrival far behind the newest observation; a replay changes nothing."""
+    rows = arrivals(spark, [(1, "DBZH", "00:00:00", "00:01:00"), (2, "DBZH", "20:00:00", "20:02:00"), (3, "DBZH", "00:00:00", "20:03:00"), (4, "ZDR", "00:00:00", "20:04:00")])
+    stream, path = staged(spark, rows, ([1], [2], [3, 4]))
+    sink = live.dedup_sink(f"{path}/files")
+    runner.drain(stream, sink, f"{path}/checkpoint")
+    sink(rows.filter("event_id = 2"), 1)
+    names = sorted(r.filename for r in spark.read.parquet(f"{path}/files").collect())
+    assert names == ["DBZH-00:00:00", "DBZH-20:00:00", "ZDR-00:00:00"]
 
 
 def test_order_is_followed_across_batches(spark):

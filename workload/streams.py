@@ -29,19 +29,26 @@ BY_TIME = "CASE WHEN created_ts < '2024-01-11' THEN 0 WHEN created_ts < '2024-01
 BY_EVENT = "CAST(event_id % 3 AS INT)"
 
 
+#: Files of a batch.
+FILES = 4
+
+
 def staged_stream(spark, sf, stage: str = BY_TIME):
     """The same arrivals in three batches, by time of arrival unless told otherwise."""
     path = folder(spark, "arrivals")
     log = tables.arrivals(spark, sf)
     for batch in range(3):
-        log.filter(F.expr(stage) == batch).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        log.filter(F.expr(stage) == batch).repartition(FILES).write.mode("append").parquet(path)
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
 @register("stream_dedup", query(("arrivals",), "SELECT DISTINCT filename, radar, field FROM arrivals"))
 def stream_dedup(spark, sf):
-    once = live.stream_dedup(events_stream(spark, sf)).select("filename", "radar", "field")
-    return runner.collected(spark, once, folder(spark, "dedup")).drop("batch_id")
+    """Copies and first arrivals come in several batches, in no order of observation."""
+    path = folder(spark, "dedup")
+    arrivals = staged_stream(spark, sf, BY_EVENT).select("filename", "radar", "field", "obs_ts")
+    runner.drain(arrivals, live.dedup_sink(f"{path}/files"), f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/files").select("filename", "radar", "field")
 
 
 _SETS = """SELECT radar, vol_nr, obs_s, array_to_string(downloaded, ',') AS downloaded,
@@ -56,11 +63,24 @@ def _set_row(df):
 
 @register("stream_volumes", query(("arrivals",), _SETS))
 def stream_volumes(spark, sf):
-    sets = live.stream_volumes(staged_stream(spark, sf), tables.EXPECTED, LONG)
+    catalogue = ledger.catalogue_table(tables.read(spark, sf, "events"), {"0315": {"01": tables.EXPECTED, "02": tables.EXPECTED}})
+    sets = live.stream_volumes(staged_stream(spark, sf), catalogue, LONG)
     rows = runner.collected(spark, sets, folder(spark, "volumes"), "update")
     return _set_row(runner.latest_state(rows, list(live.VOLUME)))
 
 
+@register("stream_volume_kinds", query(("arrivals",), """SELECT radar, vol_nr, obs_s, array_to_string(downloaded, ',') AS downloaded,
+    downloaded = CASE vol_nr WHEN '01' THEN ['DBZH','DBZV','KDP','RHOHV','ZDR'] ELSE ['DBZH','ZDR'] END AS is_complete
+    FROM (SELECT radar, vol_nr, obs_s, list_sort(list_distinct(list(field))) AS downloaded FROM arrivals
+          WHERE status = 'completed' GROUP BY ALL) q"""))
+def stream_volume_kinds(spark, sf):
+    """Volumes of the second kind have two fields only."""
+    catalogue = ledger.catalogue_table(tables.read(spark, sf, "events"), {"0315": {"01": tables.EXPECTED, "02": ["DBZH", "ZDR"]}})
+    sets = live.stream_volumes(staged_stream(spark, sf, BY_EVENT), catalogue, LONG)
+    rows = runner.collected(spark, sets, folder(spark, "kinds"), "update")
+    return _set_row(runner.latest_state(rows, list(live.VOLUME)))
+
+
 @register("stream_incomplete_timeout", query(("arrivals",), f"""SELECT * FROM ({_SETS}) s
     WHERE obs_s <= (SELECT max(obs_s) FROM arrivals WHERE status = 'completed') - 86400*2"""))
 def stream_incomplete_timeout(spark, sf):
@@ -127,8 +147,8 @@ def stream_products(spark, sf):
     path = folder(spark, "products")
     done = tables.sweeps(spark, sf).select("volume_id").distinct()
     for part in (0, 1):
-        done.filter(F.col("volume_id") % 2 == part).coalesce(1).write.mode("append").parquet(f"{path}/done")
-    ids = spark.readStream.schema(done.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/done")
+        done.filter(F.col("volume_id") % 2 == part).repartition(FILES).write.mode("append").parquet(f"{path}/done")
+    ids = spark.readStream.schema(done.schema).option("maxFilesPerTrigger", FILES).parquet(f"{path}/done")
     sink = live_products.product_sink(tables.gates(spark, sf), grids.geometry(spark, sf), tables.LATTICE, f"{path}/out")
     runner.drain(ids, sink, f"{path}/checkpoint")
     stored = spark.read.schema("iy int, ix int, value double, volume_id long").parquet(f"{path}/out")
