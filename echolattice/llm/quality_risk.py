@@ -3,8 +3,9 @@
 A rule rejects a document whose score for one kind of fault is at or over a cutoff.  For every
 stratum (language) and rule, the good documents of the labelled holdout that a
 candidate cutoff would reject are counted, and the exact (Clopper-Pearson) upper bound of
-the true share follows.  The lowest cutoff whose bound is under the limit is taken, a
-rule without such a cutoff stays off.  All candidates of all rules and strata
+the true share follows.  Of the cutoffs whose bound is under the limit, all of them safe, the one is taken that
+rejects most bad documents of the holdout, a good one counting against it ``PRICE`` times; a
+rule that has none, or none that pays, stays off.  All candidates of all rules and strata
 are fixed beforehand and tested at once, so the error probability is divided by their number (Bonferroni): with
 probability ``1 - ERROR`` no rule in any stratum rejects more than ``RISK / rules`` of the
 good documents, nor all rules together more than ``RISK``.
@@ -25,6 +26,8 @@ from echolattice.llm.common import cut, keyed, map_texts
 
 #: Share of good documents that may be rejected in a stratum, and probability that more are.
 RISK, ERROR = 0.06, 0.05
+#: Bad documents that one good document is worth in the choice among safe cutoffs.
+PRICE = 4
 #: Scores, each a share of 0 to 1, and candidate cutoffs for all of them.
 SCORES = ("symbol_words", "loud_words", "upper_letters", "repeated_words", "repeated_lines", "short_words")
 CUTOFFS = tuple(round(0.05 * i, 2) for i in range(1, 20))
@@ -132,12 +135,15 @@ def cutoffs(measured: DataFrame, labels: DataFrame) -> DataFrame:
     Good documents are those labelled quality 1; a document with several labels is good if one
     says so, labels without doc_id or quality count for nothing.
     """
-    good = labels.where("doc_id is not null and quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    holdout = measured.where("not base_failed").join(good, "doc_id")
-    step = CUTOFFS[0]
-    # For a score, the number of candidates it reaches; one aggregate then serves all cutoffs.
-    reached = [F.sum((F.col(s) >= c - 1e-12).cast("long")).alias(f"{s}_{i}") for s in SCORES for i, c in enumerate(CUTOFFS)]
-    counts = measured.select("stratum").distinct().join(holdout.groupBy("stratum").agg(F.count("*").alias("good"), *reached), "stratum", "left")
+    labelled = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    holdout = measured.where("not base_failed").join(labelled.agg((F.max("quality") == 1).alias("good")), "doc_id")
+    # One aggregate serves all cutoffs, for the good and for the bad.
+    reached = [
+        F.sum(((F.col(s) >= c - 1e-12) & (F.col("good") == good)).cast("long")).alias(f"{s}_{i}_{kind}")
+        for s in SCORES for i, c in enumerate(CUTOFFS) for kind, good in (("good", True), ("bad", False))
+    ]
+    n_good = F.sum(F.col("good").cast("long")).alias("good")
+    counts = measured.select("stratum").distinct().join(holdout.groupBy("stratum").agg(n_good, *reached), "stratum", "left")
     counts = cut(counts.fillna(0), "counts")
     tests = max(counts.count(), 1) * len(SCORES) * len(CUTOFFS)
     limit, error = RISK / len(SCORES), ERROR / tests
@@ -147,14 +153,15 @@ def cutoffs(measured: DataFrame, labels: DataFrame) -> DataFrame:
             out = {"stratum": frame["stratum"]}
             good = frame["good"].to_numpy()
             for s in SCORES:
-                best = np.full(len(frame), np.nan)
+                best, worth = np.full(len(frame), np.nan), np.zeros(len(frame))
                 for i in reversed(range(len(CUTOFFS))):
-                    bound = upper_bound(frame[f"{s}_{i}"].to_numpy(), good, error)
-                    best = np.where(bound <= limit, CUTOFFS[i], best)
+                    rejected, bad = frame[f"{s}_{i}_good"].to_numpy(), frame[f"{s}_{i}_bad"].to_numpy()
+                    pays = bad - PRICE * rejected > worth
+                    pays &= upper_bound(rejected, good, error) <= limit
+                    best, worth = np.where(pays, CUTOFFS[i], best), np.where(pays, bad - PRICE * rejected, worth)
                 out[f"cut_{s}"] = best
             yield pd.DataFrame(out)
 
-    assert step > 0
     return counts.mapInPandas(choose, "stratum string, " + ", ".join(f"cut_{s} double" for s in SCORES))
 
 
