@@ -5,7 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from echolattice.streaming import ledger as live
-from echolattice.streaming import runner
+from echolattice.streaming import products, runner
 from workload import tables
 from workload.ledger import seconds
 
@@ -98,3 +98,15 @@ def test_a_stream_without_rows_reads_back_empty(spark):
     rows.filter("event_id < 0").write.parquet(f"{path}/in")
     stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
     assert runner.collected(spark, stream.select("filename"), path).count() == 0
+
+
+def test_a_volume_done_again_replaces_itself_even_by_nothing(spark):
+    path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    gates = spark.createDataFrame([(1, 5.0), (2, 6.0)], "volume_id long, value double")
+    ids = lambda *v: spark.createDataFrame([(x,) for x in v], "volume_id long")
+    sink = products.product_sink(gates, {"all": lambda g: g}, path)
+    sink(ids(1, 2), 0)
+    sink(ids(1, 2), 0)
+    assert sorted(map(tuple, products.stored_products(spark, path, "all").collect())) == [(1, 5.0), (2, 6.0)]
+    products.product_sink(gates, {"all": lambda g: g.filter("value < 0")}, path)(ids(1), 1)
+    assert [tuple(r) for r in products.stored_products(spark, path, "all").collect()] == [(2, 6.0)]

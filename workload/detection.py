@@ -85,10 +85,9 @@ dedup("top_keep_bare", "top_cand_bare", 17000.0)
 dedup("top_keep", "top_cand", 17000.0)
 
 
-def detection_voxels(spark, sf):
-    return products.detection_voxels(
-        tables.gates(spark, sf), grids.geometry(spark, sf), LATTICE, rhohv_hole=F.col("gate") % 9 == 0
-    )
+def detection_voxels(spark, sf, gates=None):
+    gates = tables.gates(spark, sf) if gates is None else gates
+    return products.detection_voxels(gates, grids.geometry(spark, sf), LATTICE, rhohv_hole=F.col("gate") % 9 == 0)
 
 
 def _lowest(spark, sf):
@@ -192,12 +191,16 @@ BARE_TABLES = ("core_cand_bare", "core_keep_bare", "top_cand_bare", "top_keep_ba
 FEATURE_TABLES = ("core_cand", "core_keep", "top_cand", "top_keep", "sites")
 
 
-def features(spark, sf):
+def features(spark, sf, gates=None):
     return products.cores_and_tops(
-        detection_voxels(spark, sf), LATTICE, _lowest(spark, sf), tables.sites(spark, sf)
+        detection_voxels(spark, sf, gates), LATTICE, _lowest(spark, sf), tables.sites(spark, sf)
     )
 
 
+def features_of(spark, sf, gates):
+    return _rounded(features(spark, sf, gates))
+
+
 @register("cores_and_tops", query(FEATURE_TABLES, FEATURES))
 def cores_and_tops(spark, sf):
     return _rounded(features(spark, sf))

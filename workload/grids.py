@@ -297,8 +297,12 @@ def _variant(field: str, filtered: bool) -> str:
     [_variant(f, False) for f in ("DBZH", "ZDR", "RHOHV", "VRAD", "WRAD", "KDP")]
     + [_variant(f, True) for f in ("DBZH", "ZDR", "KDP")])))
 def field_products(spark, sf):
+    return field_products_of(spark, sf, tables.gates(spark, sf))
+
+
+def field_products_of(spark, sf, gates):
     out = products.field_products(
-        tables.gates(spark, sf), geometry(spark, sf), LATTICE, tables.sweeps(spark, sf),
+        gates, geometry(spark, sf), LATTICE, tables.sweeps(spark, sf),
         ["DBZH", "ZDR", "RHOHV", "VRAD", "WRAD", "KDP"], ["DBZH", "ZDR", "KDP"], {"DBZH": "TH"},
     )
     return out.withColumn("value", F.round("value", 6))

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from echolattice.operators import ledger
+from echolattice.plans import products
 from echolattice.streaming import ledger as live
 from echolattice.streaming import products as live_products
 from echolattice.streaming import runner
-from workload import grids, tables
+from workload import detection, grids, tables
 from workload.ledger import seconds
-from workload.registry import register
+from workload.registry import TWINS, register
 from workload.sources import folder
 from workload.sqltables import query
 
@@ -141,15 +142,34 @@ def stream_out_of_order(spark, sf):
     return runner.collected(spark, flagged, folder(spark, "order")).drop("batch_id")
 
 
-@register("stream_products", query(("colmax",), "SELECT volume_id, iy, ix, value FROM colmax"))
-def stream_products(spark, sf):
-    """Volume ids stream in as they are completed; products are stored once each."""
+def _products(spark, sf, name):
+    """Volume ids stream in as they are completed; all products of a volume are stored."""
     path = folder(spark, "products")
     done = tables.sweeps(spark, sf).select("volume_id").distinct()
     for part in (0, 1):
         done.filter(F.col("volume_id") % 2 == part).repartition(FILES).write.mode("append").parquet(f"{path}/done")
     ids = spark.readStream.schema(done.schema).option("maxFilesPerTrigger", FILES).parquet(f"{path}/done")
-    sink = live_products.product_sink(tables.gates(spark, sf), grids.geometry(spark, sf), tables.LATTICE, f"{path}/out")
+    pairs = grids.geometry(spark, sf)
+    makers = {
+        "colmax": lambda gates: products.colmax_product(gates, pairs, tables.LATTICE),
+        "fields": lambda gates: grids.field_products_of(spark, sf, gates),
+        "features": lambda gates: detection.features_of(spark, sf, gates),
+    }
+    sink = live_products.product_sink(tables.gates(spark, sf), {name: makers[name]}, f"{path}/out")
     runner.drain(ids, sink, f"{path}/checkpoint")
-    stored = spark.read.schema("iy int, ix int, value double, volume_id long").parquet(f"{path}/out")
-    return stored.select("volume_id", "iy", "ix", "value")
+    return live_products.stored_products(spark, f"{path}/out", name)
+
+
+@register("stream_products", query(("colmax",), "SELECT volume_id, iy, ix, value FROM colmax"))
+def stream_products(spark, sf):
+    return _products(spark, sf, "colmax").select("volume_id", "iy", "ix", "value")
+
+
+@register("stream_field_products", TWINS["field_products"])
+def stream_field_products(spark, sf):
+    return _products(spark, sf, "fields")
+
+
+@register("stream_features", TWINS["cores_and_tops"])
+def stream_features(spark, sf):
+    return _products(spark, sf, "features")
