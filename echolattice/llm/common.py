@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -29,6 +30,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Seconds between two requests to free what nothing refers to.
+FREE_EVERY = 4.0
+_freed = 0.0
+
+
+def _free(spark: SparkSession) -> None:
+    """Spark drops shuffle files when the driver collects garbage, which a driver with little to do seldom does."""
+    global _freed
+    if time.monotonic() - _freed > FREE_EVERY:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _freed = time.monotonic()
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: a lost executor costs no recomputation beyond it.
 
@@ -38,8 +53,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    _free(spark)
     out = spark.read.parquet(path)
     out._cut_path = path
     return out

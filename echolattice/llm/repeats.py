@@ -189,6 +189,6 @@ def covered(repeats: list | None, n: int, window: int) -> np.ndarray:
 
 
 def with_repeats(texts: DataFrame, repeats: DataFrame) -> DataFrame:
-    """Every text with its repeats (null: none)."""
+    """Every text with its key and its repeats (null: none)."""
     same = [texts[c].eqNullSafe(repeats[c]) for c in ("doc_id", "th")]
-    return texts.join(repeats, same, "left").select(texts["doc_id"], texts["text"], "repeats")
+    return texts.join(repeats, same, "left").select(texts["doc_id"], texts["th"], texts["text"], "repeats")

@@ -51,7 +51,8 @@ def remove_passages(docs: DataFrame, keep_text: bool = True) -> DataFrame:
 
     ``docs``: doc_id, text.  Returns one row per input row: doc_id, n_words, n_removed, kept_sha256 (of
     the kept words, joined by one space) and, if asked for, spans (arrays of first word and the one after
-    the last) and kept (the text without the words cut; untouched if nothing was cut).
+    the last), kept (the text without the words cut; untouched if nothing was cut) and th (the hash of the text
+    that tells rows of one doc_id apart).
 
     Words are separated by spaces and the control characters 0x09 to 0x0D.  Null texts are empty;
     texts under 20 words lose nothing.  Earlier is a smaller doc_id (null: before all), or an earlier
@@ -84,8 +85,8 @@ def remove_passages(docs: DataFrame, keep_text: bool = True) -> DataFrame:
         columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string()))]
         arrays, names = [batch.column("doc_id"), *columns], ["doc_id", "n_words", "n_removed", "kept_sha256"]
         if keep_text:
-            arrays += [pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string())]
-            names += ["spans", "kept"]
+            arrays += [batch.column("th"), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string())]
+            names += ["th", "spans", "kept"]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return map_texts(with_repeats(texts, repeats), finish, schema + (", spans array<struct<first:long,end:long>>, kept string" if keep_text else ""))
+    return map_texts(with_repeats(texts, repeats), finish, schema + (", th long, spans array<struct<first:long,end:long>>, kept string" if keep_text else ""))
