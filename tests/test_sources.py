@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -43,6 +44,20 @@ def test_tree_is_listed_within_bounds(spark):
     assert names(files.scan_tree(spark, base, hours=["2024/01/02/00"])) == {NAMES[2]}
 
 
+def test_bounds_prune_the_folders(spark):
+    base = _tree()
+    tail = lambda paths: sorted(p.split("/RAD")[1] for p in paths)
+    found = files.tree_folders(spark, base, None, datetime(2024, 1, 1, 0, 30), datetime(2024, 1, 2, 0, 5))
+    assert tail(found) == ["1/2024/01/01/00", "1/2024/01/01/01", "2/2024/01/02/00"]
+    assert tail(files.tree_folders(spark, base, None, datetime(2024, 1, 1, 0, 30), None)) == ["1/2024/01/01/00", "1/2024/01/01/01", "2/2024/01/02"]
+    assert tail(files.tree_folders(spark, base, ["RAD1"], datetime(2023, 5, 1), datetime(2024, 6, 1))) == ["1/2024/01"]
+    assert files.tree_folders(spark, base, None, datetime(2025, 1, 1), None) == []
+    names = lambda **k: {r.filename for r in files.scan_tree(spark, base, **k).collect()}
+    assert names(start=datetime(2024, 1, 1), end=datetime(2024, 1, 2, 0, 5), include_start=False) == set(NAMES[1:])
+    assert names(start=datetime(2024, 1, 1, 0, 30)) == set(NAMES[1:])
+    assert names(start=datetime(2025, 1, 1)) == set()
+
+
 LAT = Lattice(nz=1, ny=2, nx=2, z_limits=(0.0, 0.0), y_limits=(0.0, 1.0), x_limits=(0.0, 1.0))
 
 

@@ -7,6 +7,8 @@ import zlib
 
 import numpy as np
 import pandas as pd
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from echolattice.functions import names
@@ -191,7 +193,7 @@ def scan_tree_files(spark, sf):
         tables.radar_of(F.col("volume_id")).alias("radar"), "obs_ts",
     )
     _lay_tree(named.select(names.build_tree_path(F.col("name"), base).alias("path")))
-    found = files.scan_tree(spark, base, start=F.lit("2024-01-01 00:00:00").cast("timestamp"), include_start=False)
+    found = files.scan_tree(spark, base, start=datetime(2024, 1, 1), include_start=False)
     return found.select("radar", "filename", F.unix_timestamp("obs_ts").alias("obs_s"), "field")
 
 
