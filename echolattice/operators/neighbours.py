@@ -161,6 +161,24 @@ def neighbours(gate_positions: DataFrame, geometries: DataFrame, lattice: Lattic
     )
 
 
+def shared_scans(scans: DataFrame) -> DataFrame:
+    """geometry_id and shared_id: geometries with the same scan in every column share the least id.
+
+    ``scans`` has a row per sweep.  A map is searched once per shared_id and joined to
+    all geometries that share it.
+    """
+    rest = sorted(c for c in scans.columns if c != "geometry_id")
+    shape = F.sha2(F.to_json(F.sort_array(F.collect_list(F.struct(*rest)))), 256)
+    shapes = scans.groupBy("geometry_id").agg(shape.alias("shape"))
+    least = shapes.groupBy("shape").agg(F.min("geometry_id").alias("shared_id"))
+    return shapes.join(least, "shape").select("geometry_id", "shared_id")
+
+
+def for_all(shared: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs of shared geometries for every geometry that shares them."""
+    return shared.join(pairs.withColumnRenamed("geometry_id", "shared_id"), "shared_id").drop("shared_id")
+
+
 def nearest_gate_of(pairs: DataFrame) -> DataFrame:
     """The nearest gate of each voxel, ties (to the whole square metre) to the lower index.
 

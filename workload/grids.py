@@ -45,15 +45,21 @@ def geometry(spark, sf, lattice=LATTICE):
     return geometry_store.load_geometry(spark, path)
 
 
+def _per_volume(spark, sf, search):
+    """A map for every volume, searched once for all volumes of equal scans."""
+    scans = tables.volume_scans(spark, sf)
+    shared = neighbours.shared_scans(scans)
+    own = scans.join(shared.filter("geometry_id = shared_id").select("geometry_id"), "geometry_id", "left_semi")
+    return neighbours.for_all(shared, search(tables.scan_gates(own), own.select("geometry_id").distinct()))
+
+
 def _volume_pairs(spark, sf):
     """All pairs with one geometry per volume."""
-    scans = tables.volume_scans(spark, sf)
-    return neighbours.neighbours(tables.scan_gates(scans), scans.select("geometry_id").distinct(), LATTICE)
+    return _per_volume(spark, sf, lambda gates, ids: neighbours.neighbours(gates, ids, LATTICE))
 
 
 def _volume_map(spark, sf, lattice=LATTICE):
-    scans = tables.volume_scans(spark, sf)
-    return neighbours.geometry_pairs(tables.scan_gates(scans), scans.select("geometry_id").distinct(), lattice)
+    return _per_volume(spark, sf, lambda gates, ids: neighbours.geometry_pairs(gates, ids, lattice))
 
 
 @register("neighbours", query(("near", "vol"), """SELECT volume_id AS geometry_id, voxel_id, n, gate_sum FROM vol,
