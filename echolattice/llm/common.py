@@ -30,15 +30,15 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Seconds between two requests to free what nothing refers to.
-FREE_EVERY = 4.0
+#: After a write of so many seconds, or so many seconds after the last time, what nothing refers to is freed.
+LONG_WRITE, FREE_EVERY = 1.0, 4.0
 _freed = 0.0
 
 
-def _free(spark: SparkSession) -> None:
+def _free(spark: SparkSession, wrote: float) -> None:
     """Spark drops shuffle files when the driver collects garbage, which a driver with little to do seldom does."""
     global _freed
-    if time.monotonic() - _freed > FREE_EVERY:
+    if wrote > LONG_WRITE or time.monotonic() - _freed > FREE_EVERY:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         _freed = time.monotonic()
@@ -51,9 +51,10 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    began = time.monotonic()
     df.write.option("compression", "zstd").parquet(path)
     del df
-    _free(spark)
+    _free(spark, time.monotonic() - began)
     out = spark.read.parquet(path)
     out._cut_path = path
     return out
