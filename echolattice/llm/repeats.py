@@ -25,7 +25,7 @@ Fingerprints have 64 bits for seeds and 64 for runs or windows, compared jointly
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -137,8 +137,12 @@ def _settle(rows: DataFrame, final: bool) -> tuple[DataFrame, DataFrame | None]:
     return whole, still
 
 
-def earlier_windows(docs: DataFrame, units: Units, names: Names, window: int, gram: int, blocks: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
-    """The texts as ``keyed`` gives them, and the repeats: doc_id, th, repeats (array of first window and number).
+#: Name, among carried columns, of whether the text was null.
+NO_TEXT = "__no_text"
+
+
+def earlier_windows(docs: DataFrame, units: Units, names: Names, window: int, gram: int, blocks: tuple[int, ...]) -> DataFrame:
+    """The repeats by text, as ``keyed`` tells them apart: doc_id, th, repeats (array of first window and number).
 
     ``blocks``: windows of a block in each later step, the last being 1.
     """
@@ -175,7 +179,7 @@ def earlier_windows(docs: DataFrame, units: Units, names: Names, window: int, gr
         discard(still)
         whole, still = _settle(rows, final=size == 1)
         repeats = repeats.unionByName(whole.select("doc_id", "th", place))
-    return texts, repeats.groupBy("doc_id", "th").agg(F.collect_set("at").alias("repeats"))
+    return repeats.groupBy("doc_id", "th").agg(F.collect_set("at").alias("repeats"))
 
 
 def covered(repeats: list | None, n: int, window: int) -> np.ndarray:
@@ -188,7 +192,9 @@ def covered(repeats: list | None, n: int, window: int) -> np.ndarray:
     return np.cumsum(steps[:n]) > 0
 
 
-def with_repeats(texts: DataFrame, repeats: DataFrame) -> DataFrame:
-    """Every text with its key and its repeats (null: none)."""
+def with_repeats(docs: DataFrame, repeats: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Every row with its repeats (null: none); the columns in ``carry`` come along as one, with ``no_text``."""
+    more = [F.struct(*carry, F.col("text").isNull().alias(NO_TEXT)).alias("carried")] if carry else []
+    texts = keyed(docs, *more)
     same = [texts[c].eqNullSafe(repeats[c]) for c in ("doc_id", "th")]
-    return texts.join(repeats, same, "left").select(texts["doc_id"], texts["th"], texts["text"], "repeats")
+    return texts.join(repeats, same, "left").select(texts["doc_id"], texts["text"], "repeats", *["carried" for _ in more])

@@ -13,6 +13,7 @@ that a passage in many documents makes no pairs; see :mod:`echolattice.llm.repea
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +47,13 @@ def _names(spans: Spans, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return at_first if first is last else at_first * _ODD + _window(spans, last)
 
 
-def remove_passages(docs: DataFrame, keep_text: bool = True) -> DataFrame:
+def remove_passages(docs: DataFrame, keep_text: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """Cut every word covered by 20 consecutive words that also start earlier.
 
     ``docs``: doc_id, text.  Returns one row per input row: doc_id, n_words, n_removed, kept_sha256 (of
     the kept words, joined by one space) and, if asked for, spans (arrays of first word and the one after
-    the last), kept (the text without the words cut; untouched if nothing was cut) and th (the hash of the text
-    that tells rows of one doc_id apart).
+    the last) and kept (the text without the words cut; untouched if nothing was cut).  Columns of ``docs`` in
+    ``carry`` come along in the struct ``carried``, with ``NO_TEXT`` of :mod:`repeats`, so that texts are shuffled with them once.
 
     Words are separated by spaces and the control characters 0x09 to 0x0D.  Null texts are empty;
     texts under 20 words lose nothing.  Earlier is a smaller doc_id (null: before all), or an earlier
@@ -60,7 +61,7 @@ def remove_passages(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     with each other; rows that repeat doc_id and text get the same result.  Other columns are
     ignored, an empty table gives no rows.
     """
-    texts, repeats = earlier_windows(docs, _units, _names, LENGTH, SEED, BLOCKS)
+    repeats = earlier_windows(docs, _units, _names, LENGTH, SEED, BLOCKS)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -85,8 +86,14 @@ def remove_passages(docs: DataFrame, keep_text: bool = True) -> DataFrame:
         columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string()))]
         arrays, names = [batch.column("doc_id"), *columns], ["doc_id", "n_words", "n_removed", "kept_sha256"]
         if keep_text:
-            arrays += [batch.column("th"), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string())]
-            names += ["th", "spans", "kept"]
+            arrays += [pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string())]
+            names += ["spans", "kept"]
+        if carry:
+            arrays.append(batch.column("carried"))
+            names.append("carried")
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return map_texts(with_repeats(texts, repeats), finish, schema + (", th long, spans array<struct<first:long,end:long>>, kept string" if keep_text else ""))
+    found = with_repeats(docs, repeats, carry)
+    schema += ", spans array<struct<first:long,end:long>>, kept string" if keep_text else ""
+    schema += f", carried {found.schema['carried'].dataType.simpleString()}" if carry else ""
+    return map_texts(found, finish, schema)

@@ -64,7 +64,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     with other documents and themselves, not with each other; rows that repeat
     doc_id and text get the same result.  Other columns are ignored, an empty table gives no rows.
     """
-    texts, repeats = earlier_windows(docs, _units, _names, LENGTH, QGRAM, BLOCKS)
+    repeats = earlier_windows(docs, _units, _names, LENGTH, QGRAM, BLOCKS)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -87,4 +87,4 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
             names += ["spans", "kept"]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return map_texts(with_repeats(texts, repeats), finish, schema + (", spans array<struct<start:long,end:long>>, kept binary" if keep_text else ""))
+    return map_texts(with_repeats(docs, repeats), finish, schema + (", spans array<struct<start:long,end:long>>, kept binary" if keep_text else ""))
