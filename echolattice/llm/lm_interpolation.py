@@ -1,18 +1,20 @@
 """Language-model scores by deleted interpolation.
 
-The model mixes maximum-likelihood estimates of three orders,
+The model mixes maximum-likelihood estimates of words after words with those of classes after classes,
 
-    p(w | v) = l2 * f(class w | class v) * f(w | class w) + l1 * f(w) + l0 / (V + 1),
+    p(w | v) = m * f(w | v) + (1 - m) * q(w | v),
+    q(w | v) = l2 * f(class w | class v) * f(w | class w) + l1 * f(w) + l0 / (V + 1),
 
 with weights that depend on the bucket (octave) of the frequency of the context v.  They are learned by
 expectation-maximisation on counts of a part of the training texts held out from the frequencies
 (``HELD_OUT``); the final frequencies use all training texts.  Probabilities over all known words and one for any
 unknown word add up to 1.
 
-Every word is counted.  The ``WORDS`` most frequent words are classes of their own; others share a class with words of
-the same octave of frequency, and those beyond the ``DICTIONARY`` most frequent share one class, which bounds the
-bigram table to (WORDS + 64)^2 whatever the corpus, and the dictionary that tasks hold.  Rarer
-words get their exact counts by a join, which needs only their context's class and adds up by text.
+Every word and every pair of neighbours is counted, in tables that grow with the corpus.  Only the classes, to which the
+pairs fall back, are bounded: the ``WORDS`` most frequent words are classes of their own; others share a class with words of
+the same octave of frequency, and those beyond the ``DICTIONARY`` most frequent share one class.  Tasks hold the
+dictionary and the ``PAIRS`` most frequent pairs, as these would meet in single tasks; the other pairs of the
+texts, and words beyond the dictionary, meet their counts by joins.
 """
 
 from __future__ import annotations
@@ -22,10 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echolattice.llm.common import BATCH_ROWS, cut, keyed, map_texts, slices
+from echolattice.llm.common import BATCH_ROWS, cut, discard, keyed, map_texts, partitions, slices
+from echolattice.llm.textarrays import mix
 
 #: Words that are classes of their own; words tasks hold; kinds of words a task counts before it passes them on.
 WORDS, DICTIONARY, HELD_WORDS = 1000, 1 << 18, 1 << 19
@@ -34,6 +38,10 @@ FOLDS, TESTED, HELD_OUT = 7, 2, 3
 #: The end of a text, which is no word.
 END = "\n"
 ROUNDS = 40
+#: Pairs that tasks hold; pairs of a partition; neighbours a task counts before it passes them on; bins of an octave in which EM sees a ratio.
+PAIRS, PART_PAIRS, HELD_PAIRS, BINS = 1 << 19, 1 << 22, 1 << 22, 32
+#: Places of words of the dictionary in a pair's key, and the one that stands for the start of a text.
+PLACE, START = 20, (1 << 20) - 1
 
 
 def _words(batch: pa.RecordBatch) -> list[list[bytes]]:
@@ -103,6 +111,9 @@ class Model:
         for x, extra in zip((self.class_a, self.class_b, self.seen, self.unseen_b), rare):
             x[self.rare] += extra or 0
 
+        ends = counts.where(F.col("word") == END).agg(F.sum("a"), F.sum("b")).first()
+        self.a, self.b = np.append(a, ends[0] or 0), np.append(b, ends[1] or 0)
+
     def codes(self, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of each word and end (-1: not in the dictionary), its class, and the class before it."""
         get, end = self.index.get, self.index.get(END.encode(), -1)
@@ -118,6 +129,55 @@ class Model:
         before[np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])[:-1]]).astype(np.int64)] = self.start
         return index, cls, before
 
+    def keys(self, words: list[list[bytes]], index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Key of each word and the one before it, and both: places in the dictionary, or negative fingerprints."""
+        w = index.copy()
+        if (index < 0).any():
+            flat = [x for own in words for x in (*own, END.encode())]
+            rare = np.flatnonzero(index < 0)
+            w[rare] = fingerprints([flat[k] for k in rare])
+        v = np.empty_like(w)
+        v[1:] = w[:-1]
+        v[np.concatenate([[0], np.cumsum([len(x) + 1 for x in words])[:-1]]).astype(np.int64)] = START
+        hashed = mix(v.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + w.view(np.uint64), 11).view(np.int64) | np.int64(-(2**63))
+        return np.where((v >= 0) & (w >= 0), v << PLACE | w, hashed), v, w
+
+    def learned(self, ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class and counts of words; a and b: counts of those beyond the dictionary."""
+        at = np.where(ids == START, len(self.count), np.where(ids < 0, 0, ids))
+        cls = np.concatenate([self.word_class, [self.start]])[at]
+        known = ids >= 0
+        return np.where(known, cls, self.rare), np.where(known, self.a[at], a), np.where(known, self.b[at], b)
+
+    def ratio(self, v, w, pair_a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket of the context, and how much likelier the pair than the classes make it, without the part held out."""
+        (v_class, v_a, _), (w_class, w_a, _) = v, w
+        q = w_a * self.slope_a[v_class, w_class] + self.floor_a[v_class]
+        return octave(v_a), pair_a / np.maximum(v_a, 1) / q
+
+    def log_p(self, v, w, pair: np.ndarray) -> np.ndarray:
+        """log10 p of words after contexts; pair: how often they are neighbours."""
+        (v_class, v_a, v_b), (w_class, w_a, w_b) = v, w
+        q = (w_a + w_b) * self.slope[v_class, w_class] + self.floor[v_class]
+        m = np.where(v_a + v_b > 0, self.mixed[np.minimum(octave(v_a), len(self.mixed) - 1)], 0.0)
+        return np.log10(m * pair / np.maximum(v_a + v_b, 1) + (1 - m) * q)
+
+    def pair_p(self, key: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        """log10 p of pairs of words of the dictionary."""
+        nil = np.zeros(len(key), dtype=np.int64)
+        return self.log_p(self.learned(key >> PLACE, nil, nil), self.learned(key & START, nil, nil), pair)
+
+    def mix_in(self, rows) -> None:
+        """Weight of the word pairs by octave of the context; rows: bucket, bin (null: never together), n."""
+        weight = np.full(65, 0.5)
+        bucket, n = rows["bucket"].to_numpy(dtype=np.int64), rows["n"].to_numpy(dtype=float)
+        r = np.where(rows["bin"].isna(), 0.0, 2.0 ** (rows["bin"].fillna(0).to_numpy(dtype=float) / BINS))
+        total = np.bincount(bucket, weights=n, minlength=65) + 2
+        for _ in range(ROUNDS):
+            m = weight[bucket]
+            weight = (np.bincount(bucket, weights=n * m * r / (m * r + 1 - m), minlength=65) + 1) / total
+        self.mixed = weight
+
     def fit(self, a: np.ndarray, b: np.ndarray) -> None:
         """Weights from the bigram counts of both folds, then frequencies from both together."""
         context_a = a.sum(axis=1)
@@ -147,6 +207,20 @@ class Model:
         # For a word of count c after v: c * slope[v, class] + floor[v].
         self.slope = l2[:, None] * pairs + (l1 / max(self.n, 1))[:, None]
         self.floor = l0 / (self.types + 1)
+        # The same without the part held out, for the weight of word pairs.
+        l2, l1, l0 = weights[bucket].T
+        pairs = a / np.maximum(context_a, 1)[:, None] / np.maximum(self.class_a, 1)[None, :]
+        self.slope_a = l2[:, None] * pairs + (l1 / max(self.class_a.sum(), 1))[:, None]
+        self.floor_a = l0 / (self.types + 1)
+
+
+def octave(count: np.ndarray) -> np.ndarray:
+    return np.floor(np.log2(np.maximum(count, 1))).astype(np.int64) + (count > 0)
+
+
+def fingerprints(words: list[bytes]) -> np.ndarray:
+    """A negative number for each word."""
+    return np.array([xxhash.xxh64_intdigest(w, 1) for w in words], dtype=np.uint64).view(np.int64) | np.int64(-(2**63))
 
 
 def bigram_counts(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -174,6 +248,132 @@ def bigram_counts(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarra
     return out[0].reshape(m, m), out[1].reshape(m, m)
 
 
+def pair_counts(texts: DataFrame, model: Model) -> DataFrame:
+    """key, v, w and a, b, t: counts of every pair of neighbours in both training folds and in the texts never learned from.
+
+    Pairs of words of the dictionary that occur once, and not in the part held out, are left out: who meets one knows its count.
+    """
+    given, tokens = texts.sparkSession.sparkContext.broadcast(model), model.n
+    names = ["key", "v", "w", "a", "b", "t"]
+
+    def summed(parts: list[np.ndarray]) -> np.ndarray:
+        whole = np.concatenate(parts, axis=1)
+        whole = whole[:, np.argsort(whole[0], kind="stable")]
+        first = np.flatnonzero(np.concatenate([[True], whole[0, 1:] != whole[0, :-1]]))
+        return np.concatenate([whole[:3, first], np.add.reduceat(whole[3:], first, axis=1)])
+
+    def out(table: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, table.shape[1], 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)]) for c in table], names=names)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            for part in slices(batch, "text"):
+                words = _words(part)
+                key, v, w = given.value.keys(words, given.value.codes(words)[0])
+                fold = np.repeat(part.column("fold").to_numpy(), [len(x) + 1 for x in words])
+                rare = key < 0
+                kinds = [(fold != TESTED) & (fold != HELD_OUT), fold == HELD_OUT, fold == TESTED]
+                held.append(summed([np.stack([key, np.where(rare, v, 0), np.where(rare, w, 0), *[k.astype(np.int64) for k in kinds]])]))
+                if sum(x.shape[1] for x in held) > HELD_PAIRS:
+                    yield from out(summed(held))
+                    held = []
+        if held:
+            yield from out(summed(held))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [np.stack([c.to_numpy() for c in batch.columns]) for batch in batches if batch.num_rows]
+        if parts:
+            whole = summed(parts)
+            yield from out(whole[:, (whole[0] < 0) | (whole[3:].sum(axis=0) > 1) | (whole[4] > 0)])
+
+    kind = "key long, v long, w long, a long, b long, t long"
+    n = max(partitions(texts.sparkSession), tokens // PART_PAIRS)
+    return texts.mapInArrow(count, kind).repartition(n, "key").mapInArrow(add, kind)
+
+
+def word_ids(counts: DataFrame) -> DataFrame:
+    """id, a, b: fingerprints of words and their counts."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = fingerprints(batch.column("word").cast(pa.binary()).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(found), batch.column("a"), batch.column("b")], names=["id", "a", "b"])
+
+    return counts.mapInArrow(hashed, "id long, a long, b long")
+
+
+def with_words(pairs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Pairs with a word beyond the dictionary (-1 in its place), with the counts of such words (va, vb, wa, wb; null: none)."""
+    out = pairs.where("key < 0")
+    for c in ("w", "v"):
+        own = ids.select(F.col("id").alias("own_id"), F.col("a").alias(f"{c}a"), F.col("b").alias(f"{c}b"))
+        # Words of the dictionary look for a number that nobody has, each for another.
+        sought = F.when(F.col(c) < 0, F.col(c)).otherwise(-(F.col("key") + 1))
+        out = out.withColumn("sought", sought).join(own, F.col("sought") == F.col("own_id"), "left").drop("sought", "own_id")
+        out = out.withColumn(c, F.greatest(c, F.lit(-1)))
+    return out
+
+
+def _numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [batch.column(c).fill_null(0).to_numpy() for c in names]
+
+
+def _sides(model: Model, batch: pa.RecordBatch):
+    """Contexts and words of pairs, as :meth:`Model.learned` gives them."""
+    key, v, w, va, vb, wa, wb = _numbers(batch, "key", "v", "w", "va", "vb", "wa", "wb")
+    return model.learned(np.where(key < 0, v, key >> PLACE), va, vb), model.learned(np.where(key < 0, w, key & START), wa, wb)
+
+
+def weigh(pairs: DataFrame, model: Model) -> None:
+    """Weights of word pairs, from a histogram of at most 65 buckets by a few thousand bins."""
+    given = pairs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = _numbers(batch, "a", "b")
+            bucket, r = given.value.ratio(*_sides(given.value, batch), a)
+            never = -(1 << 20)
+            bins = np.where(r > 0, np.round(np.log2(np.where(r > 0, r, 1)) * BINS), never).astype(np.int64)
+            cell, at = np.unique(np.stack([bucket, bins]), axis=1, return_inverse=True)
+            n = np.bincount(at.reshape(-1), weights=b).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(cell[0]), pa.array(cell[1], mask=cell[1] == never), pa.array(n)], names=["bucket", "bin", "n"])
+
+    model.mix_in(pairs.where("b > 0").mapInArrow(run, "bucket long, bin long, n long").groupBy("bucket", "bin").agg(F.sum("n").alias("n")).toPandas())
+
+
+def priced(pairs: DataFrame, model: Model) -> DataFrame:
+    """key, p (log10), and the count of words beyond the dictionary (else -1), for pairs with such words."""
+    given = pairs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, w, a, b = _numbers(batch, "key", "w", "a", "b")
+            context, word = _sides(given.value, batch)
+            p = given.value.log_p(context, word, a + b)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(p), pa.array(np.where(w < 0, word[1] + word[2], -1))], names=["key", "p", "count"])
+
+    return pairs.mapInArrow(run, "key long, p double, count long")
+
+
+def frequent(pairs: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and log10 p of at most ``PAIRS`` pairs of words of the dictionary, all as frequent as the least of them."""
+    seen = F.col("a") + F.col("b") + F.col("t")
+    least = _least_count(pairs.select(seen.alias("a"), F.lit(0).alias("b")), PAIRS)
+    table = pairs.where(seen >= least * (1 - 1e-9)).select("key", (F.col("a") + F.col("b")).alias("n")).toPandas().sort_values("key")
+    key = table["key"].to_numpy(dtype=np.int64)
+    return key, model.pair_p(key, table["n"].to_numpy(dtype=np.int64))
+
+
+def _held(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys tasks hold, and where."""
+    at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+    return (keys[at] == key if len(keys) else np.zeros(len(key), dtype=bool)), at
+
+
 def score(docs: DataFrame) -> DataFrame:
     """Per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -190,43 +390,91 @@ def score(docs: DataFrame) -> DataFrame:
     counts = cut(word_counts(texts), "words")
     model = Model(counts)
     model.fit(*bigram_counts(texts, model))
-    given = spark.sparkContext.broadcast(model)
+    counted = cut(pair_counts(texts, model), "pairs")
+    ids = cut(word_ids(counts), "ids")
+    rare = cut(with_words(counted, ids), "rarepairs")
+    discard(counts, ids)
+    own = counted.where("key >= 0")
+    none = [F.lit(None).cast("long").alias(c) for c in ("wa", "wb", "va", "vb")]
+    weigh(own.select("*", *none).unionByName(rare), model)
+    keys, p = frequent(own, model)
+    given = spark.sparkContext.broadcast((model, keys, p))
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        m, words = given.value, _words(batch)
-        index, cls, before = m.codes(words)
+        m, keys, p = given.value
+        words = _words(batch)
+        index, _, _ = m.codes(words)
         known = index >= 0
         text = np.repeat(np.arange(len(words)), [len(w) + 1 for w in words])
-        count = np.append(m.count, 0)[index]
-        p = np.log10(count * m.slope[before, cls] + m.floor[before], out=np.zeros(len(index)), where=known)
-        base = np.log10((count + 1) / (m.n + m.types + 1), out=np.zeros(len(index)), where=known)
-        total = lambda x: pa.array(np.bincount(text, weights=x, minlength=len(words)))
-        flat = [x for w in words for x in (*w, END.encode())]
-        rare: list[list[dict]] = [[] for _ in words]
-        for (i, word, v), times in Counter((int(text[k]), flat[k], int(before[k])) for k in np.flatnonzero(~known)).items():
-            rare[i].append({"word": word.decode(), "v": v, "times": times})
-        kind = pa.list_(pa.struct([("word", pa.string()), ("v", pa.int32()), ("times", pa.int64())]))
+        base = np.log10((np.append(m.count, 0)[index] + 1) / (m.n + m.types + 1), out=np.zeros(len(index)), where=known)
+        held, at = _held(keys, m.keys(words, index)[0])
+        total = lambda x, of: pa.array(np.bincount(text[of], weights=x[of], minlength=len(words)).astype(float))
+        rest = pa.array(np.bincount(text[~held], minlength=len(words)))
+        score = np.append(p, 0.0)[at]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("th"), batch.column("fold"), pa.array([len(w) + 1 for w in words], pa.int64()),
-             pa.array(np.bincount(text[known], minlength=len(words))), total(base), total(p), pa.array(rare, kind)],
-            names=["doc_id", "th", "fold", "n_tokens", "n_known", "base", "score", "rare"],
+             pa.array(np.bincount(text[known], minlength=len(words))), total(base, known), total(score, held), rest],
+            names=["doc_id", "th", "fold", "n_tokens", "n_known", "base", "score", "rest"],
         )
 
-    schema = "doc_id long, th long, fold int, n_tokens long, n_known long, base double, score double, rare array<struct<word:string,v:int,times:long>>"
-    partly = cut(map_texts(texts, rows, schema), "scored")
-    contexts = spark.createDataFrame([(v, float(s), float(u)) for v, (s, u) in enumerate(zip(model.slope[:, model.rare], model.floor))], "v int, slope double, floor double")
+    def met(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """Pairs that tasks don't hold, once for each text; times is negative where nothing is learned from the text."""
+        m, keys, _ = given.value
+        words = _words(batch)
+        key = m.keys(words, m.codes(words)[0])[0]
+        cold = ~_held(keys, key)[0]
+        text, key = np.repeat(np.arange(len(words)), [len(w) + 1 for w in words])[cold], key[cold]
+        order = np.lexsort((key, text))
+        text, key = text[order], key[order]
+        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), dtype=bool), (key[1:] != key[:-1]) | (text[1:] != text[:-1])]))
+        times = np.diff(np.append(first, len(key)))
+        times = np.where(batch.column("fold").to_numpy()[text[first]] == TESTED, -times, times)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key[first]), pa.array(batch.column("row").to_numpy()[text[first]]), pa.array(times.astype(np.int32))], names=["key", "row", "times"]
+        )
+
     unknown = float(-np.log10(model.n + model.types + 1))
-    c = F.coalesce(F.col("a") + F.col("b"), F.lit(0))
-    # Rows that repeat doc_id and text are one here and get the same sums.
-    met = partly.select("doc_id", "th", F.inline("rare")).distinct().join(counts, "word", "left").join(F.broadcast(contexts), "v")
-    rest = met.groupBy(F.col("doc_id").alias("own_id"), F.col("th").alias("own_th")).agg(
-        F.sum(F.col("times") * (F.log10(c + 1) + unknown)).alias("more_base"), F.sum(F.when(c > 0, F.col("times"))).alias("more_known"),
-        F.sum(F.col("times") * F.log10(c * F.col("slope") + F.col("floor"))).alias("more_score"),
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("th") == F.col("own_th"))
-    zero = lambda name: F.coalesce(name, F.lit(0))
-    return partly.join(rest, same, "left").select(
-        "doc_id", (F.col("fold") == TESTED).alias("held_out"), "n_tokens", (F.col("n_known") + zero("more_known")).alias("n_known"),
-        F.lit(int(model.n)).cast("long").alias("train_tokens"), (F.col("base") + zero("more_base")).alias("base_score"),
-        (F.col("score") + zero("more_score")).alias("score"),
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums by text of a partition that has counts or prices of pairs (row null) and pairs of texts."""
+        m = given.value[0]
+        columns = [[c.fill_null(0).to_numpy() for c in x.columns] + [x.column("row").is_valid().to_numpy(zero_copy_only=False)] for x in batches if x.num_rows]
+        if not columns:
+            return
+        key, row, times, p, count, asked = (np.concatenate(c) for c in zip(*columns))
+        table = np.flatnonzero(~asked)
+        table = table[np.argsort(key[table])]
+        ours, row, times = key[asked], row[asked], times[asked]
+        there, at = _held(key[table], ours)
+        price, base, known = np.zeros(len(ours)), np.zeros(len(ours)), np.zeros(len(ours))
+        c = np.full(len(ours), -1)
+        price[there], c[there] = p[table][at[there]], count[table][at[there]]
+        # A pair of the dictionary that is in no table occurs here only.
+        plain = ours >= 0
+        price[plain] = m.pair_p(ours[plain], np.where(there, c, times > 0)[plain])
+        n = np.abs(times)
+        beyond = ~plain & (c >= 0)
+        base[beyond] = n[beyond] * (np.log10(c[beyond] + 1) + unknown)
+        known[beyond] = n[beyond] * (c[beyond] > 0)
+        rows, at = np.unique(row, return_inverse=True)
+        sums = [np.bincount(at, weights=x, minlength=len(rows)) for x in (n, n * price, base, known)]
+        for k in range(0, len(rows), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(x[k : k + (1 << 16)]) for x in (rows, *sums)], names=["row", "n", "p", "base", "known"])
+
+    schema = "doc_id long, th long, fold int, n_tokens long, n_known long, base double, score double, rest long"
+    partly = cut(map_texts(texts, rows, schema), "scored").withColumn("row", F.xxhash64("doc_id", "th"))
+    asked = map_texts(texts.withColumn("row", F.xxhash64("doc_id", "th")), met, "key long, row long, times int")
+    asked = asked.select("key", "row", "times", F.lit(0.0).alias("p"), F.lit(-1).cast("long").alias("count"))
+    table = own.select("key", F.lit(0.0).alias("p"), (F.col("a") + F.col("b")).alias("count")).unionByName(priced(rare, model))
+    table = table.select("key", F.lit(None).cast("long").alias("row"), F.lit(0).alias("times"), "p", "count")
+    parts = max(partitions(spark), model.n // PART_PAIRS)
+    sums = asked.unionByName(table).repartition(parts, "key").mapInArrow(add, "row long, n double, p double, base double, known double")
+    sums = sums.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("n", "p", "base", "known")])
+    # Rows that repeat doc_id and text have one number and were added up together.
+    share = F.col("rest") / F.col("more_n")
+    more = lambda c: F.coalesce(F.col(f"more_{c}") * share, F.lit(0.0))
+    return partly.join(sums, "row", "left").select(
+        "doc_id", (F.col("fold") == TESTED).alias("held_out"), "n_tokens", (F.col("n_known") + F.round(more("known")).cast("long")).alias("n_known"),
+        F.lit(int(model.n)).cast("long").alias("train_tokens"), (F.col("base") + more("base")).alias("base_score"),
+        (F.col("score") + more("p")).alias("score"),
     )

@@ -79,3 +79,33 @@ def test_odd_rows(spark):
     rows = lm_interpolation.score(frame).collect()
     assert len(rows) == 4 and all(math.isfinite(x.score) for x in rows)
     assert lm_interpolation.score(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("tight", [False, True])
+def test_scores_use_every_word_pair(spark, corpus, monkeypatch, tight):
+    """Scores against plain counts of word pairs, with words and pairs that tasks hold and with others."""
+    if tight:
+        small(monkeypatch)
+        monkeypatch.setattr(lm_interpolation, "PAIRS", 30)
+    models = []
+    weigh = lm_interpolation.weigh
+    monkeypatch.setattr(lm_interpolation, "weigh", lambda pairs, model: (weigh(pairs, model), models.append(model)))
+    frame = documents(spark, [*corpus, corpus[5], corpus[7]])
+    rows = lm_interpolation.score(frame).collect()
+    m, fold = models[0], {i: zlib.crc32(str(i).encode()) % 7 for i, _ in corpus}
+    a, b, pairs = Counter(), Counter(), Counter()
+    for i, text in [*corpus, corpus[5], corpus[7]]:
+        if fold[i] != lm_interpolation.TESTED:
+            own = tokens(text)
+            (b if fold[i] == lm_interpolation.HELD_OUT else a).update(["", *own])
+            pairs.update(zip(["", *own], own))
+    assert 0.05 < m.mixed[4] < 1
+    texts = dict(corpus)
+    for x in rows:
+        own, total = tokens(texts[x.doc_id]), 0.0
+        for v, w in zip(["", *own], own):
+            cls = lambda t: m.start if t == "" else m.word_class[m.index[t.encode()]] if t.encode() in m.index else m.rare
+            q = (a[w] + b[w]) * m.slope[cls(v), cls(w)] + m.floor[cls(v)]
+            part = m.mixed[a[v].bit_length()] if a[v] + b[v] else 0
+            total += math.log10(part * pairs[v, w] / max(a[v] + b[v], 1) + (1 - part) * q)
+        assert math.isclose(x.score, total, rel_tol=1e-9)
