@@ -201,6 +201,23 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (own, new, own & new)], names=["print", "mask", "cell"])
 
 
+def linked(docs: DataFrame) -> DataFrame:
+    """doc_id, th, print, root (a fingerprint that names the component) and component_id, one row per input row."""
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = fingerprints(batch.column("text").cast(pa.binary()).to_pylist())
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(found.view(np.int64))], names=["doc_id", "th", "print"])
+
+    printed = cut(map_texts(keyed(docs), rows, "doc_id long, th long, print long"), "prints")
+    distinct = cut(printed.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct")
+    joined = components(links(distinct.select("print")))
+    root = distinct.join(joined, distinct["print"] == joined["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root"))
+    root = cut(root, "roots")
+    least = root.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = cut(root.join(least, "root").select("print", "root", "component_id"), "components")
+    return printed.join(named, "print").select("doc_id", "th", "print", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, one row per input row.
 
@@ -212,18 +229,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     of a component are null.  Repeated rows are copies.  Other columns are ignored, an
     empty table gives no rows.
     """
-
-    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = fingerprints(batch.column("text").cast(pa.binary()).to_pylist())
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "print"])
-
-    printed = cut(map_texts(keyed(docs), rows, "doc_id long, print long"), "prints")
-    distinct = cut(printed.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct")
-    joined = components(links(distinct.select("print")))
-    root = distinct.join(joined, distinct["print"] == joined["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root"))
-    root = cut(root, "roots")
-    least = root.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = cut(root.join(least, "root").select("print", "component_id"), "components")
-    return printed.join(named, "print").select(
-        "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return linked(docs).select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")

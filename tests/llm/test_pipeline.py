@@ -101,3 +101,13 @@ def test_odd_rows(spark):
         left.append(table.count())
     # Both copies and the near copy become one; the row without an id is a document of its own.
     assert left[0] == 4 and left[1:4] == [2, 2, 2] and left[4] >= 2
+
+
+def test_near_duplicates_keep_one_row_of_every_group(spark):
+    """Rows without an id, and texts that share one, are groups of their own unless their texts are alike."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(80))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (7, text("c")), (7, text("d")), (7, text("d")), (8, text("d")), (None, text("c")), (9, text("e")), (3, text("e"))]
+    frame = documents(spark, rows).selectExpr("*", "1 AS own_th", "2 AS root")
+    left = corpus_pipeline.near_duplicates(spark, frame, "")
+    assert left.columns == frame.columns
+    assert sorted((str(r.doc_id), r.text[0]) for r in left.collect()) == [("3", "e"), ("7", "c"), ("7", "d"), ("None", "a"), ("None", "b")]
