@@ -95,7 +95,8 @@ def _union_length(spans: Column) -> Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per input row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """Per input row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and
+    hit_spans, hit_items and th, which are for later steps.
 
     ``docs``: doc_id, text; ``benchmark``: item_id, text.  Texts are lower-cased (A-Z); words
     are runs of letters, digits and characters outside ASCII.  An item of fewer than ten words, but not none, is
@@ -168,5 +169,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return read.join(hit, same(read, hit), "left").select(
         read["doc_id"], "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce(F.sha2(F.array_join("items", ",").cast("binary"), 256), F.lit(nothing)).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
-        F.col("spans").alias("hit_spans"), F.col("items").alias("hit_items"),
+        F.col("spans").alias("hit_spans"), F.col("items").alias("hit_items"), read["th"],
     )

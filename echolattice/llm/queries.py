@@ -37,7 +37,7 @@ def op3_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_prefix_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = prefix_decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
-    return found.drop("hit_spans", "hit_items")
+    return found.drop("hit_spans", "hit_items", "th")
 
 
 @_query

@@ -111,3 +111,12 @@ def test_near_duplicates_keep_one_row_of_every_group(spark):
     left = corpus_pipeline.near_duplicates(spark, frame, "")
     assert left.columns == frame.columns
     assert sorted((str(r.doc_id), r.text[0]) for r in left.collect()) == [("3", "e"), ("7", "c"), ("7", "d"), ("None", "a"), ("None", "b")]
+
+
+def test_leaks_go_where_others_have_the_same_id(spark):
+    sf = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    item = " ".join(f"leak{i}" for i in range(12))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    rows = [(None, "clean one"), (None, f"x {item}"), (4, "clean two"), (4, f"{item} y"), (5, item), (6, None)]
+    left = corpus_pipeline.benchmark_leaks(spark, documents(spark, rows), sf)
+    assert sorted((str(r.doc_id), str(r.text)) for r in left.collect()) == [("4", "clean two"), ("6", "None"), ("None", "clean one")]
