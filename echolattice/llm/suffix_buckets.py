@@ -1,17 +1,10 @@
-"""Removal of repeated byte strings by refined suffix buckets (bucket pointers).
-
-A bucket is a set of suffixes with a common prefix, and its identifier names
-that prefix.  The initial buckets are q-grams.  They are refined by sorting on
-bucket identifiers of later offsets: the bucket of 50 bytes at p is the pair of
-the q-gram buckets at p and p+25, the bucket of 100 bytes the pair of 50-byte
-buckets at p and p+50, and the refined identifiers are used again for the next step.
-Buckets with one suffix need no refinement and leave first.
-
-Identifiers are fingerprints of what they name, so any task can compute the
-identifier at a later offset without fetching a rank from another machine; Spark's
-exchange and sort then bring equal ones together.  Suffixes enter the first
-sort only at sampled places (one q-gram in every stretch of 76, chosen by content)
-and stand for their neighbours; see :mod:`echolattice.llm.repeats`.
+"""Removal of repeated byte strings of 100 bytes, by winnowed window hashing in place of suffix buckets.
+
+Windows of 100 bytes are found by :mod:`echolattice.llm.repeats`, as those of op5 are: a window is anchored at its
+25-byte seed of least fingerprint, and windows with one anchor are grouped by fingerprints.
+There are no rounds of refinement: no suffixes enter buckets but at anchors, nothing is sorted on
+bucket identifiers of later offsets, and none are updated.  What is left of bucket pointers is how the fingerprint of
+100 bytes is made (:func:`bucket_ids`): from those of 50 bytes, and these from those of 25, within one text.
 """
 
 from __future__ import annotations
