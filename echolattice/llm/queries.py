@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echolattice.llm import chat_trees, histogram_packing, histogram_sort, license_paragraphs, lm_interpolation, prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets
+from echolattice.llm import chat_trees, histogram_packing, histogram_sort, license_paragraphs, lm_interpolation, merkle_manifest, prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets
 from echolattice.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,15 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_paragraphs.scan(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_paragraphs", "n_licensed", "n_unknown", F.array_join("families", ",").alias("families"), F.round("licence_probability", 6).alias("licence_probability"))
+
+
+def merkle_proofs(docs: DataFrame) -> DataFrame:
+    """The digests of :func:`merkle_manifest.checked`."""
+    found = merkle_manifest.checked(docs)
+    proof = merkle_manifest.digest(merkle_manifest.siblings(F.col("steps")))
+    return found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")
+
+
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_proofs(read(spark, sf_dir, "documents"))
