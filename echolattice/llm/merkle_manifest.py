@@ -183,7 +183,8 @@ def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
         return rows if wanted[height] is None else rows.join(wanted[height], ["group", "i"], "left_semi")
 
     root = manifest.root or ""
-    rows = spark.range(1 if manifest.root else 0).select(F.col("id").alias("group"), F.lit(root).alias("digest"), no_way.alias("way"))
+    # Written, or Spark would take the constant digest for a filter and join without a key.
+    rows = cut(spark.range(1 if manifest.root else 0).select(F.col("id").alias("group"), F.lit(root).alias("digest"), no_way.alias("way")), "root")
     for height in range(len(manifest.top), 0, -1):
         rows = cut(_descend(rows, manifest.top[height - 1], "group"), "way")
     start = rows.join(manifest.groups, "group").select("group", F.lit(0).cast("long").alias("i"), "digest", "way", "subroot", "height")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echolattice.llm import chat_trees, histogram_packing, histogram_sort, license_paragraphs, lm_interpolation, merkle_manifest, prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets
+from echolattice.llm import chat_trees, histogram_packing, histogram_sort, license_paragraphs, lm_interpolation, merkle_manifest, prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets, value_dictionaries, warc_shards
 from echolattice.llm.common import read
+from echolattice.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -100,3 +102,20 @@ def merkle_proofs(docs: DataFrame) -> DataFrame:
 @_query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_proofs(read(spark, sf_dir, "documents"))
+
+
+def vector_codes(vectors: DataFrame) -> DataFrame:
+    codes = value_dictionaries.compress(vectors)
+    return value_dictionaries.with_label_errors(codes).select("vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
+@_query
+def op11_value_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(read(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op12_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark).rstrip('/')}/llm-warc-{uuid.uuid4().hex}"
+    warc_shards.write(read(spark, sf_dir, "pages"), path)
+    return warc_shards.read_back(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
