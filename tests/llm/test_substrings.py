@@ -3,9 +3,11 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from echolattice.llm import seed_extend, suffix_buckets
+from echolattice.llm.textarrays import word_bounds, word_units
 from tests.llm.helpers import documents
 
 
@@ -84,3 +86,34 @@ def test_odd_rows(spark, operator):
     # The row without an id comes first; both copies of row 1 lose all, the short row nothing.
     assert removed == [(False, 0, False), (True, 1, False), (True, 1, True), (True, 1, True), (True, 2, True)]
     assert operator(frame.limit(0)).collect() == []
+
+
+def test_words_alike_under_polynomials_are_told_apart(spark):
+    """A word of the Thue-Morse sequence and its complement are equal for every odd base modulo 2^64."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    words = [f"w{i}" for i in range(19)]
+    docs = [(1, " ".join([*words, one])), (2, " ".join([*words, other]))]
+    assert {r.doc_id: r.n_removed for r in seed_extend.remove_passages(documents(spark, docs), keep_text=False).collect()} == {1: 0, 2: 0}
+
+
+def test_word_units_differ_as_words_do():
+    data = b"".join([b"a" * k + b" " + b"b" * k + b" " + b"a" * (k - 1) + b"b " for k in range(1, 130)]) + b"a\x00 "
+    column = np.frombuffer(data, dtype=np.uint8)
+    starts, ends, _ = word_bounds(column, np.array([0, len(column)]))
+    units = word_units(column, starts, ends)
+    words = data.split(b" ")[:-1]
+    assert len(set(units.tolist())) == len(set(words)) and len(words) == len(units)
+    assert units[0] == units[[k for k, w in enumerate(words) if w == b"a"][-1]]
+
+
+@pytest.mark.parametrize("operator", [seed_extend.remove_passages, suffix_buckets.remove_repeats])
+def test_a_very_long_text(spark, operator):
+    """20 MB in one row beside short texts that repeat a part of it."""
+    r = random.Random(3)
+    words = [f"{r.getrandbits(40):x}" for _ in range(1_900_000)]
+    long = " ".join(words)
+    docs = [(1, long), (2, "start " + " ".join(words[500_000:500_040]) + " end")]
+    found = {x.doc_id: x.n_removed for x in operator(documents(spark, docs), keep_text=False).collect()}
+    assert len(long) > 18_000_000 and found[1] == 0
+    assert found[2] == (40 if operator is seed_extend.remove_passages else len(" ".join(words[500_000:500_040])) + 2)
