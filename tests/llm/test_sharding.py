@@ -39,3 +39,10 @@ def test_odd_rows(spark):
     same = spark.createDataFrame([(1, "copy")] * 50, "doc_id long, text string")
     rows = histogram_sort.shard(same).collect()
     assert len(rows) == 50 and sum(sizes_and_slots(rows, 16)) == 250
+
+
+def test_rows_without_ids_and_of_one_text_are_divided(spark):
+    docs = [(None, "same text")] * 1000 + [(i, "x" * (i % 9)) for i in range(200)] + [(3, "again")] * 300
+    rows = histogram_sort.shard(documents(spark, docs)).collect()
+    size = sizes_and_slots(rows, 16)
+    assert len(rows) == 1500 and max(size) - min(size) <= 2e-3 * sum(size) / 16 + 2 * 10
