@@ -7,6 +7,7 @@ import pytest
 import xxhash
 
 from echolattice.llm import graph, simhash_pivot
+from tests.llm import test_pipeline
 from tests.llm.helpers import documents
 
 
@@ -82,3 +83,45 @@ def test_odd_rows(spark):
     rows = simhash_pivot.near_duplicates(frame).collect()
     assert sorted((str(r.doc_id), str(r.component_id)) for r in rows) == [("1", "1"), ("1", "1"), ("5", "5"), ("None", "1"), ("None", "None")]
     assert simhash_pivot.near_duplicates(frame.limit(0)).collect() == []
+
+
+def edited(r, words, share):
+    """The words with about so many of the shingles changed, by single replacements."""
+    out = list(words)
+    for at in r.sample(range(len(out)), max(1, int(len(out) * share / 10))):
+        out[at] = f"new{r.random()}"
+    return out
+
+
+def test_similar_texts_against_brute_force(spark):
+    r = random.Random(8)
+    word = lambda: "".join(r.choices("abcdefgh", k=5))
+    docs, near = [], 0
+    for k in range(60):
+        base = [word() for _ in range(r.randint(60, 300))]
+        docs.append((k * 10, " ".join(base)))
+        for c in range(r.randint(0, 4)):
+            docs.append((k * 10 + c + 1, " ".join(edited(r, base, r.choice([0.02, 0.1, 0.2, 0.35])))))
+    docs += [(5000 + k, docs[0][1].upper()) for k in range(30)] + [(6000, ""), (6001, None), (6002, " \n"), (6003, "two words"), (6004, "Two  WORDS"), (None, docs[0][1]), (None, "an own text")]
+    sets = {i: test_pipeline.words_of(t) for i, t in docs if i is not None}
+    roots = test_pipeline.alike({i: t for i, t in docs if i is not None})
+    found = {x.doc_id: x.component_id for x in simhash_pivot.similar(documents(spark, docs)).collect() if x.doc_id is not None}
+    lost = [i for i in roots if roots[i] != i and found[i] == i]
+    linked = [i for i in roots if roots[i] != i]
+    assert len(linked) > 60 and len(lost) <= 0.03 * len(linked)
+    # Nothing is linked that brute force does not link.
+    assert all(roots[found[i]] == roots[i] for i in found)
+    assert found[6001] == 6000 == found[6002] and found[6004] == 6003 and {found[5000 + k] for k in range(30)} == {0}
+    assert any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for i, j in zip(linked, map(roots.get, linked)))
+    assert simhash_pivot.similar(documents(spark, docs).limit(0)).collect() == []
+
+
+def test_many_near_copies_of_one_text_and_a_boilerplate(spark):
+    """A large group links whole; texts that share a long passage but differ otherwise are told apart in later rounds."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choices("abcdefgh", k=5))
+    base, plate = [word() for _ in range(200)], [word() for _ in range(150)]
+    docs = [(i, " ".join(edited(r, base, 0.1))) for i in range(150)] + [(1000 + i, " ".join(plate + [word() for _ in range(90)])) for i in range(40)]
+    found = {x.doc_id: x.component_id for x in simhash_pivot.similar(documents(spark, docs)).collect()}
+    assert sum(found[i] == 0 for i in range(150)) >= 148
+    assert all(found[1000 + i] == 1000 + i for i in range(40))
