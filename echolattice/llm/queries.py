@@ -8,12 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echolattice.llm import chat_trees, histogram_packing, histogram_sort, license_paragraphs, lm_interpolation, merkle_manifest, prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets, value_dictionaries, warc_shards
+from echolattice.llm import chat_trees, histogram_packing, histogram_sort, license_paragraphs, lm_interpolation, merkle_manifest, prefix_decontam, quality_risk, seed_extend, simhash_pivot, suffix_buckets, twins, value_dictionaries, warc_shards
 from echolattice.llm.common import read
 from echolattice.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-TWINS: dict[str, str] = {}
+TWINS: dict[str, str] = {
+    "op11_value_dictionaries": twins.vector_codes(),
+    "op12_warc_shards": twins.WARC,
+    "op13_merkle_manifest": twins.merkle(),
+}
 
 
 def _query(function):
