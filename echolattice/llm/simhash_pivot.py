@@ -316,9 +316,8 @@ def similar(docs: DataFrame) -> DataFrame:
 
     Texts are linked if, lower-cased (A-Z), at least ``SIMILARITY`` of their distinct five-word shingles are shared; a text of
     fewer words is one shingle, and texts without words (null, empty) are copies of each other.  In a group
-    of least hashes all texts are compared with the least of them by hash, those it is not similar to with the
-    least of these, and so on, so that m copies make m pairs; a link between two texts that both differ from that text may be
-    found in another group only.  Equal texts, told by 64 bits, are compared once.  Null doc_ids take part
+    of least hashes all texts are compared with the least of them by hash, so that m copies make m pairs.  Those it is not similar to
+    meet again where one more group agrees, and so on; each round leaves fewer, and after as many rounds as there are groups none is left.  Equal texts, told by 64 bits, are compared once.  Null doc_ids take part
     and are nobody's smallest.  Other columns are ignored, an empty table gives no rows.
     """
     texts = keyed(docs)
@@ -327,12 +326,17 @@ def similar(docs: DataFrame) -> DataFrame:
     names = [f"g{k}" for k in range(GROUPS)]
     order = F.coalesce("doc_id", F.lit(NO_ID))
     nodes = cut(described.groupBy("th").agg(F.min(order).alias("own_id"), F.min("doc_id").alias("least"), F.min("print").alias("print"), *[F.min(g).alias(g) for g in names]), "texts")
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("group"), F.col(g).alias("value")) for k, g in enumerate(names)])).alias("at")
-    rows = cut(nodes.select("th", "print", each).select("th", "print", "at.group", "at.value"), "groups")
+    values = F.array(*names)
+    known = nodes.select("th", "print", values.alias("values"))
+    rows = known.select("th", "print", F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))).alias("k"), "values")
+    rows = cut(rows.select("th", "print", F.expr("shiftleft(1, k)").alias("groups"), F.element_at("values", F.col("k") + 1).alias("value")), "groups")
     links, sets = None, None
-    while True:
-        leads = rows.groupBy("group", "value").agg(F.min("th").alias("lead"), F.min_by("print", "th").alias("lead_print"), F.count("*").alias("n")).where("n > 1")
-        met = cut(rows.join(leads.drop("n"), ["group", "value"]).where("th <> lead"), "met")
+    for _ in range(GROUPS):
+        leads = rows.groupBy("groups", "value").agg(F.min("th").alias("lead"), F.min_by("print", "th").alias("lead_print"), F.count("*").alias("n")).where("n > 1")
+        met = cut(rows.join(leads.drop("n"), ["groups", "value"]).where("th <> lead"), "met")
+        discard(rows)
+        if met.isEmpty():
+            break
         pairs = cut(met.select("th", "lead", "print", "lead_print").distinct().mapInArrow(_near_enough, "th long, lead long"), "pairs")
         wanted = pairs.select(F.explode(F.array("th", "lead")).alias("wanted")).distinct()
         if sets is not None:
@@ -346,11 +350,14 @@ def similar(docs: DataFrame) -> DataFrame:
         compared = cut(both.select("th", "lead", "own", "other").mapInArrow(_compared, "th long, lead long, good boolean"), "compared")
         good = compared.where("good").select(F.col("th").alias("a"), F.col("lead").alias("b"))
         links = good if links is None else links.unionByName(good)
-        before = rows
-        rows = cut(met.join(compared.where("good"), ["th", "lead"], "left_anti").select("th", "print", "group", "value"), "groups")
-        discard(before)
-        if rows.groupBy("group", "value").count().where("count > 1").isEmpty():
-            break
+        # Texts unlike the one they were compared with meet again where one group more agrees: there few are that are not alike.
+        failed = met.join(compared.where("good"), ["th", "lead"], "left_anti").select("th", "groups").distinct()
+        finer = failed.join(known, "th").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))))
+        finer = finer.where("groups & shiftleft(1, k) = 0").withColumn("groups", F.expr("groups | shiftleft(1, k)"))
+        agreed = F.expr("filter(values, (v, at) -> groups & shiftleft(1, at) <> 0)")
+        rows = cut(finer.select("th", "print", "groups", F.xxhash64(agreed).alias("value")).distinct(), "groups")
+    if links is None:
+        links = nodes.limit(0).select(F.col("th").alias("a"), F.col("th").alias("b"))
     joined = components(links)
     root = cut(nodes.select("th", "least").join(joined, F.col("th") == F.col("node"), "left").select("th", "least", F.coalesce("root", "th").alias("root")), "roots")
     named = root.groupBy("root").agg(F.min("least").alias("component_id"))
