@@ -9,10 +9,11 @@ from echolattice.config import Lattice
 from echolattice.functions import geomath
 from echolattice.session import spread
 
-# A nearest-gate key packs whole square metres above the gate index.  Square
-# metres below 2**36 (262 km) and gate indices below 2**27 fit one BIGINT, so the
-# minimum stays in a hash aggregate; a struct minimum would need a sort.
-GATE_SLOTS = 1 << 27
+# A nearest-gate key packs the distance, in steps of 2^-18 m (four micrometres), above the
+# gate index.  Distances below 2^18 m (262 km) and gate indices below 2**27 fit one BIGINT, so
+# the minimum stays in a hash aggregate; a struct minimum would need a sort.
+GATE_SLOTS, STEPS = 1 << 27, 1 << 18
+FARTHEST = float(1 << 18)
 
 
 class Parameters:
@@ -174,33 +175,41 @@ def shared_scans(scans: DataFrame) -> DataFrame:
     return shapes.join(least, "shape").select("geometry_id", "shared_id")
 
 
-def for_all(shared: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs of shared geometries for every geometry that shares them."""
-    return shared.join(pairs.withColumnRenamed("geometry_id", "shared_id"), "shared_id").drop("shared_id")
+def for_all(shared: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of shared geometries (with ``voxel_id``) for every geometry that shares them.
+
+    Many geometries may share one scan, so voxels are dealt into as many parts as there are
+    shuffle partitions and a part is joined to a copy of the list for it.  Rank, weigh and sum before this.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    users = shared.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    dealt = rows.withColumnRenamed("geometry_id", "shared_id").withColumn("__part", F.pmod("voxel_id", F.lit(parts)).cast("int"))
+    return users.join(dealt, ["shared_id", "__part"]).drop("shared_id", "__part")
+
+
+def _steps(d2: Column) -> Column:
+    """The distance in whole steps; nearer by a step is nearer, else the lower gate index counts."""
+    return F.floor(F.sqrt(d2) * F.lit(STEPS))
 
 
 def nearest_gate_of(pairs: DataFrame) -> DataFrame:
-    """The nearest gate of each voxel, ties (to the whole square metre) to the lower index.
+    """The nearest gate of each voxel, ties to the lower index.
 
     The packed minimum combines map-side, so about one row per voxel is shuffled.
     """
-    fits = F.col("gate_id").between(0, GATE_SLOTS - 1)
-    gate = F.when(fits, F.col("gate_id")).otherwise(F.raise_error(F.lit("a gate index does not fit beside the distance")).cast("bigint"))
-    packed = F.floor(F.col("d2")) * F.lit(GATE_SLOTS) + gate
+    fits = F.col("gate_id").between(0, GATE_SLOTS - 1) & (F.col("d2") < FARTHEST * FARTHEST)
+    gate = F.when(fits, F.col("gate_id")).otherwise(F.raise_error(F.lit("a gate index or a distance does not fit its key")).cast("bigint"))
+    packed = _steps(F.col("d2")) * F.lit(GATE_SLOTS) + gate
     best = pairs.groupBy("geometry_id", "voxel_id").agg(F.min(packed).alias("best"))
-    return best.select(
-        "geometry_id",
-        "voxel_id",
-        (F.col("best") % GATE_SLOTS).alias("gate_id"),
-        F.expr(f"best div {GATE_SLOTS}").cast("double").alias("d2"),
-    )
+    distance = F.expr(f"best div {GATE_SLOTS}") / F.lit(float(STEPS))
+    return best.select("geometry_id", "voxel_id", (F.col("best") % GATE_SLOTS).alias("gate_id"), (distance * distance).alias("d2"))
 
 
 def knn_gates(pairs: DataFrame, k: int) -> DataFrame:
     """The k nearest gates of each voxel; the rank limit is applied before the shuffle."""
     if k == 1:
         return nearest_gate_of(pairs)
-    order = Window.partitionBy("geometry_id", "voxel_id").orderBy(F.floor(F.col("d2")), "gate_id")
+    order = Window.partitionBy("geometry_id", "voxel_id").orderBy(_steps(F.col("d2")), "gate_id")
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
@@ -209,8 +218,10 @@ def neighbour_weights(pairs: DataFrame, weighting: str) -> DataFrame:
     d2, roi = F.col("d2"), F.col("roi")
     kind = weighting.lower()
     if kind == "nearest":
-        order = Window.partitionBy("geometry_id", "voxel_id").orderBy(F.floor(F.col("d2")), "gate_id")
-        return pairs.withColumn("weight", F.when(F.row_number().over(order) == 1, 1.0).otherwise(0.0))
+        # A minimum over the voxel, not a rank: the gates of a voxel need no order.
+        packed = _steps(F.col("d2")) * F.lit(GATE_SLOTS) + F.col("gate_id")
+        least = F.min(packed).over(Window.partitionBy("geometry_id", "voxel_id"))
+        return pairs.withColumn("weight", F.when(packed == least, 1.0).otherwise(0.0))
     if kind == "barnes":
         weight = F.exp(-d2 / (2 * (roi / 2) * (roi / 2)))
     elif kind == "barnes2":

@@ -88,7 +88,7 @@ table("near", ("scan_xyz", "searched"), """
   WHERE g.z <= 15000""")
 
 table("map1", ("near",), """
-  SELECT voxel_id, arg_min(gate_id, (floor(d2), gate_id)) AS gate_id, floor(min(d2)) AS d2
+  SELECT voxel_id, arg_min(gate_id, (floor(sqrt(d2)*262144), gate_id)) AS gate_id
   FROM near GROUP BY voxel_id""")
 
 table("grid", ("map1", "gates"), """
