@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,10 +14,14 @@ from echolattice.session import spread
 
 
 def grid_fields(
-    gates: DataFrame, pairs: DataFrame, lattice: Lattice, fields: Mapping[str, tuple[str, Column | None]]
+    gates: DataFrame, pairs: DataFrame, lattice: Lattice, fields: Mapping[str, tuple[str, Column | None]],
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Weighted mean of many fields per voxel in one join and at most one shuffle.
 
+    Gates and map in equal buckets (:mod:`echolattice.sources.gate_store`) are joined without an
+    exchange.  ``keep``: columns that are constant in a volume and stay with its voxels.
+
     ``fields`` maps an output name to (source field, exclusion predicate).  An
     excluded or missing gate leaves numerator and denominator; a voxel with no
     weight left has NULL, and a voxel with nothing at all has no row.  A
@@ -27,18 +31,18 @@ def grid_fields(
         name: F.col(source) if drop is None else F.when(~F.coalesce(drop, F.lit(False)), F.col(source))
         for name, (source, drop) in fields.items()
     }
-    narrow = gates.select("volume_id", "geometry_id", "gate_id", *[v.alias(n) for n, v in values.items()])
+    narrow = gates.select("volume_id", "geometry_id", "gate_id", *keep, *[v.alias(n) for n, v in values.items()])
     narrow = narrow.filter(F.coalesce(*[F.col(n) for n in values]).isNotNull())
     joined = narrow.join(pairs, ["geometry_id", "gate_id"])
     if lattice.max_neighbors == 1:
-        voxels = joined.select("volume_id", "voxel_id", *values)
+        voxels = joined.select("volume_id", "voxel_id", *keep, *values)
     else:
         sums = []
         for name in values:
             mass = F.sum(F.when(F.col(name).isNotNull(), F.col("weight")))
             total = F.sum(F.col("weight") * F.col(name))
             sums.append(F.when(mass > 0, total / mass).alias(name))
-        voxels = joined.groupBy("volume_id", "voxel_id").agg(*sums)
+        voxels = joined.groupBy("volume_id", "voxel_id", *keep).agg(*sums)
         voxels = voxels.filter(F.coalesce(*[F.col(n) for n in values]).isNotNull())
     return with_indices(voxels, lattice)
 

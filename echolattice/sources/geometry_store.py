@@ -45,8 +45,9 @@ def save_geometry(pairs: DataFrame, meta: DataFrame, path: str, mode: str = "ove
 
 
 def save_bucketed(pairs: DataFrame, table: str, buckets: int, path: str | None = None, mode: str = "overwrite") -> None:
-    """Write a map as a bucketed table, so gridding need not shuffle it again."""
-    writer = pairs.write.mode(mode).bucketBy(buckets, "geometry_id", "gate_id").sortBy("geometry_id", "gate_id")
+    """Write a map as a bucketed table, one file a bucket: gates in as many buckets join it without an exchange."""
+    placed = pairs.repartition(buckets, "geometry_id", "gate_id").sortWithinPartitions("geometry_id", "gate_id")
+    writer = placed.write.mode(mode).bucketBy(buckets, "geometry_id", "gate_id").sortBy("geometry_id", "gate_id")
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

@@ -14,21 +14,23 @@ Maker = Callable[[DataFrame], DataFrame]
 
 
 def product_sink(
-    gates: DataFrame, makers: Mapping[str, Maker], path: str, keys: Sequence[str] = ("volume_id",)
+    gates: DataFrame, makers: Mapping[str, Maker], path: str, keys: Sequence[str] = ("volume_id",), prepare: Maker | None = None
 ) -> Callable[[DataFrame, int], None]:
     """A batch sink from completed volume ids to stored products, by name.
 
     All volumes of a batch go through one job per product; their gates are read from
     the source once.  A batch has a folder of its own in each product and in ``done``, which lists
     its volumes, so a replayed batch leaves one copy, and a folder holds many volumes.
-    ``keys`` may add the partition columns of stored gates, which then prune the scan.
+    ``keys`` may add the partition columns of stored gates, which then prune the scan.  ``prepare`` makes, once a batch, what all
+    makers start from (such as voxels) out of the gates; without it they start from the gates of the batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         done = batch.select(*keys).distinct()
-        own = stored(gates.join(done, list(keys), "left_semi"), "batch-gates")
+        own = gates.join(done, list(keys), "left_semi")
+        base = stored(own, "batch-gates") if prepare is None else prepare(own)
         for name, make in makers.items():
-            make(own).write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+            make(base).write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
         # Listed last: a volume counts from when all its products are there.
         done.select("volume_id").distinct().write.mode("overwrite").parquet(f"{path}/done/batch_id={batch_id}")
 
