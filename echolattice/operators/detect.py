@@ -86,6 +86,8 @@ def _rounds(candidates: DataFrame, keys: Sequence[str], radius: float) -> DataFr
     within the radius is kept, and what it covers is dropped.  No pairs within a
     cell are formed, and offers far apart never wait for each other.
     """
+    if radius <= 0:
+        return candidates  # nothing is closer than that
     keys = list(keys)
     edge = radius / math.sqrt(2)
     cells = candidates.withColumns({

@@ -10,17 +10,38 @@ import warnings
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echolattice.config import ColmaxThresholds, QualityThresholds, concrete_field
-from echolattice.operators.components import image_runs, label_runs
+from echolattice.operators.components import component_of_runs
 
 
 def _known(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def vectorised(rule: Callable[..., pa.Array]) -> Callable[..., Column]:
+    """A predicate over Arrow arrays of one or more columns, for rules no expression states; null means not excluded.
+
+    What it returns must be boolean and as long as what it gets, which is checked for every batch.
+    """
+
+    @F.arrow_udf("boolean")
+    def run(*values: pa.Array) -> pa.Array:
+        out = rule(*values)
+        if isinstance(out, pa.ChunkedArray):
+            out = out.combine_chunks()
+        if not isinstance(out, pa.Array) or out.type != pa.bool_() or len(out) != len(values[0]):
+            raise TypeError(f"a predicate returned {getattr(out, 'type', type(out))}, not a boolean for each of {len(values[0])} rows")
+        return out
+
+    return run
+
+
 @dataclass(frozen=True)
 class GateFilter:
     """Exclusions over the columns of a gate table; any one of them excludes.
@@ -278,6 +299,27 @@ def quality_rules(columns: Iterable[str], refl: str = "DBZH", t: QualityThreshol
     return excluded
 
 
+def kept_cells(place: np.ndarray, value: np.ndarray, width: int, wrap_rows: int | None, size: int, mean: float | None) -> np.ndarray:
+    """Which cells of an image, given by raster index in any order, lie in an object that is large and good enough."""
+    order = np.argsort(place, kind="stable")
+    place, value = place[order], value[order]
+    fresh = np.ones(len(place), dtype=bool)
+    fresh[1:] = (np.diff(place) != 1) | (place[1:] % width == 0)
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:], len(place)) - 1
+    label = component_of_runs(place[first], place[last], width, wrap_rows)
+    _, of_run = np.unique(label, return_inverse=True)
+    n = np.bincount(of_run, weights=last - first + 1)
+    good = n >= size
+    if mean is not None:
+        # At single-precision resolution: a sum taken in another order must not flip a tie.
+        total = np.bincount(of_run, weights=np.add.reduceat(value, first))
+        good &= np.floor(total / n * 1e6 + 0.5) / 1e6 >= mean
+    kept = np.empty(len(place), dtype=bool)
+    kept[order] = np.repeat(good[of_run], last - first + 1)
+    return kept
+
+
 def despeckle(
     gates: DataFrame, excluded: Column, rows: int, width: int, field: str = "RHOHV", size: int = 10,
     mean_threshold: float | None = None, delta_deg: float = 5.0, threshold: float = -100.0,
@@ -285,24 +327,23 @@ def despeckle(
     """Gates of objects that are large enough and good enough on average.
 
     Objects are four-connected surviving gates of one sweep; the last ray touches
-    the first where the gap between rays is at most ``delta_deg``.
+    the first where the gap between rays is at most ``delta_deg``.  Gates are read and exchanged once: a sweep, which the
+    lattice bounds, becomes a row of cells, of which only places and one field visit Python and come back as a mask.
     """
     image = ["volume_id", "sweep"]
     alive = gates.filter(~excluded & (F.col(field) > threshold))
-    sums = {"total": F.sum(field)}
-    runs = image_runs(alive.select(*image, "ray", "gate", field), image, "ray", "gate", sums)
-    labelled = label_runs(runs, image, rows, width, wrap=360.0 / rows <= delta_deg)
-    # A component lies within one sweep, so its window is bounded; a window instead of
-    # an aggregate joined back labels once.
-    whole = Window.partitionBy(*image, "label")
-    measured = labelled.withColumns({"n": F.sum("pixels").over(whole), "sum": F.sum("total").over(whole)})
-    good = F.col("n") >= size
-    if mean_threshold is not None:
-        # At single-precision resolution: a sum taken in another order must not flip a tie.
-        good = good & (F.round(F.col("sum") / F.col("n"), 6) >= mean_threshold)
-    kept = measured.filter(good)
-    cells = kept.select(*image, F.col("row").alias("ray"), F.explode(F.sequence("first", "last")).alias("gate"))
-    return alive.join(cells, [*image, "ray", "gate"], "left_semi")
+    others = [c for c in gates.columns if c not in image]
+    wrap_rows = rows if 360.0 / rows <= delta_deg else None
+
+    @F.pandas_udf("array<boolean>")
+    def mask(places: pd.Series, values: pd.Series) -> pd.Series:
+        return pd.Series([kept_cells(np.asarray(p, dtype=np.int64), np.asarray(v, dtype=np.float64), width, wrap_rows, size, mean_threshold) for p, v in zip(places, values)])
+
+    sweeps = alive.groupBy(*image).agg(F.collect_list(F.struct(*others)).alias("cells"))
+    place = F.transform("cells", lambda c: c["ray"].cast("bigint") * width + c["gate"])
+    judged = sweeps.withColumn("mask", mask(place, F.transform("cells", lambda c: c[field].cast("double"))))
+    left = F.filter(F.zip_with("cells", "mask", lambda c, k: F.when(k, c)), lambda c: c.isNotNull())
+    return judged.select(*image, F.explode(left).alias("cell")).select(*[c if c in image else F.col("cell")[c].alias(c) for c in gates.columns])
 
 
 def quality_filter(
