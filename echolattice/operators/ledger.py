@@ -279,23 +279,53 @@ def retry_exhausted(incomplete_volumes: DataFrame, files: DataFrame, max_attempt
 PROFILE_KEY = ("radar", "obs_date", "strategy", "vol_nr", "field")
 
 
+#: Seconds of arrivals that are put in order together.
+SEGMENT_SECONDS = 3600
+
+
+def with_previous(
+    rows: DataFrame, keys: Sequence[str], value: str, at: Column, order: Sequence[str], width_seconds: int = SEGMENT_SECONDS
+) -> DataFrame:
+    """Rows with ``previous`` (the value of the row before, among equal keys) and ``is_first`` (there is none).
+
+    Order is by ``order``, whose first column rises with the time ``at``.  Time is cut into segments: rows are ordered within
+    a segment of a key, and the last row of the segment before is carried over by a join,
+    so no task holds more of a key than a segment, however long the log.
+    """
+    segment = F.floor(F.unix_timestamp(at) / width_seconds)
+    within = Window.partitionBy(*keys, "__segment").orderBy(*order)
+    ordered = rows.withColumn("__segment", segment).withColumns({
+        "previous": F.lag(value).over(within), "__place": F.row_number().over(within), "__next": F.lead("__segment").over(within),
+    })
+    # One row for each segment of a key.
+    last = ordered.filter(F.col("__next").isNull()).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__segment").alias("__of"), F.col(value).alias("__value"))
+    along = Window.partitionBy(*[f"__{k}" for k in keys]).orderBy("__of")
+    carried = last.withColumns({"__carried": F.lag("__value").over(along), "__rank": F.row_number().over(along)})
+    same = F.col("__segment") == F.col("__of")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"__{key}"))
+    starts = F.col("__place") == 1
+    return ordered.join(carried, same).select(
+        *rows.columns, F.when(starts, F.col("__carried")).otherwise(F.col("previous")).alias("previous"),
+        (starts & (F.col("__rank") == 1)).alias("is_first"),
+    )
+
+
 def arrival_profile(files: DataFrame, hourly: bool = False) -> DataFrame:
     """Arrival delay of every file and whether it is older than the one before it.
 
-    Order is by arrival within a (radar, day, kind), which bounds a group to one
-    day of one radar's field.
+    Order is by arrival within a (radar, day, kind), found by segments of arrival time.
     """
     dated = files.withColumn("obs_date", F.date_format("obs_ts", "yyyy-MM-dd"))
     keys = list(PROFILE_KEY)
     if hourly:
         dated = dated.withColumn("obs_hour", F.hour("obs_ts"))
         keys.append("obs_hour")
-    order = Window.partitionBy(*keys).orderBy("created_ts", "event_id")
-    before = F.lag("obs_ts").over(order)
-    return dated.select(
+    dated = dated.select(*keys, "event_id", "filename", "obs_ts", "created_ts")
+    return with_previous(dated, keys, "obs_ts", F.col("created_ts"), ["created_ts", "event_id"]).select(
         *keys, "event_id", "filename", "obs_ts", "created_ts",
         (F.unix_timestamp("created_ts") - F.unix_timestamp("obs_ts")).alias("delay_s"),
-        F.coalesce(F.col("obs_ts") < before, F.lit(False)).alias("out_of_order"),
+        F.coalesce(F.col("obs_ts") < F.col("previous"), F.lit(False)).alias("out_of_order"),
     )
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from echolattice.config import RESUME_BUFFER_MINUTES
+from echolattice.operators.ledger import with_previous
+from echolattice.session import stored
 
 VOLUME = ("radar", "strategy", "vol_nr", "obs_ts")
 DEFAULT_DELAY = f"{RESUME_BUFFER_MINUTES} minutes"
@@ -88,6 +90,41 @@ def late_rows(arrivals: DataFrame, watermark: Column) -> DataFrame:
     return arrivals.filter(F.col("obs_ts") < watermark)
 
 
+def late_sink(path: str, delay: str):
+    """A batch sink that keeps rows in time under ``rows`` and rows behind the watermark under ``late``; nothing is dropped.
+
+    The watermark is the newest observation of the batches before, less ``delay``, kept as one row for each batch under
+    ``seen``.  A batch that is replayed sees the same watermark and replaces its own rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = stored(batch, "batch")
+        newest = own.agg(F.max("obs_ts").alias("newest"))
+        newest.limit(0).write.mode("append").parquet(f"{path}/seen/batch_id=-1")
+        seen = spark.read.schema("newest timestamp, batch_id long").parquet(f"{path}/seen").filter(F.col("batch_id") < batch_id)
+        limit = seen.agg((F.max("newest") - F.expr(f"INTERVAL {delay}")).alias("limit")).first()[0]
+        behind = late_rows(own, F.lit(limit).cast("timestamp"))
+        in_time = own.filter(F.coalesce(F.col("obs_ts") >= F.lit(limit).cast("timestamp"), F.lit(True)))
+        in_time.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        behind.write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
+        newest.write.mode("overwrite").parquet(f"{path}/seen/batch_id={batch_id}")
+
+    return write
+
+
+def reopened_by_late(rows: DataFrame, late: DataFrame) -> DataFrame:
+    """Volumes that late rows bring fields for: the fields held before, those that came late, and when the volume was opened again.
+
+    Only the volumes of late rows are looked up among the rows in time.
+    """
+    came = late.filter(F.col("status") == "completed").groupBy(*VOLUME).agg(F.array_sort(F.collect_set("field")).alias("late_fields"), F.min("created_ts").alias("reopened_ts"))
+    held = rows.filter(F.col("status") == "completed").join(came.select(*VOLUME), list(VOLUME), "left_semi").groupBy(*VOLUME).agg(F.array_sort(F.collect_set("field")).alias("held"))
+    both = came.join(held, list(VOLUME), "left").withColumn("held", F.coalesce("held", F.array().cast("array<string>")))
+    fresh = F.array_except("late_fields", "held")
+    return both.filter(F.size(fresh) > 0).select(*VOLUME, "held", fresh.alias("late_fields"), "reopened_ts")
+
+
 def reopened(states: DataFrame, products: DataFrame) -> DataFrame:
     """Completed products of volumes that a late field completed, pending again.
 
@@ -140,37 +177,37 @@ def stream_stuck(states: DataFrame, delay: str, timeout_minutes: int) -> DataFra
     )
 
 
-def stream_out_of_order(arrivals: DataFrame, delay: str, keep_minutes: int = 2 * 1440) -> DataFrame:
-    """Arrivals older than the one before them, per (radar, day, kind).
+ORDER_KEY = ("radar", "obs_date", "strategy", "vol_nr", "field")
+
 
-    State is the last observation of the key; rows of a batch are put in arrival
-    order first.  A key is one day of one kind of file, and its state expires.
+def order_sink(path: str):
+    """A batch sink that flags arrivals older than the one before them, per (radar, day, kind): event_id, radar, out_of_order under ``rows``.
+
+    A batch is ordered by segments of arrival time, with Spark windows; the last observation of each key is kept by day and
+    batch under ``last``, and only the days a batch touches are read.  A key has one row for each batch that brought
+    it rows.  A batch that is replayed sees the states before it and replaces its own.
     """
-    keys = ["radar", "obs_date", "strategy", "vol_nr", "field"]
-    keep_ms = keep_minutes * 60_000
 
-    def follow(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(parts)).sort_values(["created_ts", "event_id"])
-        obs = rows["obs_s"].astype("int64")
-        before = obs.shift(1)
-        if state.exists:
-            before.iloc[0] = state.get[0]
-        state.update((int(obs.iloc[-1]),))
-        last = int(pd.Timestamp(rows["created_ts"].iloc[-1]).timestamp() * 1000)
-        state.setTimeoutTimestamp(max(last + keep_ms, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"event_id": rows["event_id"], "radar": rows["radar"], "out_of_order": (obs < before).to_numpy()})
-
-    keyed = arrivals.withColumns({
-        "obs_date": F.date_format("obs_ts", "yyyy-MM-dd"), "obs_s": F.unix_timestamp("obs_ts"),
-    }).select(*keys, "event_id", "created_ts", "obs_s")
-    return (
-        keyed.withWatermark("created_ts", delay)
-        .groupBy(*keys)
-        .applyInPandasWithState(
-            follow, "event_id long, radar string, out_of_order boolean", "last long", "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
-    )
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        keys = list(ORDER_KEY)
+        dated = batch.withColumns({"obs_date": F.date_format("obs_ts", "yyyy-MM-dd"), "obs_s": F.unix_timestamp("obs_ts")})
+        dated = dated.select(*keys, "event_id", "created_ts", "obs_s")
+        order = ["created_ts", "event_id"]
+        found = stored(with_previous(dated, keys, "obs_s", F.col("created_ts"), order), "ordered")
+        newest = found.groupBy(*keys).agg(F.max_by("obs_s", F.struct(*order)).alias("last"))
+        schema = newest.withColumn("batch_id", F.lit(0).cast("long")).schema
+        days = [r[0] for r in found.select("obs_date").distinct().collect()]  # the days of one batch
+        spark.createDataFrame([], schema).write.mode("append").partitionBy("obs_date", "batch_id").parquet(f"{path}/last")
+        kept = spark.read.schema(schema).parquet(f"{path}/last").filter((F.col("batch_id") < batch_id) & F.col("obs_date").isin(days))
+        before = kept.groupBy(*keys).agg(F.max_by("last", "batch_id").alias("last")).withColumnsRenamed({k: f"__{k}" for k in keys})
+        same = F.lit(True)
+        for key in keys:
+            same = same & F.col(key).eqNullSafe(F.col(f"__{key}"))
+        previous = F.when(F.col("is_first"), F.col("last")).otherwise(F.col("previous"))
+        flagged = found.join(before, same, "left").select("event_id", "radar", F.coalesce(F.col("obs_s") < previous, F.lit(False)).alias("out_of_order"))
+        flagged.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        placed = newest.withColumn("batch_id", F.lit(batch_id).cast("long")).repartition("obs_date")
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("obs_date", "batch_id").parquet(f"{path}/last")
+
+    return write

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from echolattice.functions.inline import inline_table
 from echolattice.operators import ledger
+from workload import tables
 
 CATALOGUE = {"0315": {"01": ["DBZH", "ZDR"]}}
 
@@ -136,3 +139,26 @@ def test_no_status_counts_as_active(spark):
     log = files(spark, [(1, "DBZH", "2024-01-01 00:00:00", "completed", None), (2, "ZDR", "2024-01-01 00:00:00", "completed", "active")])
     rows = {r.kind: r.active for r in ledger.cleanup_stats(log, volumes(spark, [("a", "2024-01-01 00:00:00", "x", True)])).collect()}
     assert rows == {"file": 2, "volume": 1}
+
+
+def test_order_is_carried_across_segments(spark):
+    """Random arrivals over days with nulls, ties and empty hours, against a plain loop."""
+    rng = random.Random(9)
+    rows = [(i, rng.choice(["A", "A", "A", None]), rng.choice([None, *range(50)]), rng.choice([0, 10, 3599, 3600, 90_000, rng.randrange(200_000)])) for i in range(400)]
+    frame = spark.createDataFrame(rows, "id long, k string, v long, at long").withColumn("at", F.timestamp_seconds("at")).repartition(5)
+    got = {r.id: (r.previous, r.is_first) for r in ledger.with_previous(frame, ["k"], "v", F.col("at"), ["at", "id"]).collect()}
+    expected, last = {}, {}
+    for i, k, v, at in sorted(rows, key=lambda r: (r[3], r[0])):
+        expected[i] = (last.get(k), k not in last)
+        last[k] = v
+    assert got == expected
+
+
+def test_profile_exchanges_the_log_once(spark, sf):
+    """A key that holds a third of the rows is ordered by hours; the log itself moves a single time."""
+    plan = ledger.arrival_profile(tables.arrivals(spark, sf))
+    plan.collect()
+    text = str(plan._jdf.queryExecution().executedPlan()).split("== Initial Plan ==")[0]
+    windows = [line for line in text.splitlines() if "Window" in line and "lag" in line]
+    assert windows and all("__segment" in line or "__of" in line for line in windows)
+    assert text.count("Scan parquet") - text.count("ReusedExchange") <= 2

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from echolattice.operators import ledger
+from echolattice.operators import ledger, volumes
 from echolattice.plans import products
+from echolattice.sources import gate_store
+from echolattice.streaming import incomplete
 from echolattice.streaming import ledger as live
 from echolattice.streaming import products as live_products
 from echolattice.streaming import runner
@@ -82,11 +84,48 @@ def stream_volume_kinds(spark, sf):
     return _set_row(runner.latest_state(rows, list(live.VOLUME)))
 
 
-@register("stream_incomplete_timeout", query(("arrivals",), f"""SELECT * FROM ({_SETS}) s
-    WHERE obs_s <= (SELECT max(obs_s) FROM arrivals WHERE status = 'completed') - 86400*2"""))
+@register("stream_incomplete_timeout", query(("arrivals",), """SELECT radar, vol_nr, obs_s, array_to_string(downloaded, ',') AS downloaded,
+    CAST(len(list_filter(failed, lambda f: NOT list_contains(downloaded, f))) AS INT) AS attempts,
+    list_has_all(downloaded, ['DBZH','DBZV','ZDR','RHOHV','KDP']) AS is_complete
+    FROM (SELECT radar, vol_nr, obs_s, coalesce(list_sort(list(DISTINCT field) FILTER (status = 'completed')), []) AS downloaded,
+                 coalesce(list(field) FILTER (status = 'failed'), []) AS failed FROM arrivals GROUP BY ALL) q"""))
 def stream_incomplete_timeout(spark, sf):
-    given_up = live.stream_timed_out(events_stream(spark, sf), tables.EXPECTED, "2 days")
-    return _set_row(runner.collected(spark, given_up, folder(spark, "timeout")))
+    """Three batches, with a restart before the last; every volume comes out, the last ones from the state."""
+    path = folder(spark, "incomplete")
+    kinds = {("0315", v): tables.EXPECTED for v in ("01", "02")}
+    log = tables.arrivals(spark, sf)
+    with incomplete.keyed_state(spark):
+        for batches in ((0, 1), (2,)):
+            for batch in batches:
+                log.filter(F.expr(BY_TIME) == batch).repartition(FILES).write.mode("append").parquet(f"{path}/in")
+            arrivals = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", FILES).parquet(f"{path}/in")
+            out = incomplete.follow_volumes(arrivals, kinds, "1 hour", max_attempts=2)
+            runner.drain(out, runner.batch_table(f"{path}/out"), f"{path}/checkpoint")
+    came_out = spark.read.parquet(f"{path}/out").drop("batch_id").unionByName(incomplete.still_open(spark, f"{path}/checkpoint"))
+    expected = ledger.catalogue_table(log, {"0315": {"01": tables.EXPECTED, "02": tables.EXPECTED}})
+    found = incomplete.outcomes(came_out, expected)
+    return found.select("radar", "vol_nr", seconds("obs"), F.array_join("downloaded", ",").alias("downloaded"), "attempts", "is_complete")
+
+
+#: Days after which a row of an older observation is late.
+LATE_DAYS = 1
+
+
+@register("stream_late_rows", query(("arrivals",), f"""
+    SELECT radar, vol_nr, obs_s, array_to_string(held, ',') AS held, array_to_string(late_fields, ',') AS late_fields FROM (
+      SELECT radar, strategy, vol_nr, obs_s, list_sort(list(DISTINCT field) FILTER (late AND NOT in_time)) AS late_fields,
+             coalesce(list_sort(list(DISTINCT field) FILTER (in_time)), []) AS held
+      FROM (SELECT radar, strategy, vol_nr, obs_s, field, bool_or(late) AS late, bool_or(NOT late) AS in_time
+            FROM (SELECT a.*, coalesce(obs_s < (SELECT max(obs_s) FROM arrivals b WHERE CAST(b.event_id % 3 AS INT) < CAST(a.event_id % 3 AS INT)) - 86400*{LATE_DAYS}, false) AS late
+                  FROM (SELECT *, '0315' AS strategy FROM arrivals) a) r WHERE status = 'completed' GROUP BY ALL) f GROUP BY ALL) v
+    WHERE late_fields IS NOT NULL"""))
+def stream_late_rows(spark, sf):
+    """A stream with a real delay: what lies behind the watermark goes to a side table and opens its volumes again."""
+    path = folder(spark, "late-rows")
+    runner.drain(staged_stream(spark, sf, BY_EVENT), live.late_sink(path, f"{LATE_DAYS} DAYS"), f"{path}/checkpoint")
+    rows, late = (spark.read.parquet(f"{path}/{name}") for name in ("rows", "late"))
+    opened = live.reopened_by_late(rows, late)
+    return opened.select("radar", "vol_nr", seconds("obs"), *[F.array_join(c, ",").alias(c) for c in ("held", "late_fields")])
 
 
 @register("stream_slots", query(("arrivals",), """SELECT (created_s // 600)*600 AS slot_s, radar, count(*) AS files,
@@ -138,26 +177,49 @@ def stream_stuck(spark, sf):
     PARTITION BY radar, obs_s // 86400, strategy, vol_nr, field ORDER BY created_ts, event_id), false) AS out_of_order
     FROM arrivals"""))
 def stream_out_of_order(spark, sf):
-    flagged = live.stream_out_of_order(staged_stream(spark, sf), LONG)
-    return runner.collected(spark, flagged, folder(spark, "order")).drop("batch_id")
+    path = folder(spark, "order")
+    runner.drain(staged_stream(spark, sf), live.order_sink(path), f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/rows").drop("batch_id")
 
 
-def _products(spark, sf, name):
-    """Volume ids stream in as they are completed; all products of a volume are stored."""
+#: Values of the day of stored gates, by which a batch finds its volumes' part of them.
+DAYS = 4
+
+
+def _day(df):
+    return df.withColumn("obs_day", F.col("volume_id") % DAYS)
+
+
+def _all_products(spark, sf):
+    """Volume ids stream in as they are completed; a batch reads its days of the stored gates, grids once and stores three products."""
     path = folder(spark, "products")
-    done = tables.sweeps(spark, sf).select("volume_id").distinct()
+    done = _day(tables.sweeps(spark, sf).select("volume_id").distinct())
     for part in (0, 1):
         done.filter(F.col("volume_id") % 2 == part).repartition(FILES).write.mode("append").parquet(f"{path}/done")
     ids = spark.readStream.schema(done.schema).option("maxFilesPerTrigger", FILES).parquet(f"{path}/done")
-    pairs = grids.geometry(spark, sf)
-    makers = {
-        "colmax": lambda gates: products.colmax_product(gates, pairs, tables.LATTICE),
-        "fields": lambda gates: grids.field_products_of(spark, sf, gates),
-        "features": lambda gates: detection.features_of(spark, sf, gates),
-    }
-    sink = live_products.product_sink(tables.gates(spark, sf), {name: makers[name]}, f"{path}/out")
+    pairs, name = grids.geometry(spark, sf), path.rsplit("/", 1)[1].replace("-", "_")
+    own = gate_store.with_lowest(tables.gates(spark, sf), tables.sweeps(spark, sf))
+    gate_store.save_gates(_day(own), name, f"{path}/gates", partitions=["obs_day"])
+    lowest, sites = volumes.lowest_sweep(tables.sweeps(spark, sf)).select("volume_id", "elevation"), tables.sites(spark, sf)
+
+    def voxels(gates):
+        return products.one_gridding(gates, pairs, tables.LATTICE, *grids.SHOWN, rhohv_hole=F.col("gate") % 9 == 0)
+
+    makers = {name: lambda v, name=name: products.products_of(v, tables.LATTICE, lowest, sites)[name] for name in ("colmax", "fields", "features")}
+    sink = live_products.product_sink(spark.table(name), makers, f"{path}/out", ("volume_id", "obs_day"), prepare=voxels)
     runner.drain(ids, sink, f"{path}/checkpoint")
-    return live_products.stored_products(spark, f"{path}/out", name)
+    return f"{path}/out"
+
+
+_MADE: dict[tuple, str] = {}
+
+
+def _products(spark, sf, name):
+    """One stream makes all three products; each query reads its own."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MADE:
+        _MADE[key] = _all_products(spark, sf)
+    return live_products.stored_products(spark, _MADE[key], name)
 
 
 @register("stream_products", query(("colmax",), "SELECT volume_id, iy, ix, value FROM colmax"))
@@ -167,9 +229,9 @@ def stream_products(spark, sf):
 
 @register("stream_field_products", TWINS["field_products"])
 def stream_field_products(spark, sf):
-    return _products(spark, sf, "fields")
+    return _products(spark, sf, "fields").withColumn("value", F.round("value", 6))
 
 
 @register("stream_features", TWINS["cores_and_tops"])
 def stream_features(spark, sf):
-    return _products(spark, sf, "features")
+    return detection.rounded(_products(spark, sf, "features"))
