@@ -1,4 +1,4 @@
-"""Sinks: volumes, features and raster tiles as partitioned files."""
+"""Sinks: volumes, features and raster tiles as partitioned files, each a store with a commit log."""
 
 from __future__ import annotations
 
@@ -7,18 +7,16 @@ from pyspark.sql import functions as F
 
 from echolattice.functions.colours import Scale
 from echolattice.operators.rasters import FACTORS, overviews, value_range
+from echolattice.sources import commits
 
 VOLUME_PARTITIONS = ("radar", "year", "month", "day", "hour", "volume_id")
 
 
-def _replace(df: DataFrame, partitions: tuple[str, ...]):
-    """A writer that replaces the partitions it writes and leaves all others as they are."""
-    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
-
-
-def write_volumes(gates: DataFrame, path: str, obs_ts: str = "obs_ts") -> None:
+def write_volumes(gates: DataFrame, path: str, obs_ts: str = "obs_ts", volumes: DataFrame | None = None) -> None:
     """Gate rows by radar, hour and volume.  A volume written again replaces itself; others stay.
 
+    ``volumes`` lists what is written, if some may have no rows (here and below); :func:`commits.held` reads a store.
+
     Partitions are spread by volume, so a radar with a third of all rows
     is written by many tasks.
     """
@@ -27,7 +25,7 @@ def write_volumes(gates: DataFrame, path: str, obs_ts: str = "obs_ts") -> None:
         "day": F.date_format(obs_ts, "dd"), "hour": F.date_format(obs_ts, "HH"),
     })
     ordered = dated.repartition(*VOLUME_PARTITIONS).sortWithinPartitions(*VOLUME_PARTITIONS, "gate_id")
-    _replace(ordered, VOLUME_PARTITIONS).parquet(path)
+    commits.publish(ordered, path, VOLUME_PARTITIONS, volumes)
 
 
 def feature_collections(features: DataFrame, volumes: DataFrame) -> DataFrame:
@@ -62,10 +60,10 @@ def feature_collections(features: DataFrame, volumes: DataFrame) -> DataFrame:
     )
 
 
-def write_features(collections: DataFrame, path: str) -> None:
-    """Compact collections as text, by day and volume; a volume written again replaces itself."""
+def write_features(collections: DataFrame, path: str, volumes: DataFrame | None = None) -> None:
+    """Compact collections as text, by day and volume; a volume written again replaces itself, if by no features."""
     lines = collections.select(F.translate("folder", "/", "-").alias("day"), "volume_id", F.col("geojson").alias("value"))
-    _replace(lines, ("day", "volume_id")).text(path)
+    commits.publish(lines, path, ("day", "volume_id"), volumes, kind="text")
 
 
 def tile_table(
@@ -89,16 +87,41 @@ def tile_table(
 TILE_PARTITIONS = ("product", "volume_id", "zoom")
 
 
-def write_tiles(tiles: DataFrame, path: str) -> None:
-    """Pixels by product, volume and zoom, in order of tiles; a volume written again replaces itself."""
-    ordered = tiles.repartition(*TILE_PARTITIONS).sortWithinPartitions(*TILE_PARTITIONS, "tile_y", "tile_x", "iy", "ix")
-    _replace(ordered, TILE_PARTITIONS).parquet(path)
+def morton(y: Column, x: Column) -> Column:
+    """Tiles of 16-bit indices in an order in which neighbours lie near each other."""
+
+    def spread_bits(v: Column) -> Column:
+        v = v.cast("bigint").bitwiseAND(0xFFFF)
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+        return v
+
+    return F.shiftleft(spread_bits(y), 1).bitwiseOR(spread_bits(x))
+
+
+#: Bytes of a row group of stored pixels: so small that statistics of tiles tell most groups apart.
+TILE_GROUP = 256 << 10
+
+
+def write_tiles(tiles: DataFrame, path: str, volumes: DataFrame | None = None) -> None:
+    """Pixels by product, volume and zoom, tiles in Morton order; a volume written again replaces itself, all its products, if by nothing.
+
+    Row groups are small and their statistics tell which tiles they hold, so a window is read without the rest of its file.
+    """
+    ordered = tiles.repartition(*TILE_PARTITIONS).sortWithinPartitions(*TILE_PARTITIONS, morton(F.col("tile_y"), F.col("tile_x")), "iy", "ix")
+    spark = tiles.sparkSession
+    before = spark.conf.get("parquet.block.size", None)
+    spark.conf.set("parquet.block.size", str(TILE_GROUP))
+    try:
+        commits.publish(ordered, path, TILE_PARTITIONS, volumes)
+    finally:
+        spark.conf.unset("parquet.block.size") if before is None else spark.conf.set("parquet.block.size", before)
 
 
 def read_window(
     spark: SparkSession, path: str, product: str, zoom: int, rows: tuple[int, int], cols: tuple[int, int], tile: int = 256
 ) -> DataFrame:
-    """A rectangle (inclusive, in pixels of the zoom level) of stored tiles; only tiles it touches are read."""
-    stored = spark.read.parquet(path).filter((F.col("product") == product) & (F.col("zoom") == zoom))
+    """A rectangle (inclusive, in pixels of the zoom level) of stored tiles: folders of the product and zoom, row groups of tiles it touches."""
+    stored = commits.held(spark, path).filter((F.col("product") == product) & (F.col("zoom") == zoom))
     touched = stored.filter(F.col("tile_y").between(rows[0] // tile, rows[1] // tile) & F.col("tile_x").between(cols[0] // tile, cols[1] // tile))
     return touched.filter(F.col("iy").between(*rows) & F.col("ix").between(*cols))

@@ -216,3 +216,8 @@ def test_moving_a_blob_moves_its_core(spark):
 
 def test_thresholds_are_parameters():
     assert TopThresholds().min_dbz == 20.0 and CoreThresholds(min_dbz=40.0).min_dbz == 40.0
+
+
+def test_no_radius_keeps_all(spark):
+    rows = spark.createDataFrame([(1, 0.0, 0.0, 5.0, 1), (1, 0.0, 0.0, 4.0, 2)], "volume_id int, x_m double, y_m double, strength double, tie int")
+    assert [detect.greedy_dedup(rows, 0.0, rounds=r).count() for r in (False, True)] == [2, 2]

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from echolattice.config import Lattice
 from echolattice.functions.inline import inline_table
 from echolattice.operators import gridding, neighbours
+from echolattice.plans import products
+from workload import grids, tables
 
 SMALL = Lattice(
     nz=3, ny=6, nx=6, z_limits=(0.0, 6000.0), y_limits=(-50000.0, 50000.0), x_limits=(-50000.0, 50000.0),
@@ -67,13 +69,39 @@ def test_nearest_and_knn_agree_with_brute_force(spark):
     pairs = neighbours.neighbours(table, geometries, SMALL).cache()
     expected = {}
     for (voxel, gate), d2 in _brute(gates, SMALL).items():
-        expected.setdefault(voxel, []).append((math.floor(d2), gate))
+        expected.setdefault(voxel, []).append((math.floor(math.sqrt(d2) * 2**18), gate))
     nearest = {r.voxel_id: r.gate_id for r in neighbours.nearest_gate_of(pairs).collect()}
     assert nearest == {v: min(c)[1] for v, c in expected.items()}
     three = {(r.voxel_id, r.gate_id) for r in neighbours.knn_gates(pairs, 3).collect()}
     assert three == {(v, g) for v, c in expected.items() for _, g in sorted(c)[:3]}
 
 
+def test_gates_centimetres_apart(spark):
+    """Beside a voxel and a hundred kilometres away from it."""
+    lattice = replace(SMALL, nz=1, ny=1, nx=2, z_limits=(0.0, 0.0), y_limits=(0.0, 0.0), x_limits=(0.0, 100_000.0), min_radius=5000.0, blind_range_m=0.0, lowest_elevation=-90.0)
+    gates = [(0, g, x, 0.0, 0.0) for g, x in ((7, 0.03), (2, 0.05), (3, -0.02), (9, 100_000.51), (4, 100_000.52), (1, 100_000.53))]
+    pairs = neighbours.neighbours(inline_table(spark, ("geometry_id", "gate_id", "x", "y", "z"), gates), inline_table(spark, ("geometry_id",), [(0,)]), lattice).cache()
+    assert {r.voxel_id: r.gate_id for r in neighbours.nearest_gate_of(pairs).collect()} == {0: 3, 1: 9}
+    assert sorted((r.voxel_id, r.rank, r.gate_id) for r in neighbours.knn_gates(pairs, 2).collect()) == [(0, 1, 3), (0, 2, 7), (1, 1, 9), (1, 2, 4)]
+
+
+def test_stored_gates_meet_their_map_without_an_exchange(spark, sf):
+    """Gates and map lie in equal buckets: the column maximum exchanges pixels, gridding nothing."""
+    gates, pairs = grids.gates(spark, sf), grids.geometry(spark, sf)
+
+    def exchanges(df):
+        df.collect()
+        return str(df._jdf.queryExecution().executedPlan()).split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+
+    voxels = gridding.grid_field(gates, pairs, tables.LATTICE, "DBZH")
+    assert exchanges(voxels) == 0 and voxels.count() > 0
+    assert exchanges(products.colmax_product(gates, pairs, tables.LATTICE)) == 1
+    surface = products.field_products(gates, pairs, tables.LATTICE, None, ["DBZH", "ZDR"], ["DBZH"])
+    assert exchanges(surface) == 1, "the lowest elevation lies beside the gates"
+    wide = gridding.grid_field(gates, grids.geometry(spark, sf, grids.WIDE), grids.WIDE, "DBZH")
+    assert exchanges(wide) == 1
+
+
 def test_weights(spark):
     pairs = inline_table(
         spark, ("geometry_id", "voxel_id", "gate_id", "d2", "roi"), [(0, 0, 5, 100.0, 20.0), (0, 0, 3, 100.4, 20.0)]
@@ -83,7 +111,7 @@ def test_weights(spark):
     assert got["Barnes"][5] == pytest.approx(math.exp(-100 / 200))
     assert got["Barnes2"][5] == pytest.approx(math.exp(-1) + 1e-5)
     assert got["Cressman"][5] == pytest.approx(300 / 500)
-    assert got["nearest"] == {3: 1.0, 5: 0.0}
+    assert got["nearest"] == {3: 0.0, 5: 1.0}, "the nearer gate, though less than a square metre"
     with pytest.raises(ValueError):
         neighbours.neighbour_weights(pairs, "linear")
 

@@ -10,7 +10,7 @@ from echolattice.config import Lattice
 from echolattice.functions.inline import inline_table
 from echolattice.functions.colours import Scale
 from echolattice.operators import stations
-from echolattice.sources import files, geometry_store, sinks
+from echolattice.sources import commits, files, geometry_store, map_cache, sinks
 from echolattice.session import cut_lineage, shared_folder
 
 NAMES = (
@@ -97,7 +97,52 @@ def test_a_second_write_keeps_the_first_volume(spark):
     gates = gates.withColumn("obs_ts", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     for volume in (1, 2, 2):
         sinks.write_volumes(gates.filter(F.col("volume_id") == volume), path)
-    assert sorted((r.volume_id, r.DBZH) for r in spark.read.parquet(path).collect()) == [(1, 1.0), (1, 2.0), (2, 3.0)]
+    held = lambda: sorted((r.volume_id, r.DBZH) for r in commits.held(spark, path).collect())
+    assert held() == [(1, 1.0), (1, 2.0), (2, 3.0)]
+    nothing = gates.limit(0)
+    sinks.write_volumes(nothing, path, volumes=gates.filter("volume_id = 1").select("volume_id"))
+    assert held() == [(2, 3.0)], "an empty result replaces the old one"
+    sinks.write_volumes(nothing, path)
+    assert held() == [(2, 3.0)]
+
+
+def test_a_write_cut_off_before_its_commit_is_invisible(spark):
+    path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    rows = inline_table(spark, ("volume_id", "day", "v"), [("007", "a", 1.0), ("8", "a", 2.0)])
+    first = commits.publish(rows, path, ("day", "volume_id"))
+    # Data of the next write without its listing, as a lost driver leaves it.
+    rows.withColumn("v", F.lit(9.0)).write.partitionBy("day", "volume_id").parquet(f"{path}/data/batch={first + 1}")
+    held = lambda: sorted((r.volume_id, r.v) for r in commits.held(spark, path).collect())
+    assert held() == [("007", 1.0), ("8", 2.0)], "names stay as they were"
+    assert commits.publish(rows.filter("volume_id = '8'").withColumn("v", F.lit(3.0)), path, ("day", "volume_id")) == first + 1
+    assert held() == [("007", 1.0), ("8", 3.0)]
+    commits.publish(rows.withColumn("v", F.lit(4.0)), path, ("day", "volume_id"), batch=first)
+    assert held() == [("007", 4.0), ("8", 3.0)], "a replayed batch replaces its own rows only"
+
+
+def test_features_that_are_gone_leave_no_file_behind(spark):
+    path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    volumes = inline_table(spark, ("volume_id",), [(1,), (2,)])
+    lines = inline_table(spark, ("volume_id", "folder", "name", "geojson"), [(1, "2024/01/01", "a", "{}"), (2, "2024/01/01", "b", "{}")])
+    sinks.write_features(lines, path, volumes)
+    sinks.write_features(lines.filter("volume_id = 2"), path, volumes)
+    assert [r.volume_id for r in commits.held(spark, path, "text").collect()] == [2]
+
+
+def test_a_window_reads_few_row_groups(spark):
+    """The rows a scan returns for a small window of a large image."""
+    path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    pixels = spark.range(1024 * 1024).select(
+        F.lit(1).alias("volume_id"), F.floor(F.col("id") / 1024).cast("int").alias("iy"), (F.col("id") % 1024).cast("int").alias("ix"), F.rand(1).alias("value")
+    )
+    sinks.write_tiles(sinks.tile_table(pixels, "COLMAX", Scale("th"), tile=64), path)
+    found = sinks.read_window(spark, path, "COLMAX", 1, (100, 110), (200, 210), tile=64)
+    assert found.count() == 121
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(tile_y" in plan.replace("`", "")
+    rows = spark.read.parquet(f"{path}/data").filter("zoom = 1").select("tile_y", "tile_x", F.col("_metadata.row_index").alias("at"))
+    order = [(r.tile_y, r.tile_x) for r in rows.groupBy("tile_y", "tile_x").agg(F.min("at").alias("at")).orderBy("at").collect()]
+    assert order[:4] == [(0, 0), (0, 1), (1, 0), (1, 1)], "tiles lie in Morton order"
 
 
 def test_window_of_stored_tiles(spark):
@@ -118,3 +163,26 @@ def test_stations_on_both_sides_of_the_date_line(spark):
     places = inline_table(spark, ("station", "lon", "lat"), [("west", 179.5, -10.0), ("east", -179.5, -10.0), ("far", -170.0, -10.0)])
     found = stations.stations_in_reach(places, radars).collect()
     assert sorted(r.station for r in found) == ["east", "west"]
+
+
+def test_maps_are_searched_once_by_canonical_key(spark):
+    """Equal scans and parameters share a search, whatever the radar; other parameters or scans do not; a key that is known is not searched."""
+    path, searched = tempfile.mkdtemp(prefix="spark-", dir="/tmp"), []
+
+    def search(scans):
+        ids = sorted(r.geometry_id for r in scans.select("geometry_id").distinct().collect())
+        searched.append(ids)
+        return spark.createDataFrame([(i, v, 10 * i + v, 1.0) for i in ids for v in range(3)], "geometry_id long, voxel_id long, gate_id long, weight double")
+
+    def scans(*rows):
+        return spark.createDataFrame([(g, r, "0315", "01", sweep, e, nb) for g, r, e, nb in rows for sweep in (0, 1)], "geometry_id long, radar string, strategy string, vol_nr string, sweep int, elevation double, nb double")
+
+    first = map_cache.ensure(scans((1, "A", 0.5, 1.0), (2, "A", 0.5, 1.0), (3, "B", 0.5, 1.0)), LAT, path, search)
+    assert searched == [[1]] and len({r.map_key for r in first.collect()}) == 2
+    second = map_cache.ensure(scans((1, "A", 0.5, 1.0), (4, "C", 0.5, 1.0), (5, "A", 0.5, 2.0), (6, "A", 1.5, 1.0)), LAT, path, search)
+    assert searched == [[1], [5, 6]], "the map of C is known under another radar's key"
+    map_cache.ensure(scans((6, "A", 1.5, 1.0), (3, "B", 0.5, 1.0)), LAT, path, search)
+    assert len(searched) == 2
+    got = {(r.geometry_id, r.gate_id, r.batch) for r in map_cache.load(spark, path, second).collect()}
+    assert got == {(g, 10 * s + v, b) for g, s, b in ((1, 1, 0), (4, 1, 0), (5, 5, 1), (6, 6, 1)) for v in range(3)}
+    assert all("_NB2p00_" in r.map_key for r in second.collect() if r.geometry_id == 5)

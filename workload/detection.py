@@ -86,7 +86,7 @@ dedup("top_keep", "top_cand", 17000.0)
 
 
 def detection_voxels(spark, sf, gates=None):
-    gates = tables.gates(spark, sf) if gates is None else gates
+    gates = grids.gates(spark, sf) if gates is None else gates
     return products.detection_voxels(gates, grids.geometry(spark, sf), LATTICE, rhohv_hole=F.col("gate") % 9 == 0)
 
 
@@ -117,7 +117,7 @@ def label_components_rounds(spark, sf):
 _BLOB = "volume_id, label, pixel_count, round(x_m, 4) AS x_m, round(y_m, 4) AS y_m, round(mean_dbz + 1e-6, 4) AS mean_dbz, max_dbz"
 
 
-def _rounded(df):
+def rounded(df):
     return df.withColumns({
         c: F.round(F.col(c) + (1e-6 if c == "mean_dbz" else 0.0), 4)
         for c in ("x_m", "y_m", "mean_dbz", "range_m", "lon", "lat") if c in df.columns
@@ -127,20 +127,20 @@ def _rounded(df):
 @register("blob_stats", query(("blobs",), f"SELECT {_BLOB}, round(sqrt(x_m*x_m + y_m*y_m), 4) AS range_m FROM blobs"))
 def blob_stats(spark, sf):
     found = detect.blob_stats(grids.colmax(spark, sf).filter(F.col("value") >= 52), LATTICE)
-    return _rounded(found).drop("mean_rhohv", "known_rhohv")
+    return rounded(found).drop("mean_rhohv", "known_rhohv")
 
 
 @register("core_candidates", query(("core_cand",), f"SELECT {_BLOB}, round(range_m, 4) AS range_m FROM core_cand"))
 def core_candidates(spark, sf):
     colmax, rhohv = _colmax_and_rhohv(spark, sf)
-    return _rounded(detect.core_candidates(colmax, LATTICE, rhohv))
+    return rounded(detect.core_candidates(colmax, LATTICE, rhohv))
 
 
 @register("cores", query(("core_cand", "core_keep"),
           f"SELECT {_BLOB}, round(range_m, 4) AS range_m FROM core_cand JOIN core_keep USING (volume_id, rk)"))
 def cores(spark, sf):
     colmax, rhohv = _colmax_and_rhohv(spark, sf)
-    return _rounded(detect.cores(colmax, LATTICE, rhohv))
+    return rounded(detect.cores(colmax, LATTICE, rhohv))
 
 
 def _ranked(spark, sf):
@@ -171,12 +171,33 @@ _TOP = """volume_id, level_index, label, round(x_m, 4) AS x_m, round(y_m, 4) AS
 
 @register("top_candidates", query(("top_cand",), f"SELECT {_TOP} FROM top_cand"))
 def top_candidates(spark, sf):
-    return _rounded(detect.top_candidates(detection_voxels(spark, sf), LATTICE, "rhohv"))
+    return rounded(detect.top_candidates(detection_voxels(spark, sf), LATTICE, "rhohv"))
 
 
 @register("tops", query(("top_cand", "top_keep"), f"SELECT {_TOP} FROM top_cand JOIN top_keep USING (volume_id, rk)"))
 def tops(spark, sf):
-    return _rounded(detect.tops(detection_voxels(spark, sf), LATTICE, "rhohv"))
+    return rounded(detect.tops(detection_voxels(spark, sf), LATTICE, "rhohv"))
+
+
+# Levels that follow the ground: each column of voxels lies ten metres higher than the one before.
+table("slanted", ("high", "high_lab"), f"""
+  SELECT *, row_number() OVER (PARTITION BY volume_id ORDER BY round(altitude_m, 5) DESC, level_index, label) AS rk
+  FROM (SELECT *, sqrt(x_m*x_m + y_m*y_m) AS range_m FROM (
+    SELECT s.img // 10 AS volume_id, CAST(s.img % 10 AS INT) AS level_index, CAST(label AS BIGINT) AS label, count(*) AS pixel_count, {XY},
+           avg((s.img % 10)*3000.0::DOUBLE + (s.p % 41)*10.0::DOUBLE) AS altitude_m,
+           CASE WHEN count(m.rhohv) = count(*) THEN round(avg(m.rhohv), 6) END AS mean_rhohv
+    FROM high_lab s JOIN high m ON m.img = s.img AND m.r*41 + m.c = s.p GROUP BY 1, 2, 3) b) z
+  WHERE pixel_count > 2 AND altitude_m > 9000 AND range_m >= 25000 AND coalesce(mean_rhohv > 0.94, true)""")
+dedup("slanted_keep", "slanted", 17000.0)
+
+
+@register("tops_on_slanted_levels", query(("slanted", "slanted_keep"), """SELECT volume_id, level_index, label, round(x_m, 4) AS x_m,
+    round(y_m, 4) AS y_m, round(altitude_m, 4) AS altitude_m, pixel_count FROM slanted JOIN slanted_keep USING (volume_id, rk)"""))
+def tops_on_slanted_levels(spark, sf):
+    """Heights per voxel instead of one per level."""
+    voxels = detection_voxels(spark, sf).withColumn("height", F.col("iz") * 3000.0 + F.col("ix") * 10.0)
+    found = rounded(detect.tops(voxels, LATTICE, "rhohv", altitude="height")).withColumn("altitude_m", F.round("altitude_m", 4))
+    return found.select("volume_id", "level_index", "label", "x_m", "y_m", "altitude_m", "pixel_count")
 
 
 _LON, _LAT = lonlat_sql("x_m", "y_m")
@@ -197,13 +218,9 @@ def features(spark, sf, gates=None):
     )
 
 
-def features_of(spark, sf, gates):
-    return _rounded(features(spark, sf, gates))
-
-
 @register("cores_and_tops", query(FEATURE_TABLES, FEATURES))
 def cores_and_tops(spark, sf):
-    return _rounded(features(spark, sf))
+    return rounded(features(spark, sf))
 
 
 @register("cores_and_tops_without_rhohv", query(BARE_TABLES, FEATURES.replace("core_cand", "core_cand_bare")
@@ -211,4 +228,4 @@ def cores_and_tops(spark, sf):
 def cores_and_tops_without_rhohv(spark, sf):
     """Volumes whose files have no RhoHV: neither cores nor tops are judged by it."""
     voxels = products.detection_voxels(tables.gates(spark, sf).drop("RHOHV"), grids.geometry(spark, sf), LATTICE)
-    return _rounded(products.cores_and_tops(voxels, LATTICE, _lowest(spark, sf), tables.sites(spark, sf)))
+    return rounded(products.cores_and_tops(voxels, LATTICE, _lowest(spark, sf), tables.sites(spark, sf)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from echolattice.operators import filters
@@ -161,3 +162,14 @@ def quality_filter(spark, sf):
     gates = tables.gates(spark, sf)
     kept = filters.quality_filter(gates, tables.RAYS, tables.GATES, tables.GATE_SIZE, delta_deg=15.0)
     return kept.select(*KEPT)
+
+
+@register("exclude_vectorised", query(("gates",), f"""SELECT {_ROWS} FROM {_HOLED} g
+    WHERE NOT coalesce(abs(DBZH - 20) > 30, false) AND NOT coalesce(ZDR > 4 AND RHOHV < 0.8, false)"""))
+def exclude_vectorised(spark, sf):
+    """Predicates over Arrow arrays: one of a single field, one of two."""
+    gates = _gates(spark, sf)
+    far = filters.vectorised(lambda v: pc.greater(pc.abs(pc.subtract(v, 20.0)), 30.0))
+    odd = filters.vectorised(lambda zdr, rhohv: pc.and_kleene(pc.greater(zdr, 4.0), pc.less(rhohv, 0.8)))
+    chain = GateFilter.on(gates).by_function("DBZH", far).where(odd(F.col("ZDR"), F.col("RHOHV")))
+    return chain.apply(gates).select(*KEPT)

@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from dataclasses import replace
 
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from echolattice.operators import filters, gridding, neighbours, polar
 from echolattice.plans import products
 from echolattice.session import shared_folder
-from echolattice.sources import geometry_store
+from echolattice.sources import gate_store, geometry_store, map_cache
 from workload import tables
 from workload.registry import register
 from workload.sqltables import KR, query, surface
@@ -28,21 +29,31 @@ def build_geometry(spark, sf, lattice=LATTICE):
     return neighbours.geometry_pairs(tables.scan_gates(scans), scans.select("geometry_id").distinct(), lattice)
 
 
-def geometry(spark, sf, lattice=LATTICE):
-    """The same map from the store: written once per application, then read by every product."""
-    key = (spark.sparkContext.applicationId, sf, repr(lattice))
+def _kept(spark, key: tuple, write):
+    """A table written once per application, in the shared folder, and read by every product after that."""
+    key = (spark.sparkContext.applicationId, *key)
     if key in _STORED:
         try:
-            return geometry_store.load_geometry(spark, _STORED[key])
+            name, path = _STORED[key]
+            spark.read.parquet(path)
+            return spark.table(name)
         except AnalysisException:
             _STORED.pop(key)
-    path = f"{shared_folder(spark)}/maps-{uuid.uuid4().hex}"
-    ids = tables.scans(spark, sf).select("geometry_id").distinct()
-    geometry_store.save_geometry(
-        build_geometry(spark, sf, lattice), geometry_store.geometry_meta(ids, lattice), path
-    )
-    _STORED[key] = path
-    return geometry_store.load_geometry(spark, path)
+    name = f"kept_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}"
+    write(name, path)
+    _STORED[key] = name, path
+    return spark.table(name)
+
+
+def geometry(spark, sf, lattice=LATTICE):
+    """The same map from the store, in buckets."""
+    return _kept(spark, ("map", sf, repr(lattice)), lambda name, path: geometry_store.save_bucketed(build_geometry(spark, sf, lattice), name, gate_store.BUCKETS, path))
+
+
+def gates(spark, sf):
+    """Gates as ingest leaves them: in the buckets of their map, with the lowest elevation of their volume."""
+    return _kept(spark, ("gates", sf), lambda name, path: gate_store.save_gates(gate_store.with_lowest(tables.gates(spark, sf), tables.sweeps(spark, sf)), name, path))
 
 
 def _per_volume(spark, sf, search):
@@ -53,9 +64,9 @@ def _per_volume(spark, sf, search):
     return neighbours.for_all(shared, search(tables.scan_gates(own), own.select("geometry_id").distinct()))
 
 
-def _volume_pairs(spark, sf):
-    """All pairs with one geometry per volume."""
-    return _per_volume(spark, sf, lambda gates, ids: neighbours.neighbours(gates, ids, LATTICE))
+def _volume_pairs(spark, sf, reduce):
+    """What ``reduce`` makes of the pairs of a scan, for every volume: the volumes share the work on their scan."""
+    return _per_volume(spark, sf, lambda gates, ids: reduce(neighbours.neighbours(gates, ids, LATTICE)))
 
 
 def _volume_map(spark, sf, lattice=LATTICE):
@@ -65,16 +76,16 @@ def _volume_map(spark, sf, lattice=LATTICE):
 @register("neighbours", query(("near", "vol"), """SELECT volume_id AS geometry_id, voxel_id, n, gate_sum FROM vol,
     (SELECT voxel_id, count(*) AS n, CAST(sum(gate_id) AS BIGINT) AS gate_sum FROM near GROUP BY 1) m"""))
 def neighbours_(spark, sf):
-    return _volume_pairs(spark, sf).groupBy("geometry_id", "voxel_id").agg(
+    return _volume_pairs(spark, sf, lambda pairs: pairs.groupBy("geometry_id", "voxel_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("gate_id").alias("gate_sum")
-    )
+    ))
 
 
 @register("knn_gates", query(("near", "vol"), """SELECT volume_id AS geometry_id, voxel_id, gate_id, rank FROM vol,
-    (SELECT voxel_id, gate_id, CAST(row_number() OVER (PARTITION BY voxel_id ORDER BY floor(d2), gate_id) AS INT)
+    (SELECT voxel_id, gate_id, CAST(row_number() OVER (PARTITION BY voxel_id ORDER BY floor(sqrt(d2)*262144), gate_id) AS INT)
        AS rank FROM near QUALIFY rank <= 3) m"""))
 def knn_gates(spark, sf):
-    return neighbours.knn_gates(_volume_pairs(spark, sf), 3).select("geometry_id", "voxel_id", "gate_id", "rank")
+    return _volume_pairs(spark, sf, lambda pairs: neighbours.knn_gates(pairs, 3).select("geometry_id", "voxel_id", "gate_id", "rank"))
 
 
 _W = {
@@ -89,10 +100,9 @@ def _weights(kind: str) -> None:
         round(total, 5) AS total, round(largest, 6) AS largest FROM vol, (SELECT voxel_id, sum(w) AS total,
         max(w) AS largest FROM (SELECT voxel_id, {_W[kind]} AS w FROM near) q GROUP BY 1) m"""))
     def run(spark, sf):
-        weighted = neighbours.neighbour_weights(_volume_pairs(spark, sf), kind.upper())
-        return weighted.groupBy("geometry_id", "voxel_id").agg(
+        return _volume_pairs(spark, sf, lambda pairs: neighbours.neighbour_weights(pairs, kind.upper()).groupBy("geometry_id", "voxel_id").agg(
             F.round(F.sum("weight"), 5).alias("total"), F.round(F.max("weight"), 6).alias("largest")
-        )
+        ))
 
 
 for _kind in _W:
@@ -103,10 +113,9 @@ for _kind in _W:
     gate_id, n FROM vol, (SELECT voxel_id, gate_id, n FROM map1 JOIN (SELECT voxel_id, count(*) AS n FROM near
     GROUP BY 1) c USING (voxel_id)) m"""))
 def neighbour_weights_nearest(spark, sf):
-    weighted = neighbours.neighbour_weights(_volume_pairs(spark, sf), "nearest")
-    return weighted.groupBy("geometry_id", "voxel_id").agg(
+    return _volume_pairs(spark, sf, lambda pairs: neighbours.neighbour_weights(pairs, "nearest").groupBy("geometry_id", "voxel_id").agg(
         F.max(F.when(F.col("weight") == 1, F.col("gate_id"))).alias("gate_id"), F.count(F.lit(1)).alias("n")
-    )
+    ))
 
 
 @register("geometry_build", query(("map1", "vol"), """SELECT volume_id AS geometry_id, voxel_id, gate_id,
@@ -130,7 +139,7 @@ def geometry_build(spark, sf):
             + (g.z - v.z)*(g.z - v.z) AS d2, v.roi FROM v JOIN scan_xyz g
           ON (g.x - v.x)*(g.x - v.x) + (g.y - v.y)*(g.y - v.y) + (g.z - v.z)*(g.z - v.z) < v.roi*v.roi
           WHERE g.z <= 15000)
-    SELECT geometry_id, voxel_id, arg_min(gate_id, (floor(d2), gate_id)) AS gate_id FROM p GROUP BY 1, 2) z"""))
+    SELECT geometry_id, voxel_id, arg_min(gate_id, (floor(sqrt(d2)*262144), gate_id)) AS gate_id FROM p GROUP BY 1, 2) z"""))
 def geometry_overrides(spark, sf):
     """Each geometry with its own radius and beam parameters over the defaults."""
     odd = F.col("geometry_id") % 2 == 1
@@ -141,6 +150,42 @@ def geometry_overrides(spark, sf):
     return neighbours.geometry_pairs(tables.scan_gates(scans), specs, LATTICE).drop("weight")
 
 
+_ODD_SPEC = """v AS (SELECT CAST((iz*41 + iy)*41 + ix AS BIGINT) AS voxel_id, x, y, z,
+            greatest(1.02::DOUBLE*(z/20.0::DOUBLE) + sqrt(x*x + y*y)*tan(4.0::DOUBLE*1.2::DOUBLE*pi()/180.0::DOUBLE), 9000.0::DOUBLE) AS roi,
+            sqrt(x*x + y*y)/greatest(cos(radians(0.5::DOUBLE)), 0.01) AS s
+          FROM (SELECT iz, iy, ix, iz*3000.0::DOUBLE AS z, -240000.0::DOUBLE + iy*12000.0::DOUBLE AS y,
+            -240000.0::DOUBLE + ix*12000.0::DOUBLE AS x FROM (SELECT unnest(range(6)) AS iz) a,
+            (SELECT unnest(range(41)) AS iy) b, (SELECT unnest(range(41)) AS ix) c) l)"""
+
+
+@register("geometry_cache", query(("scan_xyz", "map1", "vol"), f"""SELECT * FROM (WITH {_ODD_SPEC},
+    odd AS (SELECT v.voxel_id, arg_min(g.gate_id, (floor(sqrt((g.x - v.x)*(g.x - v.x) + (g.y - v.y)*(g.y - v.y) + (g.z - v.z)*(g.z - v.z))*262144), g.gate_id)) AS gate_id
+      FROM v JOIN scan_xyz g ON (g.x - v.x)*(g.x - v.x) + (g.y - v.y)*(g.y - v.y) + (g.z - v.z)*(g.z - v.z) < v.roi*v.roi
+      WHERE g.z <= 15000 AND NOT (sqrt(v.x*v.x + v.y*v.y + v.z*v.z) <= 3000)
+        AND NOT (v.z < sqrt(s*s + {KR}*{KR} + 2*s*{KR}*sin(radians(0.5::DOUBLE))) - {KR} - 2400) GROUP BY 1)
+    SELECT volume_id AS geometry_id, 'RAD' || CAST(volume_id % 4 + 1 AS VARCHAR) || '_0315_01' AS named, CAST(volume_id % 2 AS INT) AS batch,
+      CASE WHEN volume_id % 2 = 1 THEN o.n ELSE m.n END AS pairs, CASE WHEN volume_id % 2 = 1 THEN o.g ELSE m.g END AS gate_sum
+    FROM vol, (SELECT count(*) AS n, CAST(sum(gate_id) AS BIGINT) AS g FROM map1) m, (SELECT count(*) AS n, CAST(sum(gate_id) AS BIGINT) AS g FROM odd) o) z"""))
+def geometry_cache(spark, sf):
+    """Asked for the maps of some volumes, then of all: the second call searches one map, that of volumes with other parameters."""
+    path = f"{shared_folder(spark)}/cache-{uuid.uuid4().hex}"
+    odd = F.col("geometry_id") % 2 == 1
+    scans = tables.volume_scans(spark, sf).withColumns({
+        "radar": tables.radar_of(F.col("geometry_id")), "strategy": F.lit("0315"), "vol_nr": F.lit("01"),
+        "min_radius": F.when(odd, 9000.0).otherwise(6000.0), "nb": F.when(odd, 4.0).otherwise(8.0),
+    })
+
+    def search(own):
+        specs = own.select("geometry_id", "min_radius", "nb").distinct()
+        return neighbours.geometry_pairs(tables.scan_gates(own.drop("radar", "strategy", "vol_nr")), specs, LATTICE)
+
+    map_cache.ensure(scans.filter(~odd), LATTICE, path, search)
+    wanted = map_cache.ensure(scans, LATTICE, path, search)
+    held = map_cache.load(spark, path, wanted).groupBy("geometry_id", "batch").agg(F.count(F.lit(1)).alias("pairs"), F.sum("gate_id").alias("gate_sum"))
+    named = wanted.select("geometry_id", F.regexp_extract("map_key", "^(.*)_RES", 1).alias("named"))
+    return held.join(named, "geometry_id")
+
+
 @register("geometry_stats", query(("map1", "vol"), """SELECT volume_id AS geometry_id, CAST(10086 AS BIGINT) AS points,
     n AS pairs, n/10086.0::DOUBLE AS mean_neighbours, CAST(n*8 + 10087*4 AS BIGINT) AS bytes, 3000.0::DOUBLE AS z_step
     FROM vol, (SELECT count(*) AS n FROM map1) m"""))
@@ -169,7 +214,7 @@ def map_fit(spark, sf):
     FROM gates g JOIN map1 m USING (gate_id) SEMI JOIN (SELECT * FROM ({_FIT}) f WHERE fits) f
     ON f.volume_id = g.volume_id"""))
 def apply_map_join(spark, sf):
-    joined = gridding.apply_map(tables.gates(spark, sf), geometry(spark, sf), _short_sweeps(spark, sf))
+    joined = gridding.apply_map(gates(spark, sf), geometry(spark, sf), _short_sweeps(spark, sf))
     return joined.select("volume_id", "voxel_id", "gate_id", "DBZH")
 
 
@@ -180,16 +225,16 @@ FOUR = replace(LATTICE, max_neighbors=4, weighting="cressman")
 @register("grid_field", query(("grid",), """SELECT volume_id, voxel_id, iz, iy, ix, DBZH AS value FROM grid
     WHERE NOT RHOHV < 0.8"""))
 def grid_field(spark, sf):
-    gates = tables.gates(spark, sf)
-    bad = filters.GateFilter.on(gates).below("RHOHV", 0.8).excluded
-    return gridding.grid_field(gates, geometry(spark, sf), LATTICE, "DBZH", bad)
+    own = gates(spark, sf)
+    bad = filters.GateFilter.on(own).below("RHOHV", 0.8).excluded
+    return gridding.grid_field(own, geometry(spark, sf), LATTICE, "DBZH", bad)
 
 
 @register("grid_field_barnes2", query(("near", "gates"), """SELECT volume_id, voxel_id,
     round(sum(w*DBZH)/sum(w), 4) AS value FROM gates JOIN (SELECT voxel_id, gate_id,
     exp(-4*d2/(roi*roi)) + 1e-5 AS w FROM near) m USING (gate_id) GROUP BY 1, 2"""))
 def grid_field_barnes2(spark, sf):
-    voxels = gridding.grid_field(tables.gates(spark, sf), geometry(spark, sf, WIDE), WIDE, "DBZH")
+    voxels = gridding.grid_field(gates(spark, sf), geometry(spark, sf, WIDE), WIDE, "DBZH")
     return voxels.select("volume_id", "voxel_id", F.round("value", 4).alias("value"))
 
 
@@ -198,19 +243,19 @@ def grid_field_barnes2(spark, sf):
     round(sum(w*ZDR)/sum(w) + 1e-8, 4) AS ZDR,
     round(sum(w*WRAD) FILTER (NOT WRAD > 4)/sum(w) FILTER (NOT WRAD > 4) + 1e-8, 4) AS WRAD
     FROM gates JOIN (SELECT voxel_id, gate_id, least(greatest((roi*roi - d2)/(roi*roi + d2 + 1e-12), 0), 1) AS w
-      FROM near QUALIFY row_number() OVER (PARTITION BY voxel_id ORDER BY floor(d2), gate_id) <= 4) m USING (gate_id)
+      FROM near QUALIFY row_number() OVER (PARTITION BY voxel_id ORDER BY floor(sqrt(d2)*262144), gate_id) <= 4) m USING (gate_id)
     GROUP BY 1, 2 HAVING sum(w) > 0"""))
 def grid_fields(spark, sf):
-    gates = tables.gates(spark, sf)
+    own = gates(spark, sf)
     wanted = {
         "DBZH": ("DBZH", F.col("RHOHV") < 0.8), "ZDR": ("ZDR", None), "WRAD": ("WRAD", F.col("WRAD") > 4),
     }
-    voxels = gridding.grid_fields(gates, geometry(spark, sf, FOUR), FOUR, wanted)
+    voxels = gridding.grid_fields(own, geometry(spark, sf, FOUR), FOUR, wanted)
     return voxels.select("volume_id", "voxel_id", *[F.round(F.col(c) + 1e-8, 4).alias(c) for c in wanted])
 
 
 def filtered_voxels(spark, sf):
-    return products.filtered_voxels(tables.gates(spark, sf), geometry(spark, sf), LATTICE)
+    return products.filtered_voxels(gates(spark, sf), geometry(spark, sf), LATTICE)
 
 
 def _column(name: str, how: str, sql: str, where: str = "true", **bounds) -> None:
@@ -279,7 +324,7 @@ def level_slice(spark, sf):
 
 
 def colmax(spark, sf):
-    return products.colmax_product(tables.gates(spark, sf), geometry(spark, sf), LATTICE)
+    return products.colmax_product(gates(spark, sf), geometry(spark, sf), LATTICE)
 
 
 @register("colmax_product", query(("colmax",), "SELECT volume_id, iy, ix, value FROM colmax"))
@@ -289,7 +334,7 @@ def colmax_product(spark, sf):
 
 @register("colmax_unfloored", query(("vox",), "SELECT volume_id, iy, ix, max(value) AS value FROM vox GROUP BY 1, 2, 3"))
 def colmax_unfloored(spark, sf):
-    return products.colmax_product(tables.gates(spark, sf), geometry(spark, sf), LATTICE, floor_dbz=None)
+    return products.colmax_product(gates(spark, sf), geometry(spark, sf), LATTICE, floor_dbz=None)
 
 
 def _variant(field: str, filtered: bool) -> str:
@@ -303,13 +348,17 @@ def _variant(field: str, filtered: bool) -> str:
     [_variant(f, False) for f in ("DBZH", "ZDR", "RHOHV", "VRAD", "WRAD", "KDP")]
     + [_variant(f, True) for f in ("DBZH", "ZDR", "KDP")])))
 def field_products(spark, sf):
-    return field_products_of(spark, sf, tables.gates(spark, sf))
+    return field_products_of(spark, sf, gates(spark, sf))
+
+
+#: Fields shown raw, those shown filtered, and the raw reflectivity that stands in where a table has it.
+SHOWN = ["DBZH", "ZDR", "RHOHV", "VRAD", "WRAD", "KDP"], ["DBZH", "ZDR", "KDP"], {"DBZH": "TH"}
 
 
-def field_products_of(spark, sf, gates):
+def field_products_of(spark, sf, own):
     out = products.field_products(
-        gates, geometry(spark, sf), LATTICE, tables.sweeps(spark, sf),
-        ["DBZH", "ZDR", "RHOHV", "VRAD", "WRAD", "KDP"], ["DBZH", "ZDR", "KDP"], {"DBZH": "TH"},
+        own, geometry(spark, sf), LATTICE, tables.sweeps(spark, sf),
+        *SHOWN,
     )
     return out.withColumn("value", F.round("value", 6))
 
@@ -330,6 +379,14 @@ _pixels("grid_custom", lambda p: gridding.mask_pixels(p, (F.col("ix") + F.col("i
         "CASE WHEN (ix + iy) % 2 = 0 THEN 0.0::DOUBLE ELSE value END")
 
 
+@register("grid_vectorised", query(("colmax",), """SELECT volume_id, iy, ix, CASE WHEN abs(value - 30) > 15 THEN -1.0::DOUBLE ELSE value END AS value
+    FROM colmax"""))
+def grid_vectorised(spark, sf):
+    """A predicate over Arrow arrays of pixels."""
+    far = filters.vectorised(lambda v: pc.greater(pc.abs(pc.subtract(v, 30.0)), 15.0))
+    return gridding.mask_pixels(colmax(spark, sf), far(F.col("value")), -1.0)
+
+
 @register("grid_invalid", query(("colmax", "vol"), """SELECT v.volume_id, y.iy, x.ix, coalesce(value, -99.0::DOUBLE) AS value
     FROM vol v, (SELECT CAST(unnest(range(41)) AS INT) AS iy) y, (SELECT CAST(unnest(range(41)) AS INT) AS ix) x
     LEFT JOIN colmax c ON c.volume_id = v.volume_id AND c.iy = y.iy AND c.ix = x.ix"""))

@@ -15,7 +15,7 @@ from echolattice.functions import names
 from echolattice.functions.colours import Scale
 from echolattice.operators import volumes
 from echolattice.session import shared_folder
-from echolattice.sources import files, geometry_store, payload, sinks, strategy_xml
+from echolattice.sources import commits, files, geometry_store, payload, sinks, strategy_xml
 from workload import detection, grids, tables
 from workload.registry import register
 from workload.rasters import BLOCK
@@ -80,11 +80,8 @@ _OBS = "make_timestamp(CAST((1704067200 + volume_id*600)*1000000 AS BIGINT))"
 def write_volumes(spark, sf):
     path = folder(spark, "volumes")
     sinks.write_volumes(observed(tables.gates(spark, sf)), path)
-    text = {c: "string" for c in ("year", "month", "day", "hour")}
-    stored = spark.read.schema(
-        observed(tables.gates(spark, sf)).select("volume_id", "DBZH", "radar").schema.add("year", "string")
-        .add("month", "string").add("day", "string").add("hour", "string")
-    ).parquet(path)
+    stored = commits.held(spark, path)
+    text = [F.lpad(F.col(c).cast("string"), n, "0") for c, n in (("year", 4), ("month", 2), ("day", 2), ("hour", 2))]
     hour = F.concat(*text).alias("stored_hour")
     return stored.groupBy("volume_id", "radar", hour).agg(
         F.count(F.lit(1)).alias("gates"), F.max("DBZH").alias("max_dbz")
@@ -103,7 +100,7 @@ def write_features(spark, sf):
     sinks.write_features(sinks.feature_collections(detection.features(spark, sf), ids), path)
     schema = """type STRING, features ARRAY<STRUCT<type STRING, geometry STRUCT<type STRING, coordinates ARRAY<DOUBLE>>,
         properties STRUCT<type STRING, intensity_dbz INT, altitude_m INT, radar_code STRING, observation_time STRING>>>"""
-    stored = spark.read.text(path).select(F.from_json("value", schema).alias("c"))
+    stored = commits.held(spark, path, "text").select(F.from_json("value", schema).alias("c"))
     each = stored.select(F.explode("c.features").alias("f"))
     seconds = F.unix_timestamp(F.to_timestamp("f.properties.observation_time", "yyyy-MM-dd'T'HH:mm:ssX"))
     return each.select(
@@ -124,13 +121,37 @@ def write_features(spark, sf):
 def write_raster_tiles(spark, sf):
     path = folder(spark, "tiles")
     sinks.write_tiles(sinks.tile_table(grids.colmax(spark, sf), "COLMAX", Scale("th"), tile=16), path)
-    stored = spark.read.parquet(path)
+    stored = commits.held(spark, path)
     return stored.groupBy("product", "zoom", "tile_y", "tile_x", "volume_id").agg(
         F.count(F.lit(1)).alias("pixels"), F.round(F.sum("value") + 1e-6, 4).alias("total"),
         F.first("vmin").alias("vmin"), F.first("vmax").alias("vmax"), F.first("scale").alias("scale"),
     )
 
 
+@register("rewrite_features", query(("gates",), """SELECT volume_id, count(*) AS features FROM gates
+    WHERE DBZH > 55 AND volume_id % 3 <> 1 GROUP BY 1"""))
+def rewrite_features(spark, sf):
+    """Features of strong gates, written again for every third volume with none: the old ones are gone."""
+    path = folder(spark, "rewritten")
+    strong = tables.gates(spark, sf).filter("DBZH > 55")
+    lines = strong.select(F.lit("2024-01-01").alias("day"), "volume_id", F.concat_ws(",", "sweep", "ray", "gate").alias("value"))
+    commits.publish(lines, path, ("day", "volume_id"), kind="text")
+    again = tables.sweeps(spark, sf).select("volume_id").distinct().filter("volume_id % 3 = 1")
+    commits.publish(lines.limit(0), path, ("day", "volume_id"), again, kind="text")
+    return commits.held(spark, path, "text").groupBy("volume_id").agg(F.count(F.lit(1)).alias("features"))
+
+
+@register("window_read_tiles", query(("colmax",), f"""SELECT volume_id, factor AS zoom, iy, ix, round(avg(value) + 1e-8, 6) AS value
+    FROM {BLOCK} b WHERE (factor = 2 AND iy BETWEEN 4 AND 15 AND ix BETWEEN 3 AND 12) OR (factor = 4 AND iy BETWEEN 2 AND 7 AND ix BETWEEN 5 AND 9)
+    GROUP BY ALL"""))
+def window_read_tiles(spark, sf):
+    """Windows of stored tiles at two overview levels."""
+    path = folder(spark, "pyramid")
+    sinks.write_tiles(sinks.tile_table(grids.colmax(spark, sf), "COLMAX", Scale("th"), tile=4), path)
+    found = sinks.read_window(spark, path, "COLMAX", 2, (4, 15), (3, 12), tile=4).unionByName(sinks.read_window(spark, path, "COLMAX", 4, (2, 7), (5, 9), tile=4))
+    return found.select("volume_id", "zoom", "iy", "ix", F.round(F.col("value") + 1e-8, 6).alias("value"))
+
+
 @register("scan_strategy_xml", query(("sweeps",), """SELECT CAST(volume_id AS VARCHAR) AS strategy_id,
     CAST(sweep AS INT) AS position, 'vol' || CAST(volume_id % 3 AS VARCHAR) AS scan_strategy,
     CASE sweep % 3 WHEN 0 THEN 'intensidad' WHEN 1 THEN 'staggered' ELSE 'otro' END AS processing,
