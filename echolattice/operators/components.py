@@ -3,7 +3,7 @@
 Pixels are first folded into horizontal runs on the JVM side, with whatever
 per-run sums the caller wants, so only runs travel further.  An image whose
 lattice bounds its number of runs is labelled within one task; a larger image is
-labelled by distributed rounds.  Both give the smallest raster index of the
+labelled by tiles, whose labels are united at their borders.  Both give the smallest raster index of the
 component as its label.
 """
 
@@ -129,37 +129,64 @@ def _label_in_tasks(
     return ordered.mapInPandas(label_batches, schema)
 
 
-def _label_in_rounds(
-    runs: DataFrame, image: Sequence[str], width: int, wrap_rows: int | None
-) -> DataFrame:
-    """Min-label rounds with pointer jumping; the lineage is cut every round.
+def _least_reached(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, label, root): the least label each label reaches over ``edges`` (keys, a, b), by rounds with pointer jumping.
 
-    Adjacency is an equi-join of pixels on (image, row, column), linear in pixels.
+    The lineage is cut every round.
     """
-    keys = list(image)
-    start = (F.col("row").cast("bigint") * width + F.col("first")).alias("run")
-    runs = cut_lineage(runs.withColumn("run", start))
-    cells = runs.select(*keys, "run", "row", F.explode(F.sequence("first", "last")).alias("col"))
-    below = F.col("row") + 1 if wrap_rows is None else (F.col("row") + 1) % wrap_rows
-    under = cells.select(*keys, F.col("row"), F.col("col"), F.col("run").alias("other"))
-    one_way = cells.withColumn("row", below).join(under, [*keys, "row", "col"]).select(*keys, "run", "other").distinct()
-    edges = cut_lineage(one_way.union(one_way.select(*keys, F.col("other").alias("run"), F.col("run").alias("other"))))
-    labels = runs.select(*keys, "run", F.col("run").alias("label"))
+    both = edges.union(edges.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    both = cut_lineage(both)
+    labels = both.select(*keys, F.col("a").alias("label")).distinct().withColumn("root", F.col("label"))
     while True:
-        seen = edges.join(
-            labels.select(*keys, F.col("run").alias("other"), F.col("label").alias("seen")), [*keys, "other"]
-        )
-        lowest = seen.groupBy(*keys, "run").agg(F.min("seen").alias("seen"))
-        met = labels.join(lowest, [*keys, "run"], "left").select(
-            *keys, "run", F.col("label").alias("before"), F.least("label", "seen").alias("label")
-        )
-        jump = met.select(*keys, F.col("run").alias("label"), F.col("label").alias("further"))
-        stepped = met.join(jump, [*keys, "label"]).select(*keys, "run", "before", F.col("further").alias("label"))
-        stepped = cut_lineage(stepped)
-        changed = stepped.filter(F.col("label") != F.col("before")).limit(1).count()
+        seen = both.join(labels.select(*keys, F.col("label").alias("b"), F.col("root").alias("seen")), [*keys, "b"])
+        lowest = seen.groupBy(*keys, F.col("a").alias("label")).agg(F.min("seen").alias("seen"))
+        met = labels.join(lowest, [*keys, "label"]).select(*keys, "label", F.col("root").alias("before"), F.least("root", "seen").alias("root"))
+        jump = met.select(*keys, F.col("label").alias("root"), F.col("root").alias("further"))
+        stepped = cut_lineage(met.join(jump, [*keys, "root"]).select(*keys, "label", "before", F.col("further").alias("root")))
         labels = stepped.drop("before")
-        if not changed:
-            return runs.join(labels, [*keys, "run"]).drop("run")
+        if stepped.filter(F.col("root") != F.col("before")).isEmpty():
+            return labels
+
+
+#: Rows and columns of a tile of an image no task can hold.
+TILE = 1024
+
+
+def _label_in_tiles(
+    runs: DataFrame, image: Sequence[str], rows: int, width: int, wrap_rows: int | None, tile: int
+) -> DataFrame:
+    """Labels inside tiles, each in a task, then a union of labels that meet at tile borders.
+
+    Runs are cut at the borders of tiles and moved to their tile once.  After that only cells on borders are
+    joined, and only labels that touch a border go through rounds; what lies inside a tile is never looked at again.
+    """
+    keys = list(image)
+    tiled = [*keys, "__tr", "__tc"]
+    pieces = runs.withColumns({"__first": F.col("first"), "__last": F.col("last"), "__tr": F.expr(f"row div {tile}")})
+    pieces = pieces.withColumn("__tc", F.explode(F.sequence(F.expr(f"first div {tile}"), F.expr(f"last div {tile}"))))
+    pieces = pieces.withColumns({
+        "first": F.greatest("first", (F.col("__tc") * tile).cast("int")), "last": F.least("last", (F.col("__tc") * tile + tile - 1).cast("int")),
+    })
+    labelled = cut_lineage(_label_in_tasks(pieces, tiled, rows, width, None))
+
+    def cells(which: Column, row: Column) -> DataFrame:
+        return labelled.filter(which).select(*keys, row.alias("row"), "label", F.explode(F.sequence("first", "last")).alias("col"))
+
+    def met(one: DataFrame, other: DataFrame) -> DataFrame:
+        pairs = one.join(other.withColumnRenamed("label", "__other"), [*keys, "row", "col"])
+        return pairs.select(*keys, F.col("label").alias("a"), F.col("__other").alias("b")).filter("a <> b").distinct()
+
+    row, top = F.col("row"), F.col("row") % tile == 0
+    edges = met(cells(row % tile == tile - 1, row + 1), cells(top, row))
+    ends = labelled.filter((F.col("last") + 1) % tile == 0).select(*keys, "row", "label", (F.col("last") + 1).alias("col"))
+    begins = labelled.filter(F.col("first") % tile == 0).select(*keys, "row", "label", F.col("first").alias("col"))
+    edges = edges.union(met(ends, begins))
+    if wrap_rows is not None:
+        edges = edges.union(met(cells(row == wrap_rows - 1, F.lit(0)), cells(row == 0, F.lit(0))))
+    roots = _least_reached(edges, keys)
+    whole = labelled.filter(F.expr(f"__first div {tile}") == F.col("__tc")).withColumns({"first": F.col("__first"), "last": F.col("__last")})
+    joined = whole.join(roots, [*keys, "label"], "left").withColumn("label", F.coalesce("root", "label"))
+    return joined.select(*runs.columns, "label")
 
 
 def label_runs(
@@ -169,16 +196,17 @@ def label_runs(
     width: int,
     wrap: bool = False,
     rounds: bool = False,
+    tile: int = TILE,
 ) -> DataFrame:
     """Runs with their component's label (``row * width + column`` of its first pixel).
 
     ``rows`` and ``width`` are the lattice of every image, and therefore a proven
     bound of the runs an image has; images are labelled in tasks, many at a time.  ``rounds``
-    is for callers whose images no task can hold.
+    is for callers whose images no task can hold: these are labelled by tiles.
     """
     wrap_rows = rows if wrap else None
     if rounds:
-        return _label_in_rounds(runs, image, width, wrap_rows)
+        return _label_in_tiles(runs, image, rows, width, wrap_rows, tile)
     return _label_in_tasks(runs, image, rows, width, wrap_rows)
 
 
@@ -191,9 +219,10 @@ def label_components(
     col: str = "ix",
     wrap: bool = False,
     rounds: bool = False,
+    tile: int = TILE,
 ) -> DataFrame:
     """Every pixel of the mask with its component's label."""
-    labelled = label_runs(image_runs(pixels, image, row, col), image, rows, width, wrap, rounds)
+    labelled = label_runs(image_runs(pixels, image, row, col), image, rows, width, wrap, rounds, tile)
     return labelled.select(
         *image, F.col("row").alias(row), F.explode(F.sequence("first", "last")).alias(col), "label"
     )

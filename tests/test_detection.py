@@ -60,14 +60,14 @@ def test_runs_are_labelled_as_by_flood_fill(rows, width, seed, wrap):
 
 
 @pytest.mark.parametrize("wrap", [False, True])
-@pytest.mark.parametrize("in_task", [True, False])
-def test_labelling_of_images(spark, wrap, in_task):
+@pytest.mark.parametrize("tile", [None, 4, 5, 1024])
+def test_labelling_of_images(spark, wrap, tile):
     rng = np.random.default_rng(5)
     masks = {1: rng.random((12, 15)) < 0.6, 2: rng.random((12, 15)) < 0.5}
     rows = [(v, int(r), int(c)) for v, m in masks.items() for r, c in zip(*np.nonzero(m))]
     pixels = inline_table(spark, ("volume_id", "iy", "ix"), rows)
     found = components.label_components(
-        pixels, ["volume_id"], 12, 15, wrap=wrap, rounds=not in_task
+        pixels, ["volume_id"], 12, 15, wrap=wrap, rounds=tile is not None, tile=tile or 1
     ).collect()
     expected = {(v, r, c): mark for v, m in masks.items() for (r, c), mark in flood(m, wrap).items()}
     assert {(f.volume_id, f.iy, f.ix): f.label for f in found} == expected
@@ -221,3 +221,11 @@ def test_thresholds_are_parameters():
 def test_no_radius_keeps_all(spark):
     rows = spark.createDataFrame([(1, 0.0, 0.0, 5.0, 1), (1, 0.0, 0.0, 4.0, 2)], "volume_id int, x_m double, y_m double, strength double, tie int")
     assert [detect.greedy_dedup(rows, 0.0, rounds=r).count() for r in (False, True)] == [2, 2]
+
+
+def test_a_component_through_many_tiles_is_one(spark):
+    """A snake over a large image: only cells on tile borders are joined."""
+    lines = spark.range(0, 400, 2).select(F.lit(1).alias("volume_id"), F.col("id").cast("int").alias("iy"), F.explode(F.sequence(F.lit(0), F.lit(399))).alias("ix"))
+    turns = spark.range(1, 399, 2).select(F.lit(1).alias("volume_id"), F.col("id").cast("int").alias("iy"), F.when(F.col("id") % 4 == 1, 399).otherwise(0).alias("ix"))
+    found = components.label_components(lines.unionByName(turns), ["volume_id"], 400, 400, rounds=True, tile=64)
+    assert [tuple(r) for r in found.groupBy("label").count().collect()] == [(0, 200 * 400 + 199)]

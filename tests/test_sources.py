@@ -10,7 +10,9 @@ from echolattice.config import Lattice
 from echolattice.functions.inline import inline_table
 from echolattice.functions.colours import Scale
 from echolattice.operators import stations
-from echolattice.sources import commits, files, geometry_store, map_cache, sinks
+from echolattice.sources import commits, files, geometry_store, map_cache, sinks, tree_source
+from echolattice.streaming import runner
+from echolattice.streaming.ledger import dedup_sink
 from echolattice.session import cut_lineage, shared_folder
 
 NAMES = (
@@ -186,3 +188,34 @@ def test_maps_are_searched_once_by_canonical_key(spark):
     got = {(r.geometry_id, r.gate_id, r.batch) for r in map_cache.load(spark, path, second).collect()}
     assert got == {(g, 10 * s + v, b) for g, s, b in ((1, 1, 0), (4, 1, 0), (5, 5, 1), (6, 6, 1)) for v in range(3)}
     assert all("_NB2p00_" in r.map_key for r in second.collect() if r.geometry_id == 5)
+
+
+def test_the_tree_as_a_data_source(spark):
+    """Batch with pushed bounds lists the folders it needs; a stream resumes less its buffer and gives the files of a batch."""
+    base = _tree()
+    tree_source.register(spark)
+    read = lambda: spark.read.format("radar_tree").load(base)
+    assert {r.filename for r in read().collect()} == set(NAMES)
+    same = ["radar", "filename", "obs_ts", "field", "length"]
+    assert sorted(map(tuple, read().select(same).collect())) == sorted(map(tuple, files.scan_tree(spark, base).select(same).collect()))
+    reader = tree_source.TreeReader({"path": base})
+    at = lambda *x: datetime(*x)
+    filters = [tree_source.GreaterThanOrEqual(("obs_ts",), at(2024, 1, 1, 0, 30)), tree_source.LessThan(("obs_ts",), at(2024, 1, 1, 5)), tree_source.EqualTo(("radar",), "RAD1")]
+    assert list(reader.pushFilters(filters)) == filters
+    (month,) = reader.partitions()
+    assert (month.radar, month.year, month.month) == ("RAD1", "2024", "01")
+    assert [f[3] for f in reader.read(month)] == [NAMES[1]]
+    assert list(tree_source.TreeReader({"path": base + "/none"}).read(tree_source.TreeReader({"path": base + "/none"}).partitions()[0])) == []
+    path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    stream = spark.readStream.format("radar_tree").option("buffer_minutes", 5).load(base)
+    sink = dedup_sink(f"{path}/files")
+    columns = ["filename", "radar", "field", "obs_ts"]
+    runner.drain(stream.select(columns), sink, f"{path}/checkpoint")
+    os.makedirs(f"{base}/RAD1/2024/01/02/00/0200")
+    more = "RAD1_0315_01_DBZH_20240102T000200Z.BUFR"
+    open(f"{base}/RAD1/2024/01/02/00/0200/{more}", "wb").write(b"x")
+    os.makedirs(f"{base}/RAD1/2024/01/02/00/3000")
+    newest = "RAD1_0315_01_DBZH_20240102T003000Z.BUFR"
+    open(f"{base}/RAD1/2024/01/02/00/3000/{newest}", "wb").write(b"x")
+    runner.drain(stream.select(columns), sink, f"{path}/checkpoint")
+    assert {r.filename for r in spark.read.parquet(f"{path}/files").collect()} == {r.filename for r in read().collect()} == {*NAMES, more, newest}

@@ -111,7 +111,7 @@ def label_components(spark, sf):
 def label_components_rounds(spark, sf):
     """The form for images too large for one task."""
     mask = grids.colmax(spark, sf).filter(F.col("value") >= 52)
-    return labels.label_components(mask, ["volume_id"], LATTICE.ny, LATTICE.nx, rounds=True)
+    return labels.label_components(mask, ["volume_id"], LATTICE.ny, LATTICE.nx, rounds=True, tile=7)
 
 
 _BLOB = "volume_id, label, pixel_count, round(x_m, 4) AS x_m, round(y_m, 4) AS y_m, round(mean_dbz + 1e-6, 4) AS mean_dbz, max_dbz"

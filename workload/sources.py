@@ -15,7 +15,9 @@ from echolattice.functions import names
 from echolattice.functions.colours import Scale
 from echolattice.operators import volumes
 from echolattice.session import shared_folder
-from echolattice.sources import commits, files, geometry_store, payload, sinks, strategy_xml
+from echolattice.sources import commits, files, geometry_store, payload, sinks, strategy_xml, tree_source
+from echolattice.streaming import ledger as live
+from echolattice.streaming import runner
 from workload import detection, grids, tables
 from workload.registry import register
 from workload.rasters import BLOCK
@@ -219,13 +221,38 @@ def scan_tree_files(spark, sf):
 
 
 def _lay_tree(paths) -> None:
-    """Empty files at the given paths, made where the rows are."""
-    import os
+    """Files at the given paths, made where the rows are."""
 
     def touch(rows):
         for row in rows:
-            os.makedirs(os.path.dirname(row.path), exist_ok=True)
-            with open(row.path, "wb") as out:
+            system, path = tree_source.file_system(row.path)
+            system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with system.open_output_stream(path) as out:
                 out.write(b"BUFR")
 
     paths.foreachPartition(touch)
+
+
+@register("tree_source", query(("sweeps",), """SELECT way, radar, filename, obs_s, field FROM (
+    SELECT DISTINCT 'RAD' || CAST(volume_id % 4 + 1 AS VARCHAR) AS radar, 1704067200 + volume_id*600 AS obs_s, 'DBZH' AS field,
+      'RAD' || CAST(volume_id % 4 + 1 AS VARCHAR) || '_0315_01_DBZH_' ||
+      strftime(make_timestamp(CAST((1704067200 + volume_id*600)*1000000 AS BIGINT)), '%Y%m%dT%H%M%SZ') || '.BUFR' AS filename
+    FROM sweeps) f, (SELECT unnest(['batch', 'stream']) AS way) w
+    WHERE way = 'stream' OR (obs_s >= 1704067200 + 1200 AND radar IN ('RAD1', 'RAD3'))"""))
+def tree_source_(spark, sf):
+    """The tree as a data source: a filtered batch, and a stream that follows it while files arrive, each name kept once."""
+    base, path = folder(spark, "L2"), folder(spark, "tree")
+    stamp = F.date_format("obs_ts", names.STAMP)
+    named = observed(tables.sites(spark, sf)).select(
+        F.concat(F.concat_ws("_", tables.radar_of(F.col("volume_id")), F.lit("0315_01_DBZH"), stamp), F.lit(".BUFR")).alias("name"), "volume_id",
+    )
+    tree_source.register(spark)
+    stream = spark.readStream.format("radar_tree").option("buffer_minutes", 10**6).load(base)
+    for part in (0, 1):
+        _lay_tree(named.filter(F.col("volume_id") % 2 == part).select(names.build_tree_path(F.col("name"), base).alias("path")))
+        runner.drain(stream.select("filename", "radar", "field", "obs_ts"), live.dedup_sink(f"{path}/files"), f"{path}/checkpoint")
+    late = F.col("obs_ts") >= F.timestamp_seconds(F.lit(1704067200 + 1200))
+    batch = spark.read.format("radar_tree").load(base).filter(late & F.col("radar").isin("RAD1", "RAD3"))
+    row = ["radar", "filename", F.unix_timestamp("obs_ts").alias("obs_s"), "field"]
+    kept = spark.read.parquet(f"{path}/files")
+    return batch.select(F.lit("batch").alias("way"), *row).unionByName(kept.select(F.lit("stream").alias("way"), *row))
