@@ -11,6 +11,7 @@ import json
 import os
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from echolattice.config import Lattice  # noqa: E402
 from echolattice.operators import neighbours  # noqa: E402
-from echolattice.session import local_session  # noqa: E402
+from echolattice.plans import products  # noqa: E402
+from echolattice.session import local_session, shared_folder  # noqa: E402
+from echolattice.sources import gate_store, geometry_store  # noqa: E402
 from workload import load_all, tables  # noqa: E402
 from workload.registry import QUERIES  # noqa: E402
 
@@ -56,8 +59,27 @@ def production_map(spark) -> dict:
     spark.conf.set("spark.sql.shuffle.partitions", "64")
     pairs = neighbours.geometry_pairs(tables.scan_gates(scan), scan.select("geometry_id").distinct(), lattice)
     seconds = timed(lambda: pairs.write.format("noop").mode("overwrite").save())
+    out = {"seconds": round(seconds, 2), "gates": 20 * 360 * 480, "voxels": 26 * 187 * 187}
+    out |= production_colmax(spark, pairs, lattice)
     spark.conf.set("spark.sql.shuffle.partitions", before)
-    return {"seconds": round(seconds, 2), "gates": 20 * 360 * 480, "voxels": 26 * 187 * 187}
+    return out
+
+
+def production_colmax(spark, pairs, lattice, volumes: int = 4) -> dict:
+    """The column maximum of full-size volumes whose gates lie in the buckets of their map, as ingest leaves them."""
+    name = f"bench_{uuid.uuid4().hex}"
+    cells = spark.range(20 * 360 * 480 * volumes)
+    gate = F.col("id") % (20 * 360 * 480)
+    noise = F.pmod(F.xxhash64("id"), F.lit(7000)) / 100.0
+    gates = cells.select(
+        F.expr(f"int(id div {20 * 360 * 480})").alias("volume_id"), F.lit(0).alias("geometry_id"), gate.alias("gate_id"), (noise - 10).alias("DBZH"),
+        (1 - noise / 200).alias("RHOHV"), (noise / 20).alias("WRAD"), (noise / 10).alias("ZDR"), ((gate / (360 * 480)).cast("int") * 0.95 + 0.5).alias("elevation"),
+    )
+    geometry_store.save_bucketed(pairs, f"{name}_map", gate_store.BUCKETS, f"{shared_folder(spark)}/{name}-map")
+    stored = timed(lambda: gate_store.save_gates(gates, f"{name}_gates", f"{shared_folder(spark)}/{name}-gates"))
+    made = products.colmax_product(spark.table(f"{name}_gates"), spark.table(f"{name}_map"), lattice)
+    seconds = timed(lambda: made.write.format("noop").mode("overwrite").save())
+    return {"colmax_volumes": volumes, "colmax_store_gates_seconds": round(stored, 2), "colmax_seconds": round(seconds, 2)}
 
 
 def main() -> None:
