@@ -2,8 +2,8 @@
 
 A paragraph is a line; long ones are read in pieces of ``PIECE`` words that overlap by half.  Features are
 hashed word unigrams and bigrams.  A softmax regression over the licence families, an
-``unknown`` class (licence-like, of no family here) and ``none`` is trained on notices made from templates and on a bounded
-sample of paragraphs of the documents.  A part of both is held out: it sets the temperature of the
+``unknown`` class (licence-like, of no family here) and ``none`` is trained on notices made from templates, whole and
+short forms, and on a bounded sample of paragraphs of the documents.  A part of both is held out: it sets the temperature of the
 probabilities and the least probability of a family at which at most ``WRONG`` of the family
 predictions are wrong; less certain licence-like pieces are ``unknown``.  A family is confirmed if the piece
 agrees with one of its templates in word shingles; a prediction that no template confirms becomes ``unknown``.
@@ -47,9 +47,40 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "cc-by-nc-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "cc-by-sa-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "cc0-1.0": ("Released into the public domain under CC0 1.0.",),
+    "gpl-2.0": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "Licensed under the GNU General Public License, version 2.",
+    ),
+    "lgpl-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+    ),
+    "agpl-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "Licensed under the GNU Affero General Public License, version 3.",
+    ),
+    "bsd-2-clause": ("Distributed under the BSD 2-Clause License.", "This project is licensed under the terms of the BSD 2-Clause Simplified License."),
+    "isc": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "bsl-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software.",
+    ),
+    "unlicense": ("This is free and unencumbered software released into the public domain.",),
 }
+#: Identifiers that short forms name a family by, where they differ from its name here.
+IDENTIFIERS = {"gpl-2.0": ("GPL-2.0-only", "GPL-2.0-or-later"), "gpl-3.0": ("GPL-3.0-only", "GPL-3.0-or-later"), "lgpl-2.1": ("LGPL-2.1-only", "LGPL-2.1-or-later"), "agpl-3.0": ("AGPL-3.0-only", "AGPL-3.0-or-later")}
+TEMPLATES = {family: (*own, *(f"SPDX-License-Identifier: {name}" for name in IDENTIFIERS.get(family, (family,)))) for family, own in TEMPLATES.items()}
 #: Licence-like notices of no family.
 OTHERS = (
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    "This software is provided as is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    "This package may be used, distributed and modified under the terms of the Artistic License 2.0.",
+    "SPDX-License-Identifier: LicenseRef-Proprietary",
+    "Licensed under the European Union Public Licence, version 1.2.",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, subject to the restrictions below.",
     "All rights reserved. No part of this publication may be reproduced without prior written permission of the publisher.",
     "This software is proprietary and confidential; unauthorized copying is strictly prohibited.",
     "Use of this material is subject to the terms of the license agreement that came with it.",
@@ -102,8 +133,8 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _shingles(units: np.ndarray) -> np.ndarray:
-    size = min(SHINGLE, len(units))
+def _shingles(units: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    size = min(size, len(units))
     at = np.arange(len(units) - size + 1)
     return np.unique(mix(Spans(units).of(at, at + size), size))
 
@@ -112,7 +143,8 @@ class Classifier:
     """Trained on the driver, on a sample of bounded size."""
 
     def __init__(self, paragraphs: list[str]):
-        self.templates = [[_shingles(_pieces(pa.array([t]))[0]) for t in own] for own in TEMPLATES.values()]
+        words = [[_pieces(pa.array([t]))[0] for t in own] for own in TEMPLATES.values()]
+        self.templates = [[(min(SHINGLE, len(w)), _shingles(w)) for w in own] for own in words]
         r = random.Random(8)
         filler = [w for p in paragraphs[:200] for w in p.split()] or ["word"]
         texts, classes = [], []
@@ -129,7 +161,7 @@ class Classifier:
                         words += r.choices(filler, k=r.randint(1, 12))
                     texts.append(" ".join(words) or template)
                     classes.append(c)
-        known = np.unique(np.concatenate([s for own in self.templates for s in own]))
+        known = np.unique(np.concatenate([s for own in self.templates for _, s in own]))
         for p in paragraphs:
             units = _pieces(pa.array([p]))[0]
             if len(units) and not np.isin(_shingles(units), known).any():
@@ -192,8 +224,11 @@ class Classifier:
 
     def confirmed(self, units: np.ndarray, family: int) -> bool:
         """A template of the family lies in the piece, or the piece in a template, to ``AGREE`` of the shingles."""
-        own = _shingles(units)
-        return any(np.isin(t, own).sum() >= AGREE * min(len(t), len(own)) for t in self.templates[family])
+        for size, t in self.templates[family]:
+            own = _shingles(units, size)  # short templates have short shingles
+            if np.isin(t, own).sum() >= AGREE * min(len(t), len(own)):
+                return True
+        return False
 
 
 def scan(docs: DataFrame) -> DataFrame:
