@@ -173,6 +173,23 @@ def stream_stuck(spark, sf):
     return runner.collected(spark, late, folder(spark, "stuck")).drop("batch_id")
 
 
+# A volume left processing by one batch is stuck if a later batch, before its next row, begins behind its timeout.
+@register("stream_stuck_batches", query(("arrivals",), f"""SELECT volume_id, 'pending' AS status, last AS since_us FROM (
+    WITH s AS (SELECT {_VOLUME_ID} AS volume_id, {BY_TIME} AS batch, CAST(epoch_us(max(created_ts)) AS BIGINT) AS last,
+                      arg_max({_STATE}, (created_ts, event_id)) AS state FROM arrivals GROUP BY 1, 2),
+    n AS (SELECT *, coalesce(lead(batch) OVER (PARTITION BY volume_id ORDER BY batch), 4) - 1 AS free FROM s),
+    w AS (SELECT b AS batch, (SELECT epoch_ms(max(created_ts)) FROM arrivals WHERE {BY_TIME} < b) - 3600000 AS mark FROM (SELECT unnest([1, 2, 3]) AS b) t)
+    SELECT n.* FROM n JOIN w ON w.batch = least(free, 3) WHERE state = 'processing' AND free > n.batch AND last // 1000 + 86400000 < mark) z"""))
+def stream_stuck_batches(spark, sf):
+    """Volumes stuck between batches, some of which move again later."""
+    states = staged_stream(spark, sf).select(
+        F.expr(_VOLUME_ID.replace("VARCHAR", "STRING")).alias("volume_id"), "event_id",
+        F.col("created_ts").alias("updated_ts"), F.expr(_STATE).alias("status"),
+    )
+    late = live.stream_stuck(states, "1 hour", 1440)
+    return runner.collected(spark, late, folder(spark, "stuck-batches")).drop("batch_id")
+
+
 @register("stream_out_of_order", query(("arrivals",), """SELECT event_id, radar, coalesce(obs_s < lag(obs_s) OVER (
     PARTITION BY radar, obs_s // 86400, strategy, vol_nr, field ORDER BY created_ts, event_id), false) AS out_of_order
     FROM arrivals"""))
