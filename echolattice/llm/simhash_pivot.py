@@ -28,7 +28,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echolattice.llm.common import NO_ID, cut, discard, keyed, map_texts, partitions
@@ -311,13 +311,22 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("th"), batch.column("lead"), pa.array(good, pa.bool_())], names=["th", "lead", "good"])
 
 
+def _next_group(groups: Column, n: int) -> Column:
+    """The n-th group, going round, behind those of a mask that follow each other from the first group on."""
+    free = [F.when(groups.bitwiseAND(1 << k) == 0, F.lit(k)) for k in range(GROUPS)]
+    starts = [F.when((groups.bitwiseAND(1 << k) != 0) & (groups.bitwiseAND(1 << (k - 1) % GROUPS) == 0), F.lit(k)) for k in range(GROUPS)]
+    start = F.coalesce(*starts)
+    order = F.array_sort(F.array_compact(F.array(*[F.when(f.isNotNull(), F.pmod(F.lit(k) - start, F.lit(GROUPS))) for k, f in enumerate(free)])))
+    return F.pmod(start + F.try_element_at(order, F.lit(n)), F.lit(GROUPS)).cast("int")
+
+
 def similar(docs: DataFrame) -> DataFrame:
     """doc_id, th, root (names the component) and component_id (its smallest doc_id), one row per input row.
 
     Texts are linked if, lower-cased (A-Z), at least ``SIMILARITY`` of their distinct five-word shingles are shared; a text of
     fewer words is one shingle, and texts without words (null, empty) are copies of each other.  In a group
     of least hashes all texts are compared with the least of them by hash, so that m copies make m pairs.  Those it is not similar to
-    meet again where one more group agrees, and so on; each round leaves fewer, and after as many rounds as there are groups none is left.  Equal texts, told by 64 bits, are compared once.  Null doc_ids take part
+    meet again where one of the two groups that follow agrees as well, and so on; each round leaves fewer.  Equal texts, told by 64 bits, are compared once.  Null doc_ids take part
     and are nobody's smallest.  Other columns are ignored, an empty table gives no rows.
     """
     texts = keyed(docs)
@@ -330,14 +339,17 @@ def similar(docs: DataFrame) -> DataFrame:
     known = nodes.select("th", "print", values.alias("values"))
     rows = known.select("th", "print", F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))).alias("k"), "values")
     rows = cut(rows.select("th", "print", F.expr("shiftleft(1, k)").alias("groups"), F.element_at("values", F.col("k") + 1).alias("value")), "groups")
-    links, sets = None, None
+    seen, sets = None, None
     for _ in range(GROUPS):
         leads = rows.groupBy("groups", "value").agg(F.min("th").alias("lead"), F.min_by("print", "th").alias("lead_print"), F.count("*").alias("n")).where("n > 1")
         met = cut(rows.join(leads.drop("n"), ["groups", "value"]).where("th <> lead"), "met")
         discard(rows)
         if met.isEmpty():
             break
-        pairs = cut(met.select("th", "lead", "print", "lead_print").distinct().mapInArrow(_near_enough, "th long, lead long"), "pairs")
+        pairs = met.select("th", "lead", "print", "lead_print").distinct()
+        if seen is not None:
+            pairs = pairs.join(seen.select("th", "lead"), ["th", "lead"], "left_anti")
+        pairs = cut(pairs.mapInArrow(_near_enough, "th long, lead long"), "pairs")
         wanted = pairs.select(F.explode(F.array("th", "lead")).alias("wanted")).distinct()
         if sets is not None:
             wanted = wanted.join(sets.select(F.col("th").alias("wanted")), "wanted", "left_anti")
@@ -348,16 +360,17 @@ def similar(docs: DataFrame) -> DataFrame:
         sets = more if sets is None else sets.unionByName(more)
         both = pairs.join(sets.withColumnRenamed("shingles", "own"), "th").join(sets.select(F.col("th").alias("lead"), F.col("shingles").alias("other")), "lead")
         compared = cut(both.select("th", "lead", "own", "other").mapInArrow(_compared, "th long, lead long, good boolean"), "compared")
-        good = compared.where("good").select(F.col("th").alias("a"), F.col("lead").alias("b"))
-        links = good if links is None else links.unionByName(good)
+        seen = compared if seen is None else seen.unionByName(compared)
         # Texts unlike the one they were compared with meet again where one group more agrees: there few are that are not alike.
-        failed = met.join(compared.where("good"), ["th", "lead"], "left_anti").select("th", "groups").distinct()
-        finer = failed.join(known, "th").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))))
-        finer = finer.where("groups & shiftleft(1, k) = 0").withColumn("groups", F.expr("groups | shiftleft(1, k)"))
+        failed = met.join(seen.where("good"), ["th", "lead"], "left_anti").select("th", "groups", "value")
+        # Alone in its bucket, such a text has nobody left to meet there.
+        crowded = failed.groupBy("groups", "value").count().where("count > 1").select("groups", "value")
+        failed = failed.join(crowded, ["groups", "value"], "left_semi").select("th", "groups").distinct()
+        finer = failed.join(known, "th").withColumn("k", F.explode(F.array(*[_next_group(F.col("groups"), n) for n in (1, 2)])))
+        finer = finer.where("k IS NOT NULL").withColumn("groups", F.expr("groups | shiftleft(1, k)"))
         agreed = F.expr("filter(values, (v, at) -> groups & shiftleft(1, at) <> 0)")
         rows = cut(finer.select("th", "print", "groups", F.xxhash64(agreed).alias("value")).distinct(), "groups")
-    if links is None:
-        links = nodes.limit(0).select(F.col("th").alias("a"), F.col("th").alias("b"))
+    links = nodes.limit(0).select(F.col("th").alias("a"), F.col("th").alias("b")) if seen is None else seen.where("good").select(F.col("th").alias("a"), F.col("lead").alias("b"))
     joined = components(links)
     root = cut(nodes.select("th", "least").join(joined, F.col("th") == F.col("node"), "left").select("th", "least", F.coalesce("root", "th").alias("root")), "roots")
     named = root.groupBy("root").agg(F.min("least").alias("component_id"))
