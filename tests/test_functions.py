@@ -88,6 +88,15 @@ def test_distances(spark):
         assert one(spark, angle)[0] % 360 == pytest.approx(expected, abs=0.5)
 
 
+def test_bearing_of_a_station_on_the_site(spark):
+    """No side of the triangle is left to divide by; customer 321684 of larger tables stands on a radar."""
+    df = inline_table(spark, ("lon", "lat"), [(-62.8, -30.8), (-62.8, -30.0)])
+    angle, distance = geomath.bearing_range(F.lit(2 * 0.7 - 64.2), F.lit(2 * 0.3 - 31.4), F.col("lon"), F.col("lat"))
+    here, north = df.select(angle.alias("angle"), distance.alias("distance"), "lat").orderBy("lat").collect()
+    assert (here.angle, here.distance) == (0.0, pytest.approx(0.0, abs=1e-6))
+    assert north.angle % 360 == pytest.approx(0.0, abs=1e-3)
+
+
 def test_map_position_round_trip(spark):
     lon, lat = geomath.xy_to_lonlat(30e3, 40e3, -64.0, -31.0)
     row = one(spark, lon.alias("lon"), lat.alias("lat"))
