@@ -12,7 +12,7 @@ from echolattice.functions import geomath, names
 from echolattice.functions.colours import KNOTS, LISTED, Scale
 from echolattice.functions.inline import inline_table
 from echolattice.functions.missing import mask_invalid
-from echolattice.operators import filters, rasters, volumes
+from echolattice.operators import filters, rasters, stations, volumes
 from echolattice.operators.filters import GateFilter
 from echolattice.sources import payload
 
@@ -97,6 +97,13 @@ def test_bearing_of_a_station_on_the_site(spark):
     assert north.angle % 360 == pytest.approx(0.0, abs=1e-3)
 
 
+def test_nearest_gate_of_a_station_on_the_site(spark):
+    placed = inline_table(spark, ("station_id", "lon", "lat"), [(321684, -62.8, -30.8)])
+    radar = inline_table(spark, ("site_lon", "site_lat", "nrays", "ngates", "gate_size", "gate_offset"), [(2 * 0.7 - 64.2, 2 * 0.3 - 31.4, 36, 40, 6000, 3000)])
+    near = stations.stations_in_reach(placed, radar).select("ray", "gate").collect()
+    assert [tuple(r) for r in near] == [(0, None)], "north, and before the first gate"
+
+
 def test_map_position_round_trip(spark):
     lon, lat = geomath.xy_to_lonlat(30e3, 40e3, -64.0, -31.0)
     row = one(spark, lon.alias("lon"), lat.alias("lat"))
