@@ -28,7 +28,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from echolattice.llm.common import NO_ID, cut, discard, keyed, map_texts, partitions
@@ -311,13 +311,45 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("th"), batch.column("lead"), pa.array(good, pa.bool_())], names=["th", "lead", "good"])
 
 
-def _next_group(groups: Column, n: int) -> Column:
-    """The n-th group, going round, behind those of a mask that follow each other from the first group on."""
-    free = [F.when(groups.bitwiseAND(1 << k) == 0, F.lit(k)) for k in range(GROUPS)]
-    starts = [F.when((groups.bitwiseAND(1 << k) != 0) & (groups.bitwiseAND(1 << (k - 1) % GROUPS) == 0), F.lit(k)) for k in range(GROUPS)]
-    start = F.coalesce(*starts)
-    order = F.array_sort(F.array_compact(F.array(*[F.when(f.isNotNull(), F.pmod(F.lit(k) - start, F.lit(GROUPS))) for k, f in enumerate(free)])))
-    return F.pmod(start + F.try_element_at(order, F.lit(n)), F.lit(GROUPS)).cast("int")
+#: Texts and bytes of shingles of a block of a bucket; a task compares two blocks.
+BLOCK, BLOCK_BYTES = 4096, 16 << 20
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links between texts of two blocks of one bucket (or within one) that join different roots, as a forest.
+
+    All pairs are compared but those of one root, those known to be joined by links found before, those whose numbers of shingles
+    differ too much, and those that an earlier group of least hashes brings together as well.
+    """
+    table = table.combine_chunks()
+    th, block, k = (table.column(c).to_numpy() for c in ("th", "block", "k"))
+    values = np.array(table.column("values").to_pylist(), dtype=np.int64)[:, : k[0]]
+    own = [np.frombuffer(x, dtype=np.uint64) for x in table.column("shingles").to_pylist()]
+    size = np.array([len(x) for x in own])
+    ends = np.concatenate([[0], np.cumsum(size)])
+    number = np.unique(np.concatenate(own), return_inverse=True)[1]
+    label = np.unique(table.column("root").to_numpy(), return_inverse=True)[1]
+    marked = np.zeros(number.max() + 1, dtype=np.int64)
+    places, others = np.arange(len(th)), np.flatnonzero(block == block.max())
+    one = block.min() == block.max()
+    links: list[tuple[int, int]] = []
+    for a in places[block == block.min()]:
+        met = others[others > a] if one else others
+        met = met[label[met] != label[a]]
+        met = met[np.minimum(size[met], size[a]) >= SIMILARITY * np.maximum(size[met], size[a])]
+        met = met[~(values[met] == values[a]).any(axis=1)]
+        if not len(met):
+            continue
+        mine = number[ends[a] : ends[a + 1]]
+        marked[mine] = 1
+        starts = np.concatenate([[0], np.cumsum(size[met])[:-1]])
+        shared = np.add.reduceat(marked[np.concatenate([number[ends[b] : ends[b + 1]] for b in met])], starts)
+        marked[mine] = 0
+        for b in met[shared >= SIMILARITY * (size[met] + size[a] - shared)]:
+            if label[b] != label[a]:
+                links.append((th[a], th[b]))
+                label[label == label[b]] = label[a]
+    return pa.table({"th": pa.array([a for a, _ in links], pa.int64()), "lead": pa.array([b for _, b in links], pa.int64())})
 
 
 def similar(docs: DataFrame) -> DataFrame:
@@ -325,8 +357,9 @@ def similar(docs: DataFrame) -> DataFrame:
 
     Texts are linked if, lower-cased (A-Z), at least ``SIMILARITY`` of their distinct five-word shingles are shared; a text of
     fewer words is one shingle, and texts without words (null, empty) are copies of each other.  In a group
-    of least hashes all texts are compared with the least of them by hash, so that m copies make m pairs.  Those it is not similar to
-    meet again where one of the two groups that follow agrees as well, and so on; each round leaves fewer.  Equal texts, told by 64 bits, are compared once.  Null doc_ids take part
+    of least hashes all texts are compared with the one that most others meet over all groups, so that m copies make m pairs.  Where
+    this leaves a group in several components, all its pairs of different components are compared, block by
+    block: no pair that agrees in a group is left out unless it is joined already.  Equal texts, told by 64 bits, are compared once.  Null doc_ids take part
     and are nobody's smallest.  Other columns are ignored, an empty table gives no rows.
     """
     texts = keyed(docs)
@@ -338,39 +371,40 @@ def similar(docs: DataFrame) -> DataFrame:
     values = F.array(*names)
     known = nodes.select("th", "print", values.alias("values"))
     rows = known.select("th", "print", F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))).alias("k"), "values")
-    rows = cut(rows.select("th", "print", F.expr("shiftleft(1, k)").alias("groups"), F.element_at("values", F.col("k") + 1).alias("value")), "groups")
-    seen, sets = None, None
-    for _ in range(GROUPS):
-        leads = rows.groupBy("groups", "value").agg(F.min("th").alias("lead"), F.min_by("print", "th").alias("lead_print"), F.count("*").alias("n")).where("n > 1")
-        met = cut(rows.join(leads.drop("n"), ["groups", "value"]).where("th <> lead"), "met")
-        discard(rows)
-        if met.isEmpty():
-            break
-        pairs = met.select("th", "lead", "print", "lead_print").distinct()
-        if seen is not None:
-            pairs = pairs.join(seen.select("th", "lead"), ["th", "lead"], "left_anti")
-        pairs = cut(pairs.mapInArrow(_near_enough, "th long, lead long"), "pairs")
-        wanted = pairs.select(F.explode(F.array("th", "lead")).alias("wanted")).distinct()
-        if sets is not None:
-            wanted = wanted.join(sets.select(F.col("th").alias("wanted")), "wanted", "left_anti")
+    rows = cut(rows.select("th", "print", "k", F.element_at("values", F.col("k") + 1).alias("value")), "groups")
+    sizes = rows.groupBy("k", "value").agg(F.count("*").alias("n")).where("n > 1")
+    shared = cut(rows.join(sizes, ["k", "value"]), "shared")
+    discard(rows)
+    # An original meets more of its edited copies than these meet each other.
+    central = shared.groupBy("th").agg(F.sum("n").alias("meets"))
+    leads = shared.join(central, "th").groupBy("k", "value").agg(F.max_by(F.struct("th", "print"), F.struct("meets", "th")).alias("of"))
+    leads = leads.select("k", "value", F.col("of.th").alias("lead"), F.col("of.print").alias("lead_print"))
+    pairs = shared.join(leads, ["k", "value"]).where("th <> lead").select("th", "lead", "print", "lead_print").distinct()
+    pairs = cut(pairs.mapInArrow(_near_enough, "th long, lead long"), "pairs")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
         # The text of the smallest doc_id stands for its copies, which stay where they are.
         wanted = nodes.select("th", "own_id").join(wanted, F.col("th") == F.col("wanted"), "left_semi").withColumnsRenamed({"th": "own_th"})
         own = texts.join(wanted, (texts["th"] == wanted["own_th"]) & (F.coalesce(texts["doc_id"], F.lit(NO_ID)) == wanted["own_id"]), "left_semi")
-        more = cut(map_texts(own, _sets, "th long, shingles binary").dropDuplicates(["th"]), "sets")
-        sets = more if sets is None else sets.unionByName(more)
-        both = pairs.join(sets.withColumnRenamed("shingles", "own"), "th").join(sets.select(F.col("th").alias("lead"), F.col("shingles").alias("other")), "lead")
-        compared = cut(both.select("th", "lead", "own", "other").mapInArrow(_compared, "th long, lead long, good boolean"), "compared")
-        seen = compared if seen is None else seen.unionByName(compared)
-        # Texts unlike the one they were compared with meet again where one group more agrees: there few are that are not alike.
-        failed = met.join(seen.where("good"), ["th", "lead"], "left_anti").select("th", "groups", "value")
-        # Alone in its bucket, such a text has nobody left to meet there.
-        crowded = failed.groupBy("groups", "value").count().where("count > 1").select("groups", "value")
-        failed = failed.join(crowded, ["groups", "value"], "left_semi").select("th", "groups").distinct()
-        finer = failed.join(known, "th").withColumn("k", F.explode(F.array(*[_next_group(F.col("groups"), n) for n in (1, 2)])))
-        finer = finer.where("k IS NOT NULL").withColumn("groups", F.expr("groups | shiftleft(1, k)"))
-        agreed = F.expr("filter(values, (v, at) -> groups & shiftleft(1, at) <> 0)")
-        rows = cut(finer.select("th", "print", "groups", F.xxhash64(agreed).alias("value")).distinct(), "groups")
-    links = nodes.limit(0).select(F.col("th").alias("a"), F.col("th").alias("b")) if seen is None else seen.where("good").select(F.col("th").alias("a"), F.col("lead").alias("b"))
+        return cut(map_texts(own, _sets, "th long, shingles binary").dropDuplicates(["th"]), "sets")
+
+    sets = sets_of(pairs.select(F.explode(F.array("th", "lead")).alias("wanted")).distinct())
+    both = pairs.join(sets.withColumnRenamed("shingles", "own"), "th").join(sets.select(F.col("th").alias("lead"), F.col("shingles").alias("other")), "lead")
+    links = cut(both.select("th", "lead", "own", "other").mapInArrow(_compared, "th long, lead long, good boolean").where("good").select(F.col("th").alias("a"), F.col("lead").alias("b")), "compared")
+    rooted = shared.join(components(links), F.col("th") == F.col("node"), "left").select("th", "k", "value", F.coalesce("root", "th").alias("root"))
+    parted = rooted.groupBy("k", "value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("k", "value")
+    parted = cut(rooted.join(parted, ["k", "value"]), "parted")
+    if not parted.isEmpty():
+        wanted = parted.select(F.col("th").alias("wanted")).distinct().join(sets.select(F.col("th").alias("wanted")), "wanted", "left_anti")
+        sets = sets.unionByName(sets_of(wanted))
+        bulk = parted.join(sets.select("th", F.length("shingles").alias("bytes")), "th").groupBy("k", "value").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+        blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+        dealt = parted.join(bulk.select("k", "value", blocks.alias("blocks")), ["k", "value"]).withColumn("block", F.pmod(F.xxhash64("th"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select("th", "k", "value", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        filled = dealt.join(known.select("th", "values"), "th").join(sets, "th")
+        found = filled.groupBy("k", "value", "i", "j").applyInArrow(_block_links, "th long, lead long")
+        links = links.unionByName(cut(found.select(F.col("th").alias("a"), F.col("lead").alias("b")), "blocklinks"))
     joined = components(links)
     root = cut(nodes.select("th", "least").join(joined, F.col("th") == F.col("node"), "left").select("th", "least", F.coalesce("root", "th").alias("root")), "roots")
     named = root.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -125,3 +126,24 @@ def test_many_near_copies_of_one_text_and_a_boilerplate(spark):
     found = {x.doc_id: x.component_id for x in simhash_pivot.similar(documents(spark, docs)).collect()}
     assert sum(found[i] == 0 for i in range(150)) >= 148
     assert all(found[1000 + i] == 1000 + i for i in range(40))
+
+
+def test_pairs_that_meet_in_one_group_only(spark, monkeypatch):
+    """Three texts share a group's value; two unlike the first are alike and agree in no other group.  Blocks of any size find them."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choices("abcdefgh", k=5))
+    bases = [[word() for _ in range(120)] for _ in range(12)]
+    docs = [(i * 10 + c, " ".join(b[: 118 - 4 * c])) for i, b in enumerate(bases) for c in range(2)]
+
+    def crafted(batch):
+        out = described(batch)
+        th = batch.column("th").to_numpy()
+        groups = [pa.array(np.zeros(len(th), dtype=np.int64))] + [pa.array(th + k) for k in range(1, simhash_pivot.GROUPS)]
+        return pa.RecordBatch.from_arrays([*out.columns[:3], *groups], names=out.schema.names)
+
+    described = simhash_pivot._described
+    monkeypatch.setattr(simhash_pivot, "_described", crafted)
+    for block in (4096, 5):
+        monkeypatch.setattr(simhash_pivot, "BLOCK", block)
+        found = {x.doc_id: x.component_id for x in simhash_pivot.similar(documents(spark, docs)).collect()}
+        assert found == {i: i // 10 * 10 for i, _ in docs}
