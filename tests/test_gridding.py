@@ -12,6 +12,7 @@ from echolattice.config import Lattice
 from echolattice.functions.inline import inline_table
 from echolattice.operators import gridding, neighbours
 from echolattice.plans import products
+from echolattice.sources import gate_store
 from workload import grids, tables
 
 SMALL = Lattice(
@@ -217,3 +218,11 @@ def test_pixel_filters(spark):
     voxels = pixels.withColumn("voxel_id", F.col("iy") * 2 + F.col("ix").cast("bigint"))
     filled = gridding.fill_lattice(voxels, pixels.select("volume_id").distinct(), two, -9.0)
     assert values(filled) == [5.0, 15.0, 25.0, -9.0]
+
+
+def test_measurements_are_exchanged_once_on_their_way_into_the_store(spark, sf):
+    gates = grids.placed_gates(spark, sf)
+    plan = gates._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(geometry_id") == 1 and "SortMergeJoin" not in plan
+    plain = gate_store.with_lowest(tables.gates(spark, sf), tables.sweeps(spark, sf)).select(gates.columns)
+    assert gates.exceptAll(plain).isEmpty() and plain.exceptAll(gates).isEmpty()
