@@ -226,3 +226,14 @@ def test_measurements_are_exchanged_once_on_their_way_into_the_store(spark, sf):
     assert plan.count("Exchange hashpartitioning(geometry_id") == 1 and "SortMergeJoin" not in plan
     plain = gate_store.with_lowest(tables.gates(spark, sf), tables.sweeps(spark, sf)).select(gates.columns)
     assert gates.exceptAll(plain).isEmpty() and plain.exceptAll(gates).isEmpty()
+
+
+def test_buckets_follow_the_measurements(spark, sf, monkeypatch):
+    """A bucket is one task, so its measurements are bounded: more of them, more buckets, of gates and map alike."""
+    assert gate_store.buckets_for(0) == gate_store.buckets_for(gate_store.BUCKETS * gate_store.ROWS) == gate_store.BUCKETS
+    assert gate_store.buckets_for(gate_store.BUCKETS * gate_store.ROWS + 1) == 2 * gate_store.BUCKETS
+    whole = {tuple(r) for r in grids.colmax(spark, sf).collect()}
+    monkeypatch.setattr(gate_store, "ROWS", -(-tables.read(spark, sf, "lineitem").count() // 32))
+    monkeypatch.setattr(grids, "_STORED", {})
+    assert grids.placed_gates(spark, sf).rdd.getNumPartitions() == 32
+    assert {tuple(r) for r in grids.colmax(spark, sf).collect()} == whole
