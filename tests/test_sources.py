@@ -219,3 +219,12 @@ def test_the_tree_as_a_data_source(spark):
     open(f"{base}/RAD1/2024/01/02/00/3000/{newest}", "wb").write(b"x")
     runner.drain(stream.select(columns), sink, f"{path}/checkpoint")
     assert {r.filename for r in spark.read.parquet(f"{path}/files").collect()} == {r.filename for r in read().collect()} == {*NAMES, more, newest}
+
+
+def test_a_commit_leaves_one_file_in_a_folder(spark, tmp_path):
+    """Rows of a volume that lie in many tasks are gathered first: files grow with volumes, not with tasks times volumes."""
+    rows = spark.range(0, 400, 1, 8).select((F.col("id") % 5).alias("volume_id"), F.lit("d").alias("day"), F.col("id").cast("string").alias("value"))
+    path = str(tmp_path)
+    commits.publish(rows, path, ("day", "volume_id"), kind="text")
+    assert len(list(tmp_path.glob("data/**/part-*.txt"))) == 5
+    assert commits.held(spark, path, "text").groupBy("volume_id").count().filter("count = 80").count() == 5
