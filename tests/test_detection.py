@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from echolattice.config import CoreThresholds, Lattice, TopThresholds
 from echolattice.functions.inline import inline_table
-from echolattice.operators import components, detect
+from echolattice.operators import components, detect, gridding, volumes
+from echolattice.plans import products
+from echolattice.sources import gate_store
 
 
 def flood(mask: np.ndarray, wrap: bool = False) -> dict[tuple[int, int], int]:
@@ -229,3 +231,40 @@ def test_a_component_through_many_tiles_is_one(spark):
     turns = spark.range(1, 399, 2).select(F.lit(1).alias("volume_id"), F.col("id").cast("int").alias("iy"), F.when(F.col("id") % 4 == 1, 399).otherwise(0).alias("ix"))
     found = components.label_components(lines.unionByName(turns), ["volume_id"], 400, 400, rounds=True, tile=64)
     assert [tuple(r) for r in found.groupBy("label").count().collect()] == [(0, 200 * 400 + 199)]
+
+
+def _two_fields(lattice, spark, elevation):
+    """Voxels with holes in both fields, a volume without RhoHV and one without an elevation."""
+    cells = spark.range(3 * lattice.nz * lattice.ny * lattice.nx).selectExpr(
+        f"id div {lattice.nz * lattice.ny * lattice.nx} AS volume_id", f"CAST(id div {lattice.ny * lattice.nx} % {lattice.nz} AS INT) AS iz",
+        f"CAST(id div {lattice.nx} % {lattice.ny} AS INT) AS iy", f"CAST(id % {lattice.nx} AS INT) AS ix", "xxhash64(id) AS h",
+    )
+    return cells.select(
+        "volume_id", "iz", "iy", "ix", F.expr("CASE WHEN h % 3 != 0 THEN h % 97 * 0.5D END AS value"),
+        F.expr("CASE WHEN h % 4 != 0 AND volume_id != 1 THEN (h % 89) / 89.0D END AS rhohv"),
+        F.expr(f"CASE WHEN volume_id != 2 THEN CAST({elevation} AS DOUBLE) END AS {gate_store.LOWEST}"),
+    )
+
+
+@pytest.mark.parametrize("elevation", [0.5, 3.5, 9.0])
+def test_column_and_surface_in_one_pass(spark, elevation):
+    lattice = Lattice(nz=4, ny=21, nx=19, z_limits=(0.0, 9000.0), y_limits=(-150e3, 150e3), x_limits=(-150e3, 150e3))
+    voxels = _two_fields(lattice, spark, elevation)
+    both = gridding.column_and_surface(voxels, lattice, gate_store.LOWEST, "rhohv")
+    lowest = spark.createDataFrame([(0, elevation), (1, elevation)], "volume_id long, elevation double")
+    column = gridding.column_aggregate(voxels, lattice)
+    surface = products.rhohv_surface(voxels, lattice, lowest).withColumnRenamed("value", "rhohv")
+    wanted = column.join(surface, ["volume_id", "iy", "ix"], "left").select("volume_id", "iy", "ix", "value", "rhohv")
+    rows = sorted(both.collect(), key=lambda r: r[:3])
+    assert rows == sorted(wanted.collect(), key=lambda r: r[:3]) and any(r.rhohv is not None for r in rows)
+    plan = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_lowest_sweep_sorts_no_input(spark):
+    """What reads all sweeps is a hash aggregate; a sort would spill where sweeps come from every measurement."""
+    sweeps = spark.range(100).selectExpr("id % 3 AS volume_id", "CAST(id % 7 AS INT) AS sweep", "2.5D - (id % 7) div 5 AS elevation").distinct()
+    found = volumes.lowest_sweep(sweeps)
+    assert sorted(map(tuple, found.collect())) == [(v, 5, 1.5) for v in range(3)]
+    aggregates = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate(" in x]
+    assert "HashAggregate" in aggregates[-1]
