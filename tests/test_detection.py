@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from echolattice.config import CoreThresholds, Lattice, TopThresholds
 from echolattice.functions.inline import inline_table
-from echolattice.operators import components, detect, gridding, volumes
+from echolattice.operators import components, detect, gridding, rasters, volumes
 from echolattice.plans import products
 from echolattice.sources import gate_store
 
@@ -268,3 +268,17 @@ def test_lowest_sweep_sorts_no_input(spark):
     assert sorted(map(tuple, found.collect())) == [(v, 5, 1.5) for v in range(3)]
     aggregates = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate(" in x]
     assert "HashAggregate" in aggregates[-1]
+
+
+@pytest.mark.parametrize("method", ["average", "nearest"])
+def test_overviews_exchange_pixels_once(spark, method):
+    pixels = spark.range(40 * 40).selectExpr("id % 2 AS volume_id", "CAST(id div 40 AS INT) AS iy", "CAST(id % 40 AS INT) AS ix", "id * 1.0D AS value")
+    out = rasters.overviews(pixels, method, (2, 3, 8))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange hashpartitioning")
+    cells = {}
+    for r in sorted(pixels.collect(), key=lambda r: (r.iy, r.ix)):
+        for f in (2, 3, 8):
+            cells.setdefault((r.volume_id, f, r.iy // f, r.ix // f), []).append(r.value)
+    best = (lambda v: v[0]) if method == "nearest" else (lambda v: sum(v) / len(v))
+    assert {tuple(r[:4]): r.value for r in out.collect()} == {k: best(v) for k, v in cells.items()}
