@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 MAX_GATES = 8400
 SENTINEL = -1.797693134862315708e308
 ROWS_PER_BATCH = 200_000
+#: Sweeps that meet Python at once; one may hold millions of gates, so memory must not grow with the sweeps of a task.
+SWEEPS_PER_BATCH = 64
 
 
 def inflate(payload: bytes, nrays: int, ngates: int) -> tuple[np.ndarray | None, str | None]:
@@ -30,6 +32,11 @@ def inflate(payload: bytes, nrays: int, ngates: int) -> tuple[np.ndarray | None,
     return values, None
 
 
+def few_at_once(spark: SparkSession) -> None:
+    """Arrow batches of this session hold few sweeps from here on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SWEEPS_PER_BATCH))
+
+
 def decode_sweeps(sweeps: DataFrame, keys: Sequence[str] = ("volume_id", "sweep")) -> DataFrame:
     """One row per gate of every sweep (``ray``, ``gate``, ``value``), and one row with
     ``reject`` for a sweep that cannot be read; a bad sweep never fails the job.
@@ -37,6 +44,7 @@ def decode_sweeps(sweeps: DataFrame, keys: Sequence[str] = ("volume_id", "sweep"
     ``sweeps`` has the keys, ``nrays``, ``ngates`` and a binary ``payload``.  Values
     leave a task in bounded batches, and one inflated sweep is held at a time.
     """
+    few_at_once(sweeps.sparkSession)
     keyed = sweeps.select(*keys, "nrays", "ngates", "payload")
     schema = T.StructType([keyed.schema[k] for k in keys])
     for name, kind in (("ray", T.IntegerType()), ("gate", T.IntegerType()), ("value", T.DoubleType())):

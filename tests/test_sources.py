@@ -1,16 +1,19 @@
 from __future__ import annotations
 
+import zlib
 import os
 import tempfile
+import zlib
 from datetime import datetime
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from echolattice.config import Lattice
 from echolattice.functions.inline import inline_table
 from echolattice.functions.colours import Scale
 from echolattice.operators import stations
-from echolattice.sources import commits, files, geometry_store, map_cache, sinks, tree_source
+from echolattice.sources import commits, files, geometry_store, map_cache, payload, sinks, tree_source
 from echolattice.streaming import runner
 from echolattice.streaming.ledger import dedup_sink
 from echolattice.session import cut_lineage, shared_folder
@@ -228,3 +231,19 @@ def test_a_commit_leaves_one_file_in_a_folder(spark, tmp_path):
     commits.publish(rows, path, ("day", "volume_id"), kind="text")
     assert len(list(tmp_path.glob("data/**/part-*.txt"))) == 5
     assert commits.held(spark, path, "text").groupBy("volume_id").count().filter("count = 80").count() == 5
+
+
+def test_few_sweeps_meet_python_at_once(spark):
+    """Memory of a worker must not grow with the sweeps of its task."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "10000")
+    try:
+        blob = zlib.compress(np.arange(6, dtype="<f8").tobytes())
+        sweeps = spark.range(0, 500, 1, 1).selectExpr("id AS volume_id", "0 AS sweep", "2 AS nrays", "3 AS ngates").withColumn("payload", F.lit(blob))
+        decoded = payload.decode_sweeps(sweeps)
+        sizes = sweeps.mapInPandas(lambda batches: (b.head(1)[["sweep"]].assign(sweep=len(b)) for b in batches), "sweep int").collect()
+        assert max(r.sweep for r in sizes) <= payload.SWEEPS_PER_BATCH
+        assert payload.decoded_gates(decoded).count() == 3000
+    finally:
+        spark.conf.set(setting, before)
