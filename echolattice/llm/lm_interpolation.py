@@ -39,7 +39,9 @@ FOLDS, TESTED, HELD_OUT = 7, 2, 3
 END = "\n"
 ROUNDS = 40
 #: Pairs that tasks hold; pairs of a partition; neighbours a task counts before it passes them on; bins of an octave in which EM sees a ratio.
-PAIRS, PART_PAIRS, HELD_PAIRS, BINS = 1 << 19, 1 << 22, 1 << 22, 32
+PAIRS, PART_PAIRS, HELD_PAIRS, BINS = 1 << 19, 1 << 20, 1 << 21, 32
+#: Bits of each of the three counts that a task sends as one number; it counts fewer neighbours at a time.
+COUNT = 21
 #: Places of words of the dictionary in a pair's key, and the one that stands for the start of a text.
 PLACE, START = 20, (1 << 20) - 1
 
@@ -248,6 +250,24 @@ def bigram_counts(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarra
     return out[0].reshape(m, m), out[1].reshape(m, m)
 
 
+def summed(parts: list[np.ndarray]) -> np.ndarray:
+    """Tables of key, v, w and counts (a column for each row) as one, by key; the parts are freed as they are read.
+
+    Rows are gathered one after the other, so that little more than the result is held beside the parts.
+    """
+    keys = np.concatenate([p[0] for p in parts])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), dtype=bool), keys[1:] != keys[:-1]]))
+    out = np.empty((parts[0].shape[0], len(first)), dtype=np.int64)
+    out[0] = keys[first]
+    for k in range(1, len(out)):
+        row = np.concatenate([p[k] for p in parts])[order]
+        out[k] = row[first] if k < 3 or not len(first) else np.add.reduceat(row, first)
+    parts.clear()
+    return out
+
+
 def pair_counts(texts: DataFrame, model: Model) -> DataFrame:
     """key, v, w and a, b, t: counts of every pair of neighbours in both training folds and in the texts never learned from.
 
@@ -256,16 +276,24 @@ def pair_counts(texts: DataFrame, model: Model) -> DataFrame:
     given, tokens = texts.sparkSession.sparkContext.broadcast(model), model.n
     names = ["key", "v", "w", "a", "b", "t"]
 
-    def summed(parts: list[np.ndarray]) -> np.ndarray:
-        whole = np.concatenate(parts, axis=1)
-        whole = whole[:, np.argsort(whole[0], kind="stable")]
-        first = np.flatnonzero(np.concatenate([[True], whole[0, 1:] != whole[0, :-1]]))
-        return np.concatenate([whole[:3, first], np.add.reduceat(whole[3:], first, axis=1)])
-
-    def out(table: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def out(table: np.ndarray, names: list[str] = names) -> Iterator[pa.RecordBatch]:
         for at in range(0, table.shape[1], 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)]) for c in table], names=names)
 
+    def packed(table: np.ndarray) -> Iterator[pa.RecordBatch]:
+        big = (table[3:] >> COUNT).any(axis=0)
+        if big.any():
+            # A text longer than a task's share: its counts go in several rows.
+            rest = table[:, big].copy()
+            rest[3:] -= np.minimum(rest[3:], (1 << COUNT) - 1)
+            yield from packed(rest)
+        a, b, t = np.minimum(table[3:], (1 << COUNT) - 1)
+        yield from out(np.stack([*table[:3], a | b << COUNT | t << 2 * COUNT]), [*names[:3], "n"])
+
+    def unpacked(batch: pa.RecordBatch) -> np.ndarray:
+        *own, n = (c.to_numpy() for c in batch.columns)
+        return np.stack([*own, *[n >> k * COUNT & (1 << COUNT) - 1 for k in range(3)]])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
@@ -277,20 +305,22 @@ def pair_counts(texts: DataFrame, model: Model) -> DataFrame:
                 kinds = [(fold != TESTED) & (fold != HELD_OUT), fold == HELD_OUT, fold == TESTED]
                 held.append(summed([np.stack([key, np.where(rare, v, 0), np.where(rare, w, 0), *[k.astype(np.int64) for k in kinds]])]))
                 if sum(x.shape[1] for x in held) > HELD_PAIRS:
-                    yield from out(summed(held))
-                    held = []
+                    held = [summed(held)]
+                    # What hardly shrinks is passed on.
+                    if held[0].shape[1] > HELD_PAIRS // 2:
+                        yield from packed(held.pop())
         if held:
-            yield from out(summed(held))
+            yield from packed(summed(held))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [np.stack([c.to_numpy() for c in batch.columns]) for batch in batches if batch.num_rows]
+        parts = [unpacked(batch) for batch in batches if batch.num_rows]
         if parts:
             whole = summed(parts)
             yield from out(whole[:, (whole[0] < 0) | (whole[3:].sum(axis=0) > 1) | (whole[4] > 0)])
 
     kind = "key long, v long, w long, a long, b long, t long"
     n = max(partitions(texts.sparkSession), tokens // PART_PAIRS)
-    return texts.mapInArrow(count, kind).repartition(n, "key").mapInArrow(add, kind)
+    return texts.mapInArrow(count, "key long, v long, w long, n long").repartition(n, "key").mapInArrow(add, kind)
 
 
 def word_ids(counts: DataFrame) -> DataFrame:

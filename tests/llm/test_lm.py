@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -109,3 +110,28 @@ def test_scores_use_every_word_pair(spark, corpus, monkeypatch, tight):
             part = m.mixed[a[v].bit_length()] if a[v] + b[v] else 0
             total += math.log10(part * pairs[v, w] / max(a[v] + b[v], 1) + (1 - part) * q)
         assert math.isclose(x.score, total, rel_tol=1e-9)
+
+
+def test_counts_of_pairs_are_joined_in_little_memory():
+    """Beside the parts, tasks hold the joined table and a few of its rows, not copies of all."""
+    r = np.random.default_rng(1)
+    parts = [np.concatenate([r.integers(0, 10**12, (1, 50_000)), np.ones((5, 50_000), dtype=np.int64)]) for _ in range(4)]
+    parts.append(parts[0].copy())
+    size, total = sum(p.nbytes for p in parts), sum(int(p[3:].sum()) for p in parts)
+    tracemalloc.start()
+    out = lm_interpolation.summed(parts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out[3:].sum() == total and (np.diff(out[0]) > 0).all() and parts == []
+    assert peak < 2.2 * size
+    assert lm_interpolation.summed([np.empty((6, 0), dtype=np.int64)]).shape == (6, 0)
+
+
+def test_pairs_passed_on_early_count_the_same(spark, corpus, monkeypatch):
+    frame = documents(spark, corpus)
+    texts = lm_interpolation.keyed(frame, lm_interpolation.F.pmod("doc_id", lm_interpolation.F.lit(7)).cast("int").alias("fold"))
+    model = lm_interpolation.Model(lm_interpolation.cut(lm_interpolation.word_counts(texts), "words"))
+    whole = sorted(lm_interpolation.pair_counts(texts, model).collect())
+    monkeypatch.setattr(lm_interpolation, "HELD_PAIRS", 40)
+    monkeypatch.setattr(lm_interpolation, "COUNT", 3)
+    assert sorted(lm_interpolation.pair_counts(texts, model).collect()) == whole
