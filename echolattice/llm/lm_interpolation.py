@@ -14,7 +14,10 @@ Every word and every pair of neighbours is counted, in tables that grow with the
 pairs fall back, are bounded: the ``WORDS`` most frequent words are classes of their own; others share a class with words of
 the same octave of frequency, and those beyond the ``DICTIONARY`` most frequent share one class.  Tasks hold the
 dictionary and the ``PAIRS`` most frequent pairs, as these would meet in single tasks; the other pairs of the
-texts, and words beyond the dictionary, meet their counts by joins.
+texts, and words beyond the dictionary, meet their counts where both are dealt to.
+
+Texts are split into words for the words' counts, and once more to be kept as numbers (:func:`coded`).  What is exchanged after that are
+blocks: one row for a task and a partition, which holds the sorted numbers of many pairs, packed.
 """
 
 from __future__ import annotations
@@ -25,10 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echolattice.llm.common import BATCH_ROWS, cut, discard, keyed, map_texts, partitions, slices
+from echolattice.llm.common import BATCH_ROWS, cut, discard, keyed, partitions, slices
 from echolattice.llm.textarrays import mix
 
 #: Words that are classes of their own; words tasks hold; kinds of words a task counts before it passes them on.
@@ -38,12 +42,18 @@ FOLDS, TESTED, HELD_OUT = 7, 2, 3
 #: The end of a text, which is no word.
 END = "\n"
 ROUNDS = 40
-#: Pairs that tasks hold; pairs of a partition; neighbours a task counts before it passes them on; bins of an octave in which EM sees a ratio.
-PAIRS, PART_PAIRS, HELD_PAIRS, BINS = 1 << 19, 1 << 20, 1 << 21, 32
+#: Pairs that tasks hold; neighbours of a partition; neighbours a task counts before it passes them on; bins of an octave in which EM sees a ratio.
+PAIRS, PART_PAIRS, HELD_PAIRS, BINS = 1 << 19, 1 << 22, 1 << 21, 32
 #: Bits of each of the three counts that a task sends as one number; it counts fewer neighbours at a time.
 COUNT = 21
 #: Places of words of the dictionary in a pair's key, and the one that stands for the start of a text.
 PLACE, START = 20, (1 << 20) - 1
+#: Bits of a text's number in its slice; pairs of a block of the table.
+TEXTS, BLOCK = 10, 1 << 17
+#: What a block holds: words beyond the dictionary, pairs, pairs that lack the counts of their context, pairs of texts, texts.
+WORD, PAIR, OPEN, ASKED, TEXT = range(5)
+BLOCKS = "part int, kind int, block binary"
+_CODEC = pa.Codec("zstd", compression_level=1)
 
 
 def _words(batch: pa.RecordBatch) -> list[list[bytes]]:
@@ -78,9 +88,12 @@ def word_counts(texts: DataFrame) -> DataFrame:
 def _least_count(counts: DataFrame, words: int) -> float:
     """A frequency that at most ``words`` words reach, from a histogram of a few thousand buckets."""
     bucket = F.floor(F.log2(F.col("a") + F.col("b")) * 256)
-    rows = counts.groupBy(bucket.alias("bucket")).count().orderBy(F.desc("bucket")).collect()
+    return _least_of(counts.groupBy(bucket.alias("bucket")).count(), words)
+
+
+def _least_of(histogram: DataFrame, words: int) -> float:
     total, least = 0, np.inf
-    for r in rows:
+    for r in histogram.orderBy(F.desc("bucket")).collect():
         total += r["count"]
         if total > words:
             break
@@ -116,33 +129,14 @@ class Model:
         ends = counts.where(F.col("word") == END).agg(F.sum("a"), F.sum("b")).first()
         self.a, self.b = np.append(a, ends[0] or 0), np.append(b, ends[1] or 0)
 
-    def codes(self, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Index of each word and end (-1: not in the dictionary), its class, and the class before it."""
+    def codes(self, words: list[list[bytes]]) -> np.ndarray:
+        """Place of each word and end in the dictionary (-1: none)."""
         get, end = self.index.get, self.index.get(END.encode(), -1)
         flat: list[int] = []
         for w in words:
             flat += [get(x, -1) for x in w]
             flat.append(end)
-        index = np.array(flat, dtype=np.int64)
-        known = np.append(self.word_class, np.int32(self.rare))
-        cls = known[index]
-        before = np.empty_like(cls)
-        before[1:] = cls[:-1]
-        before[np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])[:-1]]).astype(np.int64)] = self.start
-        return index, cls, before
-
-    def keys(self, words: list[list[bytes]], index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Key of each word and the one before it, and both: places in the dictionary, or negative fingerprints."""
-        w = index.copy()
-        if (index < 0).any():
-            flat = [x for own in words for x in (*own, END.encode())]
-            rare = np.flatnonzero(index < 0)
-            w[rare] = fingerprints([flat[k] for k in rare])
-        v = np.empty_like(w)
-        v[1:] = w[:-1]
-        v[np.concatenate([[0], np.cumsum([len(x) + 1 for x in words])[:-1]]).astype(np.int64)] = START
-        hashed = mix(v.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + w.view(np.uint64), 11).view(np.int64) | np.int64(-(2**63))
-        return np.where((v >= 0) & (w >= 0), v << PLACE | w, hashed), v, w
+        return np.array(flat, dtype=np.int64)
 
     def learned(self, ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Class and counts of words; a and b: counts of those beyond the dictionary."""
@@ -225,25 +219,127 @@ def fingerprints(words: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w, 1) for w in words], dtype=np.uint64).view(np.int64) | np.int64(-(2**63))
 
 
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit numbers as one value: like bytes of a column side by side, compressed."""
+    head = np.array([len(columns), *map(len, columns)], dtype=np.int64)
+    planes = [np.ascontiguousarray(np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T) for c in columns]
+    return head.tobytes() + _CODEC.compress(b"".join(p.tobytes() for p in planes), asbytes=True)
+
+
+def unpack(block: bytes) -> list[np.ndarray]:
+    """The columns of :func:`pack`, as integers."""
+    n = int(np.frombuffer(block, dtype=np.int64, count=1)[0])
+    sizes = np.frombuffer(block, dtype=np.int64, count=n, offset=8)
+    raw = np.frombuffer(_CODEC.decompress(memoryview(block)[8 * n + 8 :], int(sizes.sum()) * 8, asbytes=True), dtype=np.uint8)
+    ends = np.cumsum(sizes) * 8
+    return [np.ascontiguousarray(raw[e - 8 * k : e].reshape(8, k).T).view(np.int64).reshape(-1) for e, k in zip(ends, sizes)]
+
+
+def rows_of(blocks: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    part, kind, block = zip(*blocks) if blocks else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(block, pa.binary())], names=["part", "kind", "block"])
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
+    for batch in batches:
+        for part, kind, block in zip(*(batch.column(c) for c in ("part", "kind", "block"))):
+            yield part.as_py(), kind.as_py(), block.as_py()
+
+
+def dealt(part: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Columns cut by partition, in their order otherwise."""
+    order = np.argsort(part.astype(np.int32), kind="stable")
+    part, columns = part[order], [c[order] for c in columns]
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(part)), dtype=bool), part[1:] != part[:-1]]))
+    for lo, hi in zip(starts, np.append(starts[1:], len(part))):
+        yield int(part[lo]), [c[lo:hi] for c in columns]
+
+
+def pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Key of a word after another: their places in the dictionary, or a negative fingerprint."""
+    hashed = mix(v.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + w.view(np.uint64), 11).view(np.int64) | np.int64(-(2**63))
+    return np.where((v >= 0) & (w >= 0), v << PLACE | w, hashed)
+
+
+def home(parts: int, key: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Partition of pairs: that of a word beyond the dictionary, where its counts are; the second of two, else that of the key."""
+    return (mix(np.where(key >= 0, key, np.where(w < 0, w, v)).view(np.uint64), 17) % np.uint64(parts)).astype(np.int64)
+
+
+class Slice:
+    """Some texts as numbers: places of words in the dictionary (-1: none), fingerprints of the others, tokens, fold and doc_id of each text."""
+
+    def __init__(self, number: int, block: bytes):
+        self.index, self.beyond, self.size, self.fold, self.doc, self.has_doc = unpack(block)
+        self.row = np.int64(number << TEXTS) + np.arange(len(self.size))
+        self.text = np.repeat(np.arange(len(self.size)), self.size)
+
+    @classmethod
+    def all_of(cls, batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
+        for batch in batches:
+            for number, block in zip(batch.column("slice"), batch.column("block")):
+                yield cls(number.as_py(), block.as_py())
+
+    def after(self, tokens: np.ndarray, start: int) -> np.ndarray:
+        """What is before each token in its text."""
+        out = np.empty_like(tokens)
+        out[1:] = tokens[:-1]
+        out[np.concatenate([[0], np.cumsum(self.size)[:-1]]).astype(np.int64)] = start
+        return out
+
+    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Key of each word and the one before it, and both: places in the dictionary, or negative fingerprints."""
+        w = self.index.copy()
+        w[w < 0] = self.beyond
+        v = self.after(w, START)
+        return pair_key(v, w), v, w
+
+
+def coded(texts: DataFrame, model: Model) -> DataFrame:
+    """slice and block: texts as :class:`Slice` reads them; given such rows, the same."""
+    if "block" in texts.columns:
+        return texts
+    given = texts.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for whole in slices(batch, "text"):
+                for at in range(0, whole.num_rows, 1 << TEXTS):
+                    part = whole.slice(at, 1 << TEXTS)
+                    words = _words(part)
+                    index = given.value.codes(words)
+                    beyond = np.zeros(0, dtype=np.int64)
+                    if (index < 0).any():
+                        flat = [x for own in words for x in (*own, END.encode())]
+                        beyond = fingerprints([flat[k] for k in np.flatnonzero(index < 0)])
+                    doc = part.column("doc_id")
+                    size, fold = np.array([len(w) + 1 for w in words], dtype=np.int64), part.column("fold").to_numpy().astype(np.int64)
+                    block = pack(index, beyond, size, fold, doc.fill_null(0).to_numpy(), doc.is_valid().to_numpy(zero_copy_only=False).astype(np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([block], pa.binary())], names=["slice", "block"])
+                    number += 1
+
+    return texts.mapInArrow(run, "slice long, block binary")
+
+
 def bigram_counts(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Counts of class pairs in both folds; the table has a fixed bound, so it fits the driver."""
     given, m = texts.sparkSession.sparkContext.broadcast(model), model.classes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, m * m), dtype=np.int64)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                words = _words(part)
-                _, cls, before = given.value.codes(words)
-                fold = np.repeat(part.column("fold").to_numpy() == HELD_OUT, [len(w) + 1 for w in words]).astype(np.int64)
-                pair, times = np.unique((fold * m + before) * m + cls, return_counts=True)
-                counts.reshape(-1)[pair] += times
+        for own in Slice.all_of(batches):
+            learned = own.fold != TESTED
+            cls = np.append(given.value.word_class, np.int32(given.value.rare))[own.index]
+            pair = ((own.fold == HELD_OUT)[own.text] * m + own.after(cls, given.value.start)) * m + cls
+            pair, times = np.unique(pair[learned[own.text]] if not learned.all() else pair, return_counts=True)
+            counts.reshape(-1)[pair] += times
         used = np.flatnonzero(counts.any(axis=0))
         for at in range(0, len(used), 1 << 16):
             own = used[at : at + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *[pa.array(c[own].astype(np.int32)) for c in counts]], names=["pair", "a", "b"])
 
-    rows = texts.where(F.col("fold") != TESTED).mapInArrow(run, "pair int, a int, b int")
+    rows = coded(texts, model).mapInArrow(run, "pair int, a int, b int")
     found = rows.groupBy("pair").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toPandas()
     out = np.zeros((2, m * m), dtype=np.int64)
     out[0, found["pair"]], out[1, found["pair"]] = found["a"], found["b"]
@@ -268,17 +364,41 @@ def summed(parts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def pair_counts(texts: DataFrame, model: Model) -> DataFrame:
-    """key, v, w and a, b, t: counts of every pair of neighbours in both training folds and in the texts never learned from.
+def parts_for(texts: DataFrame, model: Model) -> int:
+    return max(partitions(texts.sparkSession), model.n // PART_PAIRS)
+
+
+def _table(columns: list[np.ndarray]) -> Iterator[bytes]:
+    """Blocks of a table of pairs: key, a, b, t, and, for those with a word beyond the dictionary, which come first, v, w, va, vb, wa, wb."""
+    own, rare = columns[:4], columns[4:]
+    for at in range(0, len(own[0]), BLOCK):
+        key, *counts = (c[at : at + BLOCK] for c in own)
+        yield pack(np.diff(key, prepend=0), *counts, *[c[at : at + BLOCK] for c in rare])
+
+
+def _read_table(block: bytes) -> list[np.ndarray]:
+    delta, *rest = unpack(block)
+    return [np.cumsum(delta), *rest]
+
+
+def _looked_up(words: list[list[np.ndarray]], sought: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of words by fingerprint; zero for those never learned from."""
+    if not words:
+        return np.zeros_like(sought), np.zeros_like(sought)
+    ids, a, b = (np.concatenate(c) for c in zip(*words))
+    order = np.argsort(ids)
+    ids, a, b = ids[order], a[order], b[order]
+    found, at = _held(ids, sought)
+    return np.where(found, a[at], 0), np.where(found, b[at], 0)
+
+
+def pair_counts(texts: DataFrame, model: Model, ids: DataFrame | None = None) -> DataFrame:
+    """Blocks of a, b, t: counts of every pair of neighbours in both training folds and in the texts never learned from.
 
     Pairs of words of the dictionary that occur once, and not in the part held out, are left out: who meets one knows its count.
+    ``ids``: :func:`word_ids`, whose counts pairs with such words get; pairs of two of them lack those of the first (``OPEN``).
     """
-    given, tokens = texts.sparkSession.sparkContext.broadcast(model), model.n
-    names = ["key", "v", "w", "a", "b", "t"]
-
-    def out(table: np.ndarray, names: list[str] = names) -> Iterator[pa.RecordBatch]:
-        for at in range(0, table.shape[1], 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)]) for c in table], names=names)
+    parts = parts_for(texts, model)
 
     def packed(table: np.ndarray) -> Iterator[pa.RecordBatch]:
         big = (table[3:] >> COUNT).any(axis=0)
@@ -288,72 +408,106 @@ def pair_counts(texts: DataFrame, model: Model) -> DataFrame:
             rest[3:] -= np.minimum(rest[3:], (1 << COUNT) - 1)
             yield from packed(rest)
         a, b, t = np.minimum(table[3:], (1 << COUNT) - 1)
-        yield from out(np.stack([*table[:3], a | b << COUNT | t << 2 * COUNT]), [*names[:3], "n"])
-
-    def unpacked(batch: pa.RecordBatch) -> np.ndarray:
-        *own, n = (c.to_numpy() for c in batch.columns)
-        return np.stack([*own, *[n >> k * COUNT & (1 << COUNT) - 1 for k in range(3)]])
+        out = []
+        for part, (key, v, w, n) in dealt(home(parts, *table[:3]), *table[:3], a | b << COUNT | t << 2 * COUNT):
+            rare = np.searchsorted(key, 0)
+            out.append((part, PAIR, pack(np.diff(key[rare:], prepend=0), n, v[:rare], w[:rare])))
+        yield rows_of(out)
+
+    def unpacked(block: bytes) -> np.ndarray:
+        delta, n, v, w = unpack(block)
+        nil = np.zeros(len(delta), dtype=np.int64)
+        key = np.concatenate([pair_key(v, w), np.cumsum(delta)])
+        return np.stack([key, np.concatenate([v, nil]), np.concatenate([w, nil]), *[n >> k * COUNT & (1 << COUNT) - 1 for k in range(3)]])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        for batch in batches:
-            for part in slices(batch, "text"):
-                words = _words(part)
-                key, v, w = given.value.keys(words, given.value.codes(words)[0])
-                fold = np.repeat(part.column("fold").to_numpy(), [len(x) + 1 for x in words])
-                rare = key < 0
-                kinds = [(fold != TESTED) & (fold != HELD_OUT), fold == HELD_OUT, fold == TESTED]
-                held.append(summed([np.stack([key, np.where(rare, v, 0), np.where(rare, w, 0), *[k.astype(np.int64) for k in kinds]])]))
-                if sum(x.shape[1] for x in held) > HELD_PAIRS:
-                    held = [summed(held)]
-                    # What hardly shrinks is passed on.
-                    if held[0].shape[1] > HELD_PAIRS // 2:
-                        yield from packed(held.pop())
+        for own in Slice.all_of(batches):
+            key, v, w = own.keys()
+            fold, rare = own.fold[own.text], key < 0
+            kinds = [(fold != TESTED) & (fold != HELD_OUT), fold == HELD_OUT, fold == TESTED]
+            held.append(summed([np.stack([key, np.where(rare, v, 0), np.where(rare, w, 0), *[k.astype(np.int64) for k in kinds]])]))
+            if sum(x.shape[1] for x in held) > HELD_PAIRS:
+                held = [summed(held)]
+                # What hardly shrinks is passed on.
+                if held[0].shape[1] > HELD_PAIRS // 2:
+                    yield from packed(held.pop())
         if held:
             yield from packed(summed(held))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [unpacked(batch) for batch in batches if batch.num_rows]
-        if parts:
-            whole = summed(parts)
-            yield from out(whole[:, (whole[0] < 0) | (whole[3:].sum(axis=0) > 1) | (whole[4] > 0)])
-
-    kind = "key long, v long, w long, a long, b long, t long"
-    n = max(partitions(texts.sparkSession), tokens // PART_PAIRS)
-    return texts.mapInArrow(count, "key long, v long, w long, n long").repartition(n, "key").mapInArrow(add, kind)
-
-
-def word_ids(counts: DataFrame) -> DataFrame:
-    """id, a, b: fingerprints of words and their counts."""
+        tables, words, own = [], [], 0
+        for own, kind, block in blocks_of(batches):  # noqa: B007
+            (words if kind == WORD else tables).append(unpack(block) if kind == WORD else unpacked(block))
+        if not tables:
+            return
+        whole = summed(tables)
+        whole = whole[:, (whole[0] < 0) | (whole[3:].sum(axis=0) > 1) | (whole[4] > 0)]
+        rare = int(np.searchsorted(whole[0], 0))
+        v, w = whole[1:3, :rare]
+        second, both = w < 0, (w < 0) & (v < 0)
+        a, b = _looked_up(words, np.where(second, w, v))
+        va, vb, wa, wb = np.where(second, 0, a), np.where(second, 0, b), np.where(second, a, 0), np.where(second, b, 0)
+        # Fingerprints have served, but for those of pairs of two such words.
+        sides = [np.where(both, v, np.maximum(v, -1)), np.where(both, w, np.maximum(w, -1)), va, vb, wa, wb]
+        done = np.concatenate([~both, np.ones(whole.shape[1] - rare, dtype=bool)])
+        for block in _table([*[x[done] for x in (whole[0], *whole[3:])], *[x[~both] for x in sides]]):
+            yield rows_of([(own, PAIR, block)])
+        lacking = [x[:rare][both] for x in (whole[0], *whole[3:])] + [x[both] for x in sides]
+        blocks = dealt(home(parts, lacking[0], lacking[4], np.zeros_like(lacking[0])), *lacking)
+        yield rows_of([(part, OPEN, block) for part, columns in blocks for block in _table(columns)])
+
+    sent = coded(texts, model).mapInArrow(count, BLOCKS)
+    return (sent if ids is None else sent.unionByName(ids)).repartitionById(parts, F.col("part")).mapInArrow(add, BLOCKS)
+
+
+def word_ids(counts: DataFrame, model: Model) -> DataFrame:
+    """Blocks of id, a, b: fingerprints of words beyond the dictionary and their counts."""
+    parts, given = parts_for(counts, model), counts.sparkSession.sparkContext.broadcast(model.index)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = fingerprints(batch.column("word").cast(pa.binary()).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(found), batch.column("a"), batch.column("b")], names=["id", "a", "b"])
+            words = batch.column("word").cast(pa.binary()).to_pylist()
+            beyond = np.array([k for k, w in enumerate(words) if w not in given.value], dtype=np.int64)
+            held.append([fingerprints([words[k] for k in beyond]), *[batch.column(c).to_numpy()[beyond] for c in "ab"]])
+            if sum(len(x[0]) for x in held) > HELD_WORDS:
+                yield flush()
+        if held:
+            yield flush()
 
-    return counts.mapInArrow(hashed, "id long, a long, b long")
+    held: list[list[np.ndarray]] = []
 
+    def flush() -> pa.RecordBatch:
+        ids, a, b = (np.concatenate(c) for c in zip(*held))
+        held.clear()
+        return rows_of([(part, WORD, pack(*x)) for part, x in dealt(home(parts, ids, ids, ids), ids, a, b)])
+
+    return counts.mapInArrow(hashed, BLOCKS)
 
-def with_words(pairs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Pairs with a word beyond the dictionary (-1 in its place), with the counts of such words (va, vb, wa, wb; null: none)."""
-    out = pairs.where("key < 0")
-    for c in ("w", "v"):
-        own = ids.select(F.col("id").alias("own_id"), F.col("a").alias(f"{c}a"), F.col("b").alias(f"{c}b"))
-        # Words of the dictionary look for a number that nobody has, each for another.
-        sought = F.when(F.col(c) < 0, F.col(c)).otherwise(-(F.col("key") + 1))
-        out = out.withColumn("sought", sought).join(own, F.col("sought") == F.col("own_id"), "left").drop("sought", "own_id")
-        out = out.withColumn(c, F.greatest(c, F.lit(-1)))
-    return out
 
+def with_contexts(lacking: DataFrame, ids: DataFrame, parts: int) -> DataFrame:
+    """Pairs of two words beyond the dictionary, with the counts of the first, dealt by the second again."""
 
-def _numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
-    return [batch.column(c).fill_null(0).to_numpy() for c in names]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, words = [], []
+        for _, kind, block in blocks_of(batches):
+            (words if kind == WORD else tables).append(unpack(block) if kind == WORD else _read_table(block))
+        if tables:
+            columns = [np.concatenate(c) for c in zip(*tables)]
+            key, v, w = columns[0], columns[4], columns[5]
+            columns[6], columns[7] = _looked_up(words, v)
+            to, columns[4], columns[5] = home(parts, key, v, w), np.full_like(v, -1), np.full_like(w, -1)
+            yield rows_of([(part, PAIR, block) for part, x in dealt(to, *columns) for block in _table(x)])
+
+    return lacking.unionByName(ids).repartitionById(parts, F.col("part")).mapInArrow(run, BLOCKS)
 
 
-def _sides(model: Model, batch: pa.RecordBatch):
-    """Contexts and words of pairs, as :meth:`Model.learned` gives them."""
-    key, v, w, va, vb, wa, wb = _numbers(batch, "key", "v", "w", "va", "vb", "wa", "wb")
-    return model.learned(np.where(key < 0, v, key >> PLACE), va, vb), model.learned(np.where(key < 0, w, key & START), wa, wb)
+def _sides(model: Model, key: np.ndarray, rare: list[np.ndarray]):
+    """Contexts and words of pairs, as :meth:`Model.learned` gives them; rare: v, w, va, vb, wa, wb of the first pairs."""
+    n, nil = len(rare[0]), np.zeros(len(key) - len(rare[0]), dtype=np.int64)
+    va, vb, wa, wb = (np.concatenate([c, nil]) for c in rare[2:])
+    v, w = np.concatenate([rare[0], key[n:] >> PLACE]), np.concatenate([rare[1], key[n:] & START])
+    return model.learned(v, va, vb), model.learned(w, wa, wb)
 
 
 def weigh(pairs: DataFrame, model: Model) -> None:
@@ -361,39 +515,43 @@ def weigh(pairs: DataFrame, model: Model) -> None:
     given = pairs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = _numbers(batch, "a", "b")
-            bucket, r = given.value.ratio(*_sides(given.value, batch), a)
+        for _, _, block in blocks_of(batches):
+            key, a, b, _, *rare = _read_table(block)
+            own = b > 0
+            sides = _sides(given.value, key[own], [c[own[: len(c)]] for c in rare])
+            bucket, r = given.value.ratio(*sides, a[own])
             never = -(1 << 20)
             bins = np.where(r > 0, np.round(np.log2(np.where(r > 0, r, 1)) * BINS), never).astype(np.int64)
-            cell, at = np.unique(np.stack([bucket, bins]), axis=1, return_inverse=True)
-            n = np.bincount(at.reshape(-1), weights=b).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(cell[0]), pa.array(cell[1], mask=cell[1] == never), pa.array(n)], names=["bucket", "bin", "n"])
+            cell, at = np.unique(bucket << 32 | bins + (1 << 31), return_inverse=True)
+            n, bins = np.bincount(at.reshape(-1), weights=b[own], minlength=len(cell)).astype(np.int64), (cell & (1 << 32) - 1) - (1 << 31)
+            yield pa.RecordBatch.from_arrays([pa.array(cell >> 32), pa.array(bins, mask=bins == never), pa.array(n)], names=["bucket", "bin", "n"])
 
-    model.mix_in(pairs.where("b > 0").mapInArrow(run, "bucket long, bin long, n long").groupBy("bucket", "bin").agg(F.sum("n").alias("n")).toPandas())
+    model.mix_in(pairs.mapInArrow(run, "bucket long, bin long, n long").groupBy("bucket", "bin").agg(F.sum("n").alias("n")).toPandas())
 
 
-def priced(pairs: DataFrame, model: Model) -> DataFrame:
-    """key, p (log10), and the count of words beyond the dictionary (else -1), for pairs with such words."""
-    given = pairs.sparkSession.sparkContext.broadcast(model)
+def frequent(pairs: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and log10 p of at most ``PAIRS`` pairs of words of the dictionary, all as frequent as the least of them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key, w, a, b = _numbers(batch, "key", "w", "a", "b")
-            context, word = _sides(given.value, batch)
-            p = given.value.log_p(context, word, a + b)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(p), pa.array(np.where(w < 0, word[1] + word[2], -1))], names=["key", "p", "count"])
+    def seen(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        key, a, b, t, v, *_ = _read_table(block)
+        return key[len(v) :], (a + b)[len(v) :], (a + b + t)[len(v) :]
 
-    return pairs.mapInArrow(run, "key long, p double, count long")
+    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(64 * 256, dtype=np.int64)
+        for _, _, block in blocks_of(batches):
+            total += np.bincount(np.floor(np.log2(seen(block)[2]) * 256).astype(np.int64), minlength=len(total))
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bucket", "count"])
 
+    histogram = pairs.mapInArrow(buckets, "bucket long, count long").groupBy("bucket").agg(F.sum("count").alias("count"))
+    least = _least_of(histogram, PAIRS) * (1 - 1e-9)
 
-def frequent(pairs: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and log10 p of at most ``PAIRS`` pairs of words of the dictionary, all as frequent as the least of them."""
-    seen = F.col("a") + F.col("b") + F.col("t")
-    least = _least_count(pairs.select(seen.alias("a"), F.lit(0).alias("b")), PAIRS)
-    table = pairs.where(seen >= least * (1 - 1e-9)).select("key", (F.col("a") + F.col("b")).alias("n")).toPandas().sort_values("key")
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, block in blocks_of(batches):
+            key, n, times = seen(block)
+            yield pa.RecordBatch.from_arrays([pa.array(key[times >= least]), pa.array(n[times >= least])], names=["key", "n"])
+
+    table = pairs.mapInArrow(rows, "key long, n long").toPandas().sort_values("key")
     key = table["key"].to_numpy(dtype=np.int64)
     return key, model.pair_p(key, table["n"].to_numpy(dtype=np.int64))
 
@@ -419,92 +577,109 @@ def score(docs: DataFrame) -> DataFrame:
     texts = keyed(docs, fold.alias("fold"))
     counts = cut(word_counts(texts), "words")
     model = Model(counts)
-    model.fit(*bigram_counts(texts, model))
-    counted = cut(pair_counts(texts, model), "pairs")
-    ids = cut(word_ids(counts), "ids")
-    rare = cut(with_words(counted, ids), "rarepairs")
-    discard(counts, ids)
-    own = counted.where("key >= 0")
-    none = [F.lit(None).cast("long").alias(c) for c in ("wa", "wb", "va", "vb")]
-    weigh(own.select("*", *none).unionByName(rare), model)
-    keys, p = frequent(own, model)
-    given = spark.sparkContext.broadcast((model, keys, p))
-
-    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    ids = cut(word_ids(counts, model), "ids")
+    discard(counts)
+    own = cut(coded(texts, model), "codes")
+    model.fit(*bigram_counts(own, model))
+    parts = parts_for(docs, model)
+    counted = cut(pair_counts(own, model, ids), "pairs")
+    pairs = counted.where(F.col("kind") == PAIR).unionByName(cut(with_contexts(counted.where(F.col("kind") == OPEN), ids, parts), "rarepairs"))
+    discard(ids)
+    weigh(pairs, model)
+    given = spark.sparkContext.broadcast((model, *frequent(pairs, model)))
+    unknown = float(-np.log10(model.n + model.types + 1))
+    place = lambda row: (mix((row >> TEXTS).view(np.uint64), 19) % np.uint64(parts)).astype(np.int64)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What tasks know of texts, and the pairs they don't hold, once for each text; the last bit of times: nothing is learned from the text."""
         m, keys, p = given.value
-        words = _words(batch)
-        index, _, _ = m.codes(words)
-        known = index >= 0
-        text = np.repeat(np.arange(len(words)), [len(w) + 1 for w in words])
-        base = np.log10((np.append(m.count, 0)[index] + 1) / (m.n + m.types + 1), out=np.zeros(len(index)), where=known)
-        held, at = _held(keys, m.keys(words, index)[0])
-        total = lambda x, of: pa.array(np.bincount(text[of], weights=x[of], minlength=len(words)).astype(float))
-        rest = pa.array(np.bincount(text[~held], minlength=len(words)))
-        score = np.append(p, 0.0)[at]
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("th"), batch.column("fold"), pa.array([len(w) + 1 for w in words], pa.int64()),
-             pa.array(np.bincount(text[known], minlength=len(words))), total(base, known), total(score, held), rest],
-            names=["doc_id", "th", "fold", "n_tokens", "n_known", "base", "score", "rest"],
-        )
-
-    def met(batch: pa.RecordBatch) -> pa.RecordBatch:
-        """Pairs that tasks don't hold, once for each text; times is negative where nothing is learned from the text."""
-        m, keys, _ = given.value
-        words = _words(batch)
-        key = m.keys(words, m.codes(words)[0])[0]
-        cold = ~_held(keys, key)[0]
-        text, key = np.repeat(np.arange(len(words)), [len(w) + 1 for w in words])[cold], key[cold]
-        order = np.lexsort((key, text))
-        text, key = text[order], key[order]
-        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), dtype=bool), (key[1:] != key[:-1]) | (text[1:] != text[:-1])]))
-        times = np.diff(np.append(first, len(key)))
-        times = np.where(batch.column("fold").to_numpy()[text[first]] == TESTED, -times, times)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(key[first]), pa.array(batch.column("row").to_numpy()[text[first]]), pa.array(times.astype(np.int32))], names=["key", "row", "times"]
-        )
+        held: list[list[np.ndarray]] = []
 
-    unknown = float(-np.log10(model.n + model.types + 1))
+        def flush() -> pa.RecordBatch:
+            key, to, row, times = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            order = np.argsort(key)
+            blocks = dealt(to[order], key[order], row[order], times[order])
+            return rows_of([(part, ASKED, pack(np.diff(key, prepend=0), row, times)) for part, (key, row, times) in blocks])
+
+        for s in Slice.all_of(batches):
+            n, text, known = len(s.size), s.text, s.index >= 0
+            base = np.log10((np.append(m.count, 0)[s.index] + 1) / (m.n + m.types + 1), out=np.zeros(len(text)), where=known)
+            key, v, w = s.keys()
+            here, at = _held(keys, key)
+            total = lambda x, of: np.bincount(text[of], weights=x[of], minlength=n).astype(float)  # noqa: B023, E731
+            score = total(np.append(p, 0.0)[at], here)
+            block = pack(s.row, s.doc, s.has_doc, s.fold, s.size, np.bincount(text[known], minlength=n), total(base, known), score)
+            yield rows_of([(int(place(s.row[:1])[0]), TEXT, block)])
+            cold = np.flatnonzero(~here)
+            cold = cold[np.argsort(key[cold], kind="stable")]
+            own, of = key[cold], text[cold]
+            first = np.flatnonzero(np.concatenate([np.ones(min(1, len(own)), dtype=bool), (own[1:] != own[:-1]) | (of[1:] != of[:-1])]))
+            times, cold, of = np.diff(np.append(first, len(own))), cold[first], of[first]
+            held.append([key[cold], home(parts, key[cold], v[cold], w[cold]), s.row[of], times << 1 | (s.fold[of] == TESTED)])
+            if sum(len(x[0]) for x in held) > HELD_PAIRS:
+                yield flush()
+        if held:
+            yield flush()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums by text of a partition that has counts or prices of pairs (row null) and pairs of texts."""
+        """Sums by text of a partition's pairs of texts, from its counts and prices of pairs."""
         m = given.value[0]
-        columns = [[c.fill_null(0).to_numpy() for c in x.columns] + [x.column("row").is_valid().to_numpy(zero_copy_only=False)] for x in batches if x.num_rows]
-        if not columns:
+        table, asked = [], []
+        for part, kind, block in blocks_of(batches):
+            if kind == TEXT:
+                yield rows_of([(part, kind, block)])
+            elif kind == ASKED:
+                asked.append(_read_table(block))
+            else:
+                key, a, b, _, *rare = _read_table(block)
+                # Of pairs with a word beyond the dictionary the price, and the count of such a word (else -1); of others their count.
+                n, price, count = len(rare[0]), np.zeros(len(key)), a + b
+                price[:n] = m.log_p(*_sides(m, key[:n], rare), count[:n])
+                count[:n] = np.where(rare[1] < 0, rare[4] + rare[5], -1)
+                table.append((key, price, count))
+        if not asked:
             return
-        key, row, times, p, count, asked = (np.concatenate(c) for c in zip(*columns))
-        table = np.flatnonzero(~asked)
-        table = table[np.argsort(key[table])]
-        ours, row, times = key[asked], row[asked], times[asked]
-        there, at = _held(key[table], ours)
+        ours, row, times = (np.concatenate(c) for c in zip(*asked))
+        asked.clear()
+        learned, times = times & 1 == 0, times >> 1
+        key, p, count = (np.concatenate(c) for c in zip(*table)) if table else (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+        order = np.argsort(key)
+        there, at = _held(key[order], ours)
         price, base, known = np.zeros(len(ours)), np.zeros(len(ours)), np.zeros(len(ours))
         c = np.full(len(ours), -1)
-        price[there], c[there] = p[table][at[there]], count[table][at[there]]
+        price[there], c[there] = p[order][at[there]], count[order][at[there]]
         # A pair of the dictionary that is in no table occurs here only.
         plain = ours >= 0
-        price[plain] = m.pair_p(ours[plain], np.where(there, c, times > 0)[plain])
-        n = np.abs(times)
+        price[plain] = m.pair_p(ours[plain], np.where(there, c, learned)[plain])
         beyond = ~plain & (c >= 0)
-        base[beyond] = n[beyond] * (np.log10(c[beyond] + 1) + unknown)
-        known[beyond] = n[beyond] * (c[beyond] > 0)
+        base[beyond] = times[beyond] * (np.log10(c[beyond] + 1) + unknown)
+        known[beyond] = times[beyond] * (c[beyond] > 0)
         rows, at = np.unique(row, return_inverse=True)
-        sums = [np.bincount(at, weights=x, minlength=len(rows)) for x in (n, n * price, base, known)]
-        for k in range(0, len(rows), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(x[k : k + (1 << 16)]) for x in (rows, *sums)], names=["row", "n", "p", "base", "known"])
-
-    schema = "doc_id long, th long, fold int, n_tokens long, n_known long, base double, score double, rest long"
-    partly = cut(map_texts(texts, rows, schema), "scored").withColumn("row", F.xxhash64("doc_id", "th"))
-    asked = map_texts(texts.withColumn("row", F.xxhash64("doc_id", "th")), met, "key long, row long, times int")
-    asked = asked.select("key", "row", "times", F.lit(0.0).alias("p"), F.lit(-1).cast("long").alias("count"))
-    table = own.select("key", F.lit(0.0).alias("p"), (F.col("a") + F.col("b")).alias("count")).unionByName(priced(rare, model))
-    table = table.select("key", F.lit(None).cast("long").alias("row"), F.lit(0).alias("times"), "p", "count")
-    parts = max(partitions(spark), model.n // PART_PAIRS)
-    sums = asked.unionByName(table).repartition(parts, "key").mapInArrow(add, "row long, n double, p double, base double, known double")
-    sums = sums.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("n", "p", "base", "known")])
-    # Rows that repeat doc_id and text have one number and were added up together.
-    share = F.col("rest") / F.col("more_n")
-    more = lambda c: F.coalesce(F.col(f"more_{c}") * share, F.lit(0.0))
-    return partly.join(sums, "row", "left").select(
-        "doc_id", (F.col("fold") == TESTED).alias("held_out"), "n_tokens", (F.col("n_known") + F.round(more("known")).cast("long")).alias("n_known"),
-        F.lit(int(model.n)).cast("long").alias("train_tokens"), (F.col("base") + more("base")).alias("base_score"),
-        (F.col("score") + more("p")).alias("score"),
-    )
+        sums = [np.bincount(at, weights=x, minlength=len(rows)) for x in (known, base, times * price)]
+        yield rows_of([(part, ASKED, pack(np.diff(x, prepend=0), *more)) for part, (x, *more) in dealt(place(rows), rows, *sums)])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of the result: what tasks knew of a text, and the sums of its other pairs."""
+        texts, sums = [], []
+        for _, kind, block in blocks_of(batches):
+            (texts if kind == TEXT else sums).append(unpack(block) if kind == TEXT else _read_table(block))
+        if not texts:
+            return
+        row, doc, has_doc, fold, size, known, base, score = (np.concatenate(c) for c in zip(*texts))
+        more = [known.astype(float), base.view(np.float64).copy(), score.view(np.float64).copy()]
+        order = np.argsort(row)
+        for own, *x in sums:
+            at = order[np.searchsorted(row[order], own)]
+            for total, value in zip(more, x):
+                total[at] += value.view(np.float64)
+        out = [pa.array(doc, mask=has_doc == 0), pa.array(fold == TESTED), pa.array(size), pa.array(np.round(more[0]).astype(np.int64)),
+               pa.array(np.full(len(row), m_n)), *[pa.array(x) for x in more[1:]]]
+        for at in range(0, len(row), 1 << 16):
+            yield pa.RecordBatch.from_arrays([x.slice(at, 1 << 16) for x in out], names=names)
+
+    m_n = np.int64(model.n)
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    sent = own.mapInArrow(ask, BLOCKS).unionByName(pairs).repartitionById(parts, F.col("part")).mapInArrow(add, BLOCKS)
+    kind = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return sent.repartitionById(parts, F.col("part")).mapInArrow(whole, kind)

@@ -135,3 +135,33 @@ def test_pairs_passed_on_early_count_the_same(spark, corpus, monkeypatch):
     monkeypatch.setattr(lm_interpolation, "HELD_PAIRS", 40)
     monkeypatch.setattr(lm_interpolation, "COUNT", 3)
     assert sorted(lm_interpolation.pair_counts(texts, model).collect()) == whole
+
+
+def test_pairs_travel_in_blocks(spark, corpus):
+    """A row for a task and a partition, not one for each pair; nothing is lost in them."""
+    frame = documents(spark, corpus)
+    texts = lm_interpolation.keyed(frame, lm_interpolation.F.pmod("doc_id", lm_interpolation.F.lit(7)).cast("int").alias("fold"))
+    model = lm_interpolation.Model(lm_interpolation.cut(lm_interpolation.word_counts(texts), "words"))
+    parts = lm_interpolation.parts_for(texts, model)
+    blocks = lm_interpolation.pair_counts(texts, model).collect()
+    # Pairs of two words beyond the dictionary go on to the partition of the first.
+    assert len(blocks) <= parts + parts**2
+    found = {}
+    for r in blocks:
+        key, *counts = lm_interpolation._read_table(bytes(r.block))[:4]
+        found |= {int(k): tuple(map(int, n)) for k, *n in zip(key, *counts)}
+    place, sums = {w.decode(): i for w, i in model.index.items()} | {"": lm_interpolation.START}, {}
+    for i, text in corpus:
+        own = tokens(text)
+        kind = {lm_interpolation.TESTED: 2, lm_interpolation.HELD_OUT: 1}.get(i % 7, 0)
+        for v, w in zip(["", *own], own):
+            if v in place and w in place:
+                sums.setdefault(place[v] << lm_interpolation.PLACE | place[w], [0, 0, 0])[kind] += 1
+    expected = {k: tuple(n) for k, n in sums.items() if sum(n) > 1 or n[1]}
+    assert len(expected) > 500 and {k: n for k, n in found.items() if k >= 0} == expected
+
+
+def test_blocks_give_back_their_columns():
+    columns = [np.array([-(2**63), 5, 2**63 - 1]), np.zeros(0, dtype=np.int64), np.array([1.5, -0.0, np.inf]).view(np.int64)]
+    assert all((a == b).all() for a, b in zip(lm_interpolation.unpack(lm_interpolation.pack(*columns)), columns, strict=True))
+    assert (lm_interpolation._read_table(lm_interpolation.pack(np.diff(columns[0], prepend=0)))[0] == columns[0]).all()
