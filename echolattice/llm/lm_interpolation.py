@@ -43,13 +43,15 @@ FOLDS, TESTED, HELD_OUT = 7, 2, 3
 END = "\n"
 ROUNDS = 40
 #: Pairs that tasks hold; neighbours of a partition; neighbours a task counts before it passes them on; bins of an octave in which EM sees a ratio.
-PAIRS, PART_PAIRS, HELD_PAIRS, BINS = 1 << 19, 1 << 22, 1 << 21, 32
+PAIRS, PART_PAIRS, HELD_PAIRS, BINS = 1 << 19, 1 << 21, 1 << 20, 32
 #: Bits of each of the three counts that a task sends as one number; it counts fewer neighbours at a time.
 COUNT = 21
 #: Places of words of the dictionary in a pair's key, and the one that stands for the start of a text.
 PLACE, START = 20, (1 << 20) - 1
 #: Bits of a text's number in its slice; pairs of a block of the table.
 TEXTS, BLOCK = 10, 1 << 17
+#: Pairs of texts a task holds before it passes them on.
+HELD_ASKED = 1 << 19
 #: What a block holds: words beyond the dictionary, pairs, pairs that lack the counts of their context, pairs of texts, texts.
 WORD, PAIR, OPEN, ASKED, TEXT = range(5)
 BLOCKS = "part int, kind int, block binary"
@@ -617,11 +619,26 @@ def score(docs: DataFrame) -> DataFrame:
             first = np.flatnonzero(np.concatenate([np.ones(min(1, len(own)), dtype=bool), (own[1:] != own[:-1]) | (of[1:] != of[:-1])]))
             times, cold, of = np.diff(np.append(first, len(own))), cold[first], of[first]
             held.append([key[cold], home(parts, key[cold], v[cold], w[cold]), s.row[of], times << 1 | (s.fold[of] == TESTED)])
-            if sum(len(x[0]) for x in held) > HELD_PAIRS:
+            if sum(len(x[0]) for x in held) > HELD_ASKED:
                 yield flush()
         if held:
             yield flush()
 
+    def met(m: Model, key: np.ndarray, p: np.ndarray, count: np.ndarray, ours: np.ndarray, _, times: np.ndarray):
+        """Known words, their base scores and prices of the pairs of a block, in a partition's table of pairs."""
+        learned, times = times & 1 == 0, times >> 1
+        there, at = _held(key, ours)
+        price, base, known = np.zeros(len(ours)), np.zeros(len(ours)), np.zeros(len(ours))
+        c = np.full(len(ours), -1)
+        price[there], c[there] = p[at[there]], count[at[there]]
+        # A pair of the dictionary that is in no table occurs here only.
+        plain = ours >= 0
+        price[plain] = m.pair_p(ours[plain], np.where(there, c, learned)[plain])
+        beyond = ~plain & (c >= 0)
+        base[beyond] = times[beyond] * (np.log10(c[beyond] + 1) + unknown)
+        known[beyond] = times[beyond] * (c[beyond] > 0)
+        return known, base, times * price
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums by text of a partition's pairs of texts, from its counts and prices of pairs."""
         m = given.value[0]
@@ -640,23 +657,17 @@ def score(docs: DataFrame) -> DataFrame:
                 table.append((key, price, count))
         if not asked:
             return
-        ours, row, times = (np.concatenate(c) for c in zip(*asked))
-        asked.clear()
-        learned, times = times & 1 == 0, times >> 1
         key, p, count = (np.concatenate(c) for c in zip(*table)) if table else (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+        table.clear()
         order = np.argsort(key)
-        there, at = _held(key[order], ours)
-        price, base, known = np.zeros(len(ours)), np.zeros(len(ours)), np.zeros(len(ours))
-        c = np.full(len(ours), -1)
-        price[there], c[there] = p[order][at[there]], count[order][at[there]]
-        # A pair of the dictionary that is in no table occurs here only.
-        plain = ours >= 0
-        price[plain] = m.pair_p(ours[plain], np.where(there, c, learned)[plain])
-        beyond = ~plain & (c >= 0)
-        base[beyond] = times[beyond] * (np.log10(c[beyond] + 1) + unknown)
-        known[beyond] = times[beyond] * (c[beyond] > 0)
+        key, p, count = key[order], p[order], count[order]
+        row = np.concatenate([x[1] for x in asked])
+        sums = []
+        while asked:
+            sums.append(met(m, key, p, count, *asked.pop(0)))
+        known, base, price = (np.concatenate(x) for x in zip(*sums))
         rows, at = np.unique(row, return_inverse=True)
-        sums = [np.bincount(at, weights=x, minlength=len(rows)) for x in (known, base, times * price)]
+        sums = [np.bincount(at, weights=x, minlength=len(rows)) for x in (known, base, price)]
         yield rows_of([(part, ASKED, pack(np.diff(x, prepend=0), *more)) for part, (x, *more) in dealt(place(rows), rows, *sums)])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
